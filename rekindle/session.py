@@ -21,6 +21,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.driver.memory": "16g",
 }
 
 
@@ -58,14 +59,20 @@ def ensure_local_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the cluster's shared folder (survives executor loss).
+    """Cut a long lineage before an iterative consumer (model fitting, several
+    actions on one table).
 
-    Raises if no shared folder is configured: a machine-local fallback would
-    not survive the loss of that machine.
+    With a shared ``spark.checkpoint.dir`` the table is checkpointed reliably
+    there (survives executor loss without recomputation).  Without one, the
+    table is persisted (memory and disk); a lost block is recomputed from its
+    lineage.  No machine-local folder is ever chosen here.
     """
     spark = df.sparkSession
     d = checkpoint_dir(spark)
-    if not d:
-        raise RuntimeError("spark.checkpoint.dir is not set; cannot cut lineage reliably")
-    spark.sparkContext.setCheckpointDir(d)
-    return df.checkpoint(eager=True)
+    if d:
+        spark.sparkContext.setCheckpointDir(d)
+        return df.checkpoint(eager=True)
+    from pyspark import StorageLevel
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    return out
