@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import RevivalConfig
-from .timeline import gaps_with_threshold, unique_orders
+from .timeline import LABEL_COLS, gaps_with_threshold, unique_orders
 
 EVENT_COLS = ["member_id", "t0_date", "t0_order_code", "t0_order_ts"]
 SAMPLE_COLS = ["sample_id", "label", "member_id", "t0_date", "t0_order_code", "split"]
@@ -159,7 +159,7 @@ def samples(orders: DataFrame, cfg: RevivalConfig, with_ids: bool = True) -> Dat
     from .timeline import valid_purchases
     valid = valid_purchases(orders, cfg)
     events = revival_events(gaps_with_threshold(valid, cfg))
-    labelled = revival_labels(events, unique_orders(valid), cfg.window_days)
+    labelled = revival_labels(events, unique_orders(valid, LABEL_COLS), cfg.window_days)
     out = embargo_split(censor(labelled, cfg.censor_cutoff), cfg)
     if not with_ids:
         return out
@@ -219,13 +219,13 @@ def funnel(orders: DataFrame, cfg: RevivalConfig) -> DataFrame:
     days = member_days(valid, cfg)
     gthr = gaps_with_threshold(valid, cfg)
     events = revival_events(gthr)
-    labelled = revival_labels(events, unique_orders(valid), cfg.window_days)
+    labelled = revival_labels(events, unique_orders(valid, LABEL_COLS), cfg.window_days)
     keep = (F.col("t0_date") <= F.lit(cfg.censor_cutoff)) if cfg.censor_cutoff else F.lit(True)
     sp = split_label(cfg)
     parts = [
         orders.agg(F.count(F.lit(1)).alias("v")).select(F.lit("raw_rows").alias("step"), "v"),
         valid.agg(F.count(F.lit(1)).alias("v")).select(F.lit("valid_rows").alias("step"), "v"),
-        unique_orders(valid).agg(F.count(F.lit(1)).alias("v"))
+        unique_orders(valid, LABEL_COLS).agg(F.count(F.lit(1)).alias("v"))
                             .select(F.lit("unique_orders").alias("step"), "v"),
         days.agg(F.count(F.lit(1)).alias("v")).select(F.lit("member_days").alias("step"), "v"),
         purchase_gaps(days).agg(F.count(F.lit(1)).alias("v")).select(F.lit("gaps").alias("step"), "v"),

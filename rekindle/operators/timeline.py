@@ -90,9 +90,15 @@ def scan_orders_flagged(orders: DataFrame, cfg: RevivalConfig) -> DataFrame:
                         ["channel", "payment", "shipping"])
 
 
-def unique_orders(valid: DataFrame) -> DataFrame:
-    """R3-1: valid orders, one per order code (stage-1 order: filter then dedup)."""
-    return dedup_orders(valid)
+LABEL_COLS = ["member_id", "order_code", "order_ts"]
+
+
+def unique_orders(valid: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """R3-1: valid orders, one per order code (stage-1 order: filter then dedup).
+
+    ``cols`` projects before the de-duplication shuffle (the label rule needs
+    only member, code and timestamp)."""
+    return dedup_orders(valid.select(*cols) if cols else valid)
 
 
 # --------------------------------------------------------------------------- W5 + W3

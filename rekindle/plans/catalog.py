@@ -24,6 +24,7 @@ from ..operators import model as MD
 from ..operators import quality as Q
 from ..operators import study as ST
 from ..operators import timeline as TL
+from ..session import cut_lineage
 from ..sources import adapters as A
 
 
@@ -59,12 +60,18 @@ class Tables:
     @cached_property
     def events_b(self): return EV.revival_events(self.gthr_b)
     @cached_property
-    def labelled(self): return EV.revival_labels(self.events, self.unique, self.cfg.window_days)
+    def labelled(self):
+        return EV.revival_labels(self.events, TL.unique_orders(self.valid, TL.LABEL_COLS),
+                                 self.cfg.window_days)
     @cached_property
     def labelled_b(self):
-        return EV.revival_labels(self.events_b, TL.unique_orders(self.valid_b), self.cfg_b.window_days)
+        return EV.revival_labels(self.events_b, TL.unique_orders(self.valid_b, TL.LABEL_COLS),
+                                 self.cfg_b.window_days)
     @cached_property
-    def samples(self): return EV.samples(self.orders, self.cfg)
+    def samples(self):
+        # process boundary of the original pipeline (sample table written once):
+        # cut the lineage so every feature branch reads the materialised table
+        return cut_lineage(EV.samples(self.orders, self.cfg))
     @cached_property
     def orders_fl(self): return TL.scan_orders_flagged(self.orders, self.cfg)
     @cached_property
