@@ -13,8 +13,8 @@ Scale notes
       by calendar days per member);
     - the two partial boundary days are matched with an equi-join on
       (member, day): at most two event rows share such a key, so the output is
-      linear in the order rows and a hot (member, day) is split by AQE's skew
-      handling.
+      linear in the order rows; the order side is the left side of an inner
+      join, which AQE's skew handling can split for a hot (member, day).
 * Sample ids need a global order; it is computed from per-day counts (a
   table bounded by the number of calendar days, broadcast) plus a
   ``row_number`` inside each day — never a single-partition window over rows.
@@ -87,9 +87,11 @@ def revival_labels(events: DataFrame, orders1: DataFrame, window_days: int) -> D
         (F.col("member_id") == F.col("x_member")) & (F.col("day") == F.col("x_day"))
         & (F.col("x_code") != F.col("t0_order_code"))
         & (F.col("x_ts") > F.col("t0_order_ts")) & (F.col("x_ts") <= end_ts))
-    hits = (bounds.join(x, hit_cond, "left_semi")
-                  .select("member_id", "t0_date").distinct()
-                  .withColumn("edge_hit", F.lit(1)))
+    # orders on the left of an inner join: AQE's skew handling may split the
+    # order side of a hot (member, day); at most two event rows share a key
+    hits = (x.join(bounds, hit_cond, "inner")
+             .select("member_id", "t0_date").distinct()
+             .withColumn("edge_hit", F.lit(1)))
 
     keyed = ["member_id", "t0_date"]
     out = (ev.join(inner, keyed, "left").join(own, keyed, "left").join(hits, keyed, "left"))

@@ -212,43 +212,56 @@ def history_features(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConfi
     return out
 
 
-def hist_mode(samples: DataFrame, orders_fl: DataFrame, col: str, out_col: str) -> DataFrame:
-    """Most frequent ``col`` among the valid history orders of each sample
-    (count desc, value asc on ties) -> sample_id, out_col ('unknown' if none).
-
-    Cumulative counts run per (member, value) over the member-day timeline;
-    sample rows are replicated once per distinct value the member ever used
-    (a categorical domain, not order volume)."""
+def hist_modes(samples: DataFrame, orders_fl: DataFrame, cols: dict[str, str]) -> DataFrame:
+    """Most frequent value of each column in ``cols`` ({col: out_col})
+    among the valid history orders of each sample (count desc, value asc on
+    ties; 'unknown' if none) -> sample_id + out columns.
+
+    All columns in one pass: the (column, value) pairs are stacked, counted
+    per (member, column, value, day), and cumulative counts run per
+    (member, column, value) over the member-day timeline.  Sample rows are
+    replicated once per distinct (column, value) the member ever used — a
+    categorical domain, not order volume."""
+    names = list(cols)
+    pairs = ", ".join(f"'{c}', cast(`{c}` as string)" for c in names)
     cd = (orders_fl.filter(F.col("is_valid") == 1)
-                   .withColumn("dn", _day_num("order_ts"))
-                   .groupBy("member_id", F.col(col).alias("v"), "dn")
+                   .select("member_id", _day_num("order_ts").alias("dn"),
+                           F.expr(f"stack({len(names)}, {pairs}) as (col, v)"))
+                   .groupBy("member_id", "col", "v", "dn")
                    .agg(F.count(F.lit(1)).alias("c"))
                    .withColumn("kind", F.lit(1))
                    .withColumn("sample_id", F.lit(None).cast("long")))
-    vals = cd.select("member_id", "v").distinct()
+    vals = cd.select("member_id", "col", "v").distinct()
     sx = (samples.select("sample_id", "member_id", F.unix_date("t0_date").alias("dn"))
                  .join(vals, "member_id")
                  .withColumn("kind", F.lit(0))
                  .withColumn("c", F.lit(None).cast("long")))
     u = cd.unionByName(sx)
-    w = (Window.partitionBy("member_id", "v").orderBy("dn", "kind")
+    w = (Window.partitionBy("member_id", "col", "v").orderBy("dn", "kind")
                .rowsBetween(Window.unboundedPreceding, -1))
     counted = (u.withColumn("cum", F.sum("c").over(w))
                 .filter((F.col("kind") == 0) & (F.col("cum") > 0)))
-    best = counted.groupBy("sample_id").agg(
-        F.min_by("v", F.struct((-F.col("cum")).alias("nc"), F.col("v").alias("vv"))).alias(out_col))
+    best = counted.groupBy("sample_id").agg(*[
+        F.min_by(F.when(F.col("col") == c, F.col("v")),
+                 F.when(F.col("col") == c, F.struct((-F.col("cum")).alias("nc"), F.col("v").alias("vv"))))
+         .alias(o) for c, o in cols.items()])
+    outs = list(cols.values())
     return (samples.select("sample_id").join(best, "sample_id", "left")
-                   .fillna("unknown", subset=[out_col]))
+                   .fillna("unknown", subset=outs))
+
+
+def hist_mode(samples: DataFrame, orders_fl: DataFrame, col: str, out_col: str) -> DataFrame:
+    """A23 for one column."""
+    return hist_modes(samples, orders_fl, {col: out_col})
 
 
 def f1_history(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConfig,
                hist: DataFrame | None = None) -> DataFrame:
     """history RFM and stability -> sample_id + 17 columns."""
     h = hist if hist is not None else history_features(samples, orders_fl, cfg)
-    ch = hist_mode(samples, orders_fl, "channel", "hist_main_channel")
-    pay = hist_mode(samples, orders_fl, "payment", "hist_main_payment")
-    return (h.join(ch, "sample_id", "left").join(pay, "sample_id", "left")
-             .select("sample_id", *F1_COLS))
+    modes = hist_modes(samples, orders_fl, {"channel": "hist_main_channel",
+                                             "payment": "hist_main_payment"})
+    return h.join(modes, "sample_id", "left").select("sample_id", *F1_COLS)
 
 
 def f6_recent(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConfig,
@@ -398,38 +411,49 @@ def f4_member(samples: DataFrame, members_c: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- F5
+def f5_columns() -> dict[str, Column]:
+    """F5 expressions over a row that already holds the F1 and F2 columns."""
+    return {
+        "t0_vs_avg_ticket_ratio": safe_div("t0_amount", "hist_avg_ticket"),
+        "t0_vs_max_ticket_ratio": safe_div("t0_amount", "hist_max_ticket"),
+        "sleep_vs_ci_ratio": safe_div("sleep_days", "personal_ci"),
+        "t0_discount_vs_hist_ratio": safe_div("t0_discount_ratio",
+                                              discount_floor("hist_discount_ratio")),
+        "t0_used_coupon_vs_hist": F.col("t0_used_coupon").cast("double")
+                                  - F.col("hist_coupon_order_ratio"),
+        "t0_channel_matches_hist": flag(F.col("t0_channel") == F.col("hist_main_channel")),
+        "t0_payment_matches_hist": flag(F.col("t0_payment") == F.col("hist_main_payment")),
+        "t0_qty_vs_avg": safe_div("t0_qty", safe_div("hist_total_qty", "hist_n_orders")),
+    }
+
+
 def f5_interactions(f1: DataFrame, f2: DataFrame) -> DataFrame:
     """the t0 order against the member's own history -> sample_id + 8."""
     b = f1.join(f2, "sample_id", "full")
-    return b.select(
-        "sample_id",
-        safe_div("t0_amount", "hist_avg_ticket").alias("t0_vs_avg_ticket_ratio"),
-        safe_div("t0_amount", "hist_max_ticket").alias("t0_vs_max_ticket_ratio"),
-        safe_div("sleep_days", "personal_ci").alias("sleep_vs_ci_ratio"),
-        safe_div("t0_discount_ratio", discount_floor("hist_discount_ratio"))
-         .alias("t0_discount_vs_hist_ratio"),
-        (F.col("t0_used_coupon").cast("double") - F.col("hist_coupon_order_ratio"))
-         .alias("t0_used_coupon_vs_hist"),
-        flag(F.col("t0_channel") == F.col("hist_main_channel")).alias("t0_channel_matches_hist"),
-        flag(F.col("t0_payment") == F.col("hist_main_payment")).alias("t0_payment_matches_hist"),
-        safe_div("t0_qty", safe_div("hist_total_qty", "hist_n_orders")).alias("t0_qty_vs_avg"),
-    )
+    return b.select("sample_id", *[e.alias(n) for n, e in f5_columns().items()])
 
 
 # --------------------------------------------------------------------------- J9 + P7
 def assemble_features(samples: DataFrame, orders_fl: DataFrame, lines_v: DataFrame,
                       members_c: DataFrame, cfg: RevivalConfig) -> DataFrame:
-    """Skeleton left-joined with F1..F6 on sample_id -> ids + 57 features."""
+    """Skeleton left-joined with F1..F6 on sample_id -> ids + 57 features.
+
+    Each group is computed once: F1 and F6 come from one history table (one
+    join), F5 is a projection over the joined F1 and F2 columns."""
     hist = history_features(samples, orders_fl, cfg)
-    f1 = f1_history(samples, orders_fl, cfg, hist)
+    modes = hist_modes(samples, orders_fl, {"channel": "hist_main_channel",
+                                            "payment": "hist_main_payment"})
+    rec = [f"recent_{n}d_n_orders" for n in cfg.recent_days]
+    h = hist.select("sample_id", *[c for c in F1_COLS if c not in ("hist_main_channel",
+                                                                    "hist_main_payment")],
+                    *rec, "pre_dormancy_90d_n_orders", "pre_dormancy_90d_amount")
     f2 = f2_t0_order(samples, orders_fl, cfg)
     f3 = f3_products(samples, lines_v, cfg)
     f4 = f4_member(samples, members_c)
-    f5 = f5_interactions(f1, f2)
-    f6 = f6_recent(samples, orders_fl, cfg, hist)
     out = samples.select("sample_id", "label", "split", "member_id", "t0_date", "t0_order_code")
-    for f in (f1, f2, f3, f4, f5, f6):
+    for f in (h, modes, f2, f3, f4):
         out = out.join(f, "sample_id", "left")
+    out = out.withColumns(f5_columns())
     return out.select(*ID_COLS, *FEATURE_COLS)
 
 

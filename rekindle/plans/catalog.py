@@ -73,7 +73,9 @@ class Tables:
         # cut the lineage so every feature branch reads the materialised table
         return cut_lineage(EV.samples(self.orders, self.cfg))
     @cached_property
-    def orders_fl(self): return TL.scan_orders_flagged(self.orders, self.cfg)
+    def orders_fl(self):
+        # stage-2 order table feeds three feature branches: materialise once
+        return cut_lineage(TL.scan_orders_flagged(self.orders, self.cfg))
     @cached_property
     def lines_v(self): return FE.scan_lines_valid(self.lines, self.cfg)
     @cached_property
@@ -259,7 +261,7 @@ def _(t): return FE.f3_products(t.samples, t.lines_v, t.cfg)
 @q("f4_member")
 def _(t): return FE.f4_member(t.samples, t.members_c)
 @q("f5_interactions")
-def _(t): return FE.f5_interactions(t.f1, t.f2)
+def _(t): return t.features.select("sample_id", *FE.F5_COLS)
 @q("f6_recent")
 def _(t): return FE.f6_recent(t.samples, t.orders_fl, t.cfg, t.hist)
 @q("f6_recent_b")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,21 +59,24 @@ def ensure_local_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Cut a long lineage before an iterative consumer (model fitting, several
-    actions on one table).
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Cut a long lineage before several consumers or an iterative one.
 
     With a shared ``spark.checkpoint.dir`` the table is checkpointed reliably
-    there (survives executor loss without recomputation).  Without one, the
-    table is persisted (memory and disk); a lost block is recomputed from its
-    lineage.  No machine-local folder is ever chosen here.
+    into that folder (it survives executor loss without recomputation).  The
+    table is persisted first so the checkpoint is written from the computed
+    blocks instead of computing the plan a second time.  Without a shared
+    folder the table is only persisted (memory and disk) and a lost block is
+    recomputed from its lineage.  No machine-local folder is ever chosen here.
     """
+    from pyspark import StorageLevel
     spark = df.sparkSession
     d = checkpoint_dir(spark)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     if d:
         spark.sparkContext.setCheckpointDir(d)
-        return df.checkpoint(eager=True)
-    from pyspark import StorageLevel
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    return out
+        out = cached.checkpoint(eager=True)
+        cached.unpersist(blocking=False)
+        return out
+    cached.count()
+    return cached
