@@ -55,12 +55,14 @@ def coerce_numeric(df: DataFrame, cols) -> DataFrame:
 
 
 def _scan_csv(spark: SparkSession, path: str, colmap: dict, shop_id=None) -> DataFrame:
-    schema = T.StructType([T.StructField(k, T.StringType()) for k in colmap])
-    raw = spark.read.option("header", True).schema(schema).csv(path)
+    # header names, every column read as text (no inference pass), typed below by name
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     if shop_id is not None:
-        raw = raw.filter(F.col("ShopId") == F.lit(shop_id))       # pushed into the scan
+        raw = raw.filter(F.col("ShopId") == F.lit(str(shop_id)))  # pushed into the scan
     out = []
     for src, dst in colmap.items():
+        if src not in raw.columns:
+            raise ValueError(f"column {src} not in {path}")
         c = F.col(src)
         if dst in TIMESTAMP:
             c = parse_ts(c)

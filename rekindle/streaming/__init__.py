@@ -1,0 +1,6 @@
+"""Streaming operators.
+
+The original study reads every input as a whole file once; it has no
+streaming, state, watermark or late-data semantics.  Nothing is rebuilt
+here — see README "Re-aimed or not built".
+"""
