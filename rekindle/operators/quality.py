@@ -37,25 +37,35 @@ def group_missing_median(missing: DataFrame) -> DataFrame:
     return missing.groupBy("grp").agg(F.median("missing_pct").alias("median_missing_pct"))
 
 
-def feature_quantiles(features: DataFrame, cols: list[str]) -> DataFrame:
+def _quantiles(x, qs: list[float], accuracy: int | None):
+    """Exact interpolated quantiles (default) or ``percentile_approx`` with the
+    given accuracy: the exact buffer holds one entry per distinct value and is
+    merged in one task, the approximate one is bounded by ``accuracy``."""
+    arr = F.array(*[F.lit(q) for q in qs])
+    if accuracy is None:
+        return F.percentile(x, arr)
+    return F.percentile_approx(x, arr, accuracy)
+
+
+def feature_quantiles(features: DataFrame, cols: list[str], accuracy: int | None = None) -> DataFrame:
     """Min / P25 / P50 / P75 / max per numeric feature (NULLs ignored)."""
-    qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        aggs += [F.min(x).alias(f"mn{i}"), F.percentile(x, qs).alias(f"q{i}"), F.max(x).alias(f"mx{i}")]
+        aggs += [F.min(x).alias(f"mn{i}"), _quantiles(x, [0.25, 0.5, 0.75], accuracy).alias(f"q{i}"),
+                 F.max(x).alias(f"mx{i}")]
     a = features.agg(*aggs)
     rows = ", ".join(f"'{c}', mn{i}, q{i}[0], q{i}[1], q{i}[2], mx{i}" for i, c in enumerate(cols))
     return a.select(F.expr(f"stack({len(cols)}, {rows}) as (feature, min, p25, p50, p75, max)"))
 
 
-def extreme_values(features: DataFrame, cols: list[str], cap_limit: float = 20.0) -> DataFrame:
+def extreme_values(features: DataFrame, cols: list[str], cap_limit: float = 20.0,
+                   accuracy: int | None = None) -> DataFrame:
     """P95, P99, max and the suggested cap min(2 * P99, cap_limit)."""
-    qs = F.array(F.lit(0.95), F.lit(0.99))
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        aggs += [F.percentile(x, qs).alias(f"q{i}"), F.max(x).alias(f"mx{i}")]
+        aggs += [_quantiles(x, [0.95, 0.99], accuracy).alias(f"q{i}"), F.max(x).alias(f"mx{i}")]
     a = features.agg(*aggs)
     rows = ", ".join(f"'{c}', q{i}[0], q{i}[1], mx{i}" for i, c in enumerate(cols))
     long = a.select(F.expr(f"stack({len(cols)}, {rows}) as (feature, p95, p99, max)"))

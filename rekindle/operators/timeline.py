@@ -73,15 +73,16 @@ def dedup_orders(df: DataFrame, key: str = "order_code",
     The reference keeps the first row in file order; files have no order in
     Spark, so the kept row is the smallest by ``order_by`` (default
     ``order_ts``) with every remaining column as tie-break — deterministic.
-    Implemented as a ``min_by`` aggregate (map-side combine).
+    Implemented as a ``min`` over one struct (map-side combine).
     """
     cols = df.columns
     ob = [F.col(c) if isinstance(c, str) else c for c in (order_by or ["order_ts"])]
-    rank = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(ob)],
-                    *[F.col(c).alias(f"_c{i}") for i, c in enumerate(cols)])
+    # one struct: ordering fields first, then the row itself -> min() is the
+    # first row by (order_by, all columns) and the row travels once
+    row = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(ob)], *[F.col(c) for c in cols])
     return (df.groupBy(key)
-              .agg(F.min_by(F.struct(*cols), rank).alias("_r"))
-              .select("_r.*"))
+              .agg(F.min(row).alias("_r"))
+              .select(*[F.col(f"_r.{c}").alias(c) for c in cols]))
 
 
 def scan_orders_flagged(orders: DataFrame, cfg: RevivalConfig) -> DataFrame:
