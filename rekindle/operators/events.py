@@ -15,9 +15,10 @@ Scale notes
       (member, day): at most two event rows share such a key, so the output is
       linear in the order rows; the order side is the left side of an inner
       join, which AQE's skew handling can split for a hot (member, day).
-* Sample ids need a global order; it is computed from per-day counts (a
-  table bounded by the number of calendar days, broadcast) plus a
-  ``row_number`` inside each day — never a single-partition window over rows.
+* Sample ids need a global order; it is computed by range partitioning on
+  the full key plus per-partition offsets (a table bounded by the partition
+  count, broadcast) — never a single-partition window over rows, and a hot
+  day is split by member.
 """
 
 from __future__ import annotations
@@ -134,26 +135,41 @@ def embargo_split(events: DataFrame, cfg: RevivalConfig, keep_embargo: bool = Fa
     return out if keep_embargo else out.filter(F.col("split") != "embargo")
 
 
-def assign_sample_ids(samples: DataFrame) -> DataFrame:
+def row_index(df: DataFrame, name: str = "_idx") -> DataFrame:
+    """Dense 0-based index following the partition order, then the row order
+    inside each partition.
+
+    Partition id and in-partition position are computed in one pass and
+    materialised (``cut_lineage``): the counts and the index are then derived
+    from the same fixed table — evaluating ``spark_partition_id()`` twice could
+    disagree (e.g. AQE coalescing a shuffle differently for two readers).
+    Per-partition counts -> prefix offsets (one row per partition, broadcast)."""
+    from ..session import cut_lineage
+    d = cut_lineage(df.withColumn("_pid", F.spark_partition_id())
+                      .withColumn("_mid", F.monotonically_increasing_id()), "row_index")
+    per = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
+    per = per.withColumn("_off", F.coalesce(F.sum("_c").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return (d.join(F.broadcast(per.select("_pid", "_m0", "_off")), "_pid")
+             .withColumn(name, F.col("_off") + F.col("_mid") - F.col("_m0"))
+             .drop("_pid", "_mid", "_m0", "_off"))
+
+
+ID_ORDER = ["t0_date", "member_id", "t0_order_code"]
+
+
+def assign_sample_ids(samples: DataFrame, partitions: int | None = None) -> DataFrame:
     """Dense 0-based ``sample_id`` ordered by (t0_date, member_id,
     t0_order_code).
 
-    Offsets come from per-day counts (bounded by the number of days, so the
-    prefix sum on it and its broadcast are small); inside a day the rank is a
-    ``row_number`` partitioned by day — one member has at most one sample per day.
-    """
-    per_day = samples.groupBy("t0_date").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = per_day.select(
-        "t0_date",
-        (F.sum("_n").over(Window.orderBy("t0_date")
-                          .rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
-    within = F.row_number().over(Window.partitionBy("t0_date")
-                                 .orderBy("member_id", "t0_order_code")) - 1
-    return (samples.withColumn("_i", within)
-                   .join(F.broadcast(offsets), "t0_date")
-                   .withColumn("sample_id", (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_i"))
-                               .cast("long"))
-                   .drop("_i", "_off"))
+    The table is range-partitioned on the whole key — a day holding a third
+    of all samples is split by member across partitions, never gathered in
+    one task — sorted inside each partition, and numbered with per-partition
+    offsets (``row_index``)."""
+    spark = samples.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = samples.repartitionByRange(n, *ID_ORDER).sortWithinPartitions(*ID_ORDER)
+    return row_index(ranged, "sample_id")
 
 
 def samples(orders: DataFrame, cfg: RevivalConfig, with_ids: bool = True) -> DataFrame:
