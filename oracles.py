@@ -28,7 +28,7 @@ DOUBLE_FEATURES = {
 
 
 def R(e: str) -> str:
-    return f"round({e}, 6)"
+    return f"(round({e}, 6) + 0.0)"
 
 
 def sd(n: str, d: str) -> str:
@@ -297,7 +297,8 @@ t0l as (
   from a_samples s join lv l on l.order_code = s.t0_order_code),
 t0a as (
   select sample_id, count(distinct sale_page_id) as t0_n_distinct_salepages,
-         avg(unit_price) as t0_avg_unit_price, min(unit_price) as t0_min_unit_price,
+         cast(sum(cast(unit_price as decimal(38,7))) as double) / count(unit_price) as t0_avg_unit_price,
+         min(unit_price) as t0_min_unit_price,
          max(unit_price) as t0_max_unit_price
   from t0l group by 1),
 fam as (select distinct t.sample_id from t0l t join hl h on h.sample_id = t.sample_id

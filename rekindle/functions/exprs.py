@@ -88,12 +88,20 @@ def fill_unknown(df: DataFrame, cols: Iterable[str], value: str = "unknown") ->
     return df.fillna(value, subset=list(cols))
 
 
+def round_half_away(c: str | Column, digits: int = 6) -> Column:
+    """``round(x * 10^d) / 10^d`` in double arithmetic, half away from zero,
+    and -0.0 normalised to 0.0: the rounding of common SQL engines, so equal
+    doubles round to equal doubles in both (no tie ambiguity)."""
+    scale = float(10 ** digits)
+    return F.round(col(c) * F.lit(scale), 0) / F.lit(scale) + F.lit(0.0)
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column (float sums depend on addition order)."""
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.round(F.col(f.name), digits).alias(f.name))
+            out.append(round_half_away(F.col(f.name), digits).alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)

@@ -316,12 +316,16 @@ def f2_t0_order(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConfig) ->
 
 
 # --------------------------------------------------------------------------- F3
-def _page_firsts(lines_v: DataFrame, include_null: bool) -> DataFrame:
+def _page_day_counts(lines_v: DataFrame) -> DataFrame:
+    """Line rows per (member, page, day), NULL page included (one aggregation)."""
+    return (lines_v.withColumn("dn", _day_num("order_ts"))
+                   .groupBy("member_id", "sale_page_id", "dn")
+                   .agg(F.count(F.lit(1)).alias("c")))
+
+
+def _page_firsts(pdc_all: DataFrame, include_null: bool) -> DataFrame:
     """Per (member, page): first day bought and the day it was bought a second time."""
-    l = lines_v.withColumn("dn", _day_num("order_ts"))
-    if not include_null:
-        l = l.filter(F.col("sale_page_id").isNotNull())
-    pdc = l.groupBy("member_id", "sale_page_id", "dn").agg(F.count(F.lit(1)).alias("c"))
+    pdc = pdc_all if include_null else pdc_all.filter(F.col("sale_page_id").isNotNull())
     w = (Window.partitionBy("member_id", "sale_page_id").orderBy("dn")
                .rowsBetween(Window.unboundedPreceding, 0))
     return (pdc.withColumn("cum", F.sum("c").over(w))
@@ -338,9 +342,9 @@ def f3_products(samples: DataFrame, lines_v: DataFrame, cfg: RevivalConfig) -> D
     t0 pages: the lines of the t0 order (joined on order code only, T18);
     familiarity is an equi-join of (member, page) against the first-seen day
     (NULL pages never match unless ``cfg.null_safe_pages``, T4)."""
-    firsts = _page_firsts(lines_v, include_null=False)
-    line_days = (lines_v.withColumn("dn", _day_num("order_ts"))
-                        .groupBy("member_id", "dn").agg(F.count(F.lit(1)).alias("n_lines")))
+    pdc = _page_day_counts(lines_v)
+    firsts = _page_firsts(pdc, include_null=False)
+    line_days = pdc.groupBy("member_id", "dn").agg(F.sum("c").alias("n_lines"))
     new_pages = (firsts.groupBy("member_id", F.col("first_dn").alias("dn"))
                        .agg(F.count(F.lit(1)).alias("new_pages")))
     new_reps = (firsts.filter(F.col("rep_dn").isNotNull())
@@ -368,10 +372,12 @@ def f3_products(samples: DataFrame, lines_v: DataFrame, cfg: RevivalConfig) -> D
                                        "sale_page_id", "unit_price"), "t0_order_code", "inner"))
     t0_agg = t0l.groupBy("sample_id").agg(
         F.count_distinct("sale_page_id").alias("t0_n_distinct_salepages"),
-        F.avg("unit_price").alias("t0_avg_unit_price"),
+        # exact (DECIMAL) sum: the mean does not depend on the addition order
+        (F.sum(F.col("unit_price").cast(T.DecimalType(38, 7))).cast("double")
+         / F.count("unit_price")).alias("t0_avg_unit_price"),
         F.min("unit_price").alias("t0_min_unit_price"),
         F.max("unit_price").alias("t0_max_unit_price"))
-    fs = _page_firsts(lines_v, include_null=cfg.null_safe_pages) if cfg.null_safe_pages else firsts
+    fs = _page_firsts(pdc, include_null=True) if cfg.null_safe_pages else firsts
     fs = fs.select(F.col("member_id").alias("f_member"), F.col("sale_page_id").alias("f_page"),
                    "first_dn")
     page_eq = (F.col("sale_page_id").eqNullSafe(F.col("f_page")) if cfg.null_safe_pages

@@ -51,8 +51,7 @@ def valid_definitions(orders: DataFrame, cfg: RevivalConfig) -> DataFrame:
     )
     long = agg.select("total", F.expr(
         "stack(3, 'excl_fail', a, 'excl_fail_amount_pos', b, 'finish_only', c) as (definition, n)"))
-    return long.select("definition", "n",
-                       F.round(F.col("n") * 100.0 / F.col("total"), 6).alias("pct"))
+    return long.select("definition", "n", (F.col("n") * 100.0 / F.col("total")).alias("pct"))
 
 
 def order_flags(orders: DataFrame, cfg: RevivalConfig) -> DataFrame:

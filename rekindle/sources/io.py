@@ -116,8 +116,16 @@ def write_split_features(features: DataFrame, path: str, mode: str = "overwrite"
 
 def scan_features(spark: SparkSession, path: str, fmt: str = "parquet") -> tuple[DataFrame, list[str]]:
     """Read a feature table and derive the feature column list (ids excluded)."""
-    df = (spark.read.parquet(path) if fmt == "parquet"
-          else spark.read.option("header", True).option("inferSchema", True).csv(path))
+    if fmt == "parquet":
+        df = spark.read.parquet(path)
+    else:
+        # typed by the known feature list: no schema-inference pass over the data
+        from ..operators.features import CATEGORICAL_COLS
+        raw = spark.read.option("header", True).csv(path)
+        ints = {"sample_id": "long", "label": "int"}
+        df = raw.select(*[F.col(c).try_cast(ints.get(c, "double")).alias(c)
+                          if c in ints or (c not in ID_COLS and c not in CATEGORICAL_COLS)
+                          else F.col(c) for c in raw.columns])
     cols = [c for c in df.columns if c not in ID_COLS]
     assert not [c for c in cols if c in ID_COLS]
     return df, cols
