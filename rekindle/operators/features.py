@@ -323,73 +323,79 @@ def _page_day_counts(lines_v: DataFrame) -> DataFrame:
                    .agg(F.count(F.lit(1)).alias("c")))
 
 
-def _page_firsts(pdc_all: DataFrame, include_null: bool) -> DataFrame:
-    """Per (member, page): first day bought and the day it was bought a second time."""
-    pdc = pdc_all if include_null else pdc_all.filter(F.col("sale_page_id").isNotNull())
-    w = (Window.partitionBy("member_id", "sale_page_id").orderBy("dn")
-               .rowsBetween(Window.unboundedPreceding, 0))
-    return (pdc.withColumn("cum", F.sum("c").over(w))
-               .groupBy("member_id", "sale_page_id")
-               .agg(F.min("dn").alias("first_dn"),
-                    F.min(F.when(F.col("cum") >= 2, F.col("dn"))).alias("rep_dn")))
-
-
 def f3_products(samples: DataFrame, lines_v: DataFrame, cfg: RevivalConfig) -> DataFrame:
     """product behaviour from order lines -> sample_id + 7.
 
-    History pages: distinct pages and the share bought more than once (T15),
-    as cumulative counts of 'first seen' and 'second purchase' day events.
+    History pages: distinct pages and the share bought more than once (T15).
     t0 pages: the lines of the t0 order (joined on order code only, T18);
-    familiarity is an equi-join of (member, page) against the first-seen day
-    (NULL pages never match unless ``cfg.null_safe_pages``, T4)."""
-    pdc = _page_day_counts(lines_v)
-    firsts = _page_firsts(pdc, include_null=False)
-    line_days = pdc.groupBy("member_id", "dn").agg(F.sum("c").alias("n_lines"))
-    new_pages = (firsts.groupBy("member_id", F.col("first_dn").alias("dn"))
-                       .agg(F.count(F.lit(1)).alias("new_pages")))
-    new_reps = (firsts.filter(F.col("rep_dn").isNotNull())
-                      .groupBy("member_id", F.col("rep_dn").alias("dn"))
-                      .agg(F.count(F.lit(1)).alias("new_reps")))
-    smp = samples.select("sample_id", "member_id", F.unix_date("t0_date").alias("dn"))
-    u = (line_days.unionByName(new_pages, allowMissingColumns=True)
-                  .unionByName(new_reps, allowMissingColumns=True)
-                  .withColumn("kind", F.lit(1))
-                  .unionByName(smp.withColumn("kind", F.lit(0)), allowMissingColumns=True))
+    familiar = one of them was bought by the member on an earlier day (NULL
+    pages never match unless ``cfg.null_safe_pages``, T4).
+
+    One pass over the lines: per (member, page, day) counts and the t0 lines
+    (pre-aggregated per sample and page) share one window per (member, page)
+    ordered by day, t0 rows first on their day, so the count strictly before
+    a row says whether the page was seen before (familiarity on t0 rows, the
+    'first seen' / 'second purchase' day events on day rows).  One aggregate
+    per (member, day, sample) then feeds the member timeline, whose
+    cumulative frame gives the history counts as of each t0."""
+    pdc = (_page_day_counts(lines_v)
+           .select("member_id", "sale_page_id", "dn", "c",
+                   F.lit(1).alias("kind"), F.lit(None).cast("long").alias("sample_id")))
+    t0p = (samples.select("sample_id", "member_id", "t0_date", "t0_order_code")
+                  .join(lines_v.select(F.col("order_code").alias("t0_order_code"),
+                                       "sale_page_id", "unit_price"), "t0_order_code", "inner")
+                  .groupBy("sample_id", "member_id", F.unix_date("t0_date").alias("dn"),
+                           "sale_page_id")
+                  .agg(F.count(F.lit(1)).alias("t_n"),
+                       # exact (DECIMAL) sum: the mean does not depend on the addition order
+                       F.sum(F.col("unit_price").cast(T.DecimalType(38, 7))).alias("t_sum"),
+                       F.count("unit_price").alias("t_cnt"),
+                       F.min("unit_price").alias("t_min"),
+                       F.max("unit_price").alias("t_max"))
+                  .withColumn("kind", F.lit(0)))
+    page_w = (Window.partitionBy("member_id", "sale_page_id").orderBy("dn", "kind")
+                    .rowsBetween(Window.unboundedPreceding, -1))
+    prior = F.coalesce(F.sum("c").over(page_w), F.lit(0))
+    pw = pdc.unionByName(t0p, allowMissingColumns=True).withColumn("prior", prior)
+
+    smp = samples.select("sample_id", "member_id", F.unix_date("t0_date").alias("dn"),
+                         F.lit(0).alias("kind"))
+    day_row = F.col("kind") == 1
+    page = F.col("sale_page_id").isNotNull()
+    t0_row = F.col("t_n").isNotNull()
+    fam_page = page if not cfg.null_safe_pages else F.lit(True)
+    per = (pw.unionByName(smp, allowMissingColumns=True)
+             .groupBy("member_id", "dn", "sample_id")
+             .agg(F.sum("c").alias("n_lines"),
+                  F.count_if(day_row & page & (F.col("prior") == 0)).alias("new_pages"),
+                  F.count_if(day_row & page & (F.col("prior") < 2)
+                             & (F.col("prior") + F.col("c") >= 2)).alias("new_reps"),
+                  F.sum("t_n").alias("t_n"),
+                  F.count_if(t0_row & page).alias("t_pages"),
+                  F.sum("t_sum").alias("t_sum"),
+                  F.sum("t_cnt").alias("t_cnt"),
+                  F.min("t_min").alias("t_min"),
+                  F.max("t_max").alias("t_max"),
+                  F.max(t0_row & fam_page & (F.col("prior") > 0)).alias("t_fam"))
+             .withColumn("kind", F.when(F.col("sample_id").isNull(), 1).otherwise(0)))
     before = (Window.partitionBy("member_id").orderBy("dn", "kind")
                     .rowsBetween(Window.unboundedPreceding, -1))
-    hist = (u.withColumns({"_lines": F.sum("n_lines").over(before),
-                           "_pages": F.sum("new_pages").over(before),
-                           "_reps": F.sum("new_reps").over(before)})
-              .filter(F.col("kind") == 0)
-              .select("sample_id",
-                      F.when(F.col("_lines") > 0, F.coalesce(F.col("_pages"), F.lit(0)))
-                       .cast("long").alias("hist_distinct_salepages"),
-                      safe_div(F.coalesce(F.col("_reps"), F.lit(0)), "_pages")
-                       .alias("hist_repeat_sku_ratio")))
-
-    t0l = (samples.select("sample_id", "member_id", "t0_date", "t0_order_code")
-                  .join(lines_v.select(F.col("order_code").alias("t0_order_code"),
-                                       "sale_page_id", "unit_price"), "t0_order_code", "inner"))
-    t0_agg = t0l.groupBy("sample_id").agg(
-        F.count_distinct("sale_page_id").alias("t0_n_distinct_salepages"),
-        # exact (DECIMAL) sum: the mean does not depend on the addition order
-        (F.sum(F.col("unit_price").cast(T.DecimalType(38, 7))).cast("double")
-         / F.count("unit_price")).alias("t0_avg_unit_price"),
-        F.min("unit_price").alias("t0_min_unit_price"),
-        F.max("unit_price").alias("t0_max_unit_price"))
-    fs = _page_firsts(pdc, include_null=True) if cfg.null_safe_pages else firsts
-    fs = fs.select(F.col("member_id").alias("f_member"), F.col("sale_page_id").alias("f_page"),
-                   "first_dn")
-    page_eq = (F.col("sale_page_id").eqNullSafe(F.col("f_page")) if cfg.null_safe_pages
-               else F.col("sale_page_id") == F.col("f_page"))
-    fam = (t0l.join(fs, (F.col("member_id") == F.col("f_member")) & page_eq
-                    & (F.col("first_dn") < F.unix_date("t0_date")), "left_semi")
-              .select("sample_id").distinct().withColumn("_fam", F.lit(1)))
-    t0f = (t0_agg.join(fam, "sample_id", "left")
-                 .withColumn("t0_buys_familiar_product", F.coalesce("_fam", F.lit(0)))
-                 .drop("_fam"))
-    return (samples.select("sample_id").join(hist, "sample_id", "left")
-                   .join(t0f, "sample_id", "left").select("sample_id", *F3_COLS))
+    has_t0 = F.coalesce(F.col("t_n"), F.lit(0)) > 0
+    return (per.withColumns({"_lines": F.sum("n_lines").over(before),
+                             "_pages": F.sum("new_pages").over(before),
+                             "_reps": F.sum("new_reps").over(before)})
+               .filter(F.col("kind") == 0)
+               .select("sample_id",
+                       F.when(F.col("_lines") > 0, F.coalesce(F.col("_pages"), F.lit(0)))
+                        .cast("long").alias("hist_distinct_salepages"),
+                       safe_div(F.coalesce(F.col("_reps"), F.lit(0)), "_pages")
+                        .alias("hist_repeat_sku_ratio"),
+                       F.when(has_t0, F.col("t_pages")).alias("t0_n_distinct_salepages"),
+                       F.when(has_t0, flag(F.col("t_fam"))).alias("t0_buys_familiar_product"),
+                       F.when(has_t0, F.col("t_sum").cast("double") / F.col("t_cnt"))
+                        .alias("t0_avg_unit_price"),
+                       F.col("t_min").alias("t0_min_unit_price"),
+                       F.col("t_max").alias("t0_max_unit_price")))
 
 
 # --------------------------------------------------------------------------- F4
