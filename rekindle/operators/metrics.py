@@ -253,8 +253,11 @@ def direction(df: DataFrame, cols: list[str], target: str = "score", min_rows: i
 def topk(df: DataFrame, value: str, k: int, by_abs: bool = False, name: str = "feature") -> DataFrame:
     """Top-k rows by value (or |value|) with their rank (ties by name)."""
     key = F.abs(F.col(value)) if by_abs else F.col(value)
-    w = Window.orderBy(key.desc_nulls_last(), F.col(name))
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    order = [key.desc_nulls_last(), F.col(name)]
+    # distributed top-k (each partition keeps its k best, then one merge of
+    # k x partitions rows); the rank window then runs over k rows only
+    top = df.orderBy(*order).limit(k)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
 def topk_overlap(a: DataFrame, b: DataFrame, k: int = 10, name: str = "feature") -> DataFrame:

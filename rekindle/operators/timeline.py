@@ -201,11 +201,16 @@ def _long(row_df: DataFrame, metrics: list[str]) -> DataFrame:
 def value_share(df: DataFrame, col: str) -> DataFrame:
     """A1: value counts with share and rank -> value, n, pct, rank.
 
-    The rank window runs over the already aggregated (distinct-value) table."""
+    The rank is a dense index over the aggregated table range-partitioned on
+    (n desc, value), so a high-cardinality column is never ranked in one task."""
+    from .events import row_index
     total = df.select(F.count(F.lit(1))).scalar()
     g = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    return g.select("value", "n", (F.col("n") * 100.0 / total).alias("pct"),
-                    F.row_number().over(Window.orderBy(F.desc("n"), F.asc("value"))).alias("rank"))
+    order = [F.desc("n"), F.asc_nulls_first("value")]
+    n_part = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = row_index(g.repartitionByRange(n_part, *order).sortWithinPartitions(*order), "_i")
+    return ranked.select("value", "n", (F.col("n") * 100.0 / total).alias("pct"),
+                         (F.col("_i") + 1).cast("int").alias("rank"))
 
 
 def table_overview(df: DataFrame, ts_col: str = "order_ts") -> DataFrame:
