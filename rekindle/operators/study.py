@@ -230,7 +230,9 @@ def histogram(df: DataFrame, col: str, bins: int, kind: str = "linear",
         g = g.withColumn("_lo", F.lit(float(lo)))
     if hi is not None:
         g = g.withColumn("_hi", F.lit(float(hi)))
-    j = d.join(F.broadcast(g), keys) if keys else d.withColumns(
+    # one edge row per group: no broadcast hint, the planner (AQE: measured
+    # size against the broadcast threshold) broadcasts it only when it is small
+    j = d.join(g, keys) if keys else d.withColumns(
         {"_lo": F.lit(lo) if lo is not None else d.select(F.min(x)).scalar(),
          "_hi": F.lit(hi) if hi is not None else d.select(F.max(x)).scalar()})
     if kind == "log":
