@@ -30,3 +30,33 @@ def test_filter_and_columns_pushed_to_scan(spark):
     p = plan(df)
     assert "EqualTo(o_orderpriority,1-URGENT)" in p
     assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz,o_orderpriority:string>" in p
+
+
+def test_f3_reads_lines_twice_at_most(spark):
+    """F3 is one pass over the lines (page-day counts) plus the t0-lines join;
+    the (member, page, day) aggregation is never recomputed per branch."""
+    import re
+    o = A.orders_a(spark, SF)
+    s = EV.samples(o, ADAPTER_A).cache()
+    f3 = FE.f3_products(s, FE.scan_lines_valid(A.lines_a(spark, SF), ADAPTER_A), ADAPTER_A)
+    p = plan(f3)
+    assert len(re.findall(r"FileScan parquet [^\[]*\[l_orderkey", p)) <= 2
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    s.unpersist()
+
+
+def test_value_share_and_topk_have_no_single_partition_window(spark):
+    import re
+    from rekindle.operators import metrics as M
+    o = A.orders_a(spark, SF)
+    vs = TL.value_share(o, "member_id")
+    p = plan(vs.select("value", "rank"))
+    # the only single-partition step is the per-partition offset table
+    assert "row_number()" not in p
+    for m in re.finditer(r"Exchange SinglePartition[^\n]*\n[^\n]*", p):
+        assert "keys=[_pid" in m.group(0)
+    top = M.topk(o.select(o.member_id.cast("string").alias("feature"), "sales_amount"),
+                 "sales_amount", 5)
+    p = plan(top)
+    assert "TakeOrderedAndProject" in p
+    assert top.count() == 5 and [r.rank for r in top.orderBy("rank").collect()] == [1, 2, 3, 4, 5]
