@@ -172,16 +172,35 @@ def assign_sample_ids(samples: DataFrame, partitions: int | None = None) -> Data
     return row_index(ranged, "sample_id")
 
 
-def samples(orders: DataFrame, cfg: RevivalConfig, with_ids: bool = True) -> DataFrame:
-    """R2 -> R10 as one lazy plan: raw canonical orders -> labelled sample skeleton."""
+def samples(orders: DataFrame, cfg: RevivalConfig, with_ids: bool = True,
+            materialize: bool = True) -> DataFrame:
+    """R2 -> R10: raw canonical orders -> labelled sample skeleton.
+
+    The label rule reads the event table and the de-duplicated orders three
+    times each (inner-day counts, the t0 code's own row, the boundary days),
+    and Catalyst prunes each branch differently, so no exchange is reused.
+    With ``materialize`` both inputs are cut once (events: one row per
+    revival; label orders: three narrow columns), so the event chain and the
+    de-duplication shuffle run once instead of once per consumer.  Without
+    it the result is one lazy plan."""
+    from ..session import cut_lineage
     from .timeline import valid_purchases
     valid = valid_purchases(orders, cfg)
     events = revival_events(gaps_with_threshold(valid, cfg))
-    labelled = revival_labels(events, unique_orders(valid, LABEL_COLS), cfg.window_days)
+    orders1 = unique_orders(valid, LABEL_COLS)
+    if materialize:
+        events = cut_lineage(events, "events")
+        orders1 = cut_lineage(orders1, "label_orders")
+    labelled = revival_labels(events, orders1, cfg.window_days)
     out = embargo_split(censor(labelled, cfg.censor_cutoff), cfg)
     if not with_ids:
         return out
-    return assign_sample_ids(out).select(*SAMPLE_COLS, "t0_order_ts")
+    out = assign_sample_ids(out).select(*SAMPLE_COLS, "t0_order_ts")
+    if materialize:
+        # the id table is materialised by row_index: the inputs may go
+        events.unpersist(blocking=False)
+        orders1.unpersist(blocking=False)
+    return out
 
 
 # --------------------------------------------------------------------------- A17-A20, J11
