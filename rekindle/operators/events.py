@@ -172,25 +172,31 @@ def assign_sample_ids(samples: DataFrame, partitions: int | None = None) -> Data
     return row_index(ranged, "sample_id")
 
 
-def samples(orders: DataFrame, cfg: RevivalConfig, with_ids: bool = True,
-            materialize: bool = True) -> DataFrame:
-    """R2 -> R10: raw canonical orders -> labelled sample skeleton.
-
-    The label rule reads the event table and the de-duplicated orders three
-    times each (inner-day counts, the t0 code's own row, the boundary days),
-    and Catalyst prunes each branch differently, so no exchange is reused.
-    With ``materialize`` both inputs are cut once (events: one row per
-    revival; label orders: three narrow columns), so the event chain and the
-    de-duplication shuffle run once instead of once per consumer.  Without
-    it the result is one lazy plan."""
+def label_inputs(valid: DataFrame, cfg: RevivalConfig,
+                 materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The two inputs of the label rule: revival events and the R3-1 orders.
+
+    The label rule reads each of them three times (inner-day counts, the t0
+    code's own row, the boundary days), and Catalyst prunes each branch
+    differently, so no exchange is reused.  With ``materialize`` both are cut
+    once (events: one row per revival; label orders: three narrow columns),
+    so the event chain and the de-duplication shuffle run once instead of
+    once per consumer.  Without it both stay lazy."""
     from ..session import cut_lineage
-    from .timeline import valid_purchases
-    valid = valid_purchases(orders, cfg)
     events = revival_events(gaps_with_threshold(valid, cfg))
     orders1 = unique_orders(valid, LABEL_COLS)
     if materialize:
         events = cut_lineage(events, "events")
         orders1 = cut_lineage(orders1, "label_orders")
+    return events, orders1
+
+
+def samples(orders: DataFrame, cfg: RevivalConfig, with_ids: bool = True,
+            materialize: bool = True) -> DataFrame:
+    """R2 -> R10: raw canonical orders -> labelled sample skeleton
+    (``materialize``: see :func:`label_inputs`)."""
+    from .timeline import valid_purchases
+    events, orders1 = label_inputs(valid_purchases(orders, cfg), cfg, materialize)
     labelled = revival_labels(events, orders1, cfg.window_days)
     out = embargo_split(censor(labelled, cfg.censor_cutoff), cfg)
     if not with_ids:
@@ -248,21 +254,21 @@ def union_splits(*dfs: DataFrame) -> DataFrame:
     return out
 
 
-def funnel(orders: DataFrame, cfg: RevivalConfig) -> DataFrame:
+def funnel(orders: DataFrame, cfg: RevivalConfig, materialize: bool = True) -> DataFrame:
     """Step counts raw -> valid -> unique -> member-days -> gaps -> events
-    -> kept -> train/test, as (step, value) rows in one job."""
+    -> kept -> train/test, as (step, value) rows in one job (label inputs
+    materialised once, see :func:`label_inputs`)."""
     from .timeline import member_days, purchase_gaps, valid_purchases
     valid = valid_purchases(orders, cfg)
     days = member_days(valid, cfg)
-    gthr = gaps_with_threshold(valid, cfg)
-    events = revival_events(gthr)
-    labelled = revival_labels(events, unique_orders(valid, LABEL_COLS), cfg.window_days)
+    events, orders1 = label_inputs(valid, cfg, materialize)
+    labelled = revival_labels(events, orders1, cfg.window_days)
     keep = (F.col("t0_date") <= F.lit(cfg.censor_cutoff)) if cfg.censor_cutoff else F.lit(True)
     sp = split_label(cfg)
     parts = [
         orders.agg(F.count(F.lit(1)).alias("v")).select(F.lit("raw_rows").alias("step"), "v"),
         valid.agg(F.count(F.lit(1)).alias("v")).select(F.lit("valid_rows").alias("step"), "v"),
-        unique_orders(valid, LABEL_COLS).agg(F.count(F.lit(1)).alias("v"))
+        orders1.agg(F.count(F.lit(1)).alias("v"))
                             .select(F.lit("unique_orders").alias("step"), "v"),
         days.agg(F.count(F.lit(1)).alias("v")).select(F.lit("member_days").alias("step"), "v"),
         purchase_gaps(days).agg(F.count(F.lit(1)).alias("v")).select(F.lit("gaps").alias("step"), "v"),
