@@ -37,14 +37,66 @@ def group_missing_median(missing: DataFrame) -> DataFrame:
     return missing.groupBy("grp").agg(F.median("missing_pct").alias("median_missing_pct"))
 
 
-def _quantiles(x, qs: list[float], accuracy: int | None):
-    """Exact interpolated quantiles (default) or ``percentile_approx`` with the
-    given accuracy: the exact buffer holds one entry per distinct value and is
-    merged in one task, the approximate one is bounded by ``accuracy``."""
-    arr = F.array(*[F.lit(q) for q in qs])
+def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(feature, x double) rows of the non-NULL values of ``cols``."""
+    pairs = ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols)
+    return (df.select(F.expr(f"stack({len(cols)}, {pairs}) as (feature, x)"))
+              .filter(F.col("x").isNotNull()))
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float]) -> DataFrame:
+    """Exact interpolated quantiles (numpy 'linear', as ``percentile``) of
+    every column -> feature, q, value; a column without values gets none.
+
+    Distributed: the (feature, value) rows are range-partitioned and sorted
+    on (feature, x) — a column, or one value holding a third of the rows, is
+    split across partitions — and numbered densely with per-partition
+    offsets (``row_index``).  Per feature the first index and the count (one
+    row per feature) give the two ranks around q·(n-1); those rows (at most
+    2 per feature and quantile, a proven bound: broadcast) are fetched by
+    index and interpolated.  No column is gathered in one task, unlike the
+    ``percentile`` aggregate whose buffer holds every distinct value."""
+    from .events import row_index
+    spark = df.sparkSession
+    n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = ["feature", "x"]
+    ranked = row_index(_long_values(df, cols).repartitionByRange(n_part, *order)
+                       .sortWithinPartitions(*order), "_i")
+    per = ranked.groupBy("feature").agg(F.min("_i").alias("_off"), F.count(F.lit(1)).alias("_n"))
+    qarr = F.array(*[F.lit(float(q)) for q in qs])
+    t = (per.select("feature", "_off", "_n", F.explode(qarr).alias("q"))
+            .withColumn("_pos", F.col("q") * (F.col("_n") - 1))
+            .withColumn("_lo", F.floor("_pos").cast("long"))
+            .withColumn("_hi", F.ceil("_pos").cast("long")))
+    ends = t.select("feature", "q", F.explode(F.array(
+        F.struct(F.lit("lo").alias("end"), (F.col("_off") + F.col("_lo")).alias("_i")),
+        F.struct(F.lit("hi").alias("end"), (F.col("_off") + F.col("_hi")).alias("_i")))).alias("e"))
+    ends = ends.select("feature", "q", "e.end", "e._i")
+    got = ranked.join(F.broadcast(ends), ["feature", "_i"]).groupBy("feature", "q").agg(
+        F.max(F.when(F.col("end") == "lo", F.col("x"))).alias("_xlo"),
+        F.max(F.when(F.col("end") == "hi", F.col("x"))).alias("_xhi"))
+    d = F.col("_pos") - F.col("_lo")
+    val = F.when(F.col("_hi") == F.col("_lo"), F.col("_xlo")) \
+           .otherwise((F.lit(1.0) - d) * F.col("_xlo") + d * F.col("_xhi"))
+    return t.join(got, ["feature", "q"]).select("feature", "q", val.alias("value"))
+
+
+def _quantile_table(df: DataFrame, cols: list[str], qs: list[float], names: list[str],
+                    accuracy: int | None) -> DataFrame:
+    """feature + one column per quantile; exact (distributed) by default,
+    ``percentile_approx`` with ``accuracy`` (one bounded pass) on request."""
+    base = df.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
     if accuracy is None:
-        return F.percentile(x, arr)
-    return F.percentile_approx(x, arr, accuracy)
+        qv = exact_quantiles(df, cols, qs)
+        wide = qv.groupBy("feature").agg(*[
+            F.max(F.when(F.col("q") == F.lit(float(q)), F.col("value"))).alias(n)
+            for q, n in zip(qs, names)])
+    else:
+        arr = F.array(*[F.lit(q) for q in qs])
+        p = F.percentile_approx("x", arr, accuracy)
+        wide = _long_values(df, cols).groupBy("feature").agg(p.alias("_p")).select(
+            "feature", *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
+    return base.join(wide, "feature", "left")
 
 
 def feature_quantiles(features: DataFrame, cols: list[str], accuracy: int | None = None) -> DataFrame:
@@ -52,23 +104,22 @@ def feature_quantiles(features: DataFrame, cols: list[str], accuracy: int | None
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        aggs += [F.min(x).alias(f"mn{i}"), _quantiles(x, [0.25, 0.5, 0.75], accuracy).alias(f"q{i}"),
-                 F.max(x).alias(f"mx{i}")]
+        aggs += [F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}")]
     a = features.agg(*aggs)
-    rows = ", ".join(f"'{c}', mn{i}, q{i}[0], q{i}[1], q{i}[2], mx{i}" for i, c in enumerate(cols))
-    return a.select(F.expr(f"stack({len(cols)}, {rows}) as (feature, min, p25, p50, p75, max)"))
+    rows = ", ".join(f"'{c}', mn{i}, mx{i}" for i, c in enumerate(cols))
+    ext = a.select(F.expr(f"stack({len(cols)}, {rows}) as (feature, min, max)"))
+    q = _quantile_table(features, cols, [0.25, 0.5, 0.75], ["p25", "p50", "p75"], accuracy)
+    return ext.join(q, "feature").select("feature", "min", "p25", "p50", "p75", "max")
 
 
 def extreme_values(features: DataFrame, cols: list[str], cap_limit: float = 20.0,
                    accuracy: int | None = None) -> DataFrame:
     """P95, P99, max and the suggested cap min(2 * P99, cap_limit)."""
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [_quantiles(x, [0.95, 0.99], accuracy).alias(f"q{i}"), F.max(x).alias(f"mx{i}")]
-    a = features.agg(*aggs)
-    rows = ", ".join(f"'{c}', q{i}[0], q{i}[1], mx{i}" for i, c in enumerate(cols))
-    long = a.select(F.expr(f"stack({len(cols)}, {rows}) as (feature, p95, p99, max)"))
+    a = features.agg(*[F.max(F.col(c).cast("double")).alias(f"mx{i}") for i, c in enumerate(cols)])
+    rows = ", ".join(f"'{c}', mx{i}" for i, c in enumerate(cols))
+    mx = a.select(F.expr(f"stack({len(cols)}, {rows}) as (feature, max)"))
+    q = _quantile_table(features, cols, [0.95, 0.99], ["p95", "p99"], accuracy)
+    long = mx.join(q, "feature").select("feature", "p95", "p99", "max")
     return long.withColumn("cap", F.least(F.col("p99") * 2, F.lit(cap_limit)))
 
 
