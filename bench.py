@@ -40,7 +40,6 @@ def main() -> None:
     from rekindle.operators import events as EV
     from rekindle.operators import metrics as M
     from rekindle.operators import model as MD
-    from rekindle.operators import study as ST
     from rekindle.sources import adapters as A
 
     cfg = ADAPTER_A
@@ -62,10 +61,10 @@ def main() -> None:
             samples, orders, A.lines_a(spark, d), A.members_a(spark, d), cfg))
 
         def study():
-            g = ST.study_gaps(orders, cfg)
-            run(ST.threshold_sweep(g, cfg))
-            run(ST.window_sweep(g, cfg))
-            run(ST.k_m_grid(g, cfg))
+            # entry D: the gap table is materialised once, the sweeps read it
+            st = PL.parameter_study(orders, cfg)
+            for k in ("threshold_sweep", "window_sweep", "k_m_grid"):
+                run(st[k])
         timed("study", study)
         timed("metrics", lambda: run(M.metric_table(A.scored_fixture(spark, d))))
 
