@@ -91,7 +91,8 @@ def scan_members(members: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- F1 + F6
-def _history_timeline(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConfig) -> DataFrame:
+def _history_timeline(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConfig,
+                      with_samples: bool = True) -> DataFrame:
     """Member-day aggregates of the flagged orders, unioned with the sample rows."""
     valid = F.col("is_valid") == 1
     ts = F.col("order_ts")
@@ -117,17 +118,25 @@ def _history_timeline(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConf
            .withColumn("kind", F.lit(1))
            .withColumn("sample_id", F.lit(None).cast("long"))
            .withColumn("t0_date", F.lit(None).cast("date")))
+    if not with_samples:
+        return day
     smp = (samples.select("sample_id", "member_id", "t0_date")
                   .withColumn("dn", F.unix_date("t0_date"))
                   .withColumn("kind", F.lit(0)))
     return day.unionByName(smp, allowMissingColumns=True)
 
 
-def history_features(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConfig) -> DataFrame:
-    """F1 (without the two modes) + F6 + leakage audit columns, per sample."""
-    u = _history_timeline(samples, orders_fl, cfg)
-    base = Window.partitionBy("member_id").orderBy("dn", "kind")
-    before = base.rowsBetween(Window.unboundedPreceding, -1)
+def _before():
+    """Member timeline frame: every earlier row (sample rows sort first on their day)."""
+    return (Window.partitionBy("member_id").orderBy("dn", "kind")
+                  .rowsBetween(Window.unboundedPreceding, -1))
+
+
+def _history_window(u: DataFrame, cfg: RevivalConfig) -> DataFrame:
+    """F1/F6 window columns over a member timeline (day rows kind 1 carrying
+    the ``v_*`` day aggregates, sample rows kind 0); rows of other kinds of
+    day events may be present, their ``v_*`` columns are NULL and ignored."""
+    before = _before()
     by_day = Window.partitionBy("member_id").orderBy("dn")
 
     def rng(lo, hi):
@@ -175,8 +184,11 @@ def history_features(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConfi
         "_last_pre_n": F.last("_pre_n", True).over(before),
         "_last_pre_amt": F.last("_pre_amt", True).over(before),
     }
-    s = u.withColumns({**cum, **rec}).filter(F.col("kind") == 0)
+    return u.withColumns({**cum, **rec})
+
 
+def _history_outputs(cfg: RevivalConfig) -> list[Column]:
+    """F1 (without the two modes) + F6 + ``max_hist_ts`` over the window columns."""
     has = F.coalesce(F.col("_n"), F.lit(0)) > 0
     t0 = F.col("t0_date")
     sleep = F.when(has, floor_days(t0, "_max_ts"))
@@ -184,8 +196,8 @@ def history_features(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConfi
     ci = F.when(has & two, F.col("_ci"))
     std = F.when(has & two, F.col("_std"))
     zero_d = F.lit(0).cast(DEC)
-    out = s.select(
-        "sample_id",
+    rec = [f"recent_{n}d_n_orders" for n in cfg.recent_days]
+    return [
         sleep.alias("sleep_days"),
         F.when(has, F.col("_n")).cast("long").alias("hist_n_orders"),
         F.when(has, F.col("_amt")).cast("double").alias("hist_total_amount"),
@@ -208,8 +220,13 @@ def history_features(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConfi
         F.coalesce(F.col("_last_pre_n"), F.lit(0)).cast("int").alias("pre_dormancy_90d_n_orders"),
         F.coalesce(F.col("_last_pre_amt"), zero_d).cast("double").alias("pre_dormancy_90d_amount"),
         F.col("_max_ts").alias("max_hist_ts"),
-    )
-    return out
+    ]
+
+
+def history_features(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConfig) -> DataFrame:
+    """F1 (without the two modes) + F6 + leakage audit columns, per sample."""
+    u = _history_window(_history_timeline(samples, orders_fl, cfg), cfg)
+    return u.filter(F.col("kind") == 0).select("sample_id", *_history_outputs(cfg))
 
 
 def hist_modes(samples: DataFrame, orders_fl: DataFrame, cols: dict[str, str]) -> DataFrame:
@@ -323,8 +340,9 @@ def _page_day_counts(lines_v: DataFrame) -> DataFrame:
                    .agg(F.count(F.lit(1)).alias("c")))
 
 
-def f3_products(samples: DataFrame, lines_v: DataFrame, cfg: RevivalConfig) -> DataFrame:
-    """product behaviour from order lines -> sample_id + 7.
+def _f3_timeline(samples: DataFrame, lines_v: DataFrame, cfg: RevivalConfig) -> DataFrame:
+    """F3 rows of the member timeline: one day row per (member, day) with the
+    line count and the page events, one row per sample with its t0 lines.
 
     History pages: distinct pages and the share bought more than once (T15).
     t0 pages: the lines of the t0 order (joined on order code only, T18);
@@ -337,7 +355,9 @@ def f3_products(samples: DataFrame, lines_v: DataFrame, cfg: RevivalConfig) -> D
     a row says whether the page was seen before (familiarity on t0 rows, the
     'first seen' / 'second purchase' day events on day rows).  One aggregate
     per (member, day, sample) then feeds the member timeline, whose
-    cumulative frame gives the history counts as of each t0."""
+    cumulative frame gives the history counts as of each t0 (evaluated by
+    :func:`f3_products` alone, or together with F1/F6 in
+    :func:`assemble_features`)."""
     pdc = (_page_day_counts(lines_v)
            .select("member_id", "sale_page_id", "dn", "c",
                    F.lit(1).alias("kind"), F.lit(None).cast("long").alias("sample_id")))
@@ -358,8 +378,8 @@ def f3_products(samples: DataFrame, lines_v: DataFrame, cfg: RevivalConfig) -> D
     prior = F.coalesce(F.sum("c").over(page_w), F.lit(0))
     pw = pdc.unionByName(t0p, allowMissingColumns=True).withColumn("prior", prior)
 
-    smp = samples.select("sample_id", "member_id", F.unix_date("t0_date").alias("dn"),
-                         F.lit(0).alias("kind"))
+    smp = samples.select("sample_id", "member_id", "t0_date",
+                         F.unix_date("t0_date").alias("dn"), F.lit(0).alias("kind"))
     day_row = F.col("kind") == 1
     page = F.col("sale_page_id").isNotNull()
     t0_row = F.col("t_n").isNotNull()
@@ -376,26 +396,37 @@ def f3_products(samples: DataFrame, lines_v: DataFrame, cfg: RevivalConfig) -> D
                   F.sum("t_cnt").alias("t_cnt"),
                   F.min("t_min").alias("t_min"),
                   F.max("t_max").alias("t_max"),
-                  F.max(t0_row & fam_page & (F.col("prior") > 0)).alias("t_fam"))
+                  F.max(t0_row & fam_page & (F.col("prior") > 0)).alias("t_fam"),
+                  F.max("t0_date").alias("t0_date"))
              .withColumn("kind", F.when(F.col("sample_id").isNull(), 1).otherwise(0)))
-    before = (Window.partitionBy("member_id").orderBy("dn", "kind")
-                    .rowsBetween(Window.unboundedPreceding, -1))
+    return per
+
+
+def _f3_window() -> dict[str, Column]:
+    b = _before()
+    return {"_lines": F.sum("n_lines").over(b), "_pages": F.sum("new_pages").over(b),
+            "_reps": F.sum("new_reps").over(b)}
+
+
+def _f3_outputs() -> list[Column]:
     has_t0 = F.coalesce(F.col("t_n"), F.lit(0)) > 0
-    return (per.withColumns({"_lines": F.sum("n_lines").over(before),
-                             "_pages": F.sum("new_pages").over(before),
-                             "_reps": F.sum("new_reps").over(before)})
-               .filter(F.col("kind") == 0)
-               .select("sample_id",
-                       F.when(F.col("_lines") > 0, F.coalesce(F.col("_pages"), F.lit(0)))
-                        .cast("long").alias("hist_distinct_salepages"),
-                       safe_div(F.coalesce(F.col("_reps"), F.lit(0)), "_pages")
-                        .alias("hist_repeat_sku_ratio"),
-                       F.when(has_t0, F.col("t_pages")).alias("t0_n_distinct_salepages"),
-                       F.when(has_t0, flag(F.col("t_fam"))).alias("t0_buys_familiar_product"),
-                       F.when(has_t0, F.col("t_sum").cast("double") / F.col("t_cnt"))
-                        .alias("t0_avg_unit_price"),
-                       F.col("t_min").alias("t0_min_unit_price"),
-                       F.col("t_max").alias("t0_max_unit_price")))
+    return [F.when(F.col("_lines") > 0, F.coalesce(F.col("_pages"), F.lit(0)))
+             .cast("long").alias("hist_distinct_salepages"),
+            safe_div(F.coalesce(F.col("_reps"), F.lit(0)), "_pages")
+             .alias("hist_repeat_sku_ratio"),
+            F.when(has_t0, F.col("t_pages")).alias("t0_n_distinct_salepages"),
+            F.when(has_t0, flag(F.col("t_fam"))).alias("t0_buys_familiar_product"),
+            F.when(has_t0, F.col("t_sum").cast("double") / F.col("t_cnt"))
+             .alias("t0_avg_unit_price"),
+            F.col("t_min").alias("t0_min_unit_price"),
+            F.col("t_max").alias("t0_max_unit_price")]
+
+
+def f3_products(samples: DataFrame, lines_v: DataFrame, cfg: RevivalConfig) -> DataFrame:
+    """product behaviour from order lines -> sample_id + 7 (see
+    :func:`_f3_timeline`)."""
+    return (_f3_timeline(samples, lines_v, cfg).withColumns(_f3_window())
+            .filter(F.col("kind") == 0).select("sample_id", *_f3_outputs()))
 
 
 # --------------------------------------------------------------------------- F4
@@ -450,20 +481,25 @@ def assemble_features(samples: DataFrame, orders_fl: DataFrame, lines_v: DataFra
                       members_c: DataFrame, cfg: RevivalConfig) -> DataFrame:
     """Skeleton left-joined with F1..F6 on sample_id -> ids + 57 features.
 
-    Each group is computed once: F1 and F6 come from one history table (one
-    join), F5 is a projection over the joined F1 and F2 columns."""
-    hist = history_features(samples, orders_fl, cfg)
+    Each group is computed once.  F1/F6 and F3 share one member timeline:
+    the order day rows, the line day rows and one row per sample (carrying
+    its t0 lines) are unioned and every cumulative column comes from one
+    window pass per member (one shuffle and sort, one join); F5 is a
+    projection over the joined F1 and F2 columns."""
+    u = _history_timeline(samples, orders_fl, cfg, with_samples=False).unionByName(
+        _f3_timeline(samples, lines_v, cfg), allowMissingColumns=True)
+    hist = (_history_window(u, cfg).withColumns(_f3_window()).filter(F.col("kind") == 0)
+            .select("sample_id", *_history_outputs(cfg), *_f3_outputs()))
     modes = hist_modes(samples, orders_fl, {"channel": "hist_main_channel",
                                             "payment": "hist_main_payment"})
     rec = [f"recent_{n}d_n_orders" for n in cfg.recent_days]
     h = hist.select("sample_id", *[c for c in F1_COLS if c not in ("hist_main_channel",
                                                                     "hist_main_payment")],
-                    *rec, "pre_dormancy_90d_n_orders", "pre_dormancy_90d_amount")
+                    *rec, "pre_dormancy_90d_n_orders", "pre_dormancy_90d_amount", *F3_COLS)
     f2 = f2_t0_order(samples, orders_fl, cfg)
-    f3 = f3_products(samples, lines_v, cfg)
     f4 = f4_member(samples, members_c)
     out = samples.select("sample_id", "label", "split", "member_id", "t0_date", "t0_order_code")
-    for f in (h, modes, f2, f3, f4):
+    for f in (h, modes, f2, f4):
         out = out.join(f, "sample_id", "left")
     out = out.withColumns(f5_columns())
     return out.select(*ID_COLS, *FEATURE_COLS)
