@@ -132,9 +132,13 @@ def scan_features(spark: SparkSession, path: str, fmt: str = "parquet") -> tuple
 
 
 def write_metric_tables(tables: dict[str, DataFrame], folder: str, mode: str = "overwrite") -> None:
-    """K3: small metric tables -> one CSV file each (coalesce(1) on a few rows)."""
+    """K3: metric tables -> one CSV folder each.
+
+    No ``coalesce(1)``: an aggregate arrives in one or a few partitions anyway
+    (AQE coalesces small shuffles), and a large table passed here (e.g. the
+    scored rows) is not funnelled through a single task."""
     for name, df in tables.items():
-        df.coalesce(1).write.mode(mode).option("header", True).csv(f"{folder.rstrip('/')}/{name}")
+        df.write.mode(mode).option("header", True).csv(f"{folder.rstrip('/')}/{name}")
 
 
 __all__ = ["FEATURE_COLS", "coerce_numeric", "parse_ts", "scan_features", "scan_lines",
