@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # intermediate lineage cuts (events, label orders) are removed from the
+    # shared checkpoint folder once their tables are garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.driver.memory": "16g",
 }
 
