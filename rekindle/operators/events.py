@@ -44,13 +44,25 @@ def revival_events(gaps_thr: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- R7 / J2
-def revival_labels(events: DataFrame, orders1: DataFrame, window_days: int) -> DataFrame:
+def revival_labels(events: DataFrame, orders1: DataFrame, window_days: int,
+                   same_source: bool = False) -> DataFrame:
     """label = 1 iff an order of the member with another order code has
     ``t0_ts < order_ts <= t0_ts + window_days`` (timestamp exact, T10).
 
     ``orders1`` are the R3-1 orders (valid, one row per code).
+
+    ``same_source``: the events and ``orders1`` come from the same valid-order
+    table (as in :func:`samples`).  ``orders1`` then holds the *earliest* row
+    of each code, so the row of the t0 code is at or before t0_ts: it can
+    never fall in the window, and "another code" needs no check.  The two
+    boundary days reduce to day aggregates read by ``RANGE`` frames on the
+    member-day timeline (day t0: latest order after t0_ts; day t0 + W:
+    earliest order at or before t0_ts + W) — one aggregation and one window,
+    no join with the orders.
     """
     W = int(window_days)
+    if same_source and W >= 1:
+        return _labels_same_source(events, orders1, W)
     o = orders1.select("member_id", "order_code", "order_ts",
                        F.to_date("order_ts").alias("day"))
     ev = events.select(*EVENT_COLS)
@@ -101,6 +113,25 @@ def revival_labels(events: DataFrame, orders1: DataFrame, window_days: int) -> D
     return out.select(*EVENT_COLS, label.alias("label"))
 
 
+def _labels_same_source(events: DataFrame, orders1: DataFrame, W: int) -> DataFrame:
+    od = (orders1.groupBy("member_id", F.unix_date(F.to_date("order_ts")).alias("dn"))
+                 .agg(F.count(F.lit(1)).alias("n"), F.min("order_ts").alias("min_ts"),
+                      F.max("order_ts").alias("max_ts"))
+                 .withColumn("kind", F.lit(1)))
+    ev = events.select(*EVENT_COLS, F.unix_date("t0_date").alias("dn"), F.lit(0).alias("kind"))
+    u = od.unionByName(ev, allowMissingColumns=True)
+    by_day = Window.partitionBy("member_id").orderBy("dn")
+    inner = (F.coalesce(F.sum("n").over(by_day.rangeBetween(1, W - 1)), F.lit(0)) if W >= 2
+             else F.lit(0))
+    first_day = F.max("max_ts").over(by_day.rangeBetween(0, 0))
+    last_day = F.min("min_ts").over(by_day.rangeBetween(W, W))
+    end_ts = F.col("t0_order_ts") + F.expr(f"INTERVAL {W} DAYS")
+    label = ((inner > 0) | F.coalesce(first_day > F.col("t0_order_ts"), F.lit(False))
+             | F.coalesce(last_day <= end_ts, F.lit(False))).cast("int")
+    return (u.withColumn("label", label).filter(F.col("kind") == 0)
+             .select(*EVENT_COLS, "label"))
+
+
 # --------------------------------------------------------------------------- R8-R10
 def censor(events: DataFrame, cutoff: dt.date | None) -> DataFrame:
     """Keep t0_date <= cutoff (inclusive, T14)."""
@@ -173,15 +204,11 @@ def assign_sample_ids(samples: DataFrame, partitions: int | None = None) -> Data
 
 
 def label_inputs(valid: DataFrame, cfg: RevivalConfig,
-                 materialize: bool = True) -> tuple[DataFrame, DataFrame]:
-    """The two inputs of the label rule: revival events and the R3-1 orders.
-
-    The label rule reads each of them three times (inner-day counts, the t0
-    code's own row, the boundary days), and Catalyst prunes each branch
-    differently, so no exchange is reused.  With ``materialize`` both are cut
-    once (events: one row per revival; label orders: three narrow columns),
-    so the event chain and the de-duplication shuffle run once instead of
-    once per consumer.  Without it both stay lazy."""
+                 materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The two inputs of the label rule, from one valid-order table: revival
+    events and the R3-1 orders (so ``revival_labels(..., same_source=True)``
+    applies).  ``materialize`` cuts both once, for callers that read them
+    several times (the funnel counts the orders as well)."""
     from ..session import cut_lineage
     events = revival_events(gaps_with_threshold(valid, cfg))
     orders1 = unique_orders(valid, LABEL_COLS)
@@ -191,22 +218,19 @@ def label_inputs(valid: DataFrame, cfg: RevivalConfig,
     return events, orders1
 
 
-def samples(orders: DataFrame, cfg: RevivalConfig, with_ids: bool = True,
-            materialize: bool = True) -> DataFrame:
-    """R2 -> R10: raw canonical orders -> labelled sample skeleton
-    (``materialize``: see :func:`label_inputs`)."""
+def samples(orders: DataFrame, cfg: RevivalConfig, with_ids: bool = True) -> DataFrame:
+    """R2 -> R10: raw canonical orders -> labelled sample skeleton.
+
+    Events and label orders come from the same valid table, so the label rule
+    is one aggregation and one window (``same_source``); each input is read
+    once and nothing is materialised before the sample ids."""
     from .timeline import valid_purchases
-    events, orders1 = label_inputs(valid_purchases(orders, cfg), cfg, materialize)
-    labelled = revival_labels(events, orders1, cfg.window_days)
+    events, orders1 = label_inputs(valid_purchases(orders, cfg), cfg)
+    labelled = revival_labels(events, orders1, cfg.window_days, same_source=True)
     out = embargo_split(censor(labelled, cfg.censor_cutoff), cfg)
     if not with_ids:
         return out
-    out = assign_sample_ids(out).select(*SAMPLE_COLS, "t0_order_ts")
-    if materialize:
-        # the id table is materialised by row_index: the inputs may go
-        events.unpersist(blocking=False)
-        orders1.unpersist(blocking=False)
-    return out
+    return assign_sample_ids(out).select(*SAMPLE_COLS, "t0_order_ts")
 
 
 # --------------------------------------------------------------------------- A17-A20, J11
@@ -262,7 +286,7 @@ def funnel(orders: DataFrame, cfg: RevivalConfig, materialize: bool = True) -> D
     valid = valid_purchases(orders, cfg)
     days = member_days(valid, cfg)
     events, orders1 = label_inputs(valid, cfg, materialize)
-    labelled = revival_labels(events, orders1, cfg.window_days)
+    labelled = revival_labels(events, orders1, cfg.window_days, same_source=True)
     keep = (F.col("t0_date") <= F.lit(cfg.censor_cutoff)) if cfg.censor_cutoff else F.lit(True)
     sp = split_label(cfg)
     parts = [
