@@ -229,42 +229,49 @@ def history_features(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConfi
     return u.filter(F.col("kind") == 0).select("sample_id", *_history_outputs(cfg))
 
 
-def hist_modes(samples: DataFrame, orders_fl: DataFrame, cols: dict[str, str]) -> DataFrame:
-    """Most frequent value of each column in ``cols`` ({col: out_col})
-    among the valid history orders of each sample (count desc, value asc on
-    ties; 'unknown' if none) -> sample_id + out columns.
-
-    All columns in one pass: the (column, value) pairs are stacked, counted
-    per (member, column, value, day), and cumulative counts run per
-    (member, column, value) over the member-day timeline.  Sample rows are
-    replicated once per distinct (column, value) the member ever used — a
-    categorical domain, not order volume."""
+def _mode_rows(orders_fl: DataFrame, cols: dict[str, str]) -> DataFrame:
+    """Day rows of the member timeline for the history modes: for each value
+    of each column whose running count k (valid orders, per member) grows on
+    a day, a key ``struct(-k, value)`` in that column's slot ``_mk_i``."""
     names = list(cols)
     pairs = ", ".join(f"'{c}', cast(`{c}` as string)" for c in names)
     cd = (orders_fl.filter(F.col("is_valid") == 1)
                    .select("member_id", _day_num("order_ts").alias("dn"),
                            F.expr(f"stack({len(names)}, {pairs}) as (col, v)"))
                    .groupBy("member_id", "col", "v", "dn")
-                   .agg(F.count(F.lit(1)).alias("c"))
-                   .withColumn("kind", F.lit(1))
-                   .withColumn("sample_id", F.lit(None).cast("long")))
-    vals = cd.select("member_id", "col", "v").distinct()
-    sx = (samples.select("sample_id", "member_id", F.unix_date("t0_date").alias("dn"))
-                 .join(vals, "member_id")
-                 .withColumn("kind", F.lit(0))
-                 .withColumn("c", F.lit(None).cast("long")))
-    u = cd.unionByName(sx)
-    w = (Window.partitionBy("member_id", "col", "v").orderBy("dn", "kind")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    counted = (u.withColumn("cum", F.sum("c").over(w))
-                .filter((F.col("kind") == 0) & (F.col("cum") > 0)))
-    best = counted.groupBy("sample_id").agg(*[
-        F.min_by(F.when(F.col("col") == c, F.col("v")),
-                 F.when(F.col("col") == c, F.struct((-F.col("cum")).alias("nc"), F.col("v").alias("vv"))))
-         .alias(o) for c, o in cols.items()])
-    outs = list(cols.values())
-    return (samples.select("sample_id").join(best, "sample_id", "left")
-                   .fillna("unknown", subset=outs))
+                   .agg(F.count(F.lit(1)).alias("c")))
+    run = (Window.partitionBy("member_id", "col", "v").orderBy("dn")
+                 .rowsBetween(Window.unboundedPreceding, 0))
+    key = F.struct((-F.sum("c").over(run)).alias("nk"), F.col("v").alias("v"))
+    return cd.select("member_id", "dn", F.lit(1).alias("kind"),
+                     *[F.when(F.col("col") == c, key).alias(f"_mk_{i}") for i, c in enumerate(names)])
+
+
+def _mode_window(cols: dict[str, str]) -> dict[str, Column]:
+    b = _before()
+    return {f"_m_{i}": F.min(f"_mk_{i}").over(b) for i in range(len(cols))}
+
+
+def _mode_outputs(cols: dict[str, str]) -> list[Column]:
+    return [F.coalesce(F.col(f"_m_{i}").getField("v"), F.lit("unknown")).alias(o)
+            for i, o in enumerate(cols.values())]
+
+
+def hist_modes(samples: DataFrame, orders_fl: DataFrame, cols: dict[str, str]) -> DataFrame:
+    """Most frequent value of each column in ``cols`` ({col: out_col})
+    among the valid history orders of each sample (count desc, value asc on
+    ties; 'unknown' if none) -> sample_id + out columns.
+
+    Running counts only grow, so the mode before t0 is the smallest
+    ``struct(-k, value)`` over every "value reached count k" day event
+    before t0: a running ``min`` on the member timeline.  Per-value running
+    counts come from one window per (member, column, value) over its days;
+    samples are not replicated per value."""
+    smp = samples.select("sample_id", "member_id", F.unix_date("t0_date").alias("dn"),
+                         F.lit(0).alias("kind"))
+    u = _mode_rows(orders_fl, cols).unionByName(smp, allowMissingColumns=True)
+    return (u.withColumns(_mode_window(cols)).filter(F.col("kind") == 0)
+             .select("sample_id", *_mode_outputs(cols)))
 
 
 def hist_mode(samples: DataFrame, orders_fl: DataFrame, col: str, out_col: str) -> DataFrame:
@@ -481,25 +488,25 @@ def assemble_features(samples: DataFrame, orders_fl: DataFrame, lines_v: DataFra
                       members_c: DataFrame, cfg: RevivalConfig) -> DataFrame:
     """Skeleton left-joined with F1..F6 on sample_id -> ids + 57 features.
 
-    Each group is computed once.  F1/F6 and F3 share one member timeline:
-    the order day rows, the line day rows and one row per sample (carrying
-    its t0 lines) are unioned and every cumulative column comes from one
-    window pass per member (one shuffle and sort, one join); F5 is a
-    projection over the joined F1 and F2 columns."""
-    u = _history_timeline(samples, orders_fl, cfg, with_samples=False).unionByName(
-        _f3_timeline(samples, lines_v, cfg), allowMissingColumns=True)
-    hist = (_history_window(u, cfg).withColumns(_f3_window()).filter(F.col("kind") == 0)
-            .select("sample_id", *_history_outputs(cfg), *_f3_outputs()))
-    modes = hist_modes(samples, orders_fl, {"channel": "hist_main_channel",
-                                            "payment": "hist_main_payment"})
+    Each group is computed once.  F1 (modes included), F3 and F6 share one
+    member timeline: the order day rows, the mode key rows, the line day rows
+    and one row per sample (carrying its t0 lines) are unioned and every
+    cumulative column comes from one window pass per member (one shuffle and
+    sort, one join); F5 is a projection over the joined F1 and F2 columns."""
+    modes = {"channel": "hist_main_channel", "payment": "hist_main_payment"}
+    u = (_history_timeline(samples, orders_fl, cfg, with_samples=False)
+         .unionByName(_mode_rows(orders_fl, modes), allowMissingColumns=True)
+         .unionByName(_f3_timeline(samples, lines_v, cfg), allowMissingColumns=True))
+    hist = (_history_window(u, cfg).withColumns({**_f3_window(), **_mode_window(modes)})
+            .filter(F.col("kind") == 0)
+            .select("sample_id", *_history_outputs(cfg), *_f3_outputs(), *_mode_outputs(modes)))
     rec = [f"recent_{n}d_n_orders" for n in cfg.recent_days]
-    h = hist.select("sample_id", *[c for c in F1_COLS if c not in ("hist_main_channel",
-                                                                    "hist_main_payment")],
-                    *rec, "pre_dormancy_90d_n_orders", "pre_dormancy_90d_amount", *F3_COLS)
+    h = hist.select("sample_id", *F1_COLS, *rec, "pre_dormancy_90d_n_orders",
+                    "pre_dormancy_90d_amount", *F3_COLS)
     f2 = f2_t0_order(samples, orders_fl, cfg)
     f4 = f4_member(samples, members_c)
     out = samples.select("sample_id", "label", "split", "member_id", "t0_date", "t0_order_code")
-    for f in (h, modes, f2, f4):
+    for f in (h, f2, f4):
         out = out.join(f, "sample_id", "left")
     out = out.withColumns(f5_columns())
     return out.select(*ID_COLS, *FEATURE_COLS)
