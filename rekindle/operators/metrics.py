@@ -7,13 +7,19 @@ single-partition window over rows:
 
 1. aggregate to distinct (split, score) with positive / total counts
    (partial aggregation; a score shared by a third of all rows is one row);
-2. map each score to an *order-preserving* bucket ``floor(score * B)``
-   (scores are probabilities in [0, 1]; values outside are clamped to the end
-   buckets, which keeps the order);
+2. range-partition the distinct scores on (split, score) into B partitions and
+   take the partition id as an *order-preserving* bucket — the bounds are
+   sampled quantiles, so however the scores cluster no bucket holds more than
+   about 1/B of them (a fixed-width ``floor(score * B)`` bucket can hold a
+   third of all distinct scores when a model's outputs are concentrated).
+   The bucketed table is materialised once, so every reader sees the same
+   bucket of a score;
 3. totals per (split, bucket) form a table bounded by splits x B, whose prefix
    sums are broadcast back;
 4. inside a bucket, a window ordered by score adds the local prefix.
 
+Rows without a score are not ranked.
+
 Formulas: AUC = (sum over positives of the tie-averaged rank - P(P+1)/2) / (P N);
 AP = sum over distinct scores, descending, of (delta recall) x precision
 (the step sum of scikit-learn, T19).
@@ -26,19 +32,20 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import safe_div
 
-BUCKETS = 4096
+BUCKETS = None   # default: spark.sql.shuffle.partitions range buckets
 
 
-def score_prefix(scored: DataFrame, by: str = "split", buckets: int = BUCKETS) -> DataFrame:
+def score_prefix(scored: DataFrame, by: str = "split", buckets: int | None = BUCKETS) -> DataFrame:
     """Per (by, distinct score): cnt, pos, rows strictly below (below_cnt,
     below_pos) and the split totals (tot_cnt, tot_pos)."""
+    from ..session import cut_lineage
     keys = [by] if by else []
-    d = (scored.groupBy(*keys, "score")
+    d = (scored.filter(F.col("score").isNotNull()).groupBy(*keys, "score")
                .agg(F.count(F.lit(1)).alias("cnt"),
                     F.sum(F.col("label").cast("long")).alias("pos")))
-    b = F.least(F.greatest(F.floor(F.col("score") * buckets), F.lit(0)),
-                F.lit(buckets - 1)).cast("int")
-    d = d.withColumn("bucket", b)
+    n = buckets or int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = cut_lineage(d.repartitionByRange(n, *keys, "score")
+                     .withColumn("bucket", F.spark_partition_id()), "score_buckets")
     bt = d.groupBy(*keys, "bucket").agg(F.sum("cnt").alias("b_cnt"), F.sum("pos").alias("b_pos"))
     wb = Window.partitionBy(*keys).orderBy("bucket")
     bt = bt.select(*keys, "bucket",
@@ -48,7 +55,8 @@ def score_prefix(scored: DataFrame, by: str = "split", buckets: int = BUCKETS) -
                               F.lit(0)).alias("off_pos"),
                    F.sum("b_cnt").over(Window.partitionBy(*keys)).alias("tot_cnt"),
                    F.sum("b_pos").over(Window.partitionBy(*keys)).alias("tot_pos"))
-    # bt has at most (#splits x buckets) rows: a proven bound, safe to broadcast
+    # bt has at most (#splits x buckets) rows, buckets being a partition
+    # count: a proven bound, safe to broadcast
     j = d.join(F.broadcast(bt), [*keys, "bucket"])
     wi = Window.partitionBy(*keys, "bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     return j.select(*keys, "score", "cnt", "pos", "tot_cnt", "tot_pos",
@@ -56,7 +64,7 @@ def score_prefix(scored: DataFrame, by: str = "split", buckets: int = BUCKETS) -
                     (F.col("off_pos") + F.coalesce(F.sum("pos").over(wi), F.lit(0))).alias("below_pos"))
 
 
-def auc_ap(scored: DataFrame, by: str = "split", buckets: int = BUCKETS) -> DataFrame:
+def auc_ap(scored: DataFrame, by: str = "split", buckets: int | None = BUCKETS) -> DataFrame:
     """M4 + M5 from one prefix table -> by, auc_roc, average_precision."""
     p = score_prefix(scored, by, buckets)
     keys = [by] if by else []

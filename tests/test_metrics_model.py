@@ -29,6 +29,28 @@ def test_auc_ap_match_brute_force_with_ties(spark):
     assert abs(got.auc_roc - auc) < 1e-12 and abs(got.average_precision - ap) < 1e-12
 
 
+def test_auc_ap_with_clustered_scores_keep_buckets_small(spark):
+    """A third of the rows have distinct scores packed into one 1/4096-wide
+    interval: results equal brute force and no range bucket is hot."""
+    from pyspark.sql import functions as F
+    rnd = random.Random(11)
+    rows = []
+    for i in range(900):
+        s = 0.6 + i * 1e-8 if i % 3 == 0 else round(rnd.random(), 3)
+        rows.append((s, 1 if rnd.random() < (0.3 + 0.5 * s) else 0))
+    df = spark.createDataFrame([(s, y, "t") for s, y in rows], "score double, label int, split string")
+    got = M.auc_ap(df, buckets=16).first()
+    auc, ap = brute_auc_ap(rows)
+    assert abs(got.auc_roc - auc) < 1e-12 and abs(got.average_precision - ap) < 1e-12
+    sizes = [r[0] for r in M.score_prefix(df, buckets=16).groupBy("tot_cnt").count()
+             .select("count").collect()]
+    assert sum(sizes) == len({s for s, _ in rows})
+    per_bucket = (df.groupBy("split", "score").count()
+                    .repartitionByRange(16, "split", "score")
+                    .groupBy(F.spark_partition_id()).count().collect())
+    assert max(r[1] for r in per_bucket) < len({s for s, _ in rows}) / 4
+
+
 def test_scored_fixture_reference_values(spark):
     from conftest import SF
     from rekindle.sources import adapters as A
