@@ -281,11 +281,19 @@ def union_splits(*dfs: DataFrame) -> DataFrame:
 def funnel(orders: DataFrame, cfg: RevivalConfig, materialize: bool = True) -> DataFrame:
     """Step counts raw -> valid -> unique -> member-days -> gaps -> events
     -> kept -> train/test, as (step, value) rows in one job (label inputs
-    materialised once, see :func:`label_inputs`)."""
-    from .timeline import member_days, purchase_gaps, valid_purchases
+    materialised once: the member-day table feeds the day count, the gap
+    count and the event chain; the label orders feed their count and the
+    label rule)."""
+    from ..session import cut_lineage
+    from .timeline import add_threshold, dynamic_ci, member_days, purchase_gaps, valid_purchases
     valid = valid_purchases(orders, cfg)
     days = member_days(valid, cfg)
-    events, orders1 = label_inputs(valid, cfg, materialize)
+    orders1 = unique_orders(valid, LABEL_COLS)
+    if materialize:
+        days = cut_lineage(days, "member_days")
+        orders1 = cut_lineage(orders1, "label_orders")
+    # same chain as gaps_with_threshold(valid), read from the materialised days
+    events = revival_events(add_threshold(dynamic_ci(purchase_gaps(days), cfg.fallback_ci), cfg))
     labelled = revival_labels(events, orders1, cfg.window_days, same_source=True)
     keep = (F.col("t0_date") <= F.lit(cfg.censor_cutoff)) if cfg.censor_cutoff else F.lit(True)
     sp = split_label(cfg)
