@@ -60,3 +60,14 @@ def test_value_share_and_topk_have_no_single_partition_window(spark):
     p = plan(top)
     assert "TakeOrderedAndProject" in p
     assert top.count() == 5 and [r.rank for r in top.orderBy("rank").collect()] == [1, 2, 3, 4, 5]
+
+
+def test_sample_plan_has_no_join(spark):
+    """R2-R9 from one valid table: the label rule is an aggregation and a
+    window on the member-day timeline, so the lazy sample plan joins nothing
+    and reads the orders twice (event chain, label orders)."""
+    import re
+    s = EV.samples(A.orders_a(spark, SF), ADAPTER_A, with_ids=False)
+    p = plan(s)
+    assert "Join" not in p
+    assert len(re.findall(r"FileScan parquet [^\[]*\[o_orderkey", p)) <= 2
