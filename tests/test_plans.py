@@ -71,3 +71,17 @@ def test_sample_plan_has_no_join(spark):
     p = plan(s)
     assert "Join" not in p
     assert len(re.findall(r"FileScan parquet [^\[]*\[o_orderkey", p)) <= 2
+
+
+def test_feature_timeline_is_one_member_window_pass(spark):
+    """F1 (modes included), F3 and F6 share one member timeline: every Window
+    partitioned by member alone runs over the same shuffled input."""
+    import re
+    o = A.orders_a(spark, SF)
+    s = EV.samples(o, ADAPTER_A).cache()
+    f = FE.assemble_features(s, TL.scan_orders_flagged(o, ADAPTER_A),
+                             FE.scan_lines_valid(A.lines_a(spark, SF), ADAPTER_A),
+                             FE.scan_members(A.members_a(spark, SF)), ADAPTER_A)
+    specs = re.findall(r"Window \[.*?\], \[(member_id#\d+L)\], \[", plan(f))
+    assert len(specs) >= 3 and len(set(specs)) == 1
+    s.unpersist()
