@@ -483,6 +483,9 @@ def build() -> dict[str, str]:
     Q["revival_events_b"] = C + " select * from b_events"
     Q["revival_labels"] = C + " select member_id, t0_date, t0_order_code, t0_order_ts, label from a_labelled"
     Q["revival_labels_b"] = C + " select member_id, t0_date, t0_order_code, t0_order_ts, label from b_labelled"
+    # the general (join) label path answers the same question
+    Q["revival_labels_join"] = Q["revival_labels"]
+    Q["revival_labels_join_b"] = Q["revival_labels_b"]
     Q["semi_reduce"] = C + """ select member_id, order_code, sale_page_id, unit_price from lv
         where member_id in (select member_id from a_samples)"""
     Q["t0_order_lookup"] = C + """ select s.sample_id, s.t0_order_code, round(o.sales_amount, 6) as sales_amount, o.ts_count, o.channel

@@ -59,14 +59,15 @@ class Tables:
     def events(self): return EV.revival_events(self.gthr)
     @cached_property
     def events_b(self): return EV.revival_events(self.gthr_b)
+    # events and label orders come from one valid table: the join-free label path
     @cached_property
     def labelled(self):
         return EV.revival_labels(self.events, TL.unique_orders(self.valid, TL.LABEL_COLS),
-                                 self.cfg.window_days)
+                                 self.cfg.window_days, same_source=True)
     @cached_property
     def labelled_b(self):
         return EV.revival_labels(self.events_b, TL.unique_orders(self.valid_b, TL.LABEL_COLS),
-                                 self.cfg_b.window_days)
+                                 self.cfg_b.window_days, same_source=True)
     @cached_property
     def samples(self):
         # process boundary of the original pipeline (sample table written once):
@@ -182,6 +183,12 @@ def _(t): return t.events_b
 def _(t): return t.labelled
 @q("revival_labels_b")
 def _(t): return t.labelled_b
+@q("revival_labels_join")
+def _(t): return EV.revival_labels(t.events, TL.unique_orders(t.valid, TL.LABEL_COLS),
+                                   t.cfg.window_days)
+@q("revival_labels_join_b")
+def _(t): return EV.revival_labels(t.events_b, TL.unique_orders(t.valid_b, TL.LABEL_COLS),
+                                   t.cfg_b.window_days)
 @q("semi_reduce")
 def _(t): return t.lines_v.join(t.samples.select("member_id"), "member_id", "left_semi").select(
     "member_id", "order_code", "sale_page_id", "unit_price")
