@@ -208,7 +208,7 @@ def label_inputs(valid: DataFrame, cfg: RevivalConfig,
     """The two inputs of the label rule, from one valid-order table: revival
     events and the R3-1 orders (so ``revival_labels(..., same_source=True)``
     applies).  ``materialize`` cuts both once, for callers that read them
-    several times (the funnel counts the orders as well)."""
+    several times."""
     from ..session import cut_lineage
     events = revival_events(gaps_with_threshold(valid, cfg))
     orders1 = unique_orders(valid, LABEL_COLS)
