@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rekindle.llm import mixing, sharding
+from rekindle.llm import mixing, quality, sharding
 from rekindle.llm.common import table
 
 
@@ -17,9 +17,10 @@ def _docs(fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str],
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_mix_sources": _docs(mixing.op3_query),
+        "op4_adaptive_rules": _docs(quality.op4_query),
         "op5_stratified_shards": _docs(sharding.op5_query),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_sources": mixing.ORACLE}
+    return {"op3_mix_sources": mixing.ORACLE, "op4_adaptive_rules": quality.ORACLE}
