@@ -15,6 +15,15 @@ from rekindle.session import checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of text that an Arrow batch to a Python worker holds at most (or one longer text).
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BATCH_BYTES`` instead of 64 MB: texts are long, and each task holds a few copies of a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -19,11 +19,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.window import Window
 
 from rekindle.llm import words as W
-from rekindle.llm.common import null_safe, written
+from rekindle.llm.common import null_safe, small_batches, written
 
 ACCURACY = 0.01
 GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
@@ -56,7 +57,7 @@ RULES = (
 )
 
 
-@arrow_udf("struct<" + ",".join(f"{c}:bigint" for c in COUNTS) + ">")
+@arrow_udf(T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))
 def measures(texts: pa.Array) -> pa.Array:
     found = {c: np.zeros(len(texts), np.int64) for c in COUNTS}
     for p in W.parts(texts):
@@ -161,6 +162,7 @@ def judge(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", so
     """
     keep = [c for c in (keep_columns or docs.columns) if c != "_quality"]
     narrow = text_col not in keep
+    small_batches(docs.sparkSession)
     src = docs.select(*dict.fromkeys([*keep, lang_col, source_col, text_col]))
     measured = src.withColumn("_quality", measures(F.col(text_col)))
     if narrow:
