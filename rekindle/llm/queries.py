@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rekindle.llm import mixing, quality, sharding
+from rekindle.llm import fingerprints, mixing, quality, sharding
 from rekindle.llm.common import table
 
 
@@ -16,6 +16,7 @@ def _docs(fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str],
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_syncmers": _docs(fingerprints.op1_query),
         "op3_mix_sources": _docs(mixing.op3_query),
         "op4_adaptive_rules": _docs(quality.op4_query),
         "op5_stratified_shards": _docs(sharding.op5_query),
