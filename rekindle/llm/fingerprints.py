@@ -70,7 +70,9 @@ def spliced_anchors(own: Column, data: Column, cut: Column, new_tail: Column) ->
     def put(from_: Column) -> Column:
         joint = F.concat(F.substring(data, F.lit(1) + from_, cut - from_), new_tail)
         kept = F.filter(own, lambda a: a.bitwiseAND(F.lit(0xFFFFFFFF)) + K <= cut)
-        return F.concat(kept, F.transform(anchors(joint), lambda a: a + from_))
+        new = bind(joint, lambda b: F.when(F.length(b) >= K, _long_anchors(b))
+                   .otherwise(F.array().cast("array<bigint>")))
+        return F.concat(kept, F.transform(new, lambda a: a + from_))
     whole = F.length(new_tail) + cut
     return F.when(whole < K, anchors(F.concat(F.substring(data, F.lit(1), cut), new_tail))) \
         .otherwise(bind(F.greatest(cut - (K - 1), F.lit(0)), put))
