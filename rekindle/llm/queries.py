@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rekindle.llm import fingerprints, mixing, quality, sharding
+from rekindle.llm import fingerprints, mixing, ngram_join, quality, sharding
 from rekindle.llm.common import table
 
 
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_mix_sources": _docs(mixing.op3_query),
         "op4_adaptive_rules": _docs(quality.op4_query),
         "op5_stratified_shards": _docs(sharding.op5_query),
+        "op6_gram_jaccard": _docs(ngram_join.op6_query),
     }
 
 
