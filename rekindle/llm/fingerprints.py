@@ -156,9 +156,10 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                       .alias("b")).first()["b"] or []
     bounds = sorted(set(bounds)) if ranges > 1 else []
     ranged = rows.withColumn("rng", _range_of(F.col("id"), bounds)).withColumn("edge", F.lit(False))
-    # first document of each range: smallest id first, then its smallest text (ids may repeat)
+    # first document of each range: smallest id first, then its smallest text (ids may repeat);
+    # sqrt(rows) ids, so they are broadcast
     least = ranged.groupBy("rng").agg(F.min(F.struct("id")).alias("m")).select(F.col("m.id").alias("m_id"))
-    firsts = (ranged.join(least, F.col("id").eqNullSafe(F.col("m_id")), "left_semi")
+    firsts = (ranged.join(F.broadcast(least), F.col("id").eqNullSafe(F.col("m_id")), "left_semi")
               .groupBy("rng").agg(F.min(F.struct("id", "text")).alias("f")))
     order = Window.orderBy("rng")  # one row per range
     following = F.coalesce(F.lag("rng").over(order),
@@ -180,10 +181,11 @@ def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     """
     rows = with_next(docs, id_col, text_col)
     order = Window.partitionBy("rng").orderBy("edge", F.col("id").asc_nulls_first(), "text")
+    # the first window moves the bare texts; anchors are made behind it, and the second finds its order in place
+    rows = rows.withColumn("next_text", F.lead("text").over(order))
     rows = rows.withColumn("own", anchors(F.col("text").cast("binary")))
     rows = rows.withColumn("sk", sketch(F.col("own")))
-    rows = (rows.withColumn("next_text", F.lead("text").over(order)).withColumn("next_sk", F.lead("sk").over(order))
-            .filter(~F.col("edge")))
+    rows = rows.withColumn("next_sk", F.lead("sk").over(order)).filter(~F.col("edge"))
     n = F.length("text")
     m = F.floor(n / 4).cast("int")
     rows = (rows.withColumn("n_chars", n.cast("long"))
