@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rekindle.llm import fingerprints, mixing, ngram_join, quality, sharding
+from rekindle.llm import chat, fingerprints, line_chunks, mixing, ngram_join, quality, sharding
 from rekindle.llm.common import table
 
 
@@ -17,12 +17,15 @@ def _docs(fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str],
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_syncmers": _docs(fingerprints.op1_query),
+        "op2_line_chunks": _docs(line_chunks.op2_query),
         "op3_mix_sources": _docs(mixing.op3_query),
         "op4_adaptive_rules": _docs(quality.op4_query),
         "op5_stratified_shards": _docs(sharding.op5_query),
         "op6_gram_jaccard": _docs(ngram_join.op6_query),
+        "op9_perspectives": lambda spark, sf_dir: chat.op9_query(table(spark, sf_dir, "conversations")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_sources": mixing.ORACLE, "op4_adaptive_rules": quality.ORACLE}
+    return {"op2_line_chunks": line_chunks.ORACLE, "op9_perspectives": chat.ORACLE,
+            "op3_mix_sources": mixing.ORACLE, "op4_adaptive_rules": quality.ORACLE}
