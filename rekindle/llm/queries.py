@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rekindle.llm import chat, fingerprints, langid, line_chunks, mixing, ngram_join, quality, ranking, sharding
+from rekindle.llm import chat, fingerprints, langid, line_chunks, mixing, ngram_join, pieces, quality, ranking, sharding
 from rekindle.llm.common import table
 
 
@@ -24,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_gram_jaccard": _docs(ngram_join.op6_query),
         "op7_bradley_terry": lambda spark, sf_dir: ranking.op7_query(
             table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
+        "op8_gumbel_pieces": _docs(pieces.op8_query),
         "op9_perspectives": lambda spark, sf_dir: chat.op9_query(table(spark, sf_dir, "conversations")),
         "op10_byte_gru": _docs(langid.op10_query),
     }

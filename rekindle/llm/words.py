@@ -109,11 +109,11 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf[offs[0]:offs[-1]], offs - offs[0]
 
 
-def parts(texts: pa.Array) -> Iterator[Part]:
+def parts(texts: pa.Array, most: int = PART) -> Iterator[Part]:
     buf, offs = raw(texts)
     n, a = len(offs) - 1, 0
     while a < n:
-        b = min(n, max(a + 1, int(np.searchsorted(offs, offs[a] + PART, "right")) - 1))
+        b = min(n, max(a + 1, int(np.searchsorted(offs, offs[a] + most, "right")) - 1))
         o = offs[a:b + 1] - offs[a]
         x = buf[offs[a]:offs[b]]
         word = ~SPACE[x]
