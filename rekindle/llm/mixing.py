@@ -63,8 +63,10 @@ def source_targets(sources: DataFrame, cycle: tuple[int, ...], budget_share: flo
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         size: Column | None = None, quality_weight: Column | None = None,
         cycle: tuple[int, ...] = (5, 2, 1), budget_share: float = 1.5, max_epochs: int = 2,
-        seed: int = 3) -> DataFrame:
-    """doc_id, size, source_size, target, taken (= copies * size), copies, key for every row of ``docs``.
+        seed: int = 3, row: Column | None = None) -> DataFrame:
+    """doc_id, size, source_size, target, taken (= copies * size), copies, key, row for every row of ``docs``.
+
+    ``row`` is carried along (NULL by default), for a join with the documents.
 
     ``size`` defaults to the number of words, ``quality_weight`` (clipped to
     [0.01, 100]; NULL or NaN counts as 1) to ``symbol_free_share``.  Weights
@@ -83,8 +85,9 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
                                .cast("binary")), 1, 13)
     u = (F.conv(digits, 16, 10).cast("long") + 1) / F.lit(float(1 << 52))
     rows = written(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                               size.alias("size"), w.cast("double").alias("w"), u.alias("u"))
-                   .select("doc_id", "source", "size", "w", (-F.log("u") / F.col("w")).alias("key")), "mix-rows")
+                               size.alias("size"), w.cast("double").alias("w"), u.alias("u"),
+                               (F.lit(None).cast("bigint") if row is None else row).alias("row"))
+                   .select("doc_id", "source", "size", "w", "row", (-F.log("u") / F.col("w")).alias("key")), "mix-rows")
 
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"),
                                          F.avg("w").alias("w_mean"))
@@ -109,7 +112,19 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
                             .otherwise(0).cast("long"))
             .withColumn("copies", F.least(F.col("copies"), F.lit(int(max_epochs)).cast("long")))
             .select("doc_id", "size", "source_size", "target",
-                    (F.col("copies") * F.col("size")).alias("taken"), "copies", "key"))
+                    (F.col("copies") * F.col("size")).alias("taken"), "copies", "key", "row"))
+
+
+def repeat_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, each as many times as ``mix`` takes it (0 times and more); columns unchanged.
+
+    Rows equal in all columns are one row with the sum of their copies.
+    """
+    keyed = docs.select("*", F.xxhash64(*docs.columns).alias("_row"))
+    taken = (mix(keyed, row=F.col("_row"), **options).groupBy(F.col("row").alias("_row"))
+             .agg(F.sum("copies").cast("int").alias("_copies")).filter("_copies > 0"))
+    return (keyed.dropDuplicates(["_row"]).join(taken, "_row")
+            .select(*docs.columns, F.explode(F.array_repeat(F.lit(True), F.col("_copies"))).alias("_copy")).drop("_copy"))
 
 
 def op3_query(docs: DataFrame) -> DataFrame:
