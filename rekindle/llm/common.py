@@ -47,6 +47,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spare_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def unit_hash(*cols: Column, seed: int = 0) -> Column:
     """Uniform double in [0, 1) from a seeded 64-bit hash; order-preserving in the hash's top 53 bits."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) / F.lit(float(1 << 53))

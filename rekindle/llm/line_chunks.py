@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rekindle.llm.common import written
+from rekindle.llm.common import spare_names, written
 from rekindle.llm.fingerprints import bind
 
 DIVISOR = 2
@@ -51,6 +51,10 @@ def chunks(text: Column, divisor: int = DIVISOR) -> Column:
     return bind(F.split(F.coalesce(text, F.lit("")), "\n", -1), cut)
 
 
+def body_hash(body: Column) -> Column:
+    return F.xxhash64(body)
+
+
 def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", divisor: int = DIVISOR,
           min_lines: int = MIN_LINES) -> DataFrame:
     """All rows and columns of ``docs`` with repeated chunks taken out of the text.
@@ -64,40 +68,40 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", di
     table gives an empty result.
     """
     cols = [c for c in docs.columns if c not in ("_chunks_removed", "_lines_removed")]
-    base = docs.select(*[F.col(c) for c in cols],
-                       F.xxhash64(F.col(id_col), F.col(text_col)).alias("_row"))
-    narrow = base.select("_row", F.col(id_col).alias("id"), F.posexplode(chunks(F.col(text_col), divisor)).alias("k", "c"))
+    row, spans, differ, gone, cut = spare_names(docs, "_row", "_spans", "_differ", "_gone", "_cut")
+    text = F.col(text_col)
+    base = docs.select(*[F.col(c) for c in cols], F.xxhash64(F.col(id_col), text).alias(row))
+    narrow = base.select(F.col(row).alias("row"), F.col(id_col).alias("id"),
+                         F.posexplode(chunks(text, divisor)).alias("k", "c"))
     narrow = written(narrow.filter((F.col("c.n_lines") >= min_lines) & F.col("c.body").rlike(r"[^\x20\x09-\x0D]"))
-                     .select("_row", "id", "k", F.xxhash64("c.body").alias("h")), "line-chunks")
-    found = (narrow.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("id", "_row", "k")).alias("first"))
+                     .select("row", "id", "k", body_hash(F.col("c.body")).alias("h")), "line-chunks")
+    found = (narrow.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("id", "row", "k")).alias("first"))
              .filter("n > 1").select("h", "first"))
-    spans = (narrow.join(found, "h")
-             .select("_row", F.struct("k", "h", ((F.col("_row") == F.col("first._row"))
-                                                 & (F.col("k") == F.col("first.k"))).alias("first")).alias("s"))
-             .groupBy("_row").agg(F.collect_set("s").alias("_spans")))  # a document's own chunks
-    marked = written(base.join(spans, "_row", "left"), "line-marked")
-
-    bytes_ = (marked.filter("_spans is not null")
-              .select("_row", chunks(F.col(text_col), divisor).alias("c"), F.explode("_spans").alias("s"))
-              .select("_row", "s.k", "s.h", "s.first", F.get("c", F.col("s.k"))["body"].alias("body")))
+    repeats = (narrow.join(found, "h")
+               .select(F.col("row").alias(row), F.struct("k", "h", (
+                   (F.col("row") == F.col("first.row")) & (F.col("k") == F.col("first.k"))).alias("first")).alias("s"))
+               .groupBy(row).agg(F.collect_set("s").alias(spans)))  # a document's own chunks
+    marked = written(base.join(repeats, row, "left"), "line-marked")
+
+    bytes_ = (marked.filter(F.col(spans).isNotNull())
+              .select(F.col(row).alias("row"), chunks(text, divisor).alias("c"), F.explode(spans).alias("s"))
+              .select("row", "s.k", "s.h", "s.first", F.get("c", F.col("s.k"))["body"].alias("body")))
     first = bytes_.filter("first").dropDuplicates(["h"]).select("h", F.col("body").alias("first_body"))
-    other = (bytes_.filter("not first").join(first, "h").filter(F.col("body") != F.col("first_body"))
-             .select("_row", "k").distinct())
+    other = bytes_.filter("not first").join(first, "h").filter(F.col("body") != F.col("first_body"))
     # chunks that only share a hash: hardly ever a row, so this side's measured size decides on its broadcast
-    other = written(other.groupBy("_row").agg(F.collect_set("k").alias("_differ")), "line-differ")
-    out = marked.join(other, "_row", "left")
-    gone = F.array_except(F.transform(F.filter("_spans", lambda s: ~s["first"]), lambda s: s["k"]),
-                          F.coalesce("_differ", F.array().cast("array<int>")))
-    out = out.withColumn("_gone", F.coalesce(gone, F.array().cast("array<int>")))
-    parts = chunks(F.col(text_col), divisor)
-    cut = bind(parts, lambda c: F.named_struct(
+    other = written(other.groupBy(F.col("row").alias(row)).agg(F.collect_set("k").alias(differ)), "line-differ")
+    none = F.array().cast("array<int>")
+    removed = F.array_except(F.transform(F.filter(spans, lambda s: ~s["first"]), lambda s: s["k"]),
+                             F.coalesce(F.col(differ), none))
+    out = marked.join(other, row, "left").withColumn(gone, F.coalesce(removed, none))
+    rest = bind(chunks(text, divisor), lambda c: F.named_struct(
         F.lit("text"),
-        F.array_join(F.transform(F.filter(c, lambda x, j: ~F.array_contains("_gone", j)), lambda x: x["body"]), "\n"),
-        F.lit("n"), F.aggregate(F.filter(c, lambda x, j: F.array_contains("_gone", j)), F.lit(0),
-                    lambda acc, x: acc + x["n_lines"])))
-    out = out.withColumn("_cut", F.when(F.size("_gone") > 0, cut))
-    return out.select(*[F.coalesce(F.col("_cut.text"), F.col(c)).alias(c) if c == text_col else F.col(c) for c in cols],
-                      F.size("_gone").alias("_chunks_removed"), F.coalesce("_cut.n", F.lit(0)).alias("_lines_removed"))
+        F.array_join(F.transform(F.filter(c, lambda x, j: ~F.array_contains(gone, j)), lambda x: x["body"]), "\n"),
+        F.lit("n"), F.aggregate(F.filter(c, lambda x, j: F.array_contains(gone, j)), F.lit(0),
+                                lambda acc, x: acc + x["n_lines"])))
+    out = out.withColumn(cut, F.when(F.size(gone) > 0, rest))
+    return out.select(*[F.coalesce(F.col(f"{cut}.text"), text).alias(c) if c == text_col else F.col(c) for c in cols],
+                      F.size(gone).alias("_chunks_removed"), F.coalesce(f"{cut}.n", F.lit(0)).alias("_lines_removed"))
 
 
 def drop_repeated_chunks(docs: DataFrame, *, text_col: str = "text", **options) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rekindle.llm.common import WORD, bucket_prefix, null_safe, written
+from rekindle.llm.common import WORD, bucket_prefix, null_safe, spare_names, written
 
 SYMBOLS = "#*$%&|<>!"
 
@@ -120,11 +120,12 @@ def repeat_documents(docs: DataFrame, **options) -> DataFrame:
 
     Rows equal in all columns are one row with the sum of their copies.
     """
-    keyed = docs.select("*", F.xxhash64(*docs.columns).alias("_row"))
-    taken = (mix(keyed, row=F.col("_row"), **options).groupBy(F.col("row").alias("_row"))
-             .agg(F.sum("copies").cast("int").alias("_copies")).filter("_copies > 0"))
-    return (keyed.dropDuplicates(["_row"]).join(taken, "_row")
-            .select(*docs.columns, F.explode(F.array_repeat(F.lit(True), F.col("_copies"))).alias("_copy")).drop("_copy"))
+    row, copies, copy = spare_names(docs, "_row", "_copies", "_copy")
+    keyed = docs.select("*", F.xxhash64(*docs.columns).alias(row))
+    taken = (mix(keyed, row=F.col(row), **options).groupBy(F.col("row").alias(row))
+             .agg(F.sum("copies").cast("int").alias(copies)).filter(F.col(copies) > 0))
+    return (keyed.dropDuplicates([row]).join(taken, row)
+            .select(*docs.columns, F.explode(F.array_repeat(F.lit(True), F.col(copies))).alias(copy)).drop(copy))
 
 
 def op3_query(docs: DataFrame) -> DataFrame:

@@ -4,17 +4,22 @@ Documents whose n-gram sets are equal form a class; one row per class goes on.
 
 1. Size bound and column blocks.  Two sets with Jaccard >= t differ in at most
    D = (1 - t) / (1 + t) * (|x| + |y|) n-grams.  The n-gram columns are cut into
-   D + 2 blocks by hash range, so linked documents agree in two blocks at least:
-   in a non-empty one, or in two empty ones.  A pair that agrees in none is below
-   the bound and never comes up.  D is taken from the size class (ratio ``t**2``);
-   a set whose partners may be of the next class is put into both.
-2. Documents that agree in a block are put into one family (connected components,
-   a star per block; no pairs are made).
-3. Each family's rows of the incidence matrix are multiplied with each other in
-   blocks of ``ROWS`` x ``ROWS`` documents: overlap counts are accumulated over
-   stretches of columns, pairs that cannot reach their bound any more are dropped,
-   and each block gives a spanning forest of its links, not the links.
-4. Components of the forests' edges give the component of every class.
+   D + SPARE blocks by hash range, so linked documents agree in SPARE blocks at
+   least.  A pair that agrees in fewer is below the bound.  D is taken from the
+   size class (ratio ``t**2``); a set whose partners may be of the next class is
+   put into both.
+2. A block whose content more than HOT classes have is often a common passage and
+   no sign of a link.  A set with h hot blocks and e empty ones leaves its hot
+   blocks out if h + e < SPARE: each of its links agrees in another block as well.
+   (All blocks of a large group of copies are hot; its members keep them.)
+3. Documents that still agree in a block are put into one family (connected
+   components, a star per block; no pairs are made).
+4. Each family's rows of the incidence matrix are multiplied with each other in
+   blocks of ``ROWS`` x ``ROWS`` documents of like size: overlap counts are
+   accumulated over stretches of columns, pairs that cannot reach their bound any
+   more are dropped, and each block gives a spanning forest of its links, not the
+   links.
+5. Components of the forests' edges give the component of every class.
 
 Exact up to 48-bit hash collisions of n-grams within a pair.
 """
@@ -22,6 +27,7 @@ Exact up to 48-bit hash collisions of n-grams within a pair.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +38,12 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.window import Window
 
 from rekindle.llm import words as W
-from rekindle.llm.common import small_batches, written
+from rekindle.llm.common import small_batches, spare_names, written
 from rekindle.llm.components import components
 
 ROWS = 128
+SPARE = 4
+HOT = 16
 COLUMNS = 4096
 _LOW = np.uint64((1 << 48) - 1)
 _48 = np.uint64(48)
@@ -82,15 +90,19 @@ def _size_class(size: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
     return k, edges[np.minimum(k, len(edges) - 1)]
 
 
-def block_keys(grams: np.ndarray, offs: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, CSR offsets by set): one key per non-empty column block, and one per pair of empty blocks."""
+def block_keys(grams: np.ndarray, offs: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, empty blocks, CSR offsets by set): one key per non-empty column block.
+
+    ``empty`` has, for each key, the number of the set's empty blocks in that
+    size class; SPARE empty blocks together make a key as well.
+    """
     size = np.diff(offs)
-    keys, owners = [], []
+    keys, owners, empties = [], [], []
     k, top = _size_class(size, t)
     k_next, top_next = _size_class(np.floor(size / t + 1e-9).astype(np.int64), t)
     mixed = W.mix64(grams)
     for use, cls, upper in ((k > 0, k, top), ((k_next > 0) & (k_next != k), k_next, top_next)):
-        m = np.floor((1 - t) / (1 + t) * 2 * upper + 1e-9).astype(np.int64) + 2
+        m = np.floor((1 - t) / (1 + t) * 2 * upper + 1e-9).astype(np.int64) + SPARE
         of = np.repeat(np.arange(len(size)), size)
         pick = use[of]
         of, g, mx = of[pick], grams[pick], mixed[pick]
@@ -105,18 +117,21 @@ def block_keys(grams: np.ndarray, offs: np.ndarray, t: float) -> tuple[np.ndarra
         keys.append(W.mix64(content ^ salt))
         owners.append(of[first])
         empty = m - np.bincount(of[first], minlength=len(size))
-        for d in np.flatnonzero(use & (empty > 1)):
+        empties.append(empty[of[first]])
+        for d in np.flatnonzero(use & (empty >= SPARE)):
             gone = np.setdiff1d(np.arange(m[d]), block[first[of[first] == d]].astype(np.int64))
-            i, j = np.triu_indices(len(gone), 1)
-            pair = (np.uint64(cls[d]) << np.uint64(56)) + (gone[i].astype(np.uint64) << np.uint64(28)) \
-                + gone[j].astype(np.uint64)
-            keys.append(W.mix64(pair ^ np.uint64(0xE0E0E0E0E0E0E0E0)))
-            owners.append(np.full(len(i), d))
+            some = np.array(list(combinations(gone.tolist(), SPARE)), np.uint64)
+            whole = np.full(len(some), np.uint64(cls[d]) ^ np.uint64(0xE0E0E0E0E0E0E0E0), np.uint64)
+            for j in range(SPARE):
+                whole = W.mix64(whole + some[:, j])
+            keys.append(whole)
+            owners.append(np.full(len(some), d))
+            empties.append(np.full(len(some), empty[d]))
     if not keys:
-        return np.zeros(0, np.uint64), np.zeros(len(size) + 1, np.int64)
-    keys, owners = np.concatenate(keys), np.concatenate(owners)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(size) + 1, np.int64)
+    keys, owners, empties = np.concatenate(keys), np.concatenate(owners), np.concatenate(empties)
     order = np.argsort(owners, kind="stable")
-    return keys[order], np.searchsorted(owners[order], np.arange(len(size) + 1))
+    return keys[order], empties[order], np.searchsorted(owners[order], np.arange(len(size) + 1))
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -130,13 +145,14 @@ def _lists(values: list[np.ndarray], offs: list[np.ndarray]) -> pa.Array:
 
 
 def signatures(width: int, t: float):
-    """Arrow UDF: text -> (n, digest of the set, block keys)."""
+    """Arrow UDF: text -> (n, digest of the set, block keys, empty blocks for each key)."""
     kind = T.StructType([T.StructField("n", T.LongType()), T.StructField("digest", T.LongType()),
-                         T.StructField("keys", T.ArrayType(T.LongType()))])
+                         T.StructField("keys", T.ArrayType(T.LongType())),
+                         T.StructField("empty", T.ArrayType(T.LongType()))])
 
     @arrow_udf(kind)
     def run(texts: pa.Array) -> pa.Array:
-        n, digest, keys, koffs = [], [], [], []
+        n, digest, keys, empty, koffs = [], [], [], [], []
         for p in _texts(texts):
             g, offs = gram_sets(p, width)
             total = np.zeros(len(g) + 1, np.uint64)
@@ -144,14 +160,15 @@ def signatures(width: int, t: float):
             size = np.diff(offs)
             n.append(size)
             digest.append(W.mix64(total[offs[1:]] - total[offs[:-1]] + size.astype(np.uint64)))
-            k, ko = block_keys(g, offs, t)
+            k, e, ko = block_keys(g, offs, t)
             keys.append(k)
+            empty.append(e.astype(np.uint64))
             koffs.append(ko)
         size = np.concatenate(n) if n else np.zeros(0, np.int64)
         dig = np.concatenate(digest) if digest else np.zeros(0, np.uint64)
         return pa.StructArray.from_arrays(
-            [pa.array(size.astype(np.int64)), pa.array(dig.view(np.int64), mask=size == 0), _lists(keys, koffs)],
-            ["n", "digest", "keys"])
+            [pa.array(size.astype(np.int64)), pa.array(dig.view(np.int64), mask=size == 0), _lists(keys, koffs),
+             _lists(empty, koffs)], ["n", "digest", "keys", "empty"])
     return run
 
 
@@ -214,15 +231,15 @@ def forest(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, t_num: i
 
 
 def block_links(t_num: int, t_den: int):
-    """mapInArrow body over rows (family, bi, bj, block, digest, grams) sorted by (family, bi, bj)."""
+    """mapInArrow body over rows (family, c, up, bi, bj, side, digest, grams) sorted by the first five."""
     def finish(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        bi, bj = rows[0][1], rows[0][2]
+        _, _, up, bi, bj = rows[0][0]
         seen = {}
-        for _, _, _, block, digest, grams in rows:
-            seen.setdefault(digest, (block, grams))
+        for _, side, digest, grams in rows:
+            seen.setdefault(digest, (side, grams))
         digest = np.array(list(seen))
-        block = np.array([b for b, _ in seen.values()])
-        left, right = np.flatnonzero(block == bi), np.flatnonzero(block == bj)
+        side = np.array([b for b, _ in seen.values()])
+        left, right = np.flatnonzero(side == (-1 if up else bi)), np.flatnonzero(side == (-2 if up else bj))
         if len(left) == 0 or len(right) == 0 or len(digest) < 2:
             return digest[:0], digest[:0]
         root = forest([g for _, g in seen.values()], left, right, t_num, t_den)
@@ -235,16 +252,16 @@ def block_links(t_num: int, t_den: int):
         def out(pair):
             return pa.RecordBatch.from_arrays([pa.array(pair[0], pa.int64()), pa.array(pair[1], pa.int64())], ["u", "v"])
         for b in batches:
-            cols = [b.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
-            grams = b.column(5)
+            cols = [b.column(k).to_numpy(zero_copy_only=False) for k in range(7)]
+            grams = b.column(7)
             offs, flat = grams.offsets.to_numpy(), grams.values.to_numpy()
             for r in range(b.num_rows):
-                now = (cols[0][r], cols[1][r], cols[2][r])
+                now = tuple(c[r] for c in cols[:5])
                 if now != key:
                     if len(rows) > 1:
                         yield out(finish(rows))
                     key, rows = now, []
-                rows.append((*now, cols[3][r], int(cols[4][r]), flat[offs[r]:offs[r + 1]].copy()))
+                rows.append((now, cols[5][r], int(cols[6][r]), flat[offs[r]:offs[r + 1]].copy()))
         if len(rows) > 1:
             yield out(finish(rows))
     return run
@@ -269,27 +286,49 @@ def join_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                      .select("doc_id", "key", "s.*"), "gram-signatures")
 
     # one row of keys per class; most classes share no key with another
-    keyed = (signed.filter(F.size("keys") > 0).select("digest", "keys").dropDuplicates(["digest"])
-             .select("digest", F.explode("keys").alias("k")))
-    star = keyed.select("digest", F.min("digest").over(Window.partitionBy("k")).alias("hub"))
-    edges = star.filter("digest <> hub").select(F.col("digest").alias("u"), F.col("hub").alias("v")).distinct()
+    keyed = (signed.filter(F.size("keys") > 0).select("digest", "keys", "empty").dropDuplicates(["digest"])
+             .select("digest", F.explode(F.arrays_zip("keys", "empty")).alias("k"))
+             .select("digest", F.col("k.keys").alias("k"), F.col("k.empty").cast("int").alias("empty")))
+    shared = keyed.select("*", F.count("*").over(Window.partitionBy("k")).alias("df")).filter("df > 1")
+    shared = written(shared, "gram-shared")
+    # the most hot and the most empty blocks over a set's one or two size classes: the stricter test
+    hot = (shared.filter(F.col("df") > HOT).groupBy("digest").agg(F.count("*").alias("n_hot"), F.max("empty").alias("e"))
+           .filter(F.col("n_hot") + F.col("e") < SPARE).select("digest", F.lit(True).alias("leave")))
+    rest = (shared.join(hot, "digest", "left").filter((F.col("df") <= HOT) | F.col("leave").isNull())
+            .select("digest", F.min("digest").over(Window.partitionBy("k")).alias("hub")))
+    edges = rest.filter("digest <> hub").select(F.col("digest").alias("u"), F.col("hub").alias("v")).distinct()
     family = components(edges, "gram-families")
     members = family.union(family.select(F.col("root").alias("node"), "root").distinct())
-    blocks = members.groupBy("root").agg(F.ceil(F.count("*") / F.lit(ROWS)).cast("int").alias("n_blocks"))
-    classes = signed.filter("digest is not null").groupBy("digest").agg(F.min("key").alias("key"),
-                                                                        F.min("doc_id").alias("rep"))
-    classes = written(classes, "gram-classes")
-    wanted = written(members.join(blocks, "root").join(classes, F.col("node") == F.col("digest"))
-                     .select("key", "digest", F.col("root").alias("family"), "n_blocks",
-                             F.pmod(F.xxhash64("digest"), F.col("n_blocks")).cast("int").alias("block")), "gram-wanted")
-    rows = (base.select(key.alias("key"), "text").join(wanted, "key")
-            .withColumn("grams", set_of(width)(F.col("text")))
-            .select("family", "block", "n_blocks", "digest", "grams"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("n_blocks") - 1),
-                        lambda o: F.struct(F.least(o, F.col("block")).alias("bi"), F.greatest(o, F.col("block")).alias("bj")))
-    spread = (rows.withColumn("p", F.explode(pairs))
-              .select("family", "p.bi", "p.bj", "block", "digest", "grams")
-              .repartition("family", "bi", "bj").sortWithinPartitions("family", "bi", "bj"))
+    classes = written(signed.filter("digest is not null").groupBy("digest").agg(
+        F.min("key").alias("key"), F.min("doc_id").alias("rep"), F.first("n").alias("n")), "gram-classes")
+    # linked sets are of the same or of neighbouring size classes
+    size_class = F.floor(F.log("n") / float(np.log(1.001 / threshold))).cast("int")
+    sized = members.join(classes, F.col("node") == F.col("digest")).select(
+        "key", "digest", F.col("root").alias("family"), size_class.alias("c"))
+    blocks = sized.groupBy("family", "c").agg(F.ceil(F.count("*") / F.lit(ROWS)).cast("int").alias("b"))
+    near = blocks
+    for shift, name in ((1, "b_up"), (-1, "b_down")):
+        near = near.join(blocks.select("family", (F.col("c") - shift).alias("c"), F.col("b").alias(name)), ["family", "c"], "left")
+    wanted = written(sized.join(near, ["family", "c"]).select(
+        "key", "digest", "family", "c", "b", F.coalesce("b_up", F.lit(0)).alias("b_up"),
+        F.coalesce("b_down", F.lit(0)).alias("b_down"),
+        F.pmod(F.xxhash64("digest"), F.col("b")).cast("int").alias("block")), "gram-wanted")
+    # the same plan at every size: the texts move once, and only those of families go on
+    rows = (base.select(key.alias("key"), "text").hint("merge").join(wanted.hint("merge"), "key")
+            .withColumn("grams", set_of(width)(F.col("text"))))
+    me = F.col("block")
+    upto = lambda n: F.filter(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda o: o < n)
+    pairs = F.concat(
+        F.transform(upto(F.col("b")), lambda o: F.struct(F.col("c").alias("c"), F.lit(0).alias("up"), F.least(o, me).alias("bi"),
+                                                         F.greatest(o, me).alias("bj"), me.alias("side"))),
+        F.transform(upto(F.col("b_up")), lambda o: F.struct(F.col("c").alias("c"), F.lit(1).alias("up"), me.alias("bi"),
+                                                            o.alias("bj"), F.lit(-1).alias("side"))),
+        F.transform(upto(F.col("b_down")), lambda o: F.struct((F.col("c") - 1).alias("c"), F.lit(1).alias("up"), o.alias("bi"),
+                                                              me.alias("bj"), F.lit(-2).alias("side"))))
+    # a block pair: within a class (side: own block number) or with the next class up (side: -1 lower, -2 upper)
+    at = ["family", "c", "up", "bi", "bj"]
+    spread = (rows.withColumn("p", F.explode(pairs)).select("family", "p.c", "p.up", "p.bi", "p.bj", "p.side", "digest", "grams")
+              .repartition(*at).sortWithinPartitions(*at))
     links = spread.mapInArrow(block_links(t_num, t_den), "u bigint, v bigint")
     linked = components(links, "gram-links")
 
@@ -309,8 +348,9 @@ def join_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` whose id names their component, each (id, text) once; columns unchanged."""
     found = join_components(docs, id_col=id_col, text_col=text_col, **options)
-    heads = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_head")).distinct()
-    kept = docs.join(heads, docs[id_col].eqNullSafe(F.col("_head")), "left_semi")
+    [head] = spare_names(docs, "_head")
+    heads = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(head)).distinct()
+    kept = docs.join(heads, docs[id_col].eqNullSafe(F.col(head)), "left_semi")
     return kept.dropDuplicates([id_col, text_col])
 
 

@@ -24,7 +24,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.window import Window
 
 from rekindle.llm import words as W
-from rekindle.llm.common import null_safe, small_batches, written
+from rekindle.llm.common import null_safe, small_batches, spare_names, written
 
 ACCURACY = 0.01
 GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
@@ -169,16 +169,16 @@ def judge(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", so
         measured = written(measured.select(*dict.fromkeys([*keep, lang_col, source_col]), "_quality"), "quality")
     bounds = written(fences(written(sketch(measured, "_quality", lang_col, source_col, rules), "sketches"),
                             rules, min_group), "fences")
-    b = bounds.select(F.col("lang").alias("_b_lang"), F.col("source").alias("_b_source"),
-                      F.col("low").alias("_b_low"), F.col("high").alias("_b_high"))
-    x = measured.join(b, measured[lang_col].eqNullSafe(F.col("_b_lang"))
-                      & measured[source_col].eqNullSafe(F.col("_b_source")), "left")
+    b_lang, b_source, low, high = spare_names(measured, "_b_lang", "_b_source", "_b_low", "_b_high")
+    b = bounds.toDF(b_lang, b_source, low, high)
+    x = measured.join(b, measured[lang_col].eqNullSafe(F.col(b_lang))
+                      & measured[source_col].eqNullSafe(F.col(b_source)), "left")
     verdict = ~base_failed("_quality")
     for k, r in enumerate(rules):
         if r.slack_low is not None:
-            verdict = verdict & (rate(r, "_quality") >= F.col("_b_low")[k])
+            verdict = verdict & (rate(r, "_quality") >= F.col(low)[k])
         if r.slack_high is not None:
-            verdict = verdict & (rate(r, "_quality") <= F.col("_b_high")[k])
+            verdict = verdict & (rate(r, "_quality") <= F.col(high)[k])
     out = x.withColumn("_quality", F.struct("_quality.*", base_failed("_quality").alias("base_failed"),
                                             F.coalesce(verdict, F.lit(False)).alias("kept")))
     return out.select(*keep, "_quality")
