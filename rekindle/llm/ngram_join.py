@@ -2,23 +2,22 @@
 
 Documents whose n-gram sets are equal form a class; one row per class goes on.
 
-1. Size bound and column blocks.  Two sets with Jaccard >= t differ in at most
-   D = (1 - t) / (1 + t) * (|x| + |y|) n-grams.  The n-gram columns are cut into
-   D + SPARE blocks by hash range, so linked documents agree in SPARE blocks at
-   least.  A pair that agrees in fewer is below the bound.  D is taken from the
-   size class (ratio ``t**2``); a set whose partners may be of the next class is
-   put into both.
-2. A block whose content more than HOT classes have is often a common passage and
-   no sign of a link.  A set with h hot blocks and e empty ones leaves its hot
-   blocks out if h + e < SPARE: each of its links agrees in another block as well.
-   (All blocks of a large group of copies are hot; its members keep them.)
-3. Documents that still agree in a block are put into one family (connected
-   components, a star per block; no pairs are made).
-4. Each family's rows of the incidence matrix are multiplied with each other in
-   blocks of ``ROWS`` x ``ROWS`` documents of like size: overlap counts are
-   accumulated over stretches of columns, pairs that cannot reach their bound any
-   more are dropped, and each block gives a spanning forest of its links, not the
-   links.
+1. Columns.  Two sets with Jaccard >= t share at least t * size n-grams of either,
+   so if each lists its n-grams in one common order (by hash) and keeps the first
+   ``size - ceil(t * size) + c`` of them, they share c of those at least.  Only these
+   entries of the incidence matrix are exchanged; c grows with the size.
+2. Product over the sparse columns (HOT classes or fewer): overlap counts of pairs
+   are accumulated, with pairs of incompatible sizes left out, and pairs that cannot
+   reach c are discarded.  A column yields HOT / 2 pairs an entry at most.
+3. Dense columns (a large group of copies, or a common passage).  A set with fewer
+   dense columns than the smallest c of a possible partner leaves them out: each of
+   its links shares a sparse column too.  The rest are joined to the column's
+   smallest class; no pairs are made.
+4. Remaining pairs and joins make families (connected components).  Each family's
+   whole rows are multiplied with each other in blocks of ``ROWS`` x ``ROWS``
+   documents of like size: overlap counts are accumulated over stretches of
+   columns, pairs that cannot reach their bound any more are dropped, and each
+   block gives a spanning forest of its links, not the links.
 5. Components of the forests' edges give the component of every class.
 
 Exact up to 48-bit hash collisions of n-grams within a pair.
@@ -27,7 +26,6 @@ Exact up to 48-bit hash collisions of n-grams within a pair.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +40,6 @@ from rekindle.llm.common import small_batches, spare_names, written
 from rekindle.llm.components import components
 
 ROWS = 128
-SPARE = 4
 HOT = 16
 COLUMNS = 4096
 _LOW = np.uint64((1 << 48) - 1)
@@ -79,59 +76,17 @@ def _texts(texts: pa.Array, most: int = 1 << 15) -> Iterator[W.Part]:
             yield p
 
 
-def _size_class(size: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
-    """Number and largest size of each size's class; classes grow by the ratio 1 / t**2."""
-    edges = [8]  # sets below 9 n-grams link with equal sets only when t is 0.9; a smaller t starts lower
-    edges[0] = int(np.ceil(1 / (1 - t))) - 2 if t < 1 else 1 << 30
-    while edges[-1] < (size.max() if len(size) else 0) / t + 1:
-        edges.append(int(edges[-1] / t ** 2) + 1)
-    edges = np.array(edges)
-    k = np.searchsorted(edges, size)
-    return k, edges[np.minimum(k, len(edges) - 1)]
+def common_first(size, t_num: int):
+    """c: how many of their first n-grams two linked sets share, if ``size`` is the smaller one's."""
+    return np.minimum(4 + size // 20, -(-t_num * size // 1000))
 
 
-def block_keys(grams: np.ndarray, offs: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, empty blocks, CSR offsets by set): one key per non-empty column block.
-
-    ``empty`` has, for each key, the number of the set's empty blocks in that
-    size class; SPARE empty blocks together make a key as well.
-    """
+def first_grams(grams: np.ndarray, offs: np.ndarray, t_num: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of every set (ascending) that are exchanged, and their CSR offsets."""
     size = np.diff(offs)
-    keys, owners, empties = [], [], []
-    k, top = _size_class(size, t)
-    k_next, top_next = _size_class(np.floor(size / t + 1e-9).astype(np.int64), t)
-    mixed = W.mix64(grams)
-    for use, cls, upper in ((k > 0, k, top), ((k_next > 0) & (k_next != k), k_next, top_next)):
-        m = np.floor((1 - t) / (1 + t) * 2 * upper + 1e-9).astype(np.int64) + SPARE
-        of = np.repeat(np.arange(len(size)), size)
-        pick = use[of]
-        of, g, mx = of[pick], grams[pick], mixed[pick]
-        if not len(of):
-            continue
-        block = ((g >> np.uint64(16)) * m[of].astype(np.uint64)) >> np.uint64(32)
-        first = np.flatnonzero(np.append(True, (of[1:] != of[:-1]) | (block[1:] != block[:-1])))
-        total = np.zeros(len(mx) + 1, np.uint64)
-        np.cumsum(mx, out=total[1:])
-        content = total[np.append(first[1:], len(mx))] - total[first]
-        salt = W.mix64((cls[of[first]].astype(np.uint64) << np.uint64(40)) + block[first])
-        keys.append(W.mix64(content ^ salt))
-        owners.append(of[first])
-        empty = m - np.bincount(of[first], minlength=len(size))
-        empties.append(empty[of[first]])
-        for d in np.flatnonzero(use & (empty >= SPARE)):
-            gone = np.setdiff1d(np.arange(m[d]), block[first[of[first] == d]].astype(np.int64))
-            some = np.array(list(combinations(gone.tolist(), SPARE)), np.uint64)
-            whole = np.full(len(some), np.uint64(cls[d]) ^ np.uint64(0xE0E0E0E0E0E0E0E0), np.uint64)
-            for j in range(SPARE):
-                whole = W.mix64(whole + some[:, j])
-            keys.append(whole)
-            owners.append(np.full(len(some), d))
-            empties.append(np.full(len(some), empty[d]))
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(size) + 1, np.int64)
-    keys, owners, empties = np.concatenate(keys), np.concatenate(owners), np.concatenate(empties)
-    order = np.argsort(owners, kind="stable")
-    return keys[order], empties[order], np.searchsorted(owners[order], np.arange(len(size) + 1))
+    n = np.minimum(size, size - -(-t_num * size // 1000) + common_first(size, t_num))
+    rank = np.arange(len(grams)) - np.repeat(offs[:-1], size)
+    return grams[rank < np.repeat(n, size)], np.append(0, np.cumsum(n))
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -144,15 +99,14 @@ def _lists(values: list[np.ndarray], offs: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32)), _signed(flat))
 
 
-def signatures(width: int, t: float):
-    """Arrow UDF: text -> (n, digest of the set, block keys, empty blocks for each key)."""
+def signatures(width: int, t_num: int):
+    """Arrow UDF: text -> (n, digest of the set, n-grams to exchange)."""
     kind = T.StructType([T.StructField("n", T.LongType()), T.StructField("digest", T.LongType()),
-                         T.StructField("keys", T.ArrayType(T.LongType())),
-                         T.StructField("empty", T.ArrayType(T.LongType()))])
+                         T.StructField("keys", T.ArrayType(T.LongType()))])
 
     @arrow_udf(kind)
     def run(texts: pa.Array) -> pa.Array:
-        n, digest, keys, empty, koffs = [], [], [], [], []
+        n, digest, keys, koffs = [], [], [], []
         for p in _texts(texts):
             g, offs = gram_sets(p, width)
             total = np.zeros(len(g) + 1, np.uint64)
@@ -160,15 +114,14 @@ def signatures(width: int, t: float):
             size = np.diff(offs)
             n.append(size)
             digest.append(W.mix64(total[offs[1:]] - total[offs[:-1]] + size.astype(np.uint64)))
-            k, e, ko = block_keys(g, offs, t)
+            k, ko = first_grams(g, offs, t_num)
             keys.append(k)
-            empty.append(e.astype(np.uint64))
             koffs.append(ko)
         size = np.concatenate(n) if n else np.zeros(0, np.int64)
         dig = np.concatenate(digest) if digest else np.zeros(0, np.uint64)
         return pa.StructArray.from_arrays(
-            [pa.array(size.astype(np.int64)), pa.array(dig.view(np.int64), mask=size == 0), _lists(keys, koffs),
-             _lists(empty, koffs)], ["n", "digest", "keys", "empty"])
+            [pa.array(size.astype(np.int64)), pa.array(dig.view(np.int64), mask=size == 0), _lists(keys, koffs)],
+            ["n", "digest", "keys"])
     return run
 
 
@@ -282,21 +235,30 @@ def join_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     small_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text"))
-    signed = written(base.select("doc_id", key.alias("key"), signatures(width, threshold)(F.col("text")).alias("s"))
+    signed = written(base.select("doc_id", key.alias("key"), signatures(width, t_num)(F.col("text")).alias("s"))
                      .select("doc_id", "key", "s.*"), "gram-signatures")
 
-    # one row of keys per class; most classes share no key with another
-    keyed = (signed.filter(F.size("keys") > 0).select("digest", "keys", "empty").dropDuplicates(["digest"])
-             .select("digest", F.explode(F.arrays_zip("keys", "empty")).alias("k"))
-             .select("digest", F.col("k.keys").alias("k"), F.col("k.empty").cast("int").alias("empty")))
-    shared = keyed.select("*", F.count("*").over(Window.partitionBy("k")).alias("df")).filter("df > 1")
-    shared = written(shared, "gram-shared")
-    # the most hot and the most empty blocks over a set's one or two size classes: the stricter test
-    hot = (shared.filter(F.col("df") > HOT).groupBy("digest").agg(F.count("*").alias("n_hot"), F.max("empty").alias("e"))
-           .filter(F.col("n_hot") + F.col("e") < SPARE).select("digest", F.lit(True).alias("leave")))
-    rest = (shared.join(hot, "digest", "left").filter((F.col("df") <= HOT) | F.col("leave").isNull())
-            .select("digest", F.min("digest").over(Window.partitionBy("k")).alias("hub")))
-    edges = rest.filter("digest <> hub").select(F.col("digest").alias("u"), F.col("hub").alias("v")).distinct()
+    # one row of columns per class; most columns have one class only
+    keyed = (signed.filter(F.size("keys") > 0).select("digest", "n", "keys").dropDuplicates(["digest"])
+             .select("digest", F.col("n").cast("int").alias("n"), F.explode("keys").alias("k")))
+    entries = written(keyed.select("*", F.count("*").over(Window.partitionBy("k")).alias("df")).filter("df > 1"),
+                      "gram-entries")
+    dense = entries.filter(F.col("df") > HOT).groupBy("digest").agg(F.count("*").cast("int").alias("n_dense"))
+    entries = entries.join(dense, "digest", "left").withColumn("n_dense", F.coalesce("n_dense", F.lit(0)))
+    least = lambda n: F.least(4 + F.floor(n / 20), F.ceil(n * t_num / 1000))  # noqa: E731  common_first
+    sparse = (entries.filter(F.col("df") <= HOT).groupBy("k")
+              .agg(F.sort_array(F.collect_list(F.struct("digest", "n", "n_dense"))).alias("of")))  # HOT at most
+    pairs = sparse.select(F.explode(F.flatten(F.transform("of", lambda x, i: F.transform(
+        F.filter(F.slice("of", i + 2, HOT), lambda y: F.least(x["n"], y["n"]) * 1000 >= F.greatest(x["n"], y["n"]) * t_num),
+        lambda y: F.struct(x.alias("x"), y.alias("y")))))).alias("p"))
+    pairs = pairs.groupBy("p.x", "p.y").agg(F.count("*").alias("overlap"))
+    pairs = pairs.filter(F.col("overlap") + F.least("x.n_dense", "y.n_dense") >= least(F.least("x.n", "y.n")))
+    # a partner has t * n n-grams at least; one less for safety in the division
+    kept = entries.filter((F.col("df") > HOT)
+                          & (F.col("n_dense") >= least(F.greatest(F.floor(F.col("n") * t_num / 1000) - 1, F.lit(1)))))
+    star = kept.select("digest", F.min("digest").over(Window.partitionBy("k")).alias("hub")).filter("digest <> hub")
+    edges = (pairs.select(F.col("x.digest").alias("u"), F.col("y.digest").alias("v"))
+             .union(star.select(F.col("digest").alias("u"), F.col("hub").alias("v")).distinct()))
     family = components(edges, "gram-families")
     members = family.union(family.select(F.col("root").alias("node"), "root").distinct())
     classes = written(signed.filter("digest is not null").groupBy("digest").agg(

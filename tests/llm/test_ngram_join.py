@@ -78,8 +78,9 @@ def test_components_equal_all_pairs(docs_df, width, t):
 
 
 def test_large_family_in_blocks(docs_df, monkeypatch):
-    """A family over several row blocks and column stretches, against all pairs."""
+    """A family over several row blocks, found by dense columns, against all pairs."""
     monkeypatch.setattr(J, "ROWS", 16)
+    monkeypatch.setattr(J, "HOT", 4)
     rng = random.Random(5)
     words = [f"w{i}" for i in range(120)]
     rows = []
@@ -106,22 +107,23 @@ def test_forest_over_column_stretches(monkeypatch):
                 assert root[a] == root[b]
 
 
-@pytest.mark.parametrize("t", [0.9, 0.8])
-def test_linked_sets_share_a_block_key(t):
-    """Over many random pairs at the bound, of all small sizes: no link without a common key."""
+@pytest.mark.parametrize("t_num", [900, 800])
+def test_linked_sets_share_first_grams(t_num):
+    """Over many random pairs at the bound: they share as many of their first n-grams as the smaller's c says."""
     rng = np.random.default_rng(3)
-    for _ in range(1500):
-        n = int(rng.integers(3, 60))
-        x = np.unique(rng.integers(0, 2**48, n, dtype=np.uint64))
-        drop = int(rng.integers(0, max(1, int(len(x) * (1 - t)) + 1)))
-        y = x[rng.permutation(len(x))[drop:]]
-        more = int(rng.integers(0, 3))
-        y = np.unique(np.append(y, rng.integers(0, 2**48, more, dtype=np.uint64)))
+    seen = 0
+    for _ in range(4000):
+        x = np.unique(rng.integers(0, 2**48, int(rng.integers(1, 150)), dtype=np.uint64))
+        drop = int(rng.integers(0, int(len(x) * (1 - t_num / 1000)) + 1))
+        y = np.sort(x[rng.permutation(len(x))[drop:]])
+        y = np.unique(np.append(y, rng.integers(0, 2**48, int(rng.integers(0, len(x) // 8 + 1)), dtype=np.uint64)))
         i = len(np.intersect1d(x, y))
-        if i < t * (len(x) + len(y) - i) - 1e-9 or np.array_equal(x, y):
+        if 1000 * i < t_num * (len(x) + len(y) - i):
             continue
-        keys, _, offs = J.block_keys(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]), t)
-        assert np.intersect1d(keys[:offs[1]], keys[offs[1]:]).size
+        seen += 1
+        keys, offs = J.first_grams(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]), t_num)
+        assert np.intersect1d(keys[:offs[1]], keys[offs[1]:]).size >= J.common_first(min(len(x), len(y)), t_num)
+    assert seen > 500
 
 
 def test_gram_sets_equal_the_loop():
