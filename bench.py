@@ -19,7 +19,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from rekindle.session import build_session, ensure_local_checkpoint_dir  # noqa: E402
+from rekindle.session import build_session, release  # noqa: E402
 
 
 def run(df) -> None:
@@ -33,8 +33,7 @@ def main() -> None:
     sf = float(m.group(1)) if m else None
     scratch = tempfile.mkdtemp(prefix="rekindle-bench-")
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
-                          extra={"spark.local.dir": scratch})
-    ensure_local_checkpoint_dir(spark)
+                          extra={"spark.local.dir": scratch, "spark.checkpoint.dir": f"{scratch}/checkpoint"})
 
     from rekindle.config import ADAPTER_A
     from rekindle.operators import events as EV
@@ -71,9 +70,10 @@ def main() -> None:
         def model():
             cols = MD.feature_columns(features)
             train = features.filter("split = 'train'")
-            mdl = MD.train_gbt(train, cols, max_iter=10)
+            mdl = MD.train_gbt(train, cols)
             run(MD.evaluate(MD.score_split(mdl, features), "gbt"))
         timed("model", model)
+        release()
 
     # warm-up on the smallest fixture (JIT / code generation), not timed
     warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")

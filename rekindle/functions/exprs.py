@@ -101,9 +101,9 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(round_half_away(F.col(f.name), digits).alias(f.name))
+            out.append(round_half_away(F.col(f"`{f.name}`"), digits).alias(f.name))
         else:
-            out.append(F.col(f.name))
+            out.append(F.col(f"`{f.name}`"))
     return df.select(*out)
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import RevivalConfig
-from .timeline import LABEL_COLS, gaps_with_threshold, unique_orders
+from .timeline import LABEL_COLS, gaps_with_threshold, on_timeline, unique_orders
 
 EVENT_COLS = ["member_id", "t0_date", "t0_order_code", "t0_order_ts"]
 SAMPLE_COLS = ["sample_id", "label", "member_id", "t0_date", "t0_order_code", "split"]
@@ -61,6 +61,7 @@ def revival_labels(events: DataFrame, orders1: DataFrame, window_days: int,
     no join with the orders.
     """
     W = int(window_days)
+    orders1 = on_timeline(orders1)
     if same_source and W >= 1:
         return _labels_same_source(events, orders1, W)
     o = orders1.select("member_id", "order_code", "order_ts",

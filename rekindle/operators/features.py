@@ -16,11 +16,11 @@ over it:
 * ``ROWS UNBOUNDED PRECEDING .. 1 PRECEDING`` ordered by (day, kind) with the
   sample row sorted before the day rows of its own day -> exactly the days
   strictly before t0 (counts, sums, max, min, median and std of gaps);
-* ``RANGE n PRECEDING .. 1 PRECEDING`` on the day number for the recency
-  windows, with one extra frame for orders exactly at the lower midnight;
-* the pre-dormancy window is anchored at the last purchase day, so it is a
-  ``RANGE`` frame evaluated on that day's row and carried to the sample row
-  with ``last(.., ignorenulls)``.
+* differences of running ``RANGE`` sums on the day number for the recency
+  windows, with one extra pair for orders exactly at the lower midnight;
+* the pre-dormancy window is anchored at the last purchase day, so it is
+  evaluated on that day's row and carried to the sample row with
+  ``last(.., ignorenulls)``.
 
 Per member the timeline holds at most (#calendar days + #samples) rows,
 whatever the order volume, so no task ever receives an unbounded group.
@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from ..config import RevivalConfig
 from ..functions.exprs import (as_ts, discount_floor, flag, floor_days, is_not,
                                nonzero_or_null, safe_div, sentinel_to_null, weekday0)
+from .timeline import on_timeline
 
 F1_COLS = ["sleep_days", "hist_n_orders", "hist_total_amount", "hist_avg_ticket",
            "hist_max_ticket", "hist_total_qty", "personal_ci", "gap_std", "gap_cv",
@@ -61,6 +62,15 @@ CATEGORICAL_COLS = ["hist_main_channel", "hist_main_payment", "t0_channel", "t0_
                     "t0_shipping", "register_source", "gender", "country_code"]
 ID_COLS = ["sample_id", "label", "split", "member_id", "t0_date", "t0_order_code"]
 
+# The ratio features whose extremes are reported, and the
+# features whose importance rank is watched.
+RATIO_FEATURES = ["hist_discount_ratio", "hist_coupon_order_ratio", "hist_return_ratio",
+                  "t0_discount_ratio", "t0_vs_avg_ticket_ratio", "t0_vs_max_ticket_ratio",
+                  "sleep_vs_ci_ratio", "t0_discount_vs_hist_ratio", "t0_qty_vs_avg",
+                  "hist_repeat_sku_ratio", "gap_cv"]
+WATCH_LIST = ["sleep_days", "t0_buys_familiar_product", "t0_vs_avg_ticket_ratio",
+              "sleep_vs_ci_ratio", "t0_discount_vs_hist_ratio"]
+
 DEC = T.DecimalType(38, 6)
 
 
@@ -98,7 +108,7 @@ def _history_timeline(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConf
     ts = F.col("order_ts")
     midnight = ts == as_ts(F.to_date(ts))
     amt = F.col("sales_amount")
-    day = (orders_fl.withColumn("dn", _day_num(ts))
+    day = (on_timeline(orders_fl).withColumn("dn", _day_num(ts))
            .groupBy("member_id", "dn").agg(
                F.count_if(valid & amt.isNotNull()).alias("v_n"),
                F.sum(F.when(valid, _dec(amt))).alias("v_amt"),
@@ -139,8 +149,14 @@ def _history_window(u: DataFrame, cfg: RevivalConfig) -> DataFrame:
     before = _before()
     by_day = Window.partitionBy("member_id").orderBy("dn")
 
-    def rng(lo, hi):
-        return by_day.rangeBetween(lo, hi)
+    def total(col, lo, hi):
+        """Sum over the days dn + lo .. dn + hi, 0 if there are none: a difference of
+        two running sums (a growing frame adds each row once; a moving frame is
+        summed anew for every row)."""
+        def upto(x):
+            s = F.sum(col).over(by_day.rangeBetween(Window.unboundedPreceding, x))
+            return F.coalesce(s, F.lit(0).cast(DEC) if col.endswith("amt") else F.lit(0))
+        return upto(hi) - upto(lo - 1)
 
     # gaps between consecutive valid purchase days (on day rows only)
     u = u.withColumn("_prev_vdn", F.last(F.when(F.col("v_n") > 0, F.col("dn")), True).over(before))
@@ -149,22 +165,17 @@ def _history_window(u: DataFrame, cfg: RevivalConfig) -> DataFrame:
     # pre-dormancy window, evaluated on each valid day row
     P = cfg.pre_dormancy_days
     day_max_midnight = F.col("v_max_ts") == as_ts(F.date_from_unix_date("dn"))
-    n_a = F.sum("v_n").over(rng(-P, 0)) - F.coalesce(F.sum("v_mid_n").over(rng(-P, -P)), F.lit(0))
-    n_b = F.sum("v_n").over(rng(-(P - 1), 0)) - F.coalesce(F.sum("v_mid_n").over(rng(-(P - 1), -(P - 1))), F.lit(0))
-    zero = F.lit(0).cast(DEC)
-    a_a = F.coalesce(F.sum("v_amt").over(rng(-P, 0)), zero) \
-        - F.coalesce(F.sum("v_mid_amt").over(rng(-P, -P)), zero)
-    a_b = F.coalesce(F.sum("v_amt").over(rng(-(P - 1), 0)), zero) \
-        - F.coalesce(F.sum("v_mid_amt").over(rng(-(P - 1), -(P - 1))), zero)
+    n_a = total("v_n", -P, 0) - total("v_mid_n", -P, -P)
+    n_b = total("v_n", -(P - 1), 0) - total("v_mid_n", -(P - 1), -(P - 1))
+    a_a = total("v_amt", -P, 0) - total("v_mid_amt", -P, -P)
+    a_b = total("v_amt", -(P - 1), 0) - total("v_mid_amt", -(P - 1), -(P - 1))
     u = u.withColumn("_pre_n", F.when(F.col("v_n") > 0, F.when(day_max_midnight, n_a).otherwise(n_b)))
     u = u.withColumn("_pre_amt", F.when(F.col("v_n") > 0, F.when(day_max_midnight, a_a).otherwise(a_b)))
 
-    # recency windows (t0 - N days midnight, t0): RANGE frame, minus orders exactly at the lower midnight
+    # recency windows (t0 - N days midnight, t0): whole days, minus orders exactly at the lower midnight
     rec = {}
     for N in cfg.recent_days:
-        rec[f"recent_{N}d_n_orders"] = (
-            F.coalesce(F.sum("v_n").over(rng(-N, -1)), F.lit(0))
-            - F.coalesce(F.sum("v_mid_n").over(rng(-N, -N)), F.lit(0))).cast("int")
+        rec[f"recent_{N}d_n_orders"] = (total("v_n", -N, -1) - total("v_mid_n", -N, -N)).cast("int")
 
     cum = {
         "_n": F.sum("v_n").over(before),
@@ -235,7 +246,7 @@ def _mode_rows(orders_fl: DataFrame, cols: dict[str, str]) -> DataFrame:
     a day, a key ``struct(-k, value)`` in that column's slot ``_mk_i``."""
     names = list(cols)
     pairs = ", ".join(f"'{c}', cast(`{c}` as string)" for c in names)
-    cd = (orders_fl.filter(F.col("is_valid") == 1)
+    cd = (on_timeline(orders_fl).filter(F.col("is_valid") == 1)
                    .select("member_id", _day_num("order_ts").alias("dn"),
                            F.expr(f"stack({len(names)}, {pairs}) as (col, v)"))
                    .groupBy("member_id", "col", "v", "dn")
@@ -342,7 +353,7 @@ def f2_t0_order(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConfig) ->
 # --------------------------------------------------------------------------- F3
 def _page_day_counts(lines_v: DataFrame) -> DataFrame:
     """Line rows per (member, page, day), NULL page included (one aggregation)."""
-    return (lines_v.withColumn("dn", _day_num("order_ts"))
+    return (on_timeline(lines_v).withColumn("dn", _day_num("order_ts"))
                    .groupBy("member_id", "sale_page_id", "dn")
                    .agg(F.count(F.lit(1)).alias("c")))
 
@@ -437,9 +448,23 @@ def f3_products(samples: DataFrame, lines_v: DataFrame, cfg: RevivalConfig) -> D
 
 
 # --------------------------------------------------------------------------- F4
+def unique_members(members_c: DataFrame) -> DataFrame:
+    """The member table, failing the job that reads it if a member has two rows
+    (they would multiply samples); rows without a member are left out.
+
+    The check is one aggregate on the key, evaluated as a scalar subquery."""
+    m = members_c.filter(F.col("member_id").isNotNull())
+    twice = (m.groupBy("member_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+              .agg(F.count(F.lit(1)), F.min("member_id").alias("one"))
+              .select(F.when(F.col("one").isNotNull(), F.col("one").cast("string"))).scalar())
+    found = F.when(twice.isNotNull(), F.raise_error(F.concat(F.lit("several rows for member "), twice))
+                   .cast("boolean")).otherwise(F.lit(True))
+    return m.filter(found)
+
+
 def member_dim_join(samples: DataFrame, members_c: DataFrame) -> DataFrame:
-    """Sample left-joined with the member dimension."""
-    return samples.select("sample_id", "member_id", "t0_date").join(members_c, "member_id", "left")
+    """Sample left-joined with the member dimension (unique by member)."""
+    return samples.select("sample_id", "member_id", "t0_date").join(unique_members(members_c), "member_id", "left")
 
 
 def f4_member(samples: DataFrame, members_c: DataFrame) -> DataFrame:
@@ -490,13 +515,19 @@ def assemble_features(samples: DataFrame, orders_fl: DataFrame, lines_v: DataFra
 
     Each group is computed once.  F1 (modes included), F3 and F6 share one
     member timeline: the order day rows, the mode key rows, the line day rows
-    and one row per sample (carrying its t0 lines) are unioned and every
-    cumulative column comes from one window pass per member (one shuffle and
-    sort, one join); F5 is a projection over the joined F1 and F2 columns."""
+    and one row per sample (carrying its t0 lines) are unioned, dealt by member
+    once, and collapsed to one row per day and one per sample (a day's mode key
+    is the smallest of its keys, all that the running minimum needs), so the
+    windows see days + samples rows; F5 is a projection over the joined F1 and
+    F2 columns."""
     modes = {"channel": "hist_main_channel", "payment": "hist_main_payment"}
     u = (_history_timeline(samples, orders_fl, cfg, with_samples=False)
          .unionByName(_mode_rows(orders_fl, modes), allowMissingColumns=True)
          .unionByName(_f3_timeline(samples, lines_v, cfg), allowMissingColumns=True))
+    key = ["member_id", "dn", "kind", "sample_id"]
+    merge = lambda c: F.min(c) if c.startswith("_mk_") else F.max(c)  # noqa: E731  one row holds a value, but for keys
+    u = (u.repartition("member_id").groupBy(*key)
+          .agg(*[merge(c).alias(c) for c in u.columns if c not in key]))
     hist = (_history_window(u, cfg).withColumns({**_f3_window(), **_mode_window(modes)})
             .filter(F.col("kind") == 0)
             .select("sample_id", *_history_outputs(cfg), *_f3_outputs(), *_mode_outputs(modes)))

@@ -6,33 +6,38 @@
   (Spark trees reject NaN, T24).
 * M2 train: ``GBTClassifier`` (seeded).  The result is *not* meant to equal
   the reference's xgboost numbers; tests check properties.
-* M11 attribution is re-aimed as permutation importance: for every feature,
-  the test rows are scored once with that column taken from another row, and
-  the AUC drop is computed with the distributed AUC operator — one job, no
-  per-row Python.
+* M11 attribution is re-aimed as permutation importance: every test row is
+  exploded over the features, takes that one column from another row, is scored
+  once, and the AUC drop is computed with the distributed AUC operator.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .events import row_index
+from .features import ID_COLS
 from .metrics import auc_ap, brier, confusion_metrics
 
-DROP_COLS = ("sample_id", "label", "split", "member_id", "t0_date", "t0_order_code")
+def feature_columns(features: DataFrame, ids=ID_COLS) -> list[str]:
+    """The columns a model may see.
 
-
-def feature_columns(features: DataFrame, drop=DROP_COLS) -> list[str]:
-    """Every column except ids, label and dates (asserted)."""
-    cols = [c for c in features.columns if c not in drop]
-    leaked = [c for c in cols if c in drop]
-    assert not leaked, f"id columns among features: {leaked}"
-    return cols
+    Ids, dates and the label are left out by name; anything else that is not a
+    number, a flag or a category (a date or timestamp would carry t0) or that is
+    named after the label is refused."""
+    cols = [f for f in features.schema.fields if f.name not in ids]
+    for f in cols:
+        if not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.StringType)):
+            raise ValueError(f"{f.name}: {f.dataType.simpleString()} is no feature type")
+        if "label" in f.name.lower().split("_"):
+            raise ValueError(f"{f.name} is derived from the label")
+    return [f.name for f in cols]
 
 
 def split_types(features: DataFrame, cols: list[str]) -> tuple[list[str], list[str]]:
@@ -42,16 +47,18 @@ def split_types(features: DataFrame, cols: list[str]) -> tuple[list[str], list[s
     return cats, nums
 
 
-def encode_pipeline(cats: list[str], nums: list[str]) -> list:
-    """M1 stages: fill/cast + missing indicators, indexers, imputer, assembler."""
-    sel = ["*"] + [f"coalesce(`{c}`, 'unknown') AS `{c}__s`" for c in cats] \
+def encode_pipeline(cats: list[str], nums: list[str], empty: set[str] = frozenset()) -> list:
+    """M1 stages: fill/cast + missing indicators, indexers, imputer, assembler.
+    Columns in ``empty`` have no median to impute and get 0."""
+    full = [c for c in nums if c not in empty]
+    sel = ["*"] + [f"coalesce(CAST(`{c}` AS DOUBLE), 0D) AS `{c}__m`" for c in nums if c in empty] + [f"coalesce(`{c}`, 'unknown') AS `{c}__s`" for c in cats] \
         + [f"CAST(`{c}` AS DOUBLE) AS `{c}__d`" for c in nums] \
         + [f"CAST(`{c}` IS NULL AS DOUBLE) AS `{c}__na`" for c in nums]
     prep = SQLTransformer(statement=f"SELECT {', '.join(sel)} FROM __THIS__")
     idx = [StringIndexer(inputCols=[f"{c}__s" for c in cats], outputCols=[f"{c}__i" for c in cats],
                          handleInvalid="keep", stringOrderType="alphabetAsc")] if cats else []
-    imp = Imputer(inputCols=[f"{c}__d" for c in nums], outputCols=[f"{c}__m" for c in nums],
-                  strategy="median") if nums else None
+    imp = Imputer(inputCols=[f"{c}__d" for c in full], outputCols=[f"{c}__m" for c in full],
+                  strategy="median") if full else None
     inputs = [f"{c}__i" for c in cats] + [f"{c}__m" for c in nums] + [f"{c}__na" for c in nums]
     asm = VectorAssembler(inputCols=inputs, outputCol="features_vec", handleInvalid="keep")
     return [prep, *idx, *([imp] if imp else []), asm]
@@ -62,13 +69,31 @@ def assembled_names(cats: list[str], nums: list[str]) -> list[str]:
 
 
 def train_gbt(train: DataFrame, cols: list[str], seed: int = 42, max_iter: int = 40,
-              max_depth: int = 5, max_bins: int = 64) -> PipelineModel:
-    """M1 + M2: fit encoding and gradient-boosted trees on the train split."""
+              max_depth: int = 5, min_bins: int = 64) -> PipelineModel:
+    """M1 + M2: fit encoding and gradient-boosted trees on the train split.
+
+    ``maxBins`` follows the fitted categories (a tree needs a bin for each, and
+    one for unseen values), so a column of any cardinality trains.  A numeric
+    column without a value in ``train`` is filled with 0 (there is no median)."""
     cats, nums = split_types(train, cols)
+    found = train.agg(*[F.count(c).alias(f"c{i}") for i, c in enumerate(nums)]).first() if nums else []
+    empty = {c for i, c in enumerate(nums) if found[i] == 0}
+    data = train.withColumn("label", F.col("label").cast("double"))
+    encode = Pipeline(stages=encode_pipeline(cats, nums, empty)).fit(data)
+    most = max((len(x) + 1 for st in encode.stages if isinstance(st, StringIndexerModel)
+                for x in st.labelsArray), default=0)
     gbt = GBTClassifier(featuresCol="features_vec", labelCol="label", seed=seed,
-                        maxIter=max_iter, maxDepth=max_depth, maxBins=max_bins)
-    return Pipeline(stages=[*encode_pipeline(cats, nums), gbt]).fit(
-        train.withColumn("label", F.col("label").cast("double")))
+                        maxIter=max_iter, maxDepth=max_depth, maxBins=max(min_bins, most))
+    return PipelineModel([*encode.stages, gbt.fit(encode.transform(data))])
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    """M2: write the fitted encoding and trees (replacing what is there)."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
 
 
 def score_split(model: PipelineModel, df: DataFrame, keep=("sample_id", "label", "split")) -> DataFrame:
@@ -101,36 +126,34 @@ def seeded_sample(df: DataFrame, n: int, seed: int = 42, id_col: str = "sample_i
 
 
 def permutation_importance(model: PipelineModel, test: DataFrame, cols: list[str],
-                           n: int = 20000, seed: int = 42) -> DataFrame:
+                           seed: int = 42) -> DataFrame:
     """M11 (re-aimed): AUC drop when one feature column is taken from another row.
 
-    The permutation is a cyclic shift of a seeded random order; all permuted
-    copies are scored in one transform and evaluated with the grouped AUC."""
-    base = seeded_sample(test, n, seed)
-    ordered = base.withColumn("_h", F.xxhash64(F.col("sample_id"), F.lit(seed + 1)))
-    ix = row_index(ordered.repartition(1).sortWithinPartitions("_h", "sample_id")).cache()
+    Over all rows of ``test``.  The permutation is a cyclic shift of a seeded
+    random order (range-partitioned on the hash, so no task holds the table);
+    each row meets its donor once, is exploded over the feature numbers and
+    scored in one pass, and the AUC is grouped by the number."""
+    n_part = int(test.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashed = test.withColumn("_h", F.xxhash64(F.col("sample_id"), F.lit(seed + 1)))
+    ix = row_index(hashed.repartitionByRange(n_part, "_h", "sample_id")
+                   .sortWithinPartitions("_h", "sample_id"))
     total = ix.count()
     shift = max(1, int(total * 0.6180339887) % max(total, 1))
-    donor = ix.select(*[F.col(c).alias(f"__d_{c}") for c in cols],
-                      ((F.col("_idx") + shift) % F.lit(total)).alias("_idx"))
-    j = ix.join(donor, "_idx")
-    copies = []
-    for c in cols:
-        copies.append(j.select(F.lit(c).alias("permuted"),
-                               *[(F.col(f"__d_{x}") if x == c else F.col(x)).alias(x) for x in cols],
-                               "sample_id", "label", "split"))
-    allp = copies[0]
-    for c in copies[1:]:
-        allp = allp.unionByName(c)
-    scored = score_split(model, allp, keep=("permuted", "sample_id", "label", "split"))
-    perm_auc = auc_ap(scored, by="permuted").select("permuted", F.col("auc_roc").alias("auc_perm"))
-    base_auc = auc_ap(score_split(model, base).withColumn("g", F.lit(1)), by="g") \
-        .select("auc_roc").scalar()
-    return (perm_auc.withColumn("auc_base", base_auc)
-                    .select(F.col("permuted").alias("feature"), "auc_base", "auc_perm",
-                            (F.col("auc_base") - F.col("auc_perm")).alias("delta_auc"))
-                    .withColumn("rank", F.row_number().over(
-                        Window.orderBy(F.desc("delta_auc"), "feature"))))
+    donor = ix.select(((F.col("_idx") + shift) % F.lit(max(total, 1))).alias("_idx"),
+                      *[F.col(c).alias(f"__d_{c}") for c in cols])
+    each = ix.join(donor, "_idx").withColumn(
+        "permuted", F.explode(F.sequence(F.lit(-1), F.lit(len(cols) - 1))))  # -1: as it is
+    each = each.select("permuted", "sample_id", "label", "split",
+                       *[F.when(F.col("permuted") == i, F.col(f"__d_{c}")).otherwise(F.col(c)).alias(c)
+                         for i, c in enumerate(cols)])
+    auc = auc_ap(score_split(model, each, keep=("permuted", "sample_id", "label", "split")), by="permuted")
+    base = auc.filter("permuted = -1").select("auc_roc").scalar()
+    names = F.array(*[F.lit(c) for c in cols])
+    return (auc.filter("permuted >= 0")
+            .select(F.get(names, F.col("permuted")).alias("feature"), base.alias("auc_base"),
+                    F.col("auc_roc").alias("auc_perm"))
+            .withColumn("delta_auc", F.col("auc_base") - F.col("auc_perm"))
+            .withColumn("rank", F.row_number().over(Window.orderBy(F.desc("delta_auc"), "feature"))))
 
 
 def evaluate(scored: DataFrame, name: str, by: str = "split", threshold: float = 0.5) -> DataFrame:

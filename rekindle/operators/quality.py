@@ -7,7 +7,7 @@ aggregation on every executor) turned into rows with ``stack``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,90 +37,111 @@ def group_missing_median(missing: DataFrame) -> DataFrame:
     return missing.groupBy("grp").agg(F.median("missing_pct").alias("median_missing_pct"))
 
 
-def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(feature, x double) rows of the non-NULL values of ``cols``."""
-    pairs = ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols)
-    return (df.select(F.expr(f"stack({len(cols)}, {pairs}) as (feature, x)"))
-              .filter(F.col("x").isNotNull()))
+#: The first pass finds ranks to n / ACCURACY; a requested rank is searched among the ranks within WIDTH * n of it.
+ACCURACY = 2000
+WIDTH = 5 / ACCURACY
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float]) -> DataFrame:
-    """Exact interpolated quantiles (numpy 'linear', as ``percentile``) of
-    every column -> feature, q, value; a column without values gets none.
-
-    Distributed: the (feature, value) rows are range-partitioned and sorted
-    on (feature, x) — a column, or one value holding a third of the rows, is
-    split across partitions — and numbered densely with per-partition
-    offsets (``row_index``).  Per feature the first index and the count (one
-    row per feature) give the two ranks around q·(n-1); those rows (at most
-    2 per feature and quantile, a proven bound: broadcast) are fetched by
-    index and interpolated.  No column is gathered in one task, unlike the
-    ``percentile`` aggregate whose buffer holds every distinct value."""
-    from .events import row_index
+    """The same quantiles ``qs`` of every column, see :func:`column_quantiles`."""
+    return column_quantiles(df, {c: list(qs) for c in cols})
+
+
+def column_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> DataFrame:
+    """Exact interpolated quantiles (numpy 'linear', as ``percentile``) of each
+    column in ``wanted`` -> feature, q, value; a column without values gets none.
+
+    Two passes over the wide table and no row per (row, column): a mergeable
+    quantile summary of every column gives, for each requested rank, a bracket
+    of values that holds it (those few numbers reach the driver); the second
+    pass counts the values below each bracket and emits only the values inside
+    one, already counted per distinct value, and a running count inside the
+    bracket finds the two ranks around q * (n - 1).  A value holding a third of
+    the rows is one row with its count."""
+    cols = list(wanted)
+    x = {c: F.col(c).cast("double") for c in cols}
+    aggs = []
+    for i, c in enumerate(cols):
+        probe = [p for q in wanted[c] for p in (max(0.0, q - WIDTH), min(1.0, q + WIDTH))]
+        aggs += [F.count(x[c]).alias(f"n{i}"), F.min(x[c]).alias(f"lo{i}"), F.max(x[c]).alias(f"hi{i}"),
+                 F.percentile_approx(x[c], F.array(*[F.lit(p) for p in probe]), ACCURACY).alias(f"p{i}")]
+    first = df.agg(*aggs).first()
+    brackets = []  # (bracket number, feature, q, lower rank, upper rank, share of the upper, lo, hi)
+    for i, c in enumerate(cols):
+        for j, q in enumerate(wanted[c]):
+            if first[f"n{i}"]:
+                pos = q * (first[f"n{i}"] - 1)
+                few = first[f"n{i}"] < ACCURACY  # then the bracket would hold less than the ranks' neighbours
+                lo = first[f"lo{i}"] if few or q <= WIDTH else first[f"p{i}"][2 * j]
+                hi = first[f"hi{i}"] if few or q >= 1 - WIDTH else first[f"p{i}"][2 * j + 1]
+                brackets.append((len(brackets), c, float(q), int(pos), -int(-pos // 1), pos - int(pos), lo, hi))
     spark = df.sparkSession
-    n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["feature", "x"]
-    ranked = row_index(_long_values(df, cols).repartitionByRange(n_part, *order)
-                       .sortWithinPartitions(*order), "_i")
-    per = ranked.groupBy("feature").agg(F.min("_i").alias("_off"), F.count(F.lit(1)).alias("_n"))
-    qarr = F.array(*[F.lit(float(q)) for q in qs])
-    t = (per.select("feature", "_off", "_n", F.explode(qarr).alias("q"))
-            .withColumn("_pos", F.col("q") * (F.col("_n") - 1))
-            .withColumn("_lo", F.floor("_pos").cast("long"))
-            .withColumn("_hi", F.ceil("_pos").cast("long")))
-    ends = t.select("feature", "q", F.explode(F.array(
-        F.struct(F.lit("lo").alias("end"), (F.col("_off") + F.col("_lo")).alias("_i")),
-        F.struct(F.lit("hi").alias("end"), (F.col("_off") + F.col("_hi")).alias("_i")))).alias("e"))
-    ends = ends.select("feature", "q", "e.end", "e._i")
-    got = ranked.join(F.broadcast(ends), ["feature", "_i"]).groupBy("feature", "q").agg(
-        F.max(F.when(F.col("end") == "lo", F.col("x"))).alias("_xlo"),
-        F.max(F.when(F.col("end") == "hi", F.col("x"))).alias("_xhi"))
-    d = F.col("_pos") - F.col("_lo")
-    val = F.when(F.col("_hi") == F.col("_lo"), F.col("_xlo")) \
-           .otherwise((F.lit(1.0) - d) * F.col("_xlo") + d * F.col("_xhi"))
-    return t.join(got, ["feature", "q"]).select("feature", "q", val.alias("value"))
-
-
-def _quantile_table(df: DataFrame, cols: list[str], qs: list[float], names: list[str],
-                    accuracy: int | None) -> DataFrame:
-    """feature + one column per quantile; exact (distributed) by default,
-    ``percentile_approx`` with ``accuracy`` (one bounded pass) on request."""
-    base = df.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
-    if accuracy is None:
-        qv = exact_quantiles(df, cols, qs)
-        wide = qv.groupBy("feature").agg(*[
-            F.max(F.when(F.col("q") == F.lit(float(q)), F.col("value"))).alias(n)
-            for q, n in zip(qs, names)])
-    else:
-        arr = F.array(*[F.lit(q) for q in qs])
-        p = F.percentile_approx("x", arr, accuracy)
-        wide = _long_values(df, cols).groupBy("feature").agg(p.alias("_p")).select(
-            "feature", *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
+    table = spark.createDataFrame(brackets, "b int, feature string, q double, r0 long, r1 long, part double, "
+                                            "lo double, hi double")
+    if not brackets:
+        return table.select("feature", "q", F.col("lo").alias("value"))
+    # per bracket: values below it, and each value inside it with its count (rank r is the (r - below)-th of these)
+    below = df.agg(*[F.count_if(x[c] < lo).alias(f"b{k}") for k, c, _, _, _, _, lo, _ in brackets])
+    below = below.select(F.posexplode(F.array(*[F.col(f"b{k}") for k in range(len(brackets))])).alias("b", "below"))
+    inside = F.filter(F.array(*[F.struct(F.lit(k).alias("b"), x[c].alias("x"), x[c].between(lo, hi).alias("ok"))
+                                for k, c, _, _, _, _, lo, hi in brackets]), lambda s: F.coalesce(s["ok"], F.lit(False)))
+    values = (df.select(F.explode(inside).alias("s")).groupBy("s.b", "s.x").agg(F.count(F.lit(1)).alias("n")))
+    w = Window.partitionBy("b").orderBy("x")
+    values = (values.withColumn("upto", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                    .join(F.broadcast(table), "b").join(F.broadcast(below), "b"))  # a row per bracket
+    at = lambda r: F.min(F.when(F.col("below") + F.col("upto") > F.col(r), F.col("x")))
+    g = values.groupBy("b", "feature", "q", "part").agg(at("r0").alias("x0"), at("r1").alias("x1"))
+    value = F.when(F.col("part") == 0, F.col("x0")).otherwise((1 - F.col("part")) * F.col("x0") + F.col("part") * F.col("x1"))
+    return g.select("feature", "q", value.alias("value"))
+
+
+def approximate_quantiles(df: DataFrame, wanted: dict[str, list[float]], accuracy: int) -> DataFrame:
+    """As :func:`column_quantiles`, but to n / accuracy ranks: one pass of mergeable summaries."""
+    pairs = [(c, float(q)) for c, qs in wanted.items() for q in qs]
+    a = df.agg(*[F.percentile_approx(F.col(c).cast("double"), F.array(*[F.lit(q) for q in qs]), accuracy).alias(f"p{i}")
+                 for i, (c, qs) in enumerate(wanted.items()) if qs])
+    at = {c: f"p{i}" for i, (c, qs) in enumerate(wanted.items()) if qs}
+    cells = [F.struct(F.lit(c).alias("feature"), F.lit(q).alias("q"), F.get(at[c], F.lit(wanted[c].index(q))).alias("value"))
+             for c, q in pairs]
+    return a.select(F.explode(F.array(*cells)).alias("s")).select("s.*").filter(F.col("value").isNotNull())
+
+
+def _wide(qv: DataFrame, cols: list[str], qs: list[float], names: list[str]) -> DataFrame:
+    wide = qv.groupBy("feature").agg(*[
+        F.max(F.when(F.col("q") == F.lit(float(q)), F.col("value"))).alias(n) for q, n in zip(qs, names, strict=True)])
+    base = qv.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
     return base.join(wide, "feature", "left")
 
 
+def quantile_tables(features: DataFrame, cols: list[str], extreme_cols: list[str],
+                    cap_limit: float = 20.0, accuracy: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """A30 and A31 from one computation of all the quantiles (exact, or to n / ``accuracy`` ranks)."""
+    quart, ends = [0.25, 0.5, 0.75], [0.95, 0.99]
+    wanted = {c: (quart if c in cols else []) + (ends if c in extreme_cols else [])
+              for c in dict.fromkeys([*cols, *extreme_cols])}
+    qv = approximate_quantiles(features, wanted, accuracy) if accuracy else column_quantiles(features, wanted)
+    names = list(wanted)
+    a = features.agg(*[f(F.col(c).cast("double")).alias(f"{k}{i}") for i, c in enumerate(names)
+                       for k, f in (("mn", F.min), ("mx", F.max))])
+    rows = ", ".join(f"'{c}', mn{i}, mx{i}" for i, c in enumerate(names))
+    ext = a.select(F.expr(f"stack({len(names)}, {rows}) as (feature, min, max)"))
+    quantiles = (ext.join(_wide(qv, cols, quart, ["p25", "p50", "p75"]), "feature")
+                 .select("feature", "min", "p25", "p50", "p75", "max"))
+    extremes = (ext.join(_wide(qv, extreme_cols, ends, ["p95", "p99"]), "feature")
+                .select("feature", "p95", "p99", "max")
+                .withColumn("cap", F.least(F.col("p99") * 2, F.lit(cap_limit))))
+    return quantiles, extremes
+
+
 def feature_quantiles(features: DataFrame, cols: list[str], accuracy: int | None = None) -> DataFrame:
     """Min / P25 / P50 / P75 / max per numeric feature (NULLs ignored)."""
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}")]
-    a = features.agg(*aggs)
-    rows = ", ".join(f"'{c}', mn{i}, mx{i}" for i, c in enumerate(cols))
-    ext = a.select(F.expr(f"stack({len(cols)}, {rows}) as (feature, min, max)"))
-    q = _quantile_table(features, cols, [0.25, 0.5, 0.75], ["p25", "p50", "p75"], accuracy)
-    return ext.join(q, "feature").select("feature", "min", "p25", "p50", "p75", "max")
+    return quantile_tables(features, cols, [], accuracy=accuracy)[0]
 
 
 def extreme_values(features: DataFrame, cols: list[str], cap_limit: float = 20.0,
                    accuracy: int | None = None) -> DataFrame:
     """P95, P99, max and the suggested cap min(2 * P99, cap_limit)."""
-    a = features.agg(*[F.max(F.col(c).cast("double")).alias(f"mx{i}") for i, c in enumerate(cols)])
-    rows = ", ".join(f"'{c}', mx{i}" for i, c in enumerate(cols))
-    mx = a.select(F.expr(f"stack({len(cols)}, {rows}) as (feature, max)"))
-    q = _quantile_table(features, cols, [0.95, 0.99], ["p95", "p99"], accuracy)
-    long = mx.join(q, "feature").select("feature", "p95", "p99", "max")
-    return long.withColumn("cap", F.least(F.col("p99") * 2, F.lit(cap_limit)))
+    return quantile_tables(features, [], cols, cap_limit, accuracy)[1]
 
 
 def clean_report(before: DataFrame, after: DataFrame,

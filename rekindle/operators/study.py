@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import RevivalConfig
-from .timeline import _long, dedup_orders, valid_purchases
+from .quality import exact_quantiles
+from .timeline import _long, dedup_orders, on_timeline, valid_purchases
 
+# Settings of the original study.
 ADAPTIVE_KS = (1.5, 2.0, 2.5, 3.0)
 FIXED_THRESHOLDS = (60, 90, 120, 180)
 WINDOW_MS = (1.5, 2.0, 2.5, 3.0)
@@ -30,7 +32,7 @@ def study_gaps(orders: DataFrame, cfg: RevivalConfig) -> DataFrame:
     -> member_id, t_last, t_revival, gap, ci, next1, next2, data_end
     """
     valid = valid_purchases(orders, cfg)
-    tl = valid.select("member_id", "date").distinct()
+    tl = on_timeline(valid, "date").select("member_id", "date").distinct()
     w = Window.partitionBy("member_id").orderBy("date")
     data_end = tl.select(F.max("date")).scalar()
     g = (tl.select("member_id", F.lag("date").over(w).alias("t_last"),
@@ -166,17 +168,17 @@ def return_rates(orders: DataFrame, cfg: RevivalConfig) -> DataFrame:
         F.coalesce(F.col("sales_amount") < 0, F.lit(False))
     per = all_ord.groupBy("member_id").agg(F.count(F.lit(1)).alias("n"),
                                            F.count_if(ret).alias("r"))
-    per = per.withColumn("rate", F.col("r") / F.col("n"))
-    qs = [0.25, 0.5, 0.75, 0.9]
+    known = F.col("member_id").isNotNull()
     a = per.agg(
         (F.sum("r") * 100.0 / F.sum("n")).alias("order_return_pct"),
-        F.count_if(F.col("r") > 0).alias("returning_members"),
-        (F.count_if(F.col("r") > 0) * 100.0 / F.count(F.lit(1))).alias("returning_members_pct"),
-        F.percentile(F.when(F.col("r") > 0, F.col("rate")),
-                     F.array(*[F.lit(q) for q in qs])).alias("p"))
-    a = a.select("order_return_pct", "returning_members", "returning_members_pct",
-                 *[F.col("p")[i].alias(f"returner_rate_p{int(q * 100)}") for i, q in enumerate(qs)])
-    return _long(a, a.columns)
+        F.count_if(known & (F.col("r") > 0)).alias("returning_members"),
+        (F.count_if(known & (F.col("r") > 0)) * 100.0 / F.count_if(known)).alias("returning_members_pct"))
+    # distinct rates grow with the data: no per-task percentile buffer
+    rates = per.filter(known & (F.col("r") > 0)).select((F.col("r") / F.col("n")).alias("rate"))
+    qs = [0.25, 0.5, 0.75, 0.9]
+    wide = exact_quantiles(rates, ["rate"], qs).agg(*[
+        F.max(F.when(F.col("q") == q, F.col("value"))).alias(f"returner_rate_p{int(q * 100)}") for q in qs])
+    return _long(a, a.columns).unionByName(_long(wide, wide.columns))
 
 
 # Promotion calendar of the original study, by calendar month.
@@ -207,48 +209,69 @@ def window_range_join(gaps: DataFrame, window_days: int) -> DataFrame:
         ["member_id", "t_revival"])
 
 
+def window_range_join_personal(gaps: DataFrame, m: float, cap: int = 365) -> DataFrame:
+    """J10 (personalised window W = min(m * ci, cap) days): purchase days in
+    (t_revival, t_revival + W] for every gap end -> member_id, t_revival, window, n_after.
+
+    No frame has a bound per row, so the member's timeline gets a probe row at
+    each window's end: a running count at the probe minus the running count at
+    the gap end is the number of days between them (linear in days + gaps)."""
+    g = gaps.select("member_id", "t_revival", F.least(F.col("ci") * m, F.lit(float(cap))).alias("window"))
+    day = g.select("member_id", F.unix_date("t_revival").cast("double").alias("at"), F.lit(1).alias("n"),
+                   "t_revival", "window", F.lit("day").alias("kind"))
+    probe = g.select("member_id", (F.unix_date("t_revival") + F.col("window")).alias("at"), F.lit(0).alias("n"),
+                     "t_revival", "window", F.lit("probe").alias("kind"))
+    w = Window.partitionBy("member_id").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    seen = day.unionByName(probe).withColumn("seen", F.sum("n").over(w))
+    return (seen.groupBy("member_id", "t_revival")
+            .agg(F.first("window").alias("window"),
+                 (F.max(F.when(F.col("kind") == "probe", F.col("seen")))
+                  - F.max(F.when(F.col("kind") == "day", F.col("seen")))).alias("n_after")))
+
+
 def histogram(df: DataFrame, col: str, bins: int, kind: str = "linear",
               clip_upper: float | None = None, by: str | None = None,
               lo: float | None = None, hi: float | None = None) -> DataFrame:
-    """Bin counts -> [by], bin, lo, hi, n.
+    """Bin counts, empty bins included -> [by], bin, lo, hi, n.
 
     ``linear``: ``bins`` equal-width bins between min and max (last bin closed,
-    as numpy); ``unit``: values clipped at ``clip_upper``, unit bins
-    [0,1), [1,2) ... ; ``log``: ``bins`` log-spaced edges from 1 to max+1.
-    Edges come from one aggregate per group; only bin counts are shuffled."""
+    as numpy); ``unit``: values clipped at ``clip_upper``, unit bins [0,1),
+    [1,2) ... up to [clip_upper, clip_upper + 1]; ``log``: ``bins`` bins between
+    log-spaced edges from 1 to max + 1.  Values outside the edges (below 1 for
+    ``log``, below 0 for ``unit``) are in no bin.
+
+    With ``by`` every group has edges of its own.  The edges are one aggregate,
+    read as a scalar map (one entry a group), so the rows meet no join and only
+    bin counts are exchanged; ``by`` is meant for a few groups."""
     x = F.col(col).cast("double")
+    group = F.col(by) if by else F.lit(0)
     keys = [by] if by else []
-    d = df.filter(x.isNotNull())
+    d = df.filter(x.isNotNull()).select(group.alias("_g"), x.alias("_x"))
+    if by:
+        d = d.filter(F.col("_g").isNotNull())
     if kind == "unit":
-        top = float(clip_upper)
-        b = F.floor(F.least(x, F.lit(top))).cast("int")
-        out = d.groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-        return out.select(*keys, "bin", F.col("bin").cast("double").alias("lo"),
-                          (F.col("bin") + 1).cast("double").alias("hi"), "n")
-    g = d.groupBy(*keys).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-    if lo is not None:
-        g = g.withColumn("_lo", F.lit(float(lo)))
-    if hi is not None:
-        g = g.withColumn("_hi", F.lit(float(hi)))
-    # one edge row per group: no broadcast hint, the planner (AQE: measured
-    # size against the broadcast threshold) broadcasts it only when it is small
-    j = d.join(g, keys) if keys else d.withColumns(
-        {"_lo": F.lit(lo) if lo is not None else d.select(F.min(x)).scalar(),
-         "_hi": F.lit(hi) if hi is not None else d.select(F.max(x)).scalar()})
-    if kind == "log":
-        top = F.log10(F.col("_hi") + 1)
-        step = top / (bins - 1)
-        b = F.least(F.floor(F.log10(x) / step), F.lit(bins - 2)).cast("int")
-        lo_e = F.pow(F.lit(10.0), F.col("bin") * F.col("_step"))
-        hi_e = F.pow(F.lit(10.0), (F.col("bin") + 1) * F.col("_step"))
-        j = j.withColumn("_step", step)
+        bins = int(clip_upper) + 1
+        d = d.withColumn("_x", F.least(F.col("_x"), F.lit(float(clip_upper))))
+        low, high = F.lit(0.0), F.lit(float(bins))
+    elif kind == "log":
+        low, high = F.lit(0.0), F.log10(F.max("_x") + 1)
+        d = d.filter(F.col("_x") >= 1)
     else:
-        w = (F.col("_hi") - F.col("_lo")) / bins
-        b = F.when(w == 0, F.lit(0)).otherwise(
-            F.least(F.floor((x - F.col("_lo")) / w), F.lit(bins - 1))).cast("int")
-        j = j.withColumn("_step", w)
-        lo_e = F.col("_lo") + F.col("bin") * F.col("_step")
-        hi_e = F.col("_lo") + (F.col("bin") + 1) * F.col("_step")
-    out = j.withColumn("bin", b).groupBy(*keys, "bin", "_lo", "_step").agg(
-        F.count(F.lit(1)).alias("n"))
-    return out.select(*keys, "bin", lo_e.alias("lo"), hi_e.alias("hi"), "n")
+        low = F.min("_x") if lo is None else F.lit(float(lo))
+        high = F.max("_x") if hi is None else F.lit(float(hi))
+    edges = d.groupBy("_g").agg(low.alias("lo"), high.alias("hi"))
+    edges = edges.withColumn("step", (F.col("hi") - F.col("lo")) / bins)
+    of = edges.agg(F.map_from_entries(F.collect_list(F.struct("_g", F.struct("lo", "hi", "step"))))).scalar()
+    at = F.log10("_x") if kind == "log" else F.col("_x")
+    e = d.withColumn("_e", of[F.col("_g")])
+    inside = (at >= F.col("_e.lo")) & (at <= F.col("_e.hi"))
+    b = F.when(F.col("_e.step") == 0, 0).otherwise(
+        F.least(F.floor((at - F.col("_e.lo")) / F.col("_e.step")), F.lit(bins - 1))).cast("int")
+    found = e.filter(inside).groupBy("_g", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    every = edges.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    out = every.join(found, ["_g", "bin"], "left")  # bins a group on either side
+    edge = lambda k: F.col("lo") + k * F.col("step")
+    if kind == "log":
+        edge = lambda k: F.pow(F.lit(10.0), k * F.col("step"))
+    return out.select(*[F.col("_g").alias(k) for k in keys], "bin", edge(F.col("bin")).alias("lo"),
+                      edge(F.col("bin") + 1).alias("hi"), F.coalesce("n", F.lit(0)).alias("n"))

@@ -72,10 +72,13 @@ def dedup_orders(df: DataFrame, key: str = "order_code",
     The reference keeps the first row in file order; files have no order in
     Spark, so the kept row is the smallest by ``order_by`` (default
     ``order_ts``) with every remaining column as tie-break — deterministic.
+    A row without an ordering value comes after those that have one (an undated
+    copy of an order never replaces the dated one).
     Implemented as a ``min`` over one struct (map-side combine).
     """
     cols = df.columns
     ob = [F.col(c) if isinstance(c, str) else c for c in (order_by or ["order_ts"])]
+    ob = [x for c in ob for x in (c.isNull(), c)]
     # one struct: ordering fields first, then the row itself -> min() is the
     # first row by (order_by, all columns) and the row travels once
     row = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(ob)], *[F.col(c) for c in cols])
@@ -102,6 +105,12 @@ def unique_orders(valid: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- W5 + W3
+def on_timeline(orders: DataFrame, ts_col: str = "order_ts") -> DataFrame:
+    """Rows that have a place in a member's history: an order without a member
+    or without a timestamp belongs to no timeline (it still counts as an order)."""
+    return orders.filter(F.col("member_id").isNotNull() & F.col(ts_col).isNotNull())
+
+
 def member_days(valid: DataFrame, cfg: RevivalConfig) -> DataFrame:
     """R3-2 + W3 in one aggregation: one row per (member, date) carrying the
     day's candidate t0 order — Finish first, then the largest amount, then
@@ -111,7 +120,7 @@ def member_days(valid: DataFrame, cfg: RevivalConfig) -> DataFrame:
     rank = F.struct(not_finish.alias("nf"), (-F.col("sales_amount")).alias("neg_amt"),
                     F.col("order_code").alias("code"))
     pick = F.min_by(F.struct("order_code", "order_ts"), rank)
-    return (valid.groupBy("member_id", "date")
+    return (on_timeline(valid).groupBy("member_id", "date")
                  .agg(pick.alias("_b"))
                  .select("member_id", "date",
                          F.col("_b.order_code").alias("t0_order_code"),
@@ -120,7 +129,7 @@ def member_days(valid: DataFrame, cfg: RevivalConfig) -> DataFrame:
 
 def daily_timeline(valid: DataFrame) -> DataFrame:
     """Distinct (member_id, date)."""
-    return valid.select("member_id", "date").distinct()
+    return on_timeline(valid, "date").select("member_id", "date").distinct()
 
 
 def best_order_per_day(valid: DataFrame, cfg: RevivalConfig) -> DataFrame:
@@ -140,7 +149,7 @@ def purchase_gaps(days: DataFrame) -> DataFrame:
     (+ any carried day columns such as the t0 candidate of ``date_to``)."""
     w = _by_member()
     carried = [c for c in days.columns if c not in ("member_id", "date")]
-    return (days.withColumn("date_from", F.lag("date").over(w))
+    return (on_timeline(days, "date").withColumn("date_from", F.lag("date").over(w))
                 .filter(F.col("date_from").isNotNull())
                 .select("member_id", "date_from", F.col("date").alias("date_to"),
                         F.datediff("date", "date_from").alias("gap_days"), *carried))
@@ -232,7 +241,8 @@ def sign_shares(df: DataFrame) -> DataFrame:
 
 def purchase_count_dist(unique_valid: DataFrame) -> DataFrame:
     """A4: orders per member — P25..P95, mean, max, one-time share, >=2/3/5."""
-    per = unique_valid.groupBy("member_id").agg(F.count(F.lit(1)).alias("n"))
+    per = (unique_valid.filter(F.col("member_id").isNotNull())
+           .groupBy("member_id").agg(F.count(F.lit(1)).alias("n")))
     qs = [0.25, 0.5, 0.75, 0.9, 0.95]
     p = F.percentile("n", F.array(*[F.lit(q) for q in qs]))
     a = per.agg(p.alias("p"), F.avg("n").alias("mean"), F.max("n").alias("max"),
@@ -282,7 +292,7 @@ def static_ci_stats(gaps: DataFrame, unique_valid: DataFrame) -> DataFrame:
     a = ci.agg(F.percentile("ci", F.array(*[F.lit(q) for q in qs])).alias("p"),
                F.avg("ci").alias("mean"), F.max("ci").alias("max"),
                F.count(F.lit(1)).alias("members"))
-    single = (unique_valid.groupBy("member_id").agg(F.count(F.lit(1)).alias("n"))
+    single = (unique_valid.filter(F.col("member_id").isNotNull()).groupBy("member_id").agg(F.count(F.lit(1)).alias("n"))
                           .filter("n = 1").select(F.count(F.lit(1))).scalar())
     a = a.select(*[F.col("p")[i].alias(f"p{int(q * 100)}") for i, q in enumerate(qs)],
                  "mean", "max", F.col("p")[1].alias("fallback"), "members",

@@ -26,6 +26,7 @@ from ..operators import study as ST
 from ..operators import timeline as TL
 from ..session import cut_lineage
 from ..sources import adapters as A
+from ..sources import io as IO
 
 
 class Tables:
@@ -70,9 +71,8 @@ class Tables:
                                  self.cfg_b.window_days, same_source=True)
     @cached_property
     def samples(self):
-        # process boundary of the original pipeline (sample table written once):
-        # cut the lineage so every feature branch reads the materialised table
-        return cut_lineage(EV.samples(self.orders, self.cfg))
+        # the numbering materialises the rows (once); this is a join with its offsets
+        return EV.samples(self.orders, self.cfg)
     @cached_property
     def orders_fl(self):
         # stage-2 order table feeds three feature branches: materialise once
@@ -93,14 +93,13 @@ class Tables:
     @cached_property
     def features_clean(self): return FE.clean_ranges(self.features, self.cfg)
     @cached_property
+    def features_stored(self): return cut_lineage(self.features_clean)  # for readers of several passes
+    @cached_property
     def sgaps(self): return ST.study_gaps(self.orders, self.cfg)
 
 
 NUMERIC_FEATURES = [c for c in FE.FEATURE_COLS if c not in FE.CATEGORICAL_COLS]
-RATIO_FEATURES = ["hist_discount_ratio", "hist_coupon_order_ratio", "hist_return_ratio",
-                  "t0_discount_ratio", "t0_vs_avg_ticket_ratio", "t0_vs_max_ticket_ratio",
-                  "sleep_vs_ci_ratio", "t0_discount_vs_hist_ratio", "t0_qty_vs_avg",
-                  "hist_repeat_sku_ratio", "gap_cv"]
+RATIO_FEATURES = FE.RATIO_FEATURES
 
 # ---------------------------------------------------------------------------- registry
 _Q: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -201,10 +200,10 @@ def _(t): return t.samples.select("sample_id", "t0_order_code").join(
     "t0_order_code").select("sample_id", "sale_page_id", "unit_price")
 @q("familiar_product")
 def _(t): return FE.f3_products(t.samples, t.lines_v, t.cfg).select(
-    "sample_id", "t0_buys_familiar_product").filter(F.col("t0_buys_familiar_product").isNotNull())
+    "sample_id", "t0_buys_familiar_product")
 @q("familiar_product_null_safe")
 def _(t): return FE.f3_products(t.samples, t.lines_v, t.cfg.with_(null_safe_pages=True)).select(
-    "sample_id", "t0_buys_familiar_product").filter(F.col("t0_buys_familiar_product").isNotNull())
+    "sample_id", "t0_buys_familiar_product")
 @q("member_dim_join")
 def _(t): return FE.member_dim_join(t.samples, t.members_c).select(
     "sample_id", "member_id", "register_source", "register_date", "birthday", "card_level")
@@ -212,6 +211,8 @@ def _(t): return FE.member_dim_join(t.samples, t.members_c).select(
 def _(t): return t.features
 @q("window_range_join")
 def _(t): return ST.window_range_join(t.sgaps, 90)
+@q("window_range_join_personal")
+def _(t): return ST.window_range_join_personal(t.sgaps, 2.0)
 @q("split_overlap")
 def _(t): return EV.split_overlap(t.samples)
 @q("attach_member_ci")
@@ -243,7 +244,11 @@ def _(t): return ST.window_stats(t.sgaps, t.cfg, 3.0, 90, "90d")
 def _(t): return ST.window_sweep(t.sgaps, t.cfg)
 @q("k_m_grid")
 def _(t): return ST.k_m_grid(t.sgaps, t.cfg)
+@q("k_m_pivot")
+def _(t): return ST.k_m_pivot(ST.k_m_grid(t.sgaps, t.cfg))
 @q("best_window")
+def _(t): return ST.best_window(ST.window_sweep(t.sgaps, t.cfg))
+@q("best_window_100")
 def _(t): return ST.best_window(ST.window_sweep(t.sgaps, t.cfg), 100)
 @q("dormancy_length_dist")
 def _(t): return ST.dormancy_length_dist(t.sgaps, t.cfg)
@@ -258,6 +263,8 @@ def _(t): return EV.split_month_dist(t.samples)
 @q("funnel")
 def _(t): return EV.funnel(t.orders, t.cfg)
 @q("funnel_checks")
+def _(t): return EV.funnel_checks(t.samples, t.cfg)
+@q("funnel_checks_fixture")
 def _(t): return EV.funnel_checks(t.samples, t.cfg.with_(label_rate_bounds=(0.2, 0.4)))
 @q("f1_history")
 def _(t): return t.f1
@@ -276,6 +283,12 @@ def _(t):
     s = EV.samples(t.orders_b, t.cfg_b)
     return FE.f6_recent(s, TL.scan_orders_flagged(t.orders_b, t.cfg_b), t.cfg_b.with_(recent_days=(1, 2, 7),
                                                                                        pre_dormancy_days=3))
+@q("f1_history_b")
+def _(t):
+    s = EV.samples(t.orders_b, t.cfg_b)
+    return FE.f1_history(s, TL.scan_orders_flagged(t.orders_b, t.cfg_b), t.cfg_b)
+@q("hist_mode_channel")
+def _(t): return FE.hist_mode(t.samples, t.orders_fl, "channel", "hist_main_channel")
 @q("hist_mode")
 def _(t): return FE.hist_mode(t.samples, t.orders_fl, "payment", "hist_main_payment")
 @q("missing_rates")
@@ -283,15 +296,23 @@ def _(t): return Q.missing_rates(t.features_clean)
 @q("group_missing_median")
 def _(t): return Q.group_missing_median(Q.missing_rates(t.features_clean))
 @q("feature_quantiles")
-def _(t): return Q.feature_quantiles(t.features_clean, NUMERIC_FEATURES)
+def _(t): return Q.feature_quantiles(t.features_stored, NUMERIC_FEATURES)
 @q("extreme_values")
-def _(t): return Q.extreme_values(t.features_clean, RATIO_FEATURES)
+def _(t): return Q.extreme_values(t.features_stored, RATIO_FEATURES)
 @q("leakage_audit")
 def _(t): return FE.leakage_audit(t.samples, t.orders_fl, t.cfg, t.hist)
 @q("histograms")
 def _(t): return ST.histogram(t.unique.groupBy("member_id").count(), "count", 20, kind="linear")
 @q("histogram_unit")
 def _(t): return ST.histogram(t.unique, "ts_count", 0, kind="unit", clip_upper=5)
+@q("histogram_unit_20")
+def _(t): return ST.histogram(t.unique, "ts_count", 0, kind="unit", clip_upper=20)
+@q("histogram_unit_30")
+def _(t): return ST.histogram(t.unique, "qty", 0, kind="unit", clip_upper=30)
+@q("histogram_log")
+def _(t): return ST.histogram(t.unique.groupBy("member_id").count(), "count", 59, kind="log")
+@q("histogram_log_small")
+def _(t): return ST.histogram(t.scored.withColumn("x", F.col("score") * 3), "x", 12, kind="log", by="label")
 @q("clean_report")
 def _(t): return Q.clean_report(t.features, t.features_clean)
 
@@ -336,6 +357,15 @@ def _(t): return M.tiers(t.scored)
 def _(t): return M.midband_calibration(t.scored)
 @q("score_histogram")
 def _(t): return M.score_histogram(t.scored)
+@q("score_histogram_test")
+def _(t): return M.score_histogram(t.scored.filter("split = 'test'"))
+@q("coerce_numeric")
+def _(t):
+    o = A.read_table(t.spark, t.d, "orders")
+    k = F.col("o_orderkey")
+    mixed = (F.when(k % 3 == 0, F.col("o_orderpriority")).when(k % 3 == 1, k.cast("string"))
+             .when(k % 6 == 2, F.concat((k % 97).cast("string"), F.lit(".5"))))
+    return IO.coerce_numeric(o.select(k.alias("order_code"), mixed.alias("x")), ["x"])
 @q("midband_share")
 def _(t): return M.midband_share(t.scored)
 @q("smd_profile")
@@ -343,41 +373,93 @@ def _(t): return M.smd_profile(t.scored, ["f1", "f2"])
 @q("direction")
 def _(t): return M.direction(t.scored, ["f1", "f2"])
 
-# --- model (property checks only, no SQL oracle) --------------------------------------------
+# --- model (no SQL oracle; each has a companion row with exact properties) --------------------
+_MODELS: dict = {}
+
+
 def _model(t):
-    from ..session import cut_lineage
-    f = cut_lineage(t.features_clean)
-    cols = MD.feature_columns(f)
-    train, test = f.filter("split = 'train'"), f.filter("split = 'test'")
-    return f, cols, train, test, MD.train_gbt(train, cols, max_iter=10)
+    """Features and the model of default size, fitted once per session and data folder."""
+    key = (t.spark.sparkContext.applicationId, t.d)
+    if key not in _MODELS:
+        f = t.features_stored
+        cols = MD.feature_columns(f)
+        _MODELS[key] = f, cols, MD.train_gbt(f.filter("split = 'train'"), cols)
+    return _MODELS[key]
+
+
+def _attribution(t):
+    f, cols, m = _model(t)
+    return MD.permutation_importance(m, f.filter("split = 'test'"), cols)
 @q("model_scores")
 def _(t):
-    f, cols, train, test, m = _model(t)
+    f, cols, m = _model(t)
     return MD.score_split(m, f)
+@q("model_scores_check")
+def _(t):
+    f, cols, m = _model(t)
+    s = MD.score_split(m, f)
+    return s.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positive"),
+                                  F.count_if(F.col("score").between(0, 1)).alias("in_range"),
+                                  F.count_distinct("sample_id").alias("ids"))
 @q("model_metrics")
 def _(t):
-    f, cols, train, test, m = _model(t)
+    f, cols, m = _model(t)
     return MD.evaluate(MD.score_split(m, f), "gbt")
+@q("model_metrics_check")
+def _(t):
+    f, cols, m = _model(t)
+    e = MD.evaluate(MD.score_split(m, f), "gbt")
+    unit = [F.col(c).between(0, 1) for c in ("auc_roc", "auc_pr", "brier", "precision", "recall", "f1")]
+    ok = unit[0]
+    for u in unit[1:]:
+        ok = ok & u
+    return e.select("model", "split", ok.alias("in_range"), (F.col("auc_roc") > 0.5).alias("better_than_chance"))
 @q("gain_importance")
 def _(t):
-    f, cols, train, test, m = _model(t)
+    f, cols, m = _model(t)
     return MD.gain_importance(m, cols, f)
+@q("gain_importance_check")
+def _(t):
+    f, cols, m = _model(t)
+    return MD.gain_importance(m, cols, f).agg(
+        F.count(F.lit(1)).alias("features"), F.round(F.sum("gain"), 6).alias("total"),
+        F.count_if(F.col("gain") < 0).alias("negative"), F.max("rank").alias("last_rank"))
 @q("key_feature_ranks")
 def _(t):
-    f, cols, train, test, m = _model(t)
-    return MD.key_feature_ranks(MD.gain_importance(m, cols, f),
-                                ["sleep_days", "t0_buys_familiar_product", "t0_vs_avg_ticket_ratio",
-                                 "sleep_vs_ci_ratio", "t0_discount_vs_hist_ratio"])
+    f, cols, m = _model(t)
+    return MD.key_feature_ranks(MD.gain_importance(m, cols, f), FE.WATCH_LIST)
+@q("key_feature_ranks_check")
+def _(t):
+    f, cols, m = _model(t)
+    r = MD.key_feature_ranks(MD.gain_importance(m, cols, f), [*FE.WATCH_LIST, "no_such_feature"])
+    return r.select("feature", F.col("rank").between(1, len(cols)).alias("ranked"))
 @q("permutation_importance")
 def _(t):
-    f, cols, train, test, m = _model(t)
-    return MD.permutation_importance(m, test, cols, n=20000)
+    return _attribution(t)
+@q("permutation_importance_check")
+def _(t):
+    f, cols, m = _model(t)
+    still = f.filter("split = 'test'").withColumn(cols[0], F.lit(1).cast(dict(f.dtypes)[cols[0]]))
+    r = MD.permutation_importance(m, still, cols)
+    return r.agg(F.count(F.lit(1)).alias("features"), F.count_distinct("feature").alias("names"),
+                 F.max(F.when(F.col("feature") == cols[0], F.col("delta_auc"))).alias("delta_of_constant"),
+                 F.count_if(F.abs("delta_auc") > 1).alias("out_of_range"))
 @q("ablation")
 def _(t):
-    f, cols, train, test, _m = _model(t)
-    return MD.ablation(train, test, cols, t.cfg.snapshot_cols, max_iter=10)
+    f, cols, _m = _model(t)
+    return MD.ablation(f.filter("split = 'train'"), f.filter("split = 'test'"), cols, t.cfg.snapshot_cols)
+@q("ablation_check")
+def _(t):
+    f, cols, _m = _model(t)
+    r = MD.ablation(f.filter("split = 'train'"), f.filter("split = 'test'"), cols, [], max_iter=5)
+    return r.select("model", "split", F.col("delta_auc").alias("delta_of_nothing_dropped"))
 @q("seeded_sample")
 def _(t): return MD.seeded_sample(t.samples, 20, 42).select(*EV.SAMPLE_COLS)
+@q("seeded_sample_check")
+def _(t):
+    a, b = MD.seeded_sample(t.samples, 20, 42), MD.seeded_sample(t.samples.repartition(5), 20, 42)
+    return a.select("sample_id").union(b.select("sample_id")).groupBy("sample_id").count() \
+        .groupBy(F.col("count").alias("times")).agg(F.count(F.lit(1)).alias("n"))
 
 # element-wise doubles (bit-identical in any engine): no rounding, which would
 # only introduce half-way ties between rounding implementations

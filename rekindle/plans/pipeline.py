@@ -27,38 +27,58 @@ from ..session import cut_lineage
 
 
 def build_samples(orders: DataFrame, cfg: RevivalConfig) -> DataFrame:
-    """Entry A: canonical orders -> sample table (materialised)."""
-    return cut_lineage(EV.samples(orders, cfg))
+    """Entry A: canonical orders -> sample table (the numbered rows are
+    materialised once, by the numbering)."""
+    return EV.samples(orders, cfg)
 
 
 def build_features(samples: DataFrame, orders: DataFrame, lines: DataFrame, members: DataFrame,
                    cfg: RevivalConfig, clean: bool = True) -> DataFrame:
-    """Entry B: samples + raw tables -> feature matrix (materialised)."""
+    """Entry B: samples + raw tables -> feature matrix (materialised).
+
+    Fails if a member has two rows, or if the joins changed the number of rows."""
     orders_fl = cut_lineage(TL.scan_orders_flagged(orders, cfg))
     feats = FE.assemble_features(samples, orders_fl, FE.scan_lines_valid(lines, cfg),
                                  FE.scan_members(members), cfg)
-    return cut_lineage(FE.clean_ranges(feats, cfg) if clean else feats)
+    out = cut_lineage(FE.clean_ranges(feats, cfg) if clean else feats)
+    n, m = samples.count(), out.count()
+    if n != m:
+        raise ValueError(f"{n} samples became {m} feature rows")
+    return out
 
 
-def feature_sanity(features: DataFrame) -> dict[str, DataFrame]:
-    """A29-A31 tables over the feature matrix."""
+def feature_sanity(features: DataFrame, samples: DataFrame | None = None, orders: DataFrame | None = None,
+                   cfg: RevivalConfig | None = None) -> dict[str, DataFrame]:
+    """A29-A31 tables over the feature matrix; the leakage audit (A32) if the
+    samples and orders it needs are given."""
     num = [c for c in FE.FEATURE_COLS if c not in FE.CATEGORICAL_COLS]
     miss = Q.missing_rates(features)
-    return {"missing_rates": miss, "group_missing": Q.group_missing_median(miss),
-            "quantiles": Q.feature_quantiles(features, num)}
+    quant, extreme = Q.quantile_tables(features, num, [c for c in FE.RATIO_FEATURES if c in features.columns])
+    out = {"missing_rates": miss, "group_missing": Q.group_missing_median(miss),
+           "quantiles": quant, "extreme_values": extreme}
+    if samples is not None and orders is not None:
+        out["leakage_audit"] = FE.leakage_audit(samples, TL.scan_orders_flagged(orders, cfg), cfg)
+    return out
 
 
 def fit_and_evaluate(features: DataFrame, cfg: RevivalConfig, max_iter: int = 40,
-                     attribution_rows: int = 20000) -> dict[str, DataFrame]:
-    """Entry C: train on the train split, score both splits, metric tables."""
+                     model_path: str | None = None) -> dict[str, DataFrame]:
+    """Entry C: train on the train split, score both splits, metric tables.
+
+    ``model_path``: where to save the fitted model."""
     cols = MD.feature_columns(features)
     train = features.filter("split = 'train'")
     test = features.filter("split = 'test'")
     model = MD.train_gbt(train, cols, cfg.seed, max_iter=max_iter)
+    if model_path:
+        MD.save_model(model, model_path)
     scored = cut_lineage(MD.score_split(model, features))
     num = [c for c in cols if c not in FE.CATEGORICAL_COLS]
     test_scored = scored.filter("split = 'test'").join(
         features.select("sample_id", *num), "sample_id")
+    importance = MD.gain_importance(model, cols, features)
+    attribution = cut_lineage(MD.permutation_importance(model, test, cols, cfg.seed))
+    top = M.topk(attribution.drop("rank"), "delta_auc", 5)
     return {
         "scored": scored,
         "metrics": M.metric_table(scored),
@@ -67,9 +87,14 @@ def fit_and_evaluate(features: DataFrame, cfg: RevivalConfig, max_iter: int = 40
         "tiers": M.tiers(scored, lo=cfg.mid_lo, hi=cfg.mid_hi),
         "calibration": M.midband_calibration(scored),
         "histogram": M.score_histogram(scored.filter("split = 'test'")),
+        "midband_share": M.midband_share(scored, lo=cfg.mid_lo, hi=cfg.mid_hi),
         "smd": M.smd_profile(test_scored, num, cfg.mid_lo, cfg.mid_hi),
-        "importance": MD.gain_importance(model, cols, features),
-        "attribution": MD.permutation_importance(model, test, cols, attribution_rows, cfg.seed),
+        "importance": importance,
+        "attribution": attribution,
+        "importance_overlap": M.topk_overlap(importance, attribution),
+        "direction": M.direction(test_scored, num).join(top.select("feature", "rank"), "feature"),
+        "key_feature_ranks": MD.key_feature_ranks(attribution, FE.WATCH_LIST),
+        "ablation": MD.ablation(train, test, cols, cfg.snapshot_cols, cfg.seed, max_iter=max_iter),
     }
 
 
@@ -77,10 +102,26 @@ def parameter_study(orders: DataFrame, cfg: RevivalConfig) -> dict[str, DataFram
     """Entry D: the exploratory sweeps in a handful of passes over one gap table."""
     g = cut_lineage(ST.study_gaps(orders, cfg))
     sweep = ST.window_sweep(g, cfg)
+    grid = ST.k_m_grid(g, cfg)
+    valid = TL.valid_purchases(orders, cfg)
+    unique = cut_lineage(TL.unique_orders(valid))
+    gaps = cut_lineage(TL.purchase_gaps(TL.daily_timeline(valid)))
+    per_member = unique.filter("member_id is not null").groupBy("member_id").count()
     return {
+        "overview": TL.table_overview(orders),
+        "status_share": TL.value_share(orders, "status"),
+        "sign_shares": TL.sign_shares(orders),
+        "purchase_counts": TL.purchase_count_dist(unique),
+        "purchase_count_histogram": ST.histogram(per_member, "count", 59, kind="log"),
+        "item_counts": TL.item_count_dist(unique),
+        "sku_histogram": ST.histogram(unique, "ts_count", 0, kind="unit", clip_upper=20),
+        "qty_histogram": ST.histogram(unique, "qty", 0, kind="unit", clip_upper=30),
+        "static_cycle": TL.static_ci_stats(gaps, unique),
+        "gap_dist": TL.gap_dist(gaps),
         "threshold_sweep": ST.threshold_sweep(g, cfg),
         "window_sweep": sweep,
-        "k_m_grid": ST.k_m_grid(g, cfg),
+        "k_m_grid": grid,
+        "k_m_table": ST.k_m_pivot(grid),
         "best_window": ST.best_window(sweep),
         "dormancy_length": ST.dormancy_length_dist(g, cfg),
         "return_rates": ST.return_rates(orders, cfg),

@@ -1,15 +1,11 @@
 """Session construction and lineage cutting.
 
 Library code never picks a machine-local folder: the checkpoint folder is
-whatever the cluster names in ``spark.checkpoint.dir``.  Only tests and the
-local bench set one, and only when it is unset.
+whatever the cluster names in ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
@@ -49,16 +45,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.sparkContext.getCheckpointDir()
 
 
-def ensure_local_checkpoint_dir(spark: SparkSession) -> str:
-    """For tests / local bench only: set a scratch checkpoint dir when unset."""
-    d = checkpoint_dir(spark)
-    if d:
-        spark.sparkContext.setCheckpointDir(d)
-        return d
-    d = tempfile.mkdtemp(prefix="rekindle-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+_KEPT: list[DataFrame] = []
+
+
+def release() -> None:
+    """Drop the tables that :func:`cut_lineage` has persisted so far (sessions
+    without a shared folder; checkpoint files go with their tables)."""
+    while _KEPT:
+        _KEPT.pop().unpersist(blocking=False)
 
 
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
@@ -68,8 +62,8 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     into that folder (it survives executor loss without recomputation).  The
     table is persisted first so the checkpoint is written from the computed
     blocks instead of computing the plan a second time.  Without a shared
-    folder the table is only persisted (memory and disk) and a lost block is
-    recomputed from its lineage.  No machine-local folder is ever chosen here.
+    folder the table is only persisted (memory and disk) until :func:`release`,
+    and a lost block is recomputed from its lineage.  No machine-local folder is ever chosen here.
     """
     from pyspark import StorageLevel
     spark = df.sparkSession
@@ -81,4 +75,5 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
         cached.unpersist(blocking=False)
         return out
     cached.count()
+    _KEPT.append(cached)
     return cached

@@ -15,12 +15,7 @@ from pyspark.sql import types as T
 from ..operators.features import FEATURE_COLS, ID_COLS
 from ..operators.events import SAMPLE_COLS
 
-# Timestamp text layouts accepted by the order scan.
-TS_FORMATS = ("yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd HH:mm:ss",
-              "yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd HH:mm", "yyyy-MM-dd",
-              "yyyy/MM/dd")
-
-# Raw header column -> canonical name.
+# Raw header column -> canonical name.
 ORDER_COLUMN_MAP = {
     "ShopMemberId": "member_id", "TradesGroupCode": "order_code", "OrderDateTime": "order_ts",
     "StatusDef": "status", "TotalSalesAmount": "sales_amount", "TsCount": "ts_count",
@@ -43,10 +38,30 @@ BOOLEAN = {"is_app_installed", "optin_email", "optin_push", "optin_sms"}
 TIMESTAMP = {"order_ts", "register_date", "birthday"}
 
 
-def parse_ts(c: str | Column, formats=TS_FORMATS) -> Column:
-    """Mixed-format timestamp text -> timestamp_ntz (NULL when no format fits)."""
+def parse_ts(c: str | Column, on_bad: str = "null") -> Column:
+    """Mixed-format timestamp text -> timestamp_ntz.
+
+    Dates with - or /, one- or two-digit fields, blank or T before the time,
+    optional seconds and any number of fraction digits (kept to microseconds);
+    a zone mark is dropped (wall-clock time).  Blank text is NULL.  Other text
+    that is no timestamp is NULL, or fails the job with ``on_bad='error'``."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]).cast(T.TimestampNTZType())
+    text = F.trim(c.cast("string"))
+    got = F.translate(text, "/", "-").try_cast(T.TimestampNTZType())
+    if on_bad == "null":
+        return got
+    return F.when((F.length(text) > 0) & got.isNull(),
+                  F.raise_error(F.concat(F.lit("not a timestamp: "), text)).cast(T.TimestampNTZType())).otherwise(got)
+
+
+def unparsed_timestamps(df: DataFrame, cols) -> DataFrame:
+    """Per text column: filled values, and how many of them are no timestamp -> column, filled, unparsed."""
+    aggs = []
+    for i, c in enumerate(cols):
+        filled = F.length(F.trim(F.col(c).cast("string"))) > 0
+        aggs += [F.count_if(filled).alias(f"f{i}"), F.count_if(filled & parse_ts(c).isNull()).alias(f"u{i}")]
+    rows = ", ".join(f"'{c}', f{i}, u{i}" for i, c in enumerate(cols))
+    return df.agg(*aggs).select(F.expr(f"stack({len(cols)}, {rows}) as (column, filled, unparsed)"))
 
 
 def coerce_numeric(df: DataFrame, cols) -> DataFrame:
@@ -54,7 +69,7 @@ def coerce_numeric(df: DataFrame, cols) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string").try_cast("double") for c in cols})
 
 
-def _scan_csv(spark: SparkSession, path: str, colmap: dict, shop_id=None) -> DataFrame:
+def _scan_csv(spark: SparkSession, path: str, colmap: dict, shop_id=None, on_bad_ts: str = "error") -> DataFrame:
     # header names, every column read as text (no inference pass), typed below by name
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     if shop_id is not None:
@@ -65,7 +80,7 @@ def _scan_csv(spark: SparkSession, path: str, colmap: dict, shop_id=None) -> Dat
             raise ValueError(f"column {src} not in {path}")
         c = F.col(src)
         if dst in TIMESTAMP:
-            c = parse_ts(c)
+            c = parse_ts(c, on_bad_ts)
         elif dst in NUMERIC:
             c = c.try_cast("double")
         elif dst in BOOLEAN:
@@ -74,19 +89,23 @@ def _scan_csv(spark: SparkSession, path: str, colmap: dict, shop_id=None) -> Dat
     return raw.select(*out)
 
 
-def scan_orders(spark: SparkSession, path: str, shop_id=None, colmap=ORDER_COLUMN_MAP) -> DataFrame:
-    """Order header CSV -> canonical orders (declared schema, mixed timestamps)."""
-    return _scan_csv(spark, path, colmap, shop_id)
+def scan_orders(spark: SparkSession, path: str, shop_id=None, colmap=ORDER_COLUMN_MAP,
+                on_bad_ts: str = "error") -> DataFrame:
+    """Order header CSV -> canonical orders (declared schema, mixed timestamps).
+
+    ``on_bad_ts``: 'error' fails on text that is no timestamp, 'null' keeps the
+    row without one (count them with ``unparsed_timestamps``)."""
+    return _scan_csv(spark, path, colmap, shop_id, on_bad_ts)
 
 
-def scan_lines(spark: SparkSession, path: str, shop_id=None) -> DataFrame:
+def scan_lines(spark: SparkSession, path: str, shop_id=None, on_bad_ts: str = "error") -> DataFrame:
     """Order line CSV -> canonical lines (validity filter: features.scan_lines_valid)."""
-    return _scan_csv(spark, path, LINE_COLUMN_MAP, shop_id)
+    return _scan_csv(spark, path, LINE_COLUMN_MAP, shop_id, on_bad_ts)
 
 
-def scan_member_csv(spark: SparkSession, path: str, shop_id=None) -> DataFrame:
+def scan_member_csv(spark: SparkSession, path: str, shop_id=None, on_bad_ts: str = "error") -> DataFrame:
     """Member CSV -> canonical members (sentinels: features.scan_members)."""
-    return _scan_csv(spark, path, MEMBER_COLUMN_MAP, shop_id)
+    return _scan_csv(spark, path, MEMBER_COLUMN_MAP, shop_id, on_bad_ts)
 
 
 def scan_pages(spark: SparkSession, path: str, shop_id=None) -> DataFrame:
@@ -96,8 +115,9 @@ def scan_pages(spark: SparkSession, path: str, shop_id=None) -> DataFrame:
 
 
 def write_samples(samples: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K1: the sample table in its fixed column order, as Parquet."""
-    samples.select(*SAMPLE_COLS).write.mode(mode).parquet(path)
+    """K1: the sample table in its fixed column order, sorted by sample id (L3:
+    range-partitioned, so the files follow each other), as Parquet."""
+    samples.select(*SAMPLE_COLS).orderBy("sample_id").write.mode(mode).parquet(path)
 
 
 def scan_samples(spark: SparkSession, path: str) -> DataFrame:
@@ -108,10 +128,11 @@ def scan_samples(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_split_features(features: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K2: assert unique sample ids, then write one folder per split."""
+    """K2: assert unique sample ids, then write one folder per split, sorted by
+    sample id (L3)."""
     from ..operators.features import check_unique_ids
     check_unique_ids(features)
-    features.write.mode(mode).partitionBy("split").parquet(path)
+    features.orderBy("split", "sample_id").write.mode(mode).partitionBy("split").parquet(path)
 
 
 def scan_features(spark: SparkSession, path: str, fmt: str = "parquet") -> tuple[DataFrame, list[str]]:
@@ -126,9 +147,8 @@ def scan_features(spark: SparkSession, path: str, fmt: str = "parquet") -> tuple
         df = raw.select(*[F.col(c).try_cast(ints.get(c, "double")).alias(c)
                           if c in ints or (c not in ID_COLS and c not in CATEGORICAL_COLS)
                           else F.col(c) for c in raw.columns])
-    cols = [c for c in df.columns if c not in ID_COLS]
-    assert not [c for c in cols if c in ID_COLS]
-    return df, cols
+    from ..operators.model import feature_columns
+    return df, feature_columns(df)
 
 
 def write_metric_tables(tables: dict[str, DataFrame], folder: str, mode: str = "overwrite") -> None:
@@ -142,5 +162,5 @@ def write_metric_tables(tables: dict[str, DataFrame], folder: str, mode: str = "
 
 
 __all__ = ["FEATURE_COLS", "coerce_numeric", "parse_ts", "scan_features", "scan_lines",
-           "scan_member_csv", "scan_orders", "scan_pages", "scan_samples", "write_metric_tables",
-           "write_samples", "write_split_features"]
+           "scan_member_csv", "scan_orders", "scan_pages", "scan_samples", "unparsed_timestamps",
+           "write_metric_tables", "write_samples", "write_split_features"]

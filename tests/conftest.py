@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from rekindle.session import build_session, ensure_local_checkpoint_dir  # noqa: E402
+from rekindle.session import build_session  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,9 +16,9 @@ def pytest_configure(config):
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = build_session(master="local[4]", shuffle_partitions=4, extra={"spark.driver.memory": "4g"})
-    ensure_local_checkpoint_dir(s)
+def spark(tmp_path_factory):
+    s = build_session(master="local[4]", shuffle_partitions=4, extra={
+        "spark.driver.memory": "4g", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint"))})
     yield s
     s.stop()
 
