@@ -41,6 +41,7 @@ from rekindle.llm.components import components
 
 ROWS = 128
 HOT = 16
+SAMPLE = 64
 COLUMNS = 4096
 _LOW = np.uint64((1 << 48) - 1)
 _48 = np.uint64(48)
@@ -241,8 +242,16 @@ def join_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # one row of columns per class; most columns have one class only
     keyed = (signed.filter(F.size("keys") > 0).select("digest", "n", "keys").dropDuplicates(["digest"])
              .select("digest", F.col("n").cast("int").alias("n"), F.explode("keys").alias("k")))
-    entries = written(keyed.select("*", F.count("*").over(Window.partitionBy("k")).alias("df")).filter("df > 1"),
-                      "gram-entries")
+    # columns of very many classes, found in one class of SAMPLE (which only decides how they are counted),
+    # are counted by an aggregate and a join that can be split; all others by one window
+    crowded = written(keyed.filter(F.pmod(F.col("digest"), F.lit(SAMPLE)) == 0).groupBy("k").agg(F.count("*").alias("n"))
+                      .filter(F.col("n") >= 8).select("k", F.lit(True).alias("crowded")), "gram-crowded")
+    marked = keyed.join(crowded, "k", "left")
+    plain = marked.filter(F.col("crowded").isNull()).select("digest", "n", "k")
+    packed = marked.filter("crowded").select("digest", "n", "k")
+    entries = plain.select("*", F.count("*").over(Window.partitionBy("k")).alias("df")).unionByName(
+        packed.join(packed.groupBy("k").agg(F.count("*").alias("df")), "k").select("digest", "n", "k", "df"))
+    entries = written(entries.filter("df > 1"), "gram-entries")
     dense = entries.filter(F.col("df") > HOT).groupBy("digest").agg(F.count("*").cast("int").alias("n_dense"))
     entries = entries.join(dense, "digest", "left").withColumn("n_dense", F.coalesce("n_dense", F.lit(0)))
     least = lambda n: F.least(4 + F.floor(n / 20), F.ceil(n * t_num / 1000))  # noqa: E731  common_first
@@ -256,7 +265,8 @@ def join_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # a partner has t * n n-grams at least; one less for safety in the division
     kept = entries.filter((F.col("df") > HOT)
                           & (F.col("n_dense") >= least(F.greatest(F.floor(F.col("n") * t_num / 1000) - 1, F.lit(1)))))
-    star = kept.select("digest", F.min("digest").over(Window.partitionBy("k")).alias("hub")).filter("digest <> hub")
+    star = (kept.select("digest", "k").join(kept.groupBy("k").agg(F.min("digest").alias("hub")), "k")
+            .select("digest", "hub").filter("digest <> hub"))
     edges = (pairs.select(F.col("x.digest").alias("u"), F.col("y.digest").alias("v"))
              .union(star.select(F.col("digest").alias("u"), F.col("hub").alias("v")).distinct()))
     family = components(edges, "gram-families")

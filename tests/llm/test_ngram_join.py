@@ -81,6 +81,7 @@ def test_large_family_in_blocks(docs_df, monkeypatch):
     """A family over several row blocks, found by dense columns, against all pairs."""
     monkeypatch.setattr(J, "ROWS", 16)
     monkeypatch.setattr(J, "HOT", 4)
+    monkeypatch.setattr(J, "SAMPLE", 2)
     rng = random.Random(5)
     words = [f"w{i}" for i in range(120)]
     rows = []
