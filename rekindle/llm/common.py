@@ -19,9 +19,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_BYTES = 4 << 20
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of ``BATCH_BYTES`` instead of 64 MB: texts are long, and each task holds a few copies of a batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Arrow batches of ``most`` bytes instead of 64 MB: texts are long, and each task holds a few copies of a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

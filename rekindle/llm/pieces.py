@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,8 +38,9 @@ from rekindle.llm.common import small_batches
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
 #: Bytes of text whose words share a lattice.
-PART = 2 << 20
+PART = 1 << 20
 _NONE = -np.inf
+_64 = 2**64 - 1
 
 
 @dataclass
@@ -121,27 +123,38 @@ class Lattice:
     @staticmethod
     def build(buf: np.ndarray, offs: np.ndarray, v: Vocabulary) -> Lattice:
         n = len(buf)
-        word_end = np.repeat(offs[1:], np.diff(offs))
+        size = np.diff(offs)
+        # a stop byte behind every word (no UTF-8 byte, so the trie has no edge for it) ends all walks in it
+        closed = np.full(n + len(size), 255, np.uint8)
         at = np.arange(n)
-        node, pos = np.zeros(n, np.int64), at
-        starts, ends, ids = [], [], []
-        known = np.zeros(n, bool)
+        closed[at + np.repeat(np.arange(len(size)), size)] = buf
+        shift = np.repeat(np.arange(len(size)), size)
         lead = (buf & 0xC0) != 0x80
         width = np.where(buf < 0x80, 1, np.where(buf >= 0xF0, 4, np.where(buf >= 0xE0, 3, 2)))
+        child = v.child.ravel()
+        pos = np.flatnonzero(lead)  # pieces are whole characters
+        place = pos + shift[pos]
+        node = child.take(closed.take(place))
+        starts, ends, ids = [], [], []
+        known = np.zeros(n, bool)
         depth = 0
-        node, pos = node[lead], pos[lead]  # pieces are whole characters
-        while len(pos):
-            inside = pos + depth < word_end[pos]
-            node, pos = node[inside], pos[inside]
-            node = v.child[node, buf[pos + depth]]
-            ok = node >= 0
-            node, pos = node[ok], pos[ok]
+        while True:
+            on = np.flatnonzero(node >= 0)
+            if not len(on):
+                break
+            pos, place, node = pos.take(on), place.take(on), node.take(on).astype(np.int64)
             depth += 1
-            hit = v.piece[node] >= 0
-            starts.append(pos[hit])
-            ends.append(pos[hit] + depth)
-            ids.append(v.piece[node[hit]])
-            known[pos[hit][width[pos[hit]] == depth]] = True
+            pid = v.piece.take(node)
+            hit = np.flatnonzero(pid >= 0)
+            s = pos.take(hit)
+            starts.append(s)
+            ends.append(s + depth)
+            ids.append(pid.take(hit))
+            if depth <= 4:
+                known[s[width.take(s) == depth]] = True
+            place = place + 1
+            node = child.take(node * 256 + closed.take(place))
+        word_end = np.repeat(offs[1:], size)
         # characters that are no piece go byte by byte
         char = np.maximum.accumulate(np.where(lead, at, 0))
         loose = np.flatnonzero(~known[char])
@@ -153,33 +166,34 @@ class Lattice:
             to = fill[s]
             starts[to], ends[to], ids[to] = s, e, i
             fill[s] += 1
+        del found
+        is_end = ends == word_end[starts]  # a word's end is also the start of the next word, so it is looked up as 0
         left = word_end[starts] - starts
         longest = int(left.max()) if len(left) else 0
-        by_left = np.argsort(left.astype(np.uint16) if longest < 1 << 16 else left, kind="stable")
+        left = left.astype(np.uint16) if longest < 1 << 16 else left
+        by_left = np.argsort(left, kind="stable")
         cut = np.searchsorted(left[by_left], np.arange(1, longest + 2))
+        del left, word_end
         beta = np.full(n + 1, _NONE)
-        logw = v.logw[ids]
-        raw = np.empty(len(ids))
-        # a word's end is also the start of the next word, so it is looked up as 0
-        is_end = ends == word_end[starts]
+        raw = v.logw[ids]
         for a, b in zip(cut[:-1], cut[1:], strict=True):
             if a == b:
                 continue
             e = by_left[a:b]
             s = starts[e]
-            value = logw[e] + np.where(is_end[e], 0.0, beta[ends[e]])
+            value = raw[e] + np.where(is_end[e], 0.0, beta[ends[e]])
             new = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
             top = np.maximum.reduceat(value, new)
-            top = np.where(np.isfinite(top), top, 0.0)
             run = np.diff(np.append(new, len(s)))
-            with np.errstate(divide="ignore"):
-                beta[s[new]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, run)), new))
+            beta[s[new]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, run)), new))
             raw[e] = value
-        logp = raw - beta[starts]
-        p = np.exp(logp)
-        total = np.cumsum(p)
-        base = np.append(0.0, total)[eoff[:-1]]
-        return Lattice(offs[:-1], offs[1:], eoff, ends, ids, logp, total - base[starts])
+        del by_left, is_end
+        logp = raw
+        logp -= beta[starts]
+        up = np.exp(logp)
+        np.cumsum(up, out=up)
+        up -= np.append(0.0, up)[eoff[:-1]][starts]
+        return Lattice(offs[:-1], offs[1:], eoff, ends, ids, logp, up)
 
     def draw(self, word: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """One path for each of ``word`` (numbers of distinct words): (pieces, CSR offsets, log probability)."""
@@ -222,12 +236,13 @@ class Lattice:
         pos, stop, path, logp = int(self.first[word]), int(self.last[word]), [], 0.0
         inside = [list(x) for x in not_these]  # excluded paths that go through here, from here on
         while pos < stop:
-            edges = range(int(self.eoff[pos]), int(self.eoff[pos + 1]))
-            mass = []
-            for e in edges:
-                p = float(np.exp(self.logp[e]))
-                gone = sum(float(np.exp(sum(self.logp[x] for x in rest[1:]))) for rest in inside if rest and rest[0] == e)
-                mass.append(max(p * (1.0 - gone), 0.0))
+            e0, e1 = int(self.eoff[pos]), int(self.eoff[pos + 1])
+            edges, mass = range(e0, e1), np.exp(self.logp[e0:e1]).tolist()
+            for rest in inside:
+                if rest:  # exp(0) where the excluded path ends
+                    after = float(np.exp(self.logp[rest[1:]].sum())) if len(rest) > 1 else 1.0
+                    mass[rest[0] - e0] -= float(np.exp(self.logp[rest[0]])) * after
+            mass = [max(m, 0.0) for m in mass]
             u, k, total = rnd() * sum(mass), 0, 0.0
             for k, m in enumerate(mass):
                 total += m
@@ -353,14 +368,16 @@ def sample_part(buf: np.ndarray, offs: np.ndarray, keys: np.ndarray, k: int, v:
             seed = [int(token_key[t]) ^ (r << 32)]
 
             def rnd(seed=seed):
-                seed[0] = (seed[0] * 6364136223846793005 + 1442695040888963407) & (2**64 - 1)
-                return (int(W.mix64(np.array([seed[0]], np.uint64))[0]) >> 12) / float(1 << 52)
+                seed[0] = (seed[0] + 0x9E3779B97F4A7C15) & _64
+                x = ((seed[0] ^ (seed[0] >> 30)) * 0xBF58476D1CE4E5B9) & _64
+                x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & _64
+                return (x ^ (x >> 31)) / float(1 << 64)
             path, lp1 = lat.draw_other(int(word[t]), gone, rnd)
             begin[t], count[t], logp[t] = base, len(path), lp1
             base += len(path)
             more += path
             new_excluded[t] = gone
-            out_mass = 1.0 - sum(float(np.exp(sum(lat.logp[x] for x in g))) for g in [*gone, path])
+            out_mass = 1.0 - sum(float(np.exp(lat.logp[x].sum())) for x in [*gone, path])
             rest_here[d] = np.log(out_mass) if out_mass > 1e-13 else _NONE
             sets[q][t] = _NONE
         pool.append(np.array(more, np.int64))
@@ -407,6 +424,7 @@ _SAMPLES = T.ArrayType(T.StructType([T.StructField("ids", T.ArrayType(T.IntegerT
 def sampler(k: int, seed: int, model: str, sharpness: float):
     """Arrow UDF: (text, 64-bit row key) -> array of sampled segmentations."""
     @arrow_udf(_SAMPLES)
+    @W.trimmed
     def run(texts: pa.Array, row_keys: pa.Array) -> pa.Array:
         v = vocabulary(model, sharpness)
         keys = W.mix64(row_keys.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
@@ -449,15 +467,20 @@ def decode_ids(ids: np.ndarray, offs: np.ndarray, v: Vocabulary) -> pa.Array:
 def decoder(model: str = MODEL):
     """Arrow UDF: array of piece ids -> text."""
     @arrow_udf(T.StringType())
+    @W.trimmed
     def run(lists: pa.Array) -> pa.Array:
         v = vocabulary(model, 1.0)
         gone = lists.is_null()
         lists = lists.fill_null([]) if lists.null_count else lists
         offs = lists.offsets.to_numpy().astype(np.int64)
-        ids = lists.values.to_numpy(zero_copy_only=False)[offs[0]:offs[-1]].astype(np.int64)
-        out = decode_ids(ids, offs - offs[0], v)
-        return pa.compute.if_else(gone, pa.scalar(None, pa.string()), out) if lists.null_count else out
-    import pyarrow.compute  # noqa: F401
+        ids = lists.values.to_numpy(zero_copy_only=False)
+        out, a = [], 0
+        while a < len(lists):  # some sequences at a time: the byte positions take eight times the text
+            b = max(a + 1, int(np.searchsorted(offs, offs[a] + PART // 8, "right")) - 1)
+            out.append(decode_ids(ids[offs[a]:offs[b]].astype(np.int64), offs[a:b + 1] - offs[a], v))
+            a = b
+        text = pa.concat_arrays(out) if out else pa.array([], pa.string())
+        return pc.if_else(gone, pa.scalar(None, pa.string()), text)
     return run
 
 
@@ -471,7 +494,7 @@ def encode(docs: DataFrame, *, k: int = 2, id_col: str = "doc_id", text_col: str
     samples; a blank mark character inside a text goes by bytes, so decoding is
     exact; an empty table gives an empty result; other columns are ignored.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 2 * PART)
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        (F.xxhash64(F.col(id_col)) if key is None else key).alias("key"))
     some = base.select("doc_id", F.posexplode(sampler(k, seed, model, sharpness)("text", "key")).alias("sample", "s"))
