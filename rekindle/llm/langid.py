@@ -220,6 +220,7 @@ _KIND = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField(
 def predict(net: Network | None):
     """Arrow UDF: text -> (language, pooled probability, positions labelled with each language)."""
     @arrow_udf(_KIND)
+    @W.trimmed
     def run(texts: pa.Array) -> pa.Array:
         if net is None:
             names, best, labelled = ["und"] * len(texts), np.zeros(len(texts)), np.zeros((len(texts), 0), np.int64)

@@ -106,6 +106,7 @@ def signatures(width: int, t_num: int):
                          T.StructField("keys", T.ArrayType(T.LongType()))])
 
     @arrow_udf(kind)
+    @W.trimmed
     def run(texts: pa.Array) -> pa.Array:
         n, digest, keys, koffs = [], [], [], []
         for p in _texts(texts):
@@ -129,6 +130,7 @@ def signatures(width: int, t_num: int):
 def set_of(width: int):
     """Arrow UDF: text -> its sorted n-gram hashes."""
     @arrow_udf(T.ArrayType(T.LongType()))
+    @W.trimmed
     def run(texts: pa.Array) -> pa.Array:
         found = [gram_sets(p, width) for p in _texts(texts)]
         return _lists([g for g, _ in found], [o for _, o in found])
@@ -216,6 +218,7 @@ def block_links(t_num: int, t_den: int):
                         yield out(finish(rows))
                     key, rows = now, []
                 rows.append((now, cols[5][r], int(cols[6][r]), flat[offs[r]:offs[r + 1]].copy()))
+            W.give_back()
         if len(rows) > 1:
             yield out(finish(rows))
     return run

@@ -58,6 +58,7 @@ RULES = (
 
 
 @arrow_udf(T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))
+@W.trimmed
 def measures(texts: pa.Array) -> pa.Array:
     found = {c: np.zeros(len(texts), np.int64) for c in COUNTS}
     for p in W.parts(texts):
