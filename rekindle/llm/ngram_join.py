@@ -331,3 +331,22 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 def op6_query(docs: DataFrame) -> DataFrame:
     return join_components(docs, width=3, threshold=0.9)
+
+
+ORACLE = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT id, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS grams
+      FROM d),
+n AS (SELECT id, doc_id, CAST(len(grams) AS BIGINT) AS n FROM s),
+e AS (SELECT id, unnest(grams) AS gram FROM s),
+p AS (SELECT a.id AS a, b.id AS b, count(*) AS common FROM e a JOIN e b ON a.gram = b.gram AND a.id < b.id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 100 * common >= 90 * (x.n + y.n - common)),
+both_ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT id, id AS other FROM n UNION SELECT r.id, t.b FROM reach r JOIN both_ways t ON r.other = t.a)
+SELECT n.doc_id, n.n AS n_shingles, min(o.doc_id) AS component_id
+FROM reach JOIN n USING (id) JOIN n o ON o.id = reach.other GROUP BY n.id, n.doc_id, n.n
+"""

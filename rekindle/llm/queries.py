@@ -31,5 +31,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_chunks": line_chunks.ORACLE, "op9_perspectives": chat.ORACLE,
+    return {"op6_gram_jaccard": ngram_join.ORACLE, "op2_line_chunks": line_chunks.ORACLE, "op9_perspectives": chat.ORACLE,
             "op3_mix_sources": mixing.ORACLE, "op4_adaptive_rules": quality.ORACLE}
