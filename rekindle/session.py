@@ -6,6 +6,7 @@ whatever the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
@@ -48,9 +49,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 _KEPT: list[DataFrame] = []
 
 
+def persisted(df: DataFrame) -> DataFrame:
+    """The table computed once and kept on the executors until :func:`release`
+    (a lost block is recomputed from its lineage)."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept.count()
+    _KEPT.append(kept)
+    return kept
+
+
 def release() -> None:
-    """Drop the tables that :func:`cut_lineage` has persisted so far (sessions
-    without a shared folder; checkpoint files go with their tables)."""
+    """Drop the tables persisted so far (sessions without a shared folder;
+    checkpoint files go with their tables)."""
     while _KEPT:
         _KEPT.pop().unpersist(blocking=False)
 
@@ -65,15 +75,12 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     folder the table is only persisted (memory and disk) until :func:`release`,
     and a lost block is recomputed from its lineage.  No machine-local folder is ever chosen here.
     """
-    from pyspark import StorageLevel
     spark = df.sparkSession
     d = checkpoint_dir(spark)
+    if not d:
+        return persisted(df)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if d:
-        spark.sparkContext.setCheckpointDir(d)
-        out = cached.checkpoint(eager=True)
-        cached.unpersist(blocking=False)
-        return out
-    cached.count()
-    _KEPT.append(cached)
-    return cached
+    spark.sparkContext.setCheckpointDir(d)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist(blocking=False)
+    return out
