@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rekindle.session import checkpoint_dir
+from rekindle.session import checkpoint_dir, persisted
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -34,14 +33,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     The table is written as Parquet below ``spark.checkpoint.dir``, so a lost
     executor costs no recomputation and the planner knows its true size (which
     is what decides on a broadcast).  Where the setting is absent the table is
-    persisted and lost blocks are recomputed from the lineage.
+    persisted until ``rekindle.session.release``.
     """
     spark = df.sparkSession
     folder = checkpoint_dir(spark)
     if not folder:
-        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-        kept.count()
-        return kept
+        return persisted(df)
     path = f"{folder.rstrip('/')}/rekindle-llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
