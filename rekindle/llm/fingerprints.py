@@ -28,6 +28,7 @@ from pyspark.sql.window import Window
 K, S = 12, 5
 INNER = K - S + 1
 SKETCH = 64
+BLOCK = 1 << 16
 _BIG = 2**31 - 1
 
 
@@ -40,7 +41,7 @@ def _packed(hash64: Column, pos: Column) -> Column:
     return F.shiftleft(F.shiftrightunsigned(hash64, 33), 32) + pos
 
 
-def _long_anchors(b: Column) -> Column:
+def _block_anchors(b: Column) -> Column:
     """b: binary of K bytes or more."""
     inner = F.transform(F.sequence(F.lit(1), F.length(b) - (S - 1)), lambda i: F.xxhash64(F.substring(b, i, S)))
 
@@ -50,6 +51,14 @@ def _long_anchors(b: Column) -> Column:
     return F.transform(bind(inner, chosen), lambda p: _packed(F.xxhash64(F.substring(b, p + 1, K)), p))
 
 
+def _long_anchors(b: Column) -> Column:
+    """b: binary of K bytes or more, read in blocks of starts so that a long text needs little at a time."""
+    def block(s: Column) -> Column:
+        found = bind(F.substring(b, s + 1, F.lit(BLOCK + K - 1)), _block_anchors)
+        return F.transform(found, lambda a: a + s)
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.length(b) - K, F.lit(BLOCK)), block))
+
+
 def anchors(data: Column) -> Column:
     """array<bigint> of a binary column's anchors."""
     none = F.array().cast("array<bigint>")

@@ -39,6 +39,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
 #: Bytes of text whose words share a lattice.
 PART = 1 << 20
+#: Bytes after which a run without a blank is cut, so that a lattice stays small.
+LONG = 4096
 _NONE = -np.inf
 _64 = 2**64 - 1
 
@@ -259,7 +261,8 @@ class Lattice:
 
 
 def split_words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start positions of words (runs of blanks with what follows them; newlines alone) and CSR offsets by text."""
+    """Start positions of words (runs of blanks with what follows them; newlines alone; at most about LONG
+    bytes, longer runs are cut between characters) and CSR offsets by text."""
     n = len(buf)
     blank, newline = buf == 32, buf == 10
     start = np.zeros(n, bool)
@@ -268,6 +271,13 @@ def split_words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     start |= newline
     start[1:] |= newline[:-1]
     s = np.flatnonzero(start)
+    for k in np.flatnonzero(np.diff(np.append(s, n)) > LONG):  # rare: no blank for LONG bytes
+        end = s[k + 1] if k + 1 < len(s) else n
+        cut = np.arange(s[k] + LONG, end, LONG)
+        for _ in range(3):  # back to a character's first byte
+            cut -= (buf[cut] & 0xC0) == 0x80
+        start[cut] = True
+    s = np.flatnonzero(start)
     return s, np.searchsorted(s, offs)
 
 

@@ -65,6 +65,15 @@ def test_anchors_are_closed_syncmers(spark):
     assert pos == want
 
 
+def test_blocks_of_a_long_text(spark, monkeypatch):
+    text = text_of(random.Random(8), 400)
+    df = spark.createDataFrame([(text,)], "text string")
+    whole = df.select(FP.anchors(FP.text_bytes(F.col("text")))).first()[0]
+    monkeypatch.setattr(FP, "BLOCK", 37)
+    assert df.select(FP.anchors(FP.text_bytes(F.col("text")))).first()[0] == whole
+    assert len(whole) > 400
+
+
 def test_context_free_shift(spark):
     rng = random.Random(4)
     a = text_of(rng, 80)
