@@ -27,7 +27,7 @@ AP = sum over distinct scores, descending, of (delta recall) x precision
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import safe_div
@@ -94,27 +94,36 @@ def average_precision(scored: DataFrame, by: str = "split") -> DataFrame:
     return auc_ap(scored, by).select(*keys, "average_precision")
 
 
+def _point_metrics(scored: DataFrame, by: str, threshold: float) -> DataFrame:
+    """Everything that needs no ranking, in one aggregate per group."""
+    keys = [by] if by else []
+    pred = F.col("score") >= threshold
+    y = F.col("label") == 1
+    label = F.col("label").cast("double")
+    return scored.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(label).alias("label_rate"),
+        F.avg(F.pow(F.col("score") - label, 2)).alias("brier"),
+        F.count_if(~pred & ~y).alias("tn"), F.count_if(pred & ~y).alias("fp"),
+        F.count_if(~pred & y).alias("fn"), F.count_if(pred & y).alias("tp"))
+
+
+def _prf() -> list[Column]:
+    prec = safe_div("tp", F.col("tp") + F.col("fp"))
+    rec = safe_div("tp", F.col("tp") + F.col("fn"))
+    f1 = safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))
+    return [F.coalesce(c, F.lit(0.0)).alias(n) for n, c in (("precision", prec), ("recall", rec), ("f1", f1))]
+
+
 def brier(scored: DataFrame, by: str = "split") -> DataFrame:
     """M6: mean squared error of the probability."""
     keys = [by] if by else []
-    return scored.groupBy(*keys).agg(
-        F.avg(F.pow(F.col("score") - F.col("label").cast("double"), 2)).alias("brier"))
+    return _point_metrics(scored, by, 0.5).select(*keys, "brier")
 
 
 def confusion_metrics(scored: DataFrame, by: str = "split", threshold: float = 0.5) -> DataFrame:
     """M7: TN/FP/FN/TP with precision, recall and F1 at ``threshold`` (pred = score >= t)."""
     keys = [by] if by else []
-    pred = F.col("score") >= threshold
-    y = F.col("label") == 1
-    a = scored.groupBy(*keys).agg(F.count_if(~pred & ~y).alias("tn"), F.count_if(pred & ~y).alias("fp"),
-                                  F.count_if(~pred & y).alias("fn"), F.count_if(pred & y).alias("tp"))
-    prec = safe_div("tp", F.col("tp") + F.col("fp"))
-    rec = safe_div("tp", F.col("tp") + F.col("fn"))
-    return a.select(*keys, "tn", "fp", "fn", "tp",
-                    F.coalesce(prec, F.lit(0.0)).alias("precision"),
-                    F.coalesce(rec, F.lit(0.0)).alias("recall"),
-                    F.coalesce(safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")),
-                               F.lit(0.0)).alias("f1"))
+    return _point_metrics(scored, by, threshold).select(*keys, "tn", "fp", "fn", "tp", *_prf())
 
 
 def class_report(scored: DataFrame, by: str = "split", threshold: float = 0.5) -> DataFrame:
@@ -151,13 +160,11 @@ def class_report(scored: DataFrame, by: str = "split", threshold: float = 0.5) -
 
 
 def metric_table(scored: DataFrame, by: str = "split", threshold: float = 0.5) -> DataFrame:
-    """M9: one row per group with every headline metric."""
+    """M9: one row per group with every headline metric (one aggregate, and the ranking)."""
     keys = [by] if by else []
-    n = scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                                  F.avg(F.col("label").cast("double")).alias("label_rate"))
-    return (n.join(auc_ap(scored, by), keys).join(brier(scored, by), keys)
-             .join(confusion_metrics(scored, by, threshold)
-                   .select(*keys, "precision", "recall", "f1"), keys))
+    points = _point_metrics(scored, by, threshold).select(*keys, "n", "label_rate", "brier", *_prf())
+    return (points.join(auc_ap(scored, by), keys)
+            .select(*keys, "n", "label_rate", "auc_roc", "average_precision", "brier", "precision", "recall", "f1"))
 
 
 def auc_gap(scored: DataFrame, by: str = "split", a: str = "train", b: str = "test",
@@ -177,9 +184,8 @@ def tiers(scored: DataFrame, by: str = "split", lo: float = 0.4, hi: float = 0.6
     band = F.when(s < lo, F.lit("low")).when(s <= hi, F.lit("mid")).otherwise(F.lit("high"))
     g = scored.groupBy(*keys, band.alias("band")).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.col("label").cast("double")).alias("actual_rate"))
-    tot = scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("_t"))
-    j = g.join(tot, keys) if keys else g.withColumn("_t", scored.select(F.count(F.lit(1))).scalar())
-    return j.select(*keys, "band", "n", (F.col("n") * 100.0 / F.col("_t")).alias("pct"), "actual_rate")
+    total = F.sum("n").over(Window.partitionBy(*keys))  # over at most three bands a group
+    return g.select(*keys, "band", "n", (F.col("n") * 100.0 / total).alias("pct"), "actual_rate")
 
 
 # Calibration bin edges of the original study (right-closed,

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from .events import row_index
 from .features import ID_COLS
-from .metrics import auc_ap, brier, confusion_metrics
+from .metrics import auc_ap, metric_table
 
 def feature_columns(features: DataFrame, ids=ID_COLS) -> list[str]:
     """The columns a model may see.
@@ -159,10 +159,9 @@ def permutation_importance(model: PipelineModel, test: DataFrame, cols: list[str
 def evaluate(scored: DataFrame, name: str, by: str = "split", threshold: float = 0.5) -> DataFrame:
     """M9 row(s) for one model: auc_roc, auc_pr, brier, precision, recall, f1."""
     keys = [by] if by else []
-    return (auc_ap(scored, by).join(brier(scored, by), keys)
-            .join(confusion_metrics(scored, by, threshold).select(*keys, "precision", "recall", "f1"), keys)
-            .select(F.lit(name).alias("model"), *keys, "auc_roc",
-                    F.col("average_precision").alias("auc_pr"), "brier", "precision", "recall", "f1"))
+    return metric_table(scored, by, threshold).select(
+        F.lit(name).alias("model"), *keys, "auc_roc", F.col("average_precision").alias("auc_pr"),
+        "brier", "precision", "recall", "f1")
 
 
 def ablation(train: DataFrame, test: DataFrame, cols: list[str], drop_cols, seed: int = 42,

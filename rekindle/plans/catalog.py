@@ -95,7 +95,7 @@ class Tables:
     @cached_property
     def features_stored(self): return cut_lineage(self.features_clean)  # for readers of several passes
     @cached_property
-    def sgaps(self): return ST.study_gaps(self.orders, self.cfg)
+    def sgaps(self): return cut_lineage(ST.study_gaps(self.orders, self.cfg))  # every sweep reads it twice
 
 
 NUMERIC_FEATURES = [c for c in FE.FEATURE_COLS if c not in FE.CATEGORICAL_COLS]
