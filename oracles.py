@@ -779,6 +779,40 @@ def build() -> dict[str, str]:
     Q["coerce_numeric"] = """select o_orderkey as order_code, try_cast(case when o_orderkey % 3 = 0 then o_orderpriority
         when o_orderkey % 3 = 1 then cast(o_orderkey as varchar)
         when o_orderkey % 6 = 2 then cast(o_orderkey % 97 as varchar) || '.5' end as double) as x from orders"""
+    Q["mann_whitney"] = C + " " + " union all ".join(f"""
+        select '{c}' as feature, n1, n0, round(u, 6) as u, round(case when n1 * n0 > 0 then u / (cast(n1 as double) * n0) end, 6) as effect,
+               round(case when v > 0 then (u - cast(n1 as double) * n0 / 2) / sqrt(v) end, 6) as z from (
+          select n1, n0, u, cast(n1 as double) * n0 / 12 * (n1 + n0 + 1 - ties / greatest(cast(n1 + n0 as double) * (n1 + n0 - 1), 1.0)) as v from (
+            select count(*) filter (where label = 1) as n1, count(*) filter (where label = 0) as n0,
+                   sum(r) filter (where label = 1) - cast(count(*) filter (where label = 1) as double) * (count(*) filter (where label = 1) + 1) / 2 as u,
+                   sum(cast(k as double) * k - 1) as ties
+            from (select label, rank() over (order by x) + (count(*) over (partition by x) - 1) / 2.0 as r,
+                         count(*) over (partition by x) as k
+                  from (select label, cast({c} as double) as x from featc where {c} is not null))))""" for c in RATIO_FEATURES)
+    Q["chi_square"] = C + " " + " union all ".join(f"""
+        select '{c}' as feature, count(*) as categories, round(sum(power(o1 - n * t1 / t, 2) / (n * t1 / t) + power(o0 - n * t0 / t, 2) / (n * t0 / t)), 6) as chi2,
+               count(*) - 1 as dof
+        from (select {c}, count(*) as n, count(*) filter (where label = 1) as o1, count(*) filter (where label = 0) as o0,
+                     cast(sum(count(*)) over () as double) as t,
+                     cast(sum(count(*) filter (where label = 1)) over () as double) as t1,
+                     cast(sum(count(*) filter (where label = 0)) over () as double) as t0
+              from featc group by {c})""" for c in ("t0_channel", "t0_payment", "gender", "country_code"))
+    rk = {c: f"rank() over (order by {c}) + (count(*) over (partition by {c}) - 1) / 2.0 as {c}" for c in ("f1", "f2", "score")}
+    ranks = f"(select {', '.join(rk.values())} from scored where f1 is not null and f2 is not null and score is not null)"
+    Q["spearman"] = C + " " + " union all ".join(
+        f"select '{a}' as a, '{b}' as b, round(corr({a}, {b}), 6) as rho from {ranks}"
+        for a, b in (("f1", "f2"), ("f1", "score"), ("f2", "score")))
+    te = [f"""(select coalesce({c}, 'unknown') as k, (sum(cast(label as double)) + 20.0 * (select avg(cast(label as double)) from featc where split = 'train'))
+              / (count(*) + 20.0) as te from featc where split = 'train' group by 1)""" for c in ("t0_payment", "country_code")]
+    Q["target_encode"] = C + f""" select sample_id, round(coalesce(a.te, p.p), 6) as t0_payment_te, round(coalesce(b.te, p.p), 6) as country_code_te
+        from featc f left join {te[0]} a on a.k = coalesce(f.t0_payment, 'unknown')
+        left join {te[1]} b on b.k = coalesce(f.country_code, 'unknown'),
+        (select avg(cast(label as double)) as p from featc where split = 'train') p"""
+    Q["winsorise"] = C + " select sample_id, " + ", ".join(
+        f"""round(least(cast({c} as double), (select least(quantile_cont(cast({c} as double), 0.99) * 2, 20.0) from featc))
+             + case when {c} is null then null else 0 end, 6) as {c}""" for c in RATIO_FEATURES) + " from featc"
+    Q["subgroup_metrics"] = C + Q["metric_table"][len(C):].replace("split", "odd").replace(
+        "from scored", "from (select *, id % 2 as odd from scored) scored")
     # exact properties of the model rows
     Q["model_scores_check"] = C + """ select split, count(*) as n, cast(sum(label) as bigint) as positive,
         count(*) as in_range, count(distinct sample_id) as ids from a_samples group by split"""

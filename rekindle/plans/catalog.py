@@ -22,6 +22,7 @@ from ..operators import features as FE
 from ..operators import metrics as M
 from ..operators import model as MD
 from ..operators import quality as Q
+from ..operators import stats as SS
 from ..operators import study as ST
 from ..operators import timeline as TL
 from ..session import cut_lineage
@@ -373,6 +374,23 @@ def _(t): return M.smd_profile(t.scored, ["f1", "f2"])
 @q("direction")
 def _(t): return M.direction(t.scored, ["f1", "f2"])
 
+# --- next steps of the study ---------------------------------------------------------------------
+@q("mann_whitney")
+def _(t): return SS.mann_whitney(t.features_stored, RATIO_FEATURES)
+@q("chi_square")
+def _(t): return SS.chi_square(t.features_stored, ["t0_channel", "t0_payment", "gender", "country_code"])
+@q("spearman")
+def _(t): return SS.spearman(t.scored, ["f1", "f2", "score"])
+@q("target_encode")
+def _(t):
+    f = t.features_stored
+    return SS.target_encode(f.filter("split = 'train'"), f, ["t0_payment", "country_code"]).select(
+        "sample_id", "t0_payment_te", "country_code_te")
+@q("winsorise")
+def _(t): return SS.winsorise(t.features_stored, RATIO_FEATURES).select("sample_id", *RATIO_FEATURES)
+@q("subgroup_metrics")
+def _(t): return SS.subgroup_metrics(t.scored.withColumn("odd", F.col("id") % 2), "odd")
+
 # --- model (no SQL oracle; each has a companion row with exact properties) --------------------
 _MODELS: dict = {}
 
