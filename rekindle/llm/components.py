@@ -43,4 +43,4 @@ def components(edges: DataFrame, name: str = "links") -> DataFrame:
             or e.select("u").join(e.select(F.col("v").alias("u")).distinct(), "u").limit(1).count()
         if not loose:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        e = written(_small_star(written(_large_star(e), f"{name}-{k}l")), f"{name}-{k}")
+        e = written(_small_star(_large_star(e)), f"{name}-{k}")

@@ -247,8 +247,8 @@ def join_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
              .select("digest", F.col("n").cast("int").alias("n"), F.explode("keys").alias("k")))
     # columns of very many classes, found in one class of SAMPLE (which only decides how they are counted),
     # are counted by an aggregate and a join that can be split; all others by one window
-    crowded = written(keyed.filter(F.pmod(F.col("digest"), F.lit(SAMPLE)) == 0).groupBy("k").agg(F.count("*").alias("n"))
-                      .filter(F.col("n") >= 8).select("k", F.lit(True).alias("crowded")), "gram-crowded")
+    crowded = (keyed.filter(F.pmod(F.col("digest"), F.lit(SAMPLE)) == 0).groupBy("k").agg(F.count("*").alias("n"))
+               .filter(F.col("n") >= 8).select("k", F.lit(True).alias("crowded")))
     marked = keyed.join(crowded, "k", "left")
     plain = marked.filter(F.col("crowded").isNull()).select("digest", "n", "k")
     packed = marked.filter("crowded").select("digest", "n", "k")
@@ -284,10 +284,10 @@ def join_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     near = blocks
     for shift, name in ((1, "b_up"), (-1, "b_down")):
         near = near.join(blocks.select("family", (F.col("c") - shift).alias("c"), F.col("b").alias(name)), ["family", "c"], "left")
-    wanted = written(sized.join(near, ["family", "c"]).select(
+    wanted = sized.join(near, ["family", "c"]).select(
         "key", "digest", "family", "c", "b", F.coalesce("b_up", F.lit(0)).alias("b_up"),
         F.coalesce("b_down", F.lit(0)).alias("b_down"),
-        F.pmod(F.xxhash64("digest"), F.col("b")).cast("int").alias("block")), "gram-wanted")
+        F.pmod(F.xxhash64("digest"), F.col("b")).cast("int").alias("block"))
     # the same plan at every size: the texts move once, and only those of families go on
     rows = (base.select(key.alias("key"), "text").hint("merge").join(wanted.hint("merge"), "key")
             .withColumn("grams", set_of(width)(F.col("text"))))
@@ -311,7 +311,7 @@ def join_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     both = linked.union(linked.select(F.col("root").alias("node"), "root").distinct())
     named = both.join(classes, F.col("node") == F.col("digest")).select("digest", "root", "rep")
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = written(named.join(least, "root").select("digest", "component_id"), "gram-components")
+    named = named.join(least, "root").select("digest", "component_id")
     of_class = classes.join(named, "digest", "left").select(
         "digest", F.coalesce("component_id", "rep").alias("component_id"))
     return (signed.join(of_class, "digest", "left")
