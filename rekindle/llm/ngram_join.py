@@ -12,7 +12,7 @@ Documents whose n-gram sets are equal form a class; one row per class goes on.
 3. Dense columns (a large group of copies, or a common passage).  A set with fewer
    dense columns than the smallest c of a possible partner leaves them out: each of
    its links shares a sparse column too.  The rest are joined to the column's
-   smallest class; no pairs are made.
+   smallest class, by way of the smallest of sqrt(df) parts; no pairs are made.
 4. Remaining pairs and joins make families (connected components).  Each family's
    whole rows are multiplied with each other in blocks of ``ROWS`` x ``ROWS``
    documents of like size: overlap counts are accumulated over stretches of
@@ -245,16 +245,15 @@ def join_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # one row of columns per class; most columns have one class only
     keyed = (signed.filter(F.size("keys") > 0).select("digest", "n", "keys").dropDuplicates(["digest"])
              .select("digest", F.col("n").cast("int").alias("n"), F.explode("keys").alias("k")))
-    # columns of very many classes, found in one class of SAMPLE (which only decides how they are counted),
-    # are counted by an aggregate and a join that can be split; all others by one window
-    crowded = (keyed.filter(F.pmod(F.col("digest"), F.lit(SAMPLE)) == 0).groupBy("k").agg(F.count("*").alias("n"))
-               .filter(F.col("n") >= 8).select("k", F.lit(True).alias("crowded")))
+    # a column with 8 classes or more among every SAMPLE-th class is dense whatever its exact number: it needs no
+    # count over all its rows (which columns are found so changes the work, not the result); the rest are counted
+    crowded = written(keyed.filter(F.pmod(F.col("digest"), F.lit(SAMPLE)) == 0).groupBy("k").agg(F.count("*").alias("n"))
+                      .filter(F.col("n") >= 8).select("k", (F.col("n") * SAMPLE).alias("crowd")), "gram-crowded")
     marked = keyed.join(crowded, "k", "left")
-    plain = marked.filter(F.col("crowded").isNull()).select("digest", "n", "k")
-    packed = marked.filter("crowded").select("digest", "n", "k")
-    entries = plain.select("*", F.count("*").over(Window.partitionBy("k")).alias("df")).unionByName(
-        packed.join(packed.groupBy("k").agg(F.count("*").alias("df")), "k").select("digest", "n", "k", "df"))
-    entries = written(entries.filter("df > 1"), "gram-entries")
+    entries = (marked.filter(F.col("crowd").isNull())
+               .select("digest", "n", "k", F.count("*").over(Window.partitionBy("k")).alias("df")).filter("df > 1")
+               .unionByName(marked.filter(F.col("crowd").isNotNull()).select("digest", "n", "k", F.col("crowd").alias("df"))))
+    entries = written(entries, "gram-entries")
     dense = entries.filter(F.col("df") > HOT).groupBy("digest").agg(F.count("*").cast("int").alias("n_dense"))
     entries = entries.join(dense, "digest", "left").withColumn("n_dense", F.coalesce("n_dense", F.lit(0)))
     least = lambda n: F.least(4 + F.floor(n / 20), F.ceil(n * t_num / 1000))  # noqa: E731  common_first
@@ -268,8 +267,12 @@ def join_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # a partner has t * n n-grams at least; one less for safety in the division
     kept = entries.filter((F.col("df") > HOT)
                           & (F.col("n_dense") >= least(F.greatest(F.floor(F.col("n") * t_num / 1000) - 1, F.lit(1)))))
-    star = (kept.select("digest", "k").join(kept.groupBy("k").agg(F.min("digest").alias("hub")), "k")
-            .select("digest", "hub").filter("digest <> hub"))
+    # a star per column in two levels of about sqrt(df) rows
+    kept = kept.withColumn("part", F.pmod(F.xxhash64("digest"), F.ceil(F.sqrt("df"))))
+    inner = kept.select("digest", F.min("digest").over(Window.partitionBy("k", "part")).alias("hub"))
+    outer = (kept.groupBy("k", "part").agg(F.min("digest").alias("digest"))
+             .select("digest", F.min("digest").over(Window.partitionBy("k")).alias("hub")))
+    star = inner.unionByName(outer).filter("digest <> hub")
     edges = (pairs.select(F.col("x.digest").alias("u"), F.col("y.digest").alias("v"))
              .union(star.select(F.col("digest").alias("u"), F.col("hub").alias("v")).distinct()))
     family = components(edges, "gram-families")
