@@ -93,3 +93,28 @@ def test_model_learns_planted_signal_and_handles_unseen_category(spark):
     assert M.auc_roc(scored).first().auc_roc > 0.6
     imp = {r.feature: r.gain for r in MD.gain_importance(m, cols, df).collect()}
     assert imp["x"] > imp["cat"]
+
+
+@pytest.mark.slow
+def test_next_step_models_and_pruning(spark):
+    from pyspark.sql import functions as F
+
+    from rekindle.operators import stats as SS
+    rnd = random.Random(5)
+    rows = []
+    for i in range(500):
+        x = rnd.random()
+        rows.append((i, int(rnd.random() < x), "train" if i < 350 else "test", x, 2 * x + 1, rnd.random(), "ab"[i % 2], None))
+    from rekindle.operators import model as MD
+    df = spark.createDataFrame(rows, "sample_id long, label int, split string, x double, twin double, noise double, "
+                                     "cat string, nothing double")
+    train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
+    cols = ["x", "noise", "cat", "nothing"]
+    for kind in ("logistic", "forest"):
+        m = SS.train_baseline(train, cols, kind)
+        assert M.auc_roc(MD.score_split(m, test)).first().auc_roc > 0.65
+    scored = MD.score_split(m, df)
+    cal = SS.calibrated(SS.calibrate(scored), scored)
+    got = cal.filter("split = 'train'").agg(F.avg("score"), F.avg("label"), F.min("score"), F.max("score")).first()
+    assert abs(got[0] - got[1]) < 1e-6 and 0 <= got[2] <= got[3] <= 1
+    assert SS.prune_correlated(df, ["x", "twin", "noise"]) == ["x", "noise"]
