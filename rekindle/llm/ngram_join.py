@@ -324,12 +324,22 @@ def join_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, each (id, text) once; columns unchanged."""
+    """The rows of ``docs`` whose id names their component, each (id, text) once; columns unchanged.
+
+    Only ids are exchanged: the documents that go, and the ids with several rows,
+    are small tables as a rule, so the texts stay where they are (the written
+    tables' sizes decide between a broadcast and a shuffle).
+    """
     found = join_components(docs, id_col=id_col, text_col=text_col, **options)
-    [head] = spare_names(docs, "_head")
-    heads = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(head)).distinct()
-    kept = docs.join(heads, docs[id_col].eqNullSafe(F.col(head)), "left_semi")
-    return kept.dropDuplicates([id_col, text_col])
+    [key] = spare_names(docs, "_key")
+    per_id = found.groupBy(F.col("doc_id").alias(key)).agg(
+        F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("head"), F.count("*").alias("n"))
+    per_id = written(per_id.filter(~F.col("head") | (F.col("n") > 1)), "gram-ids")
+    gone, several = per_id.filter(~F.col("head")).select(key), per_id.filter("head").select(key)
+    same = docs[id_col].eqNullSafe(F.col(key))
+    kept = docs.join(gone, same, "left_anti")
+    return (kept.join(several, same, "left_anti")
+            .unionByName(kept.join(several, same, "left_semi").dropDuplicates([id_col, text_col])))
 
 
 def op6_query(docs: DataFrame) -> DataFrame:
