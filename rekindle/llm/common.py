@@ -15,7 +15,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 #: Bytes of text that an Arrow batch to a Python worker holds at most (or one longer text).
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:

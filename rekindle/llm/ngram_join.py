@@ -249,10 +249,10 @@ def join_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # count over all its rows (which columns are found so changes the work, not the result); the rest are counted
     crowded = written(keyed.filter(F.pmod(F.col("digest"), F.lit(SAMPLE)) == 0).groupBy("k").agg(F.count("*").alias("n"))
                       .filter(F.col("n") >= 8).select("k", (F.col("n") * SAMPLE).alias("crowd")), "gram-crowded")
-    marked = keyed.join(crowded, "k", "left")
-    entries = (marked.filter(F.col("crowd").isNull())
-               .select("digest", "n", "k", F.count("*").over(Window.partitionBy("k")).alias("df")).filter("df > 1")
-               .unionByName(marked.filter(F.col("crowd").isNotNull()).select("digest", "n", "k", F.col("crowd").alias("df"))))
+    part = F.when(F.col("crowd").isNotNull(), F.pmod(F.xxhash64("digest"), F.lit(SAMPLE))).otherwise(0)
+    entries = (keyed.join(crowded, "k", "left").withColumn("part", part)
+               .withColumn("df", F.coalesce("crowd", F.count("*").over(Window.partitionBy("k", "part"))))
+               .filter("df > 1").select("digest", "n", "k", "df"))
     entries = written(entries, "gram-entries")
     dense = entries.filter(F.col("df") > HOT).groupBy("digest").agg(F.count("*").cast("int").alias("n_dense"))
     entries = entries.join(dense, "digest", "left").withColumn("n_dense", F.coalesce("n_dense", F.lit(0)))

@@ -17,8 +17,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PART = 1 << 20
-_BLOCK = 1 << 20
+PART = 1 << 19
+_BLOCK = 1 << 19
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
