@@ -145,3 +145,50 @@ def test_same_hash_but_other_bytes_stays(docs_df, monkeypatch):
     rows = [(i, f"alpha {i}\nbeta {i}\ngamma {i}\ndelta {i}", "en", "s") for i in range(6)]
     got = {r["doc_id"]: r["text"] for r in LC.dedup(docs_df(rows)).collect()}
     assert got == {r[0]: r[1] for r in rows}
+
+
+def whole_brute(rows):
+    """Chunks by local minima; matches go on over equal lines of the neighbouring chunks."""
+    def cut(t):
+        lines = t.split("\n")
+        h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
+        ends = [i for i in range(2, len(h) - 1) if h[i - 1] > h[i] <= h[i + 1]] + [len(h)]
+        return [lines[a:b] for a, b in zip([0, *ends], ends)]
+
+    def common(x, y):
+        n = 0
+        while n < min(len(x), len(y)) and x[n] == y[n]:
+            n += 1
+        return n
+    seen, out = {}, {}
+    for i, t in sorted({(r[0], r[1] or "") for r in rows}):
+        c = cut(t)
+        gone, start = set(), 0
+        for k, b in enumerate(c):
+            if len(b) >= 2 and WORD.search("\n".join(b)):
+                if tuple(b) in seen:
+                    f, j = seen[tuple(b)]
+                    before = common(c[k - 1][::-1], f[j - 1][::-1]) if k and j else 0
+                    after = common(c[k + 1], f[j + 1]) if k + 1 < len(c) and j + 1 < len(f) else 0
+                    gone |= set(range(start - before, start + len(b) + after))
+                else:
+                    seen[tuple(b)] = (c, k)
+            start += len(b)
+        out[i] = "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone)
+    return out
+
+
+def test_whole_copies_and_passages_go(docs_df):
+    """With ``whole``, copies of texts with several lines leave no scrap and a passage goes to its last whole line."""
+    texts = ["\n".join(f"text {i} line {j}" for j in range(2 + i % 7)) for i in range(40)]
+    passage = [f"shared line {i} of the passage" for i in range(14)]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)] + [(100 + i, t, "en", "s") for i, t in enumerate(texts)]
+    rows += [(200 + i, "\n".join([f"head {i}", f"more {i}", *passage, f"tail {i}", f"end {i}"]), "en", "s") for i in range(20)]
+    rows += [(300, "", "en", "s"), (301, None, "en", "s"), (302, "single", "en", "s"), (303, "single", "en", "s"),
+             (304, "\n\n\n\n", "en", "s"), (305, "\n\n\n\n", "en", "s"), (306, "\n".join(passage * 3), "en", "s")]
+    got = {r["doc_id"]: r for r in LC.dedup(docs_df(rows), whole=True).collect()}
+    assert {i: r["text"] or "" for i, r in got.items()} == whole_brute(rows)
+    assert all(got[i]["text"] == texts[i] and got[100 + i]["text"] == "" for i in range(40))
+    assert all(got[200 + i]["text"] == f"head {i}\nmore {i}\ntail {i}\nend {i}" for i in range(1, 20))
+    left = {r["doc_id"] for r in LC.drop_repeated_chunks(docs_df(rows), whole=True).collect()}
+    assert not left & set(range(100, 140)) and left >= set(range(40))
