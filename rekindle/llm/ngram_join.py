@@ -232,13 +232,25 @@ def join_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     Defined cases: NULL or empty texts have no n-grams and no link (component_id
     is their own id); equal sets link; NULL ids are never a component's name
-    unless it has no other; rows repeated in full are one class; an empty table
-    gives an empty result; other columns are ignored.
+    unless it has no other; rows repeated in full are one class; rows with one id
+    and several texts are documents of their own; an empty table gives an empty
+    result; other columns are ignored.
     """
+    return row_components(docs, id_col=id_col, text_col=text_col, width=width, threshold=threshold).select(
+        "doc_id", "n_shingles", "component_id")
+
+
+def row_key(id_: Column, text: Column) -> Column:
+    """A row's key: ids alone may stand for several texts."""
+    return F.xxhash64(id_, text)
+
+
+def row_components(docs: DataFrame, *, id_col: str, text_col: str, width: int, threshold: float) -> DataFrame:
+    """The columns of ``join_components``, the row's ``key`` and ``root``, a digest of its component (NULL: no n-grams)."""
     t_num, t_den = int(round(threshold * 1000)), 1000
     small_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text"))
+    key = row_key(F.col("doc_id"), F.col("text"))
     signed = written(base.select("doc_id", key.alias("key"), signatures(width, t_num)(F.col("text")).alias("s"))
                      .select("doc_id", "key", "s.*"), "gram-signatures")
 
@@ -314,23 +326,26 @@ def join_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     both = linked.union(linked.select(F.col("root").alias("node"), "root").distinct())
     named = both.join(classes, F.col("node") == F.col("digest")).select("digest", "root", "rep")
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = named.join(least, "root").select("digest", "component_id")
+    named = named.join(least, "root").select("digest", "root", "component_id")
     of_class = classes.join(named, "digest", "left").select(
-        "digest", F.coalesce("component_id", "rep").alias("component_id"))
+        "digest", F.coalesce("root", "digest").alias("root"), F.coalesce("component_id", "rep").alias("component_id"))
     return (signed.join(of_class, "digest", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
-                    .alias("component_id")))
+                    .alias("component_id"), "key", "root"))
+
 
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
+             threshold: float = 0.9) -> DataFrame:
+    """One row of each component, one whose id names it; columns unchanged.
 
-def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, each (id, text) once; columns unchanged.
+    Of texts without n-grams each (id, text) stays once.
 
     Only ids are exchanged: the documents that go, and the ids with several rows,
     are small tables as a rule, so the texts stay where they are (the written
     tables' sizes decide between a broadcast and a shuffle).
     """
-    found = join_components(docs, id_col=id_col, text_col=text_col, **options)
+    found = row_components(docs, id_col=id_col, text_col=text_col, width=width, threshold=threshold)
     [key] = spare_names(docs, "_key")
     per_id = found.groupBy(F.col("doc_id").alias(key)).agg(
         F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("head"), F.count("*").alias("n"))
@@ -338,8 +353,14 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     gone, several = per_id.filter(~F.col("head")).select(key), per_id.filter("head").select(key)
     same = docs[id_col].eqNullSafe(F.col(key))
     kept = docs.join(gone, same, "left_anti")
+    heads = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+             .join(several, F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")
+             .groupBy("doc_id", F.coalesce("root", "key").alias("root")).agg(F.min("key").alias(key)).select(key))
+    heads = written(heads, "gram-heads")
     return (kept.join(several, same, "left_anti")
-            .unionByName(kept.join(several, same, "left_semi").dropDuplicates([id_col, text_col])))
+            .unionByName(kept.join(several, same, "left_semi")
+                         .join(heads, row_key(F.col(id_col), F.col(text_col)) == F.col(key), "left_semi")
+                         .dropDuplicates([id_col, text_col])))
 
 
 def op6_query(docs: DataFrame) -> DataFrame:

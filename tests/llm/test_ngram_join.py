@@ -151,6 +151,19 @@ def test_ids_that_are_null(docs_df):
     assert J.join_components(docs_df([])).collect() == []
 
 
+def test_one_id_with_several_texts(docs_df):
+    """Each text keeps its own n-grams and its own fate, whatever else its id stands for."""
+    def family(name, ids):
+        return [(i, " ".join(f"{name}{i}" if j == 20 else f"{name}_{j}" for j in range(90)), "en", "s") for i in ids]
+    a, b, c = family("a", range(30)), family("b", range(10, 40)), [(50, r[1], "en", "s") for r in family("c", (1, 2))]
+    lone = [(60, " ".join(f"{x}{j}" for j in range(30)), "en", "s") for x in "xy"] + [(15, "nothing like the others here", "en", "s")]
+    rows = a + b + c + lone
+    assert sorted(map(tuple, J.join_components(docs_df(rows)).collect())) == brute(rows, 3, 9, 10)
+    kept = sorted((r["doc_id"], r["text"]) for r in J.keep_one(docs_df(rows + lone[:1])).collect())
+    assert [k for k in kept if k[0] != 50] == sorted((r[0], r[1]) for r in [a[0], b[0], *lone])
+    assert len([k for k in kept if k[0] == 50]) == 1
+
+
 def test_components_of_long_chains(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 300)] + [(1000 + i, 1000) for i in range(1, 80)] + [(5000, 4000), (4000, 5000), (7, 7)]
