@@ -110,7 +110,7 @@ def scan_member_csv(spark: SparkSession, path: str, shop_id=None, on_bad_ts: str
 
 def scan_pages(spark: SparkSession, path: str, shop_id=None) -> DataFrame:
     """Sale-page table, one tenant (loaded for completeness; F3 does not use it)."""
-    df = spark.read.option("header", True).csv(path)
+    df = spark.read.option("header", True).option("escape", '"').csv(path)
     return df.filter(F.col("ShopId") == F.lit(shop_id)) if shop_id is not None else df
 
 

@@ -47,3 +47,13 @@ def test_write_and_scan_samples_and_features(spark):
     assert cols == ["sleep_days"] and df.count() == 2
     io.write_metric_tables({"m": s.groupBy("split").count()}, os.path.join(d, "metrics"))
     assert spark.read.option("header", True).csv(os.path.join(d, "metrics", "m")).count() == 2
+
+
+def test_scan_pages_keeps_one_shop_and_all_columns(spark):
+    p = os.path.join(tempfile.mkdtemp(), "pages.csv")
+    with open(p, "w", encoding="utf-8") as f:
+        f.write('ShopId,PageId,Title\ns1,1,"a, b"\ns3,2,"quoted ""c"""\ns3,3,\n')
+    df = io.scan_pages(spark, p, shop_id="s3")
+    assert df.columns == ["ShopId", "PageId", "Title"]
+    assert sorted(map(tuple, df.collect())) == [("s3", "2", 'quoted "c"'), ("s3", "3", None)]
+    assert io.scan_pages(spark, p).count() == 3
