@@ -11,7 +11,8 @@ same whatever stands around it, and keep their distances.
   position; a fixed-size sample of the whole text's anchors.
 * ``render``: the sketch as a string ``hash@position`` (hexadecimal), by hash.
 * ``likeness``: Dice coefficient estimated from two sketches; ``in_place``: the
-  number of common anchors that stand at the same position in both texts.
+  number of common anchors at the most frequent distance between their positions
+  in the two texts (0 where nothing was put in or taken out before them).
 
 A text shorter than K bytes has one anchor, the hash of all its bytes; NULL or
 empty text has none (fingerprint '').
@@ -127,8 +128,21 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def in_place(a: Column, b: Column) -> Column:
-    """Common anchors at equal byte positions."""
-    return F.size(F.array_intersect(a, b)).cast("long")
+    """Common anchors at the most frequent offset (in bytes) between two sketches."""
+    position = lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF))
+    none = F.struct(F.lit(None).cast("bigint").alias("at"), F.lit(0).alias("n"), F.lit(0).alias("most"))
+
+    def offsets(x: Column, y: Column) -> Column:
+        there = F.map_from_arrays(hashes(y), F.transform(y, position))
+        return bind(there, lambda m: F.transform(
+            F.filter(x, lambda e: F.map_contains_key(m, F.shiftright(e, 32))),
+            lambda e: F.element_at(m, F.shiftright(e, 32)) - position(e)))
+
+    def count(s: Column, d: Column) -> Column:
+        n = F.when(s["at"] == d, s["n"] + 1).otherwise(1)
+        return F.struct(d.alias("at"), n.alias("n"), F.greatest(s["most"], n).alias("most"))
+    return F.aggregate(F.sort_array(bind(a, lambda x: bind(b, lambda y: offsets(x, y)))), none, count,
+                       lambda s: s["most"].cast("long"))
 
 
 def fingerprint(docs: DataFrame, *, text_col: str = "text", out_col: str = "fingerprint") -> DataFrame:

@@ -98,3 +98,14 @@ def test_range_numbers(spark):
     df = spark.range(0, 50).select(FP._range_of(F.col("id"), [3, 10, 11, 40]).alias("r"), "id")
     for r, i in df.collect():
         assert r == sum(b <= i for b in [3, 10, 11, 40])
+
+
+def test_in_place_counts_the_most_frequent_offset(spark):
+    """Bytes put in at the start move all anchors alike; unrelated texts and empty ones have none in common."""
+    text = " ".join(f"word{i * i}" for i in range(400))
+    rows = [(text, "#" + text), (text, text), (text, "of other words " * 30), ("", text), ("", "")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    a, b = (FP.sketch(FP.anchors(F.col(x).cast("binary"))) for x in "ab")
+    got = [tuple(r) for r in df.select(FP.in_place(a, b), F.size(F.array_intersect(FP.hashes(a), FP.hashes(b)))).collect()]
+    assert got[0][0] == got[0][1] >= 60 and got[1] == (64, 64)
+    assert [g[0] for g in got[2:]] == [0, 0, 0]
