@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -6,10 +5,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from helpers import ORDER_SCHEMA  # noqa: E402
 from rekindle.session import build_session  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 def pytest_configure(config):
     config.addinivalue_line("markers", "slow: model training tests")
@@ -23,23 +21,6 @@ def spark(tmp_path_factory):
     s.stop()
 
 
-ORDER_SCHEMA = ("member_id long, order_code string, order_ts timestamp_ntz, status string, "
-                "sales_amount double, ts_count long, qty int, total_price double, "
-                "total_discount double, total_coupon_discount double, channel string, "
-                "payment string, shipping string")
-
-
-def ts(s: str) -> dt.datetime:
-    return dt.datetime.fromisoformat(s)
-
-
-def order(member, code, when, status="Finish", amount=100.0, **kw):
-    return (member, code, ts(when) if isinstance(when, str) else when, status, amount,
-            kw.get("ts_count", 1), kw.get("qty", 1), kw.get("total_price", amount),
-            kw.get("total_discount", 0.0), kw.get("total_coupon_discount", 0.0),
-            kw.get("channel", "App"), kw.get("payment", "card"), kw.get("shipping", "home"))
-
-
 @pytest.fixture
 def orders_df(spark):
     def make(rows):

@@ -1,7 +1,7 @@
 """F1-F6 semantics on hand-made rows (FIXTURES §4)."""
 import datetime as dt
 
-from conftest import order, ts
+from helpers import order, ts
 
 from rekindle.config import RevivalConfig
 from rekindle.operators import features as FE
@@ -145,7 +145,7 @@ def test_member_features_and_cleanup(spark):
 
 
 def test_assembled_features_on_fixture(spark):
-    from conftest import SF
+    from helpers import SF
     from rekindle.config import ADAPTER_A
     from rekindle.operators import events as EV
     from rekindle.sources import adapters as A

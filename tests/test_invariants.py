@@ -3,7 +3,7 @@ orders after the label window; features do not depend on any order at or
 after t0_date (same day later in the day included)."""
 import datetime as dt
 
-from conftest import SF
+from helpers import SF
 from pyspark.sql import functions as F
 
 from rekindle.config import ADAPTER_A

@@ -52,7 +52,7 @@ def test_auc_ap_with_clustered_scores_keep_buckets_small(spark):
 
 
 def test_scored_fixture_reference_values(spark):
-    from conftest import SF
+    from helpers import SF
     from rekindle.sources import adapters as A
     got = {r.split: r for r in M.auc_ap(A.scored_fixture(spark, SF.replace("0.001", "0.01"))).collect()}
     assert abs(got["test"].auc_roc - 0.7028318930) < 1e-9

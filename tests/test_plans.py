@@ -1,5 +1,5 @@
 """Plan-shape guards: no cartesian products / nested-loop joins, pushed filters."""
-from conftest import SF
+from helpers import SF
 
 from rekindle.config import ADAPTER_A
 from rekindle.operators import events as EV

@@ -15,7 +15,7 @@ from rekindle.operators import study as ST
 from rekindle.operators import timeline as TL
 from rekindle.sources import adapters as A
 from rekindle.sources import io
-from conftest import SF, order
+from helpers import SF, order
 
 CFG = RevivalConfig()
 

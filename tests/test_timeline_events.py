@@ -1,7 +1,7 @@
 """R2-R10 rules on hand-made rows (FIXTURES §4)."""
 import datetime as dt
 
-from conftest import order, ts
+from helpers import order, ts
 
 from rekindle.config import RevivalConfig
 from rekindle.operators import events as EV
@@ -123,7 +123,7 @@ def test_sample_ids_dense_and_ordered(spark):
 
 
 def test_funnel_matches_fixture_counts(spark):
-    from conftest import SF
+    from helpers import SF
     from rekindle.config import ADAPTER_A
     from rekindle.sources import adapters as A
     f = {r.step: r.value for r in EV.funnel(A.orders_a(spark, SF), ADAPTER_A).collect()}
