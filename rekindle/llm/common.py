@@ -81,3 +81,31 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
         e = left[k].eqNullSafe(F.col(f"_r_{k}"))
         cond = e if cond is None else cond & e
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def identity(*cols: Column) -> Column:
+    """A row's key from its columns, NULL told from every value: two seeded 64-bit hashes (128 bits), as a struct."""
+    flagged = [x for c in cols for x in (c.isNull(), c)]
+    return F.struct(F.xxhash64(F.lit(0), *flagged).alias("a"), F.xxhash64(F.lit(1), *flagged).alias("b"))
+
+
+#: A key with more than this part of all rows is joined by broadcast in ``spread_join``; there are fewer such keys than 1 / part.
+HEAVY = 1 / 500
+
+
+def spread_join(rows: DataFrame, per_key: DataFrame, keys: list[str], n: str, how: str = "left") -> DataFrame:
+    """``rows`` joined to ``per_key`` (a row a key, with its number ``n`` of rows of ``rows``), NULL equal to NULL.
+
+    The rows of one key may be a third of all.  Keys with more than ``HEAVY`` of
+    the rows (fewer than 1 / ``HEAVY`` keys by counting, so their table has a
+    proven bound) meet their rows by broadcast, where the rows lie; the rest
+    meet by a shuffle in which no key has more.  ``n`` is left out.
+    """
+    per_key = written(per_key, "spread-keys")
+    most = F.lit(HEAVY) * per_key.agg(F.coalesce(F.sum(n), F.lit(0)).alias("n")).scalar()
+    heavy = F.broadcast(per_key.filter(F.col(n) > most).drop(n))
+    light = per_key.filter(F.col(n) <= most).drop(n)
+    marked = null_safe(rows, heavy.select(*keys).withColumn("_heavy", F.lit(True)), keys, "left")
+    some = null_safe(marked.filter("_heavy").drop("_heavy"), heavy, keys)
+    rest = null_safe(marked.filter("_heavy is null").drop("_heavy"), light, keys, how)
+    return some.unionByName(rest)

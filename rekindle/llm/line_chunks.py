@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rekindle.llm.common import spare_names, written
+from rekindle.llm.common import identity, spare_names, written
 from rekindle.llm.fingerprints import bind
 
 DIVISOR = 2
@@ -110,7 +110,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", di
     cols = [c for c in docs.columns if c not in ("_chunks_removed", "_lines_removed")]
     row, spans, differ, gone, cut, edge = spare_names(docs, "_row", "_spans", "_differ", "_gone", "_cut", "_edge")
     text = F.col(text_col)
-    base = docs.select(*[F.col(c) for c in cols], F.xxhash64(F.col(id_col), text).alias(row))
+    base = docs.select(*[F.col(c) for c in cols], identity(F.col(id_col), text).alias(row))
     narrow = base.select(F.col(row).alias("row"), F.col(id_col).alias("id"),
                          F.posexplode(chunks(text, divisor, whole)).alias("k", "c"))
     narrow = written(narrow.filter((F.col("c.n_lines") >= min_lines) & F.col("c.body").rlike(r"[^\x20\x09-\x0D]"))

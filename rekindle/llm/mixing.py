@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rekindle.llm.common import WORD, bucket_prefix, null_safe, spare_names, written
+from rekindle.llm.common import WORD, bucket_prefix, identity, null_safe, spare_names, written
 
 SYMBOLS = "#*$%&|<>!"
 
@@ -118,10 +118,10 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
 def repeat_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as many times as ``mix`` takes it (0 times and more); columns unchanged.
 
-    Rows equal in all columns are one row with the sum of their copies.
+    Rows equal in all columns (NULL equal to NULL only) are one row with the sum of their copies.
     """
     row, copies, copy = spare_names(docs, "_row", "_copies", "_copy")
-    keyed = docs.select("*", F.xxhash64(*docs.columns).alias(row))
+    keyed = docs.select("*", identity(*[docs[c] for c in docs.columns]).alias(row))
     taken = (mix(keyed, row=F.col(row), **options).groupBy(F.col("row").alias(row))
              .agg(F.sum("copies").cast("int").alias(copies)).filter(F.col(copies) > 0))
     return (keyed.dropDuplicates([row]).join(taken, row)

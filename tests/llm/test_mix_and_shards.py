@@ -107,3 +107,26 @@ def test_few_rows_and_many_sources(docs_df):
     assert sorted(r["shard"] for r in S.interleave(docs_df([(i, "t", "en", "s") for i in range(3)])).collect()) == [0, 2, 5]
     many = S.interleave(docs_df([(i, "t", "en", f"src{i}") for i in range(400)])).collect()
     assert len({r["frac_rank"] for r in many}) == 400
+
+
+def test_rows_that_differ_by_null_only_are_kept(docs_df):
+    """NULL against a value in another column, and the same id: documents of their own."""
+    rows = [(None, "alpha beta gamma", "en", None), (None, "alpha beta gamma", None, "en"),
+            (7, "one two three", "en", None), (7, "one two three", None, "en")]
+    out = M.repeat_documents(docs_df(rows), max_epochs=2, budget_share=2.0)
+    got = collections.Counter(tuple(r)[:4] for r in out.collect())
+    assert got == {r: 2 for r in rows}
+
+
+def test_spread_join_meets_heavy_and_null_keys(spark):
+    from rekindle.llm.common import identity, spread_join
+    rows = spark.createDataFrame([(None if i % 5 == 0 else 1 if i % 5 < 4 else i, i) for i in range(3000)], "k long, v long")
+    per_key = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("m"))
+    per_key = per_key.filter("k is null or k <> 4")
+    got = {(r.k, r.v): r.m for r in spread_join(rows, per_key, ["k"], "n").collect()}
+    least = {}
+    for k, v in got:
+        least[k] = min(least.get(k, v), v)
+    assert len(got) == 3000 and got == {(k, v): None if k == 4 else least[k] for k, v in got}
+    a = spark.createDataFrame([(None, "x"), ("x", None), ("", "x"), ("x", "")], "a string, b string")
+    assert a.select(identity(F.col("a"), F.col("b")).alias("i")).distinct().count() == 4
