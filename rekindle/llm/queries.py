@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rekindle.llm import chat, fingerprints, langid, line_chunks, mixing, ngram_join, pieces, quality, ranking, sharding
+from rekindle.llm import (chat, fingerprints, langid, line_chunks, mixing, ngram_join, pieces, quality, ranking, sharding,
+                          simhash)
 from rekindle.llm.common import table
 
 
@@ -27,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_gumbel_pieces": _docs(pieces.op8_query),
         "op9_perspectives": lambda spark, sf_dir: chat.op9_query(table(spark, sf_dir, "conversations")),
         "op10_byte_gru": _docs(langid.op10_query),
+        "op11_simhash": _docs(simhash.op11_query),
     }
 
 
