@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rekindle.llm import (chat, fingerprints, langid, line_chunks, mixing, ngram_join, pieces, quality, ranking, sharding,
-                          simhash)
+from rekindle.llm import (chat, fingerprints, langid, line_chunks, mixing, ngram_join, periodic, pieces, quality, ranking,
+                          repair, sharding, simhash)
 from rekindle.llm.common import table
 
 
@@ -29,9 +29,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_perspectives": lambda spark, sf_dir: chat.op9_query(table(spark, sf_dir, "conversations")),
         "op10_byte_gru": _docs(langid.op10_query),
         "op11_simhash": _docs(simhash.op11_query),
+        "op12_auction_repair": lambda spark, sf_dir: repair.op12_query(table(spark, sf_dir, "conversations")),
+        "op13_periodic_runs": _docs(periodic.op13_query),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op6_gram_jaccard": ngram_join.ORACLE, "op2_line_chunks": line_chunks.ORACLE, "op9_perspectives": chat.ORACLE,
-            "op3_mix_sources": mixing.ORACLE, "op4_adaptive_rules": quality.ORACLE}
+            "op3_mix_sources": mixing.ORACLE, "op4_adaptive_rules": quality.ORACLE,
+            "op12_auction_repair": repair.ORACLE}
