@@ -247,15 +247,25 @@ def smd_profile(df: DataFrame, cols: list[str], lo: float = 0.4, hi: float = 0.6
                        F.when(den > 0, (F.col("mean1") - F.col("mean0")) / den).alias("smd"))
 
 
+def corr_moments(x: Column, y: Column) -> list[Column]:
+    """Aggregates from which :func:`corr_of` takes the correlation (the built-in one fails on a constant in ANSI mode)."""
+    both = x.isNotNull() & y.isNotNull()
+    return [F.covar_pop(x, y), F.stddev_pop(F.when(both, x)), F.stddev_pop(F.when(both, y))]
+
+
+def corr_of(cov: Column, sx: Column, sy: Column) -> Column:
+    return F.when((sx > 0) & (sy > 0), cov / F.when((sx > 0) & (sy > 0), sx * sy))
+
+
 def direction(df: DataFrame, cols: list[str], target: str = "score", min_rows: int = 10) -> DataFrame:
     """corr(feature, target) over rows where the feature is present, with
     guards (<= min_rows rows or zero variance -> n/a) -> feature, n, corr, sign."""
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n_{i}"), F.corr(x, F.col(target)).alias(f"c_{i}"),
-                 F.stddev_pop(x).alias(f"s_{i}")]
+        aggs += [F.count(x).alias(f"n_{i}"), *[e.alias(f"{n}_{i}") for n, e in zip("csy", corr_moments(x, F.col(target)), strict=True)]]
     a = df.agg(*aggs)
+    a = a.withColumns({f"c_{i}": corr_of(*[F.col(f"{n}_{i}") for n in "csy"]) for i in range(len(cols))})
     rows = ", ".join(f"'{c}', n_{i}, c_{i}, s_{i}" for i, c in enumerate(cols))
     long = a.select(F.expr(f"stack({len(cols)}, {rows}) as (feature, n, corr, sd)"))
     ok = (F.col("n") > min_rows) & (F.col("sd") > 0)
