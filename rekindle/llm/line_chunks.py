@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rekindle.llm.common import identity, spare_names, written
+from rekindle.llm.common import identity, spare_names, spread_join, written
 from rekindle.llm.fingerprints import bind
 
 DIVISOR = 2
@@ -116,21 +116,22 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", di
     narrow = written(narrow.filter((F.col("c.n_lines") >= min_lines) & F.col("c.body").rlike(r"[^\x20\x09-\x0D]"))
                      .select("row", "id", "k", body_hash(F.col("c.body")).alias("h")), "line-chunks")
     found = (narrow.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("id", "row", "k")).alias("first"))
-             .filter("n > 1").select("h", "first"))
-    repeats = (narrow.join(found, "h")
-               .select(F.col("row").alias(row), F.struct("k", "h", (
+             .filter("n > 1").select("h", "first", "n"))
+    repeats = (spread_join(narrow, found.withColumn("found", F.col("n")), ["h"], "n", "inner")
+               .select(F.col("row").alias(row), F.struct("k", "h", F.col("found").alias("n"), (
                    (F.col("row") == F.col("first.row")) & (F.col("k") == F.col("first.k"))).alias("first")).alias("s"))
                .groupBy(row).agg(F.collect_set("s").alias(spans)))  # a document's own chunks
     marked = written(base.join(repeats, row, "left"), "line-marked")
 
     bytes_ = (marked.filter(F.col(spans).isNotNull())
               .select(F.col(row).alias("row"), chunks(text, divisor, whole).alias("c"), F.explode(spans).alias("s"))
-              .select("row", "s.k", "s.h", "s.first", F.get("c", F.col("s.k"))["body"].alias("body"), *[
+              .select("row", "s.k", "s.h", "s.n", "s.first", F.get("c", F.col("s.k"))["body"].alias("body"), *[
                   F.get("c", F.col("s.k") + step)["body"].alias(side)
                   for step, side in ((-1, "before"), (1, "after")) if whole]))
-    first = bytes_.filter("first").dropDuplicates(["h"]).select("h", *[
+    first = bytes_.filter("first").dropDuplicates(["h"]).select("h", "n", *[
         F.col(x).alias(f"first_{x}") for x in ("body", "before", "after") if x in bytes_.columns])
-    other = bytes_.filter("not first").join(first, "h")
+    # the chunks met by broadcast are at most 500 times the mean chunk, since each is in a 500th of the rows or more
+    other = spread_join(bytes_.filter("not first").drop("n"), first, ["h"], "n", "inner")
     if whole:
         lines = lambda x: F.split(F.col(x), "\n", -1)
         near = (other.filter(F.col("body") == F.col("first_body"))

@@ -36,7 +36,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.window import Window
 
 from rekindle.llm import words as W
-from rekindle.llm.common import identity, small_batches, spare_names, written
+from rekindle.llm.common import identity, small_batches, spare_names, spread_join, written
 from rekindle.llm.components import components
 
 ROWS = 128
@@ -290,16 +290,17 @@ def row_components(docs: DataFrame, *, id_col: str, text_col: str, width: int, t
     family = components(edges, "gram-families")
     members = family.union(family.select(F.col("root").alias("node"), "root").distinct())
     classes = written(signed.filter("digest is not null").groupBy("digest").agg(
-        F.min("key").alias("key"), F.min("doc_id").alias("rep"), F.first("n").alias("n")), "gram-classes")
+        F.min("key").alias("key"), F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("n_rows")), "gram-classes")
     # linked sets are of the same or of neighbouring size classes
     size_class = F.floor(F.log("n") / float(np.log(1.001 / threshold))).cast("int")
     sized = members.join(classes, F.col("node") == F.col("digest")).select(
         "key", "digest", F.col("root").alias("family"), size_class.alias("c"))
-    blocks = sized.groupBy("family", "c").agg(F.ceil(F.count("*") / F.lit(ROWS)).cast("int").alias("b"))
+    blocks = sized.groupBy("family", "c").agg(F.ceil(F.count("*") / F.lit(ROWS)).cast("int").alias("b"),
+                                              F.count("*").alias("n_classes"))
     near = blocks
     for shift, name in ((1, "b_up"), (-1, "b_down")):
         near = near.join(blocks.select("family", (F.col("c") - shift).alias("c"), F.col("b").alias(name)), ["family", "c"], "left")
-    wanted = sized.join(near, ["family", "c"]).select(
+    wanted = spread_join(sized, near, ["family", "c"], "n_classes", "inner").select(
         "key", "digest", "family", "c", "b", F.coalesce("b_up", F.lit(0)).alias("b_up"),
         F.coalesce("b_down", F.lit(0)).alias("b_down"),
         F.pmod(F.xxhash64("digest"), F.col("b")).cast("int").alias("block"))
@@ -328,8 +329,11 @@ def row_components(docs: DataFrame, *, id_col: str, text_col: str, width: int, t
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = named.join(least, "root").select("digest", "root", "component_id")
     of_class = classes.join(named, "digest", "left").select(
-        "digest", F.coalesce("root", "digest").alias("root"), F.coalesce("component_id", "rep").alias("component_id"))
-    return (signed.join(of_class, "digest", "left")
+        "digest", F.coalesce("root", "digest").alias("root"), F.coalesce("component_id", "rep").alias("component_id"), "n_rows")
+    # rows without n-grams have no class to be looked up
+    found = (spread_join(signed.filter("digest is not null"), of_class, ["digest"], "n_rows")
+             .unionByName(signed.filter("digest is null"), allowMissingColumns=True))
+    return (found
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
                     .alias("component_id"), "key", "root"))
@@ -355,7 +359,7 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     kept = docs.join(gone, same, "left_anti")
     heads = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
              .join(several, F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")
-             .groupBy("doc_id", F.coalesce("root", "key").alias("root")).agg(F.min("key").alias(key)).select(key))
+             .groupBy("doc_id", "root", F.when(F.col("root").isNull(), F.col("key")).alias("own")).agg(F.min("key").alias(key)).select(key))
     heads = written(heads, "gram-heads")
     return (kept.join(several, same, "left_anti")
             .unionByName(kept.join(several, same, "left_semi")
