@@ -90,11 +90,12 @@ def _without(text: Column, gone: Column, edges: Column) -> Column:
 
 
 def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", divisor: int = DIVISOR,
-          min_lines: int = MIN_LINES, whole: bool = False) -> DataFrame:
+          min_lines: int = MIN_LINES, whole: bool = False,
+          marks: tuple[str, str] = ("_chunks_removed", "_lines_removed")) -> DataFrame:
     """All rows and columns of ``docs`` with repeated chunks taken out of the text.
 
-    Two columns are added (and replaced if present): ``_chunks_removed`` and
-    ``_lines_removed``.  A text without a removed chunk is returned byte for byte.
+    Two columns, ``marks``, are added (and replaced if present): the numbers of
+    chunks and of lines removed.  A text without a removed chunk is returned byte for byte.
 
     ``whole``: chunks by local minima, and each match is extended over the lines
     next to it that equal the lines next to its first place (further than the
@@ -107,7 +108,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", di
     the same id and text count as one document (each is treated alike); an empty
     table gives an empty result.
     """
-    cols = [c for c in docs.columns if c not in ("_chunks_removed", "_lines_removed")]
+    cols = [c for c in docs.columns if c not in marks]
     row, spans, differ, gone, cut, edge = spare_names(docs, "_row", "_spans", "_differ", "_gone", "_cut", "_edge")
     text = F.col(text_col)
     base = docs.select(*[F.col(c) for c in cols], identity(F.col(id_col), text).alias(row))
@@ -157,7 +158,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", di
                                 lambda acc, x: acc + x["n_lines"])))
     out = out.withColumn(cut, F.when(F.size(gone) > 0, rest))
     return out.select(*[F.coalesce(F.col(f"{cut}.text"), text).alias(c) if c == text_col else F.col(c) for c in cols],
-                      F.size(gone).alias("_chunks_removed"), F.coalesce(f"{cut}.n", F.lit(0)).alias("_lines_removed"))
+                      F.size(gone).alias(marks[0]), F.coalesce(f"{cut}.n", F.lit(0)).alias(marks[1]))
 
 
 def drop_repeated_chunks(docs: DataFrame, *, text_col: str = "text", **options) -> DataFrame:
@@ -165,11 +166,12 @@ def drop_repeated_chunks(docs: DataFrame, *, text_col: str = "text", **options)
 
     Columns are those of ``docs``; ``n_chars``, if present, is counted anew for changed texts.
     """
-    out = dedup(docs, text_col=text_col, **options)
+    marks = spare_names(docs, "_chunks_removed", "_lines_removed")
+    out = dedup(docs, text_col=text_col, marks=tuple(marks), **options)
     left = F.col(text_col).rlike(r"[^\x20\x09-\x0D]")
-    out = out.filter((F.col("_chunks_removed") == 0) | left)
+    out = out.filter((F.col(marks[0]) == 0) | left)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_chunks_removed") > 0, F.length(text_col).cast("long"))
+        out = out.withColumn("n_chars", F.when(F.col(marks[0]) > 0, F.length(text_col).cast("long"))
                              .otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 

@@ -149,45 +149,47 @@ def fences(sketches: DataFrame, rules=RULES, min_group: int = MIN_GROUP, reach:
 
 
 def judge(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-          rules=RULES, min_group: int = MIN_GROUP, keep_columns: list[str] | None = None) -> DataFrame:
-    """The columns ``keep_columns`` (all by default) of every row, with ``_quality``: counts, base_failed, kept.
+          rules=RULES, min_group: int = MIN_GROUP, keep_columns: list[str] | None = None,
+          out_col: str = "_quality") -> DataFrame:
+    """The columns ``keep_columns`` (all by default) of every row, with ``out_col``: counts, base_failed, kept.
 
     Defined cases: NULL or empty text has no words, so it fails the base rules;
     NULL languages and NULL sources are groups of their own; a group without a
     document that passes the base rules has none to judge; rows repeated in full
     are judged alike; an empty table gives an empty result.  A column named
-    ``_quality`` in the input is replaced.
+    ``out_col`` in the input is replaced.
 
     The text is measured once for the sketches, and once more for the verdicts
     where columns other than ids are kept (nothing but narrow measures is stored).
     """
-    keep = [c for c in (keep_columns or docs.columns) if c != "_quality"]
+    keep = [c for c in (keep_columns or docs.columns) if c != out_col]
     narrow = text_col not in keep
     small_batches(docs.sparkSession)
     src = docs.select(*dict.fromkeys([*keep, lang_col, source_col, text_col]))
-    measured = src.withColumn("_quality", measures(F.col(text_col)))
+    measured = src.withColumn(out_col, measures(F.col(text_col)))
     if narrow:
-        measured = written(measured.select(*dict.fromkeys([*keep, lang_col, source_col]), "_quality"), "quality")
-    bounds = written(fences(written(sketch(measured, "_quality", lang_col, source_col, rules), "sketches"),
+        measured = written(measured.select(*dict.fromkeys([*keep, lang_col, source_col]), out_col), "quality")
+    bounds = written(fences(written(sketch(measured, out_col, lang_col, source_col, rules), "sketches"),
                             rules, min_group), "fences")
     b_lang, b_source, low, high = spare_names(measured, "_b_lang", "_b_source", "_b_low", "_b_high")
     b = bounds.toDF(b_lang, b_source, low, high)
     x = measured.join(b, measured[lang_col].eqNullSafe(F.col(b_lang))
                       & measured[source_col].eqNullSafe(F.col(b_source)), "left")
-    verdict = ~base_failed("_quality")
+    verdict = ~base_failed(out_col)
     for k, r in enumerate(rules):
         if r.slack_low is not None:
-            verdict = verdict & (rate(r, "_quality") >= F.col(low)[k])
+            verdict = verdict & (rate(r, out_col) >= F.col(low)[k])
         if r.slack_high is not None:
-            verdict = verdict & (rate(r, "_quality") <= F.col(high)[k])
-    out = x.withColumn("_quality", F.struct("_quality.*", base_failed("_quality").alias("base_failed"),
+            verdict = verdict & (rate(r, out_col) <= F.col(high)[k])
+    out = x.withColumn(out_col, F.struct(f"{out_col}.*", base_failed(out_col).alias("base_failed"),
                                             F.coalesce(verdict, F.lit(False)).alias("kept")))
-    return out.select(*keep, "_quality")
+    return out.select(*keep, out_col)
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns unchanged."""
-    return judge(docs, **options).filter("_quality.kept").select(*docs.columns)
+    [mark] = spare_names(docs, "_quality")
+    return judge(docs, out_col=mark, **options).filter(F.col(f"{mark}.kept")).select(*docs.columns)
 
 
 def op4_query(docs: DataFrame) -> DataFrame:

@@ -167,3 +167,14 @@ def test_a_conversation_with_most_rows(spark):
     parts = C.assemble(r, part_chars=500).filter("conv_id = 1 and perspective = 'a'").orderBy("part").collect()
     assert len(parts) > 20 and "".join(p["text"] for p in parts) == want[1, "a"][0]
     assert [(m["start"], m["end"]) for p in parts for m in p["masks"]] == want[1, "a"][1]
+
+
+def test_ranking_of_ids_with_several_texts_is_defined(spark):
+    """Whatever the partitioning, and with ids that have both labels."""
+    from rekindle.llm import ranking
+    rows = [(i % 40, f"{'good words in a row' if i % 2 else '$$ # buy @@ now'} {i} " * (3 + i % 5)) for i in range(160)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)] + [(3, 0, 0), (4, 1, 0)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [sorted((r.doc_id, r.score) for r in ranking.rank(docs.repartition(n), labels.repartition(n)).collect())
+             for n in (1, 5, 9)]
+    assert found[0] == found[1] == found[2]

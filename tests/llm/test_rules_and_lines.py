@@ -192,3 +192,14 @@ def test_whole_copies_and_passages_go(docs_df):
     assert all(got[200 + i]["text"] == f"head {i}\nmore {i}\ntail {i}\nend {i}" for i in range(1, 20))
     left = {r["doc_id"] for r in LC.drop_repeated_chunks(docs_df(rows), whole=True).collect()}
     assert not left & set(range(100, 140)) and left >= set(range(40))
+
+
+def test_columns_named_like_the_marks_stay(docs_df):
+    text = "\n".join(" ".join(f"word{7 * k + j}" for j in range(7)) for k in range(6))
+    rows = [(k, text, "en", "s") for k in range(3)]
+    df = docs_df(rows, ", _quality string, _lines_removed string, _chunks_removed int", ("mine", "mine", 7))
+    from rekindle.llm import line_chunks, quality
+    for out in (quality.keep_good(df), line_chunks.drop_repeated_chunks(df), line_chunks.drop_repeated_chunks(df, whole=True)):
+        assert out.columns == df.columns
+        got = out.collect()
+        assert got and all((r["_quality"], r["_lines_removed"], r["_chunks_removed"]) == ("mine", "mine", 7) for r in got)
