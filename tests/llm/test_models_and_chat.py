@@ -177,4 +177,6 @@ def test_ranking_of_ids_with_several_texts_is_defined(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = [sorted((r.doc_id, r.score) for r in ranking.rank(docs.repartition(n), labels.repartition(n)).collect())
              for n in (1, 5, 9)]
-    assert found[0] == found[1] == found[2]
+    for other in found[1:]:  # a row's product is rounded by the rows it is batched with
+        assert [i for i, _ in other] == [i for i, _ in found[0]]
+        assert max(abs(a - b) for (_, a), (_, b) in zip(other, found[0], strict=True)) < 1e-12
