@@ -779,6 +779,14 @@ def build() -> dict[str, str]:
     Q["coerce_numeric"] = """select o_orderkey as order_code, try_cast(case when o_orderkey % 3 = 0 then o_orderpriority
         when o_orderkey % 3 = 1 then cast(o_orderkey as varchar)
         when o_orderkey % 6 = 2 then cast(o_orderkey % 97 as varchar) || '.5' end as double) as x from orders"""
+    simpson = lambda f, lo, width, n: (  # noqa: E731  composite rule over n steps, as a sum of a list
+        f"(({width}) / {n}.0 / 3 * list_sum(list_transform(range({n} + 1), lambda j: (case when j = 0 or j = {n} then 1 when j % 2 = 1 then 4 else 2 end)"
+        f" * {f.replace('T', f'(({lo}) + ({width}) * j / {n}.0)')})))")
+    # noqa: E731  Benjamini and Hochberg over the rows of a test
+    step_up = lambda body, cols: C + f""" select {cols}, round(p, 6) as p_value,
+        round(case when p is not null then least((select min(b.p * m / r) from (select p, row_number() over (order by p nulls last, feature desc) as r,
+            count(p) over () as m, feature from z0) b where b.p is not null and b.r >= a.r), 1.0) end, 6) as p_adjusted
+        from (select *, row_number() over (order by p nulls last, feature desc) as r from z0) a"""
     Q["mann_whitney"] = C + " " + " union all ".join(f"""
         select '{c}' as feature, n1, n0, round(u, 6) as u, round(case when n1 * n0 > 0 then u / (cast(n1 as double) * n0) end, 6) as effect,
                round(case when v > 0 then (u - cast(n1 as double) * n0 / 2) / sqrt(v) end, 6) as z from (
@@ -797,16 +805,25 @@ def build() -> dict[str, str]:
                      cast(sum(count(*) filter (where label = 1)) over () as double) as t1,
                      cast(sum(count(*) filter (where label = 0)) over () as double) as t0
               from featc group by {c})""" for c in ("t0_channel", "t0_payment", "gender", "country_code"))
+    for name, cols, p in (("mann_whitney", "feature, n1, n0, round(u, 6) as u, round(effect, 6) as effect, round(z, 6) as z",
+                           simpson("0.7978845608028654 * exp(-T * T / 2)", "abs(z)", "12.0", 4000)),
+                          ("chi_square", "feature, categories, round(chi2, 6) as chi2, dof",
+                           simpson("exp((dof / 2.0 - 1) * ln(T) - T / 2 - (dof / 2.0) * ln(2.0) - lgamma(dof / 2.0))",
+                                   "greatest(chi2, 1e-9)", "300.0", 60000))):
+        body = Q[name][len(C):].replace("round(", "(").replace(", 6)", ")")  # rounded at the end
+        Q[name] = step_up(body, cols).replace(C, C + f", z00 as ({body}), z0 as (select *, {p} as p from z00)", 1)
     rk = {c: f"rank() over (order by {c}) + (count(*) over (partition by {c}) - 1) / 2.0 as {c}" for c in ("f1", "f2", "score")}
     ranks = f"(select {', '.join(rk.values())} from scored where f1 is not null and f2 is not null and score is not null)"
     Q["spearman"] = C + " " + " union all ".join(
         f"select '{a}' as a, '{b}' as b, round(corr({a}, {b}), 6) as rho from {ranks}"
         for a, b in (("f1", "f2"), ("f1", "score"), ("f2", "score")))
-    te = [f"""(select coalesce({c}, 'unknown') as k, (sum(cast(label as double)) + 20.0 * (select avg(cast(label as double)) from featc where split = 'train'))
-              / (count(*) + 20.0) as te from featc where split = 'train' group by 1)""" for c in ("t0_payment", "country_code")]
-    Q["target_encode"] = C + f""" select sample_id, round(coalesce(a.te, p.p), 6) as t0_payment_te, round(coalesce(b.te, p.p), 6) as country_code_te
-        from featc f left join {te[0]} a on a.k = coalesce(f.t0_payment, 'unknown')
-        left join {te[1]} b on b.k = coalesce(f.country_code, 'unknown'),
+    fold = "case when split = 'train' then cast('0x' || substr(md5('42:' || sample_id), 1, 8) as bigint) % 5 else -1 end"
+    te = [f"""round(coalesce((select (sum(cast(label as double)) + 20.0 * p.p) / (count(*) + 20.0) from (select *, {fold} as o from featc) x
+              where x.split = 'train' and x.o <> f.o and coalesce(x.{c}, 'unknown') = coalesce(f.{c}, 'unknown')),
+              case when exists (select 1 from featc x where x.split = 'train' and coalesce(x.{c}, 'unknown') = coalesce(f.{c}, 'unknown'))
+                   then (20.0 * p.p) / 20.0 end, p.p), 6) as {c}_te""" for c in ("t0_payment", "country_code")]
+    Q["target_encode"] = C + f""" select sample_id, {te[0]}, {te[1]}
+        from (select *, {fold} as o from featc) f,
         (select avg(cast(label as double)) as p from featc where split = 'train') p"""
     Q["winsorise"] = C + " select sample_id, " + ", ".join(
         f"""round(least(cast({c} as double), (select least(quantile_cont(cast({c} as double), 0.99) * 2, 20.0) from featc))
@@ -823,7 +840,29 @@ def build() -> dict[str, str]:
         [f"select '{f}' as feature, true as ranked" for f in WATCH_LIST] + ["select 'no_such_feature', cast(null as boolean)"])
     Q["permutation_importance_check"] = """select cast(57 as bigint) as features, cast(57 as bigint) as names,
         cast(0 as double) as delta_of_constant, cast(0 as bigint) as out_of_range"""
-    Q["ablation_check"] = "select m as model, 'test' as split, cast(0 as double) as delta_of_nothing_dropped from (values ('full'), ('reduced')) t(m)"
+    Q["ablation_check"] = "select m as model, 'test' as split, m = 'reduced' as misses_the_planted_column from (values ('full'), ('reduced')) t(m)"
+    Q["boosted_check"] = C + """ select split, count(*) as n, count(*) as in_range, count(distinct sample_id) as ids,
+        true as better_than_chance from a_samples group by split"""
+    Q["contributions_check"] = C + """ select split, count(*) as n, count(*) as whole, cast(0 as bigint) as off
+        from a_samples group by split"""
+    Q["contribution_direction_check"] = """select cast(5 as bigint) as features, cast(5 as bigint) as same_rank,
+        cast(5 as bigint) as guarded, cast(5 as bigint) as silent_for_ten_rows"""
+    Q["split_gains"] = C + " " + " union all ".join(f"""
+        select '{c}' as feature, bin, missing_left, round((gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1)) / 2, 6) as gain,
+               round(hl, 6) as left_cover
+        from (select bin, missing_left, g, h, gk + case when missing_left then gm else 0 end as gl,
+                     hk + case when missing_left then hm else 0 end as hl
+              from (select b.bin, m.missing_left,
+                           (select sum(0.5 - label) from {{t}}) as g, (select count(*) * 0.25 from {{t}}) as h,
+                           coalesce((select sum(0.5 - label) from {{t}} where bin = 0), 0) as gm,
+                           (select count(*) * 0.25 from {{t}} where bin = 0) as hm,
+                           (select sum(0.5 - label) from {{t}} x where x.bin between 1 and b.bin) as gk,
+                           (select count(*) * 0.25 from {{t}} x where x.bin between 1 and b.bin) as hk
+                    from (select distinct bin from {{t}} where bin > 0) b, (values (true), (false)) m(missing_left)))
+        where hl >= 1 and h - hl >= 1""".replace("{t}", f"""(select label, case when {c} is null then 0 else 1 + len(list_filter(
+            (select list_distinct(list_transform(quantile_cont(cast({c} as double), [{', '.join(str(k / 8) for k in range(1, 8))}]), lambda v: round(v, 6)))
+             from featc where split = 'train'), lambda e: e < cast({c} as double))) end as bin from featc where split = 'train')""")
+        for c in RATIO_FEATURES)
     Q["seeded_sample_check"] = "select cast(2 as bigint) as times, cast(20 as bigint) as n"
     Q["midband_share"] = C + """ select split, count(*) filter (where score between 0.4 and 0.6) as mid_n,
         round(100.0 * count(*) filter (where score between 0.4 and 0.6) / count(*), 6) as mid_pct from scored group by split"""

@@ -13,6 +13,8 @@ the de-duplicated stage-2 order table and the feature matrix.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import DataFrame
 
 from ..config import RevivalConfig
@@ -98,32 +100,60 @@ def fit_and_evaluate(features: DataFrame, cfg: RevivalConfig, max_iter: int = 40
     }
 
 
-def parameter_study(orders: DataFrame, cfg: RevivalConfig) -> dict[str, DataFrame]:
-    """Entry D: the exploratory sweeps in a handful of passes over one gap table."""
-    g = cut_lineage(ST.study_gaps(orders, cfg))
-    sweep = ST.window_sweep(g, cfg)
-    grid = ST.k_m_grid(g, cfg)
-    valid = TL.valid_purchases(orders, cfg)
-    unique = cut_lineage(TL.unique_orders(valid))
-    gaps = cut_lineage(TL.purchase_gaps(TL.daily_timeline(valid)))
-    per_member = unique.filter("member_id is not null").groupBy("member_id").count()
-    return {
-        "overview": TL.table_overview(orders),
-        "status_share": TL.value_share(orders, "status"),
-        "sign_shares": TL.sign_shares(orders),
-        "purchase_counts": TL.purchase_count_dist(unique),
-        "purchase_count_histogram": ST.histogram(per_member, "count", 59, kind="log"),
-        "item_counts": TL.item_count_dist(unique),
-        "sku_histogram": ST.histogram(unique, "ts_count", 0, kind="unit", clip_upper=20),
-        "qty_histogram": ST.histogram(unique, "qty", 0, kind="unit", clip_upper=30),
-        "static_cycle": TL.static_ci_stats(gaps, unique),
-        "gap_dist": TL.gap_dist(gaps),
-        "threshold_sweep": ST.threshold_sweep(g, cfg),
-        "window_sweep": sweep,
-        "k_m_grid": grid,
-        "k_m_table": ST.k_m_pivot(grid),
-        "best_window": ST.best_window(sweep),
-        "dormancy_length": ST.dormancy_length_dist(g, cfg),
-        "return_rates": ST.return_rates(orders, cfg),
-        "monthly_volume": ST.monthly_volume(orders, cfg),
-    }
+class Study(Mapping[str, DataFrame]):
+    """Tables by name, each planned when it is first asked for.
+
+    Tables that several others read are stored once, by the first that needs them."""
+
+    def __init__(self, tables: dict[str, Callable[[Study], DataFrame]], shared: dict[str, Callable[[], DataFrame]]):
+        self._tables, self._shared = tables, shared
+        self._found: dict[str, DataFrame] = {}
+
+    def shared(self, name: str) -> DataFrame:
+        if name not in self._found:
+            self._found[name] = cut_lineage(self._shared[name]())
+        return self._found[name]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._tables[name](self)
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._tables
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
+
+def parameter_study(orders: DataFrame, cfg: RevivalConfig) -> Study:
+    """Entry D: the exploratory sweeps in a handful of passes over one gap table.
+
+    Nothing runs before a table is asked for."""
+    gaps, unique, days = (lambda s: s.shared("gaps")), (lambda s: s.shared("unique")), (lambda s: s.shared("day_gaps"))
+    per_member = lambda s: unique(s).filter("member_id is not null").groupBy("member_id").count()
+    return Study({
+        "overview": lambda s: TL.table_overview(orders),
+        "status_share": lambda s: TL.value_share(orders, "status"),
+        "sign_shares": lambda s: TL.sign_shares(orders),
+        "purchase_counts": lambda s: TL.purchase_count_dist(unique(s)),
+        "purchase_count_histogram": lambda s: ST.histogram(per_member(s), "count", 59, kind="log"),
+        "item_counts": lambda s: TL.item_count_dist(unique(s)),
+        "sku_histogram": lambda s: ST.histogram(unique(s), "ts_count", 0, kind="unit", clip_upper=20),
+        "qty_histogram": lambda s: ST.histogram(unique(s), "qty", 0, kind="unit", clip_upper=30),
+        "static_cycle": lambda s: TL.static_ci_stats(days(s), unique(s)),
+        "gap_dist": lambda s: TL.gap_dist(days(s)),
+        "threshold_sweep": lambda s: ST.threshold_sweep(gaps(s), cfg),
+        "window_sweep": lambda s: ST.window_sweep(gaps(s), cfg),
+        "k_m_grid": lambda s: ST.k_m_grid(gaps(s), cfg),
+        "k_m_table": lambda s: ST.k_m_pivot(s["k_m_grid"]),
+        "best_window": lambda s: ST.best_window(s["window_sweep"]),
+        "dormancy_length": lambda s: ST.dormancy_length_dist(gaps(s), cfg),
+        "return_rates": lambda s: ST.return_rates(orders, cfg),
+        "monthly_volume": lambda s: ST.monthly_volume(orders, cfg),
+    }, {
+        "gaps": lambda: ST.study_gaps(orders, cfg),
+        "unique": lambda: TL.unique_orders(TL.valid_purchases(orders, cfg)),
+        "day_gaps": lambda: TL.purchase_gaps(TL.daily_timeline(TL.valid_purchases(orders, cfg))),
+    })

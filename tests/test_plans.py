@@ -85,3 +85,19 @@ def test_feature_timeline_is_one_member_window_pass(spark):
     specs = re.findall(r"Window \[.*?\], \[(member_id#\d+L)\], \[", plan(f))
     assert len(specs) >= 3 and len(set(specs)) == 1
     s.unpersist()
+
+
+def test_a_study_runs_nothing_before_it_is_asked(spark):
+    from rekindle.config import ADAPTER_A
+    from rekindle.plans import pipeline as PL
+    from rekindle.sources import adapters as A
+    orders = A.orders_a(spark, SF)
+    sc = spark.sparkContext
+    sc.setJobGroup("study", "building")
+    st = PL.parameter_study(orders, ADAPTER_A)
+    assert len(st) == 18 and "best_window" in st
+    assert list(sc.statusTracker().getJobIdsForGroup("study")) == []
+    assert st["k_m_table"].count() > 0 and st["threshold_sweep"].count() > 0
+    assert set(st._found) == {"gaps"}  # stored once, and only what was needed
+    sc.setJobGroup("rest", "")
+    assert all(st[name].columns for name in st)
