@@ -812,11 +812,30 @@ def build() -> dict[str, str]:
                                    "greatest(chi2, 1e-9)", "300.0", 60000))):
         body = Q[name][len(C):].replace("round(", "(").replace(", 6)", ")")  # rounded at the end
         Q[name] = step_up(body, cols).replace(C, C + f", z00 as ({body}), z0 as (select *, {p} as p from z00)", 1)
-    rk = {c: f"rank() over (order by {c}) + (count(*) over (partition by {c}) - 1) / 2.0 as {c}" for c in ("f1", "f2", "score")}
-    ranks = f"(select {', '.join(rk.values())} from scored where f1 is not null and f2 is not null and score is not null)"
-    Q["spearman"] = C + " " + " union all ".join(
-        f"select '{a}' as a, '{b}' as b, round(corr({a}, {b}), 6) as rho from {ranks}"
-        for a, b in (("f1", "f2"), ("f1", "score"), ("f2", "score")))
+    # correlation over the rows that have both columns: every pair of cells of a row, ranked within the pair
+    def pairwise(cols, source, id_):
+        cells = f"""select {id_} as id, unnest(range({len(cols)})) as k, unnest([{', '.join(f'round(cast({c} as double), 9)' for c in cols)}]) as x from {source}"""
+        return f"""cells as materialized (select * from ({cells}) where x is not null),
+            two as (select p.k as i, q.k as j, p.x, q.x as y from cells p join cells q on p.id = q.id and p.k < q.k),
+            ranked as (select i, j, rank() over (partition by i, j order by x) + (count(*) over (partition by i, j, x) - 1) / 2.0 as x,
+                              rank() over (partition by i, j order by y) + (count(*) over (partition by i, j, y) - 1) / 2.0 as y from two),
+            rho as materialized (select i, j, count(*) as n, case when count(*) > 1 and var_pop(x) > 0 and var_pop(y) > 0
+                                 then covar_pop(x, y) / (stddev_pop(x) * stddev_pop(y)) end as rho from ranked group by i, j),
+            cols as (select unnest(range({len(cols)})) as k, unnest({list(cols)}) as name),
+            matrix as (select p.name as a, q.name as b, p.k as i, q.k as j, coalesce(n, 0) as n, rho from cols p join cols q on p.k < q.k
+                       left join rho on rho.i = p.k and rho.j = q.k)"""
+    Q["spearman"] = C + ", " + pairwise(["f1", "f2", "score"], "scored", "id") + " select a, b, round(rho, 6) as rho from matrix"
+    Q["spearman_features"] = C + ", " + pairwise(NUMERIC_FEATURES, "featc", "sample_id") + \
+        " select a, b, n, round(rho, 6) as rho from matrix"
+    Q["prune_features"] = C.replace("with ", "with recursive ", 1) + ", " + pairwise(NUMERIC_FEATURES, "featc", "sample_id") + f""",
+        near as materialized (select i, j, rho from matrix where abs(rho) > 0.85),
+        walk as (select 0 as k, [0::bigint] as kept, cast(null as bigint) as cause
+                 union all
+                 select k + 1, case when c is null then list_append(kept, cast(k + 1 as bigint)) else kept end, c
+                 from (select k, kept, (select min(i) from near where j = k + 1 and list_contains(walk.kept, i)) as c from walk
+                       where k + 1 < {len(NUMERIC_FEATURES)}))
+        select cast(walk.k + 1 as int) as rank, cols.name as feature, cause is null as kept, b.name as because_of, round(near.rho, 6) as rho
+        from walk join cols on cols.k = walk.k left join cols b on b.k = cause left join near on near.i = cause and near.j = walk.k"""
     fold = "case when split = 'train' then cast('0x' || substr(md5('42:' || sample_id), 1, 8) as bigint) % 5 else -1 end"
     te = [f"""round(coalesce((select (sum(cast(label as double)) + 20.0 * p.p) / (count(*) + 20.0) from (select *, {fold} as o from featc) x
               where x.split = 'train' and x.o <> f.o and coalesce(x.{c}, 'unknown') = coalesce(f.{c}, 'unknown')),

@@ -1,8 +1,7 @@
-"""Next steps of the study: univariate tests, redundancy, encodings,
-winsorising, calibration, baseline models, subgroup metrics.
+"""Next steps of the study: univariate tests, encodings, winsorising,
+calibration, baseline models, subgroup metrics (redundancy: ``correlation.py``).
 
-Each is an aggregate or a small join over tables that exist already; nothing is
-gathered but the column-by-column matrix of rank correlations.
+Each is an aggregate or a small join over tables that exist already.
 """
 
 from __future__ import annotations
@@ -11,9 +10,7 @@ import math
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,26 +94,6 @@ def chi_square(df: DataFrame, cols: list[str], label: str = "label") -> DataFram
             .transform(with_adjusted))
 
 
-def spearman(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Rank correlation of every pair of columns over the rows that have all of them
-    -> a, b, rho (a matrix as large as the column list)."""
-    full = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    vec = VectorAssembler(inputCols=cols, outputCol="v").transform(full)
-    m = Correlation.corr(vec, "v", "spearman").first()[0].toArray()
-    rows = [(a, b, float(m[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, rho double")
-
-
-def prune_correlated(df: DataFrame, cols: list[str], limit: float = 0.85) -> list[str]:
-    """Columns left when, in their order, each that is too close to an earlier one kept is dropped."""
-    rho = {(r["a"], r["b"]): abs(r["rho"]) for r in spearman(df, cols).collect()}  # one row a pair of columns
-    kept: list[str] = []
-    for c in cols:
-        if all(rho[k, c] <= limit for k in kept):
-            kept.append(c)
-    return kept
-
-
 def fold_of(id_: Column, folds: int, seed: int) -> Column:
     """Fold number of a row, from an MD5 of its id."""
     digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_.cast("string"), F.lit(""))).cast("binary")), 1, 8)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..config import ADAPTER_A, ADAPTER_B
 from ..functions.exprs import round_doubles
 from ..operators import boost as BO
+from ..operators import correlation as CO
 from ..operators import events as EV
 from ..operators import features as FE
 from ..operators import metrics as M
@@ -381,7 +382,17 @@ def _(t): return SS.mann_whitney(t.features_stored, RATIO_FEATURES)
 @q("chi_square")
 def _(t): return SS.chi_square(t.features_stored, ["t0_channel", "t0_payment", "gender", "country_code"])
 @q("spearman")
-def _(t): return SS.spearman(t.scored, ["f1", "f2", "score"])
+def _(t): return CO.spearman(t.scored, ["f1", "f2", "score"]).drop("n")
+
+
+def _rounded_features(t):  # equal values stay ties in any engine
+    return t.features_stored.select("sample_id", *[F.round(F.col(c).cast("double"), 9).alias(c) for c in NUMERIC_FEATURES])
+
+
+@q("spearman_features")
+def _(t): return CO.spearman(_rounded_features(t), NUMERIC_FEATURES)
+@q("prune_features")
+def _(t): return CO.pruning(_rounded_features(t), NUMERIC_FEATURES)
 @q("target_encode")
 def _(t):
     f = t.features_stored

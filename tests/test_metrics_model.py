@@ -117,4 +117,5 @@ def test_next_step_models_and_pruning(spark):
     cal = SS.calibrated(SS.calibrate(scored), scored)
     got = cal.filter("split = 'train'").agg(F.avg("score"), F.avg("label"), F.min("score"), F.max("score")).first()
     assert abs(got[0] - got[1]) < 1e-6 and 0 <= got[2] <= got[3] <= 1
-    assert SS.prune_correlated(df, ["x", "twin", "noise"]) == ["x", "noise"]
+    from rekindle.operators import correlation as CO
+    assert CO.prune_correlated(df, ["x", "twin", "noise"]) == ["x", "noise"]
