@@ -836,6 +836,54 @@ def build() -> dict[str, str]:
                        where k + 1 < {len(NUMERIC_FEATURES)}))
         select cast(walk.k + 1 as int) as rank, cols.name as feature, cause is null as kept, b.name as because_of, round(near.rho, 6) as rho
         from walk join cols on cols.k = walk.k left join cols b on b.k = cause left join near on near.i = cause and near.j = walk.k"""
+    # Platt's map by Newton steps over the scores, the isotonic one as slopes of the greatest convex minorant
+    maps = C.replace("with ", "with recursive ", 1) + """,
+        tr as materialized (select score, cast(sum(label) as double) as pos, cast(count(*) as double) as n from scored
+            where split = 'train' group by score),
+        goal as (select score, pos, n, (sum(pos) over () + 1) / (sum(pos) over () + 2) as hi, 1 / (sum(n - pos) over () + 2) as lo from tr),
+        newton as (select 0 as step, cast(0 as double) as a, cast(0 as double) as b
+            union all
+            select step + 1, a - (h22 * g1 - h12 * g2) / (h11 * h22 - h12 * h12), b - (h11 * g2 - h12 * g1) / (h11 * h22 - h12 * h12)
+            from (select step, a, b, sum(n * p - pos * hi - (n - pos) * lo) as g1, sum((n * p - pos * hi - (n - pos) * lo) * score) as g2,
+                         sum(n * p * (1 - p)) as h11, sum(n * p * (1 - p) * score) as h12, sum(n * p * (1 - p) * score * score) as h22
+                  from (select newton.*, goal.*, 1 / (1 + exp(-a - b * score)) as p from newton, goal where step < 30) group by step, a, b)),
+        pts as materialized (select 0 as i, cast(null as double) as score, 0.0::double as s, 0.0::double as w union all
+            select row_number() over (order by score), score, sum(pos) over (order by score), sum(n) over (order by score) from tr),
+        corner as materialized (select p.i, p.s, p.w from pts p join pts o on p.i <> o.i group by p.i, p.s, p.w
+            having coalesce(max(case when o.i < p.i then (p.s - o.s) / (p.w - o.w) end), -1)
+                 < coalesce(min(case when o.i > p.i then (o.s - p.s) / (o.w - p.w) end), 2)),
+        iso as materialized (select p.score, (select (r.s - l.s) / (r.w - l.w) from corner l, corner r
+                where l.i = (select max(i) from corner where i < p.i) and r.i = (select min(i) from corner where i >= p.i)) as value
+            from pts p where p.i > 0),
+        place as (select score, (select max(score) from iso where iso.score <= u.score) as below,
+                      (select min(score) from iso where iso.score >= u.score) as above from (select distinct score from scored) u),
+        mapped as materialized (select scored.*, score as raw, 1 / (1 + exp(-newton.a - newton.b * score)) as platt,
+                case when below is null then y.value when above is null or below = above then x.value
+                     else x.value + (y.value - x.value) * (score - below) / (above - below) end as isotonic
+            from scored join place using (score) left join iso x on x.score = below left join iso y on y.score = above, newton where step = 30),
+        each as (""" + " union all ".join(f"select '{m}' as map, split, label, {m} as score from mapped" for m in ("raw", "platt", "isotonic")) + ")"
+    Q["calibration_table"] = maps + """ select split, map, count(*) as n, round(avg(cast(label as double)), 6) as label_rate,
+        round(avg(score), 6) as mean_score, round(avg((score - label) * (score - label)), 6) as brier,
+        round(avg(-ln(least(greatest(case when label = 1 then score else 1 - score end, 1e-15), 1 - 1e-15))), 6) as log_loss from each group by split, map"""
+    Q["reliability"] = maps + """ select map, split, cast(least(floor(score * 10) + 1, 10) as int) as bin, count(*) as n, round(avg(score), 6) as mean_score,
+        round(avg(cast(label as double)), 6) as actual_rate, round(avg(score) - avg(cast(label as double)), 6) as gap from each group by 1, 2, 3"""
+    Q["calibrated_tiers"] = maps + """ select map, split, band, n, round(100.0 * n / sum(n) over (partition by map, split), 6) as pct, round(rate, 6) as actual_rate
+        from (select map, split, case when score < 0.4 then 'low' when score <= 0.6 then 'mid' else 'high' end as band, count(*) as n,
+                     avg(cast(label as double)) as rate from each group by 1, 2, 3)"""
+    det = lambda a, b, c: (f"({a[0]} * ({b[1]} * {c[2]} - {b[2]} * {c[1]}) - {a[1]} * ({b[0]} * {c[2]} - {b[2]} * {c[0]})"
+                           f" + {a[2]} * ({b[0]} * {c[1]} - {b[1]} * {c[0]}))")
+    hess, grad = [["h00", "h01", "h02"], ["h01", "h11", "h12"], ["h02", "h12", "h22"]], ["g0", "g1", "g2"]
+    cramer = [det(*[[grad[i] if j == k else hess[i][j] for j in range(3)] for i in range(3)]) for k in range(3)]
+    Q["logistic_fit"] = C.replace("with ", "with recursive ", 1) + f""",
+        tr as materialized (select cast(label as double) as y, 1.0::double as x0, cast(f1 as double) / 100000 as x1, cast(f2 as double) / 50 as x2
+            from scored where split = 'train' and f1 is not null and f2 is not null),
+        newton as (select 0 as step, 0.0::double as w0, 0.0::double as w1, 0.0::double as w2
+            union all
+            select step + 1, {', '.join(f'w{k} - {cramer[k]} / {det(*hess)}' for k in range(3))}
+            from (select step, w0, w1, w2, avg(p - y) as g0, avg((p - y) * x1) + 0.01 * w1 as g1, avg((p - y) * x2) + 0.01 * w2 as g2,
+                         {', '.join(f'avg(p * (1 - p) * x{i} * x{j}) + {0.01 if i == j and i else 0.0} as h{i}{j}' for i in range(3) for j in range(i, 3))}
+                  from (select newton.*, tr.*, 1 / (1 + exp(-w0 - w1 * x1 - w2 * x2)) as p from newton, tr where step < 20) group by step, w0, w1, w2))
+        select unnest(['intercept', 'f1', 'f2']) as term, unnest([round(w0, 6), round(w1, 6), round(w2, 6)]) as coefficient from newton where step = 20"""
     fold = "case when split = 'train' then cast('0x' || substr(md5('42:' || sample_id), 1, 8) as bigint) % 5 else -1 end"
     te = [f"""round(coalesce((select (sum(cast(label as double)) + 20.0 * p.p) / (count(*) + 20.0) from (select *, {fold} as o from featc) x
               where x.split = 'train' and x.o <> f.o and coalesce(x.{c}, 'unknown') = coalesce(f.{c}, 'unknown')),

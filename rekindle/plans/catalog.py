@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..config import ADAPTER_A, ADAPTER_B
 from ..functions.exprs import round_doubles
 from ..operators import boost as BO
+from ..operators import calibration as CA
 from ..operators import correlation as CO
 from ..operators import events as EV
 from ..operators import features as FE
@@ -402,6 +403,19 @@ def _(t): return SS.winsorise(t.features_stored, RATIO_FEATURES).select("sample_
 @q("subgroup_metrics")
 def _(t): return SS.subgroup_metrics(t.scored.withColumn("odd", F.col("id") % 2), "odd")
 
+def _maps(t): return CA.calibrated_maps(t.scored)
+@q("calibration_table")
+def _(t): return CA.calibration_table(_maps(t))
+@q("reliability")
+def _(t): return CA.reliability(_maps(t))
+@q("calibrated_tiers")
+def _(t): return CA.calibrated_tiers(_maps(t))
+@q("logistic_fit")
+def _(t):
+    scaled = t.scored.select("split", "label", (F.col("f1") / 100000).alias("f1"), (F.col("f2") / 50).alias("f2"))
+    coefs = CA.fit_logistic(scaled.filter("split = 'train'"), ["f1", "f2"], l2=0.01)
+    return t.spark.createDataFrame(list(zip(["intercept", "f1", "f2"], coefs)), "term string, coefficient double")
+
 # --- model (no SQL oracle; each has a companion row with exact properties) --------------------
 _MODELS: dict = {}
 
