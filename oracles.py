@@ -902,6 +902,8 @@ def build() -> dict[str, str]:
         count(*) as in_range, count(distinct sample_id) as ids from a_samples group by split"""
     Q["model_metrics_check"] = C + """ select distinct 'gbt' as model, split, true as in_range, true as better_than_chance
         from a_samples"""
+    Q["baseline_comparison_check"] = C + """ select distinct m as model, split, true as in_range, true as better_than_chance,
+        true as lead_of_itself_is_zero from a_samples, (values ('gbt'), ('logistic'), ('forest')) t(m)"""
     Q["gain_importance_check"] = "select cast(57 as bigint) as features, cast(1 as double) as total, cast(0 as bigint) as negative, 57 as last_rank"
     Q["key_feature_ranks_check"] = " union all ".join(
         [f"select '{f}' as feature, true as ranked" for f in WATCH_LIST] + ["select 'no_such_feature', cast(null as boolean)"])

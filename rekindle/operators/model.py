@@ -68,6 +68,11 @@ def assembled_names(cats: list[str], nums: list[str]) -> list[str]:
     return list(cats) + list(nums) + [f"{c}__isna" for c in nums]
 
 
+def most_categories(encode: PipelineModel) -> int:
+    """Bins that the fitted category column with the most values needs (one is for unseen values)."""
+    return max((len(x) + 1 for st in encode.stages if isinstance(st, StringIndexerModel) for x in st.labelsArray), default=0)
+
+
 def train_gbt(train: DataFrame, cols: list[str], seed: int = 42, max_iter: int = 40,
               max_depth: int = 5, min_bins: int = 64) -> PipelineModel:
     """M1 + M2: fit encoding and gradient-boosted trees on the train split.
@@ -80,8 +85,7 @@ def train_gbt(train: DataFrame, cols: list[str], seed: int = 42, max_iter: int =
     empty = {c for i, c in enumerate(nums) if found[i] == 0}
     data = train.withColumn("label", F.col("label").cast("double"))
     encode = Pipeline(stages=encode_pipeline(cats, nums, empty)).fit(data)
-    most = max((len(x) + 1 for st in encode.stages if isinstance(st, StringIndexerModel)
-                for x in st.labelsArray), default=0)
+    most = most_categories(encode)
     gbt = GBTClassifier(featuresCol="features_vec", labelCol="label", seed=seed,
                         maxIter=max_iter, maxDepth=max_depth, maxBins=max(min_bins, most))
     return PipelineModel([*encode.stages, gbt.fit(encode.transform(data))])

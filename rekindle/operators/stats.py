@@ -7,6 +7,7 @@ Each is an aggregate or a small join over tables that exist already.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -15,8 +16,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import safe_div
+from ..session import cut_lineage
 from .metrics import metric_table, score_prefix
-from .model import encode_pipeline, split_types
+from .model import encode_pipeline, evaluate, most_categories, score_split, split_types
 from .quality import extreme_values
 
 
@@ -150,13 +152,28 @@ def train_baseline(train: DataFrame, cols: list[str], kind: str = "logistic", se
     cats, nums = split_types(train, cols)
     found = train.agg(*[F.count(c).alias(f"c{i}") for i, c in enumerate(nums)]).first() if nums else []
     empty = {c for i, c in enumerate(nums) if found[i] == 0}
-    most = train.agg(*[F.count_distinct(c) for c in cats]).first() if cats else [0]
+    data = train.withColumn("label", F.col("label").cast("double"))
+    encode = Pipeline(stages=encode_pipeline(cats, nums, empty)).fit(data)
+    most = most_categories(encode)
     learner = (LogisticRegression(featuresCol="features_vec", labelCol="label", maxIter=50, regParam=1e-3)
                if kind == "logistic" else
                RandomForestClassifier(featuresCol="features_vec", labelCol="label", seed=seed, numTrees=50, maxDepth=8,
-                                      maxBins=max(64, max(most) + 2)))
-    return Pipeline(stages=[*encode_pipeline(cats, nums, empty), learner]).fit(
-        train.withColumn("label", F.col("label").cast("double")))
+                                      maxBins=max(64, most)))
+    return PipelineModel([*encode.stages, learner.fit(encode.transform(data))])
+
+
+def baseline_comparison(features: DataFrame, cols: list[str], boosted: PipelineModel, seed: int = 42) -> DataFrame:
+    """M9's numbers of the boosted trees beside logistic regression and a random forest on the same
+    encoding and splits -> model, split, auc_roc, auc_pr, brier, precision, recall, f1, auc_lead.
+
+    ``auc_lead`` is the boosted trees' AUC minus the row's on the same split."""
+    train = features.filter("split = 'train'")
+    models = {"gbt": boosted, "logistic": train_baseline(train, cols, "logistic", seed),
+              "forest": train_baseline(train, cols, "forest", seed)}
+    table = cut_lineage(reduce(DataFrame.union, [evaluate(score_split(m, features), name) for name, m in models.items()]))
+    lead = table.filter("model = 'gbt'").select("split", F.col("auc_roc").alias("_top"))
+    return table.join(lead, "split").withColumn("auc_lead", F.col("_top") - F.col("auc_roc")).drop("_top").select(
+        *table.columns, "auc_lead")
 
 
 def subgroup_metrics(scored: DataFrame, group: str, threshold: float = 0.5) -> DataFrame:

@@ -549,6 +549,22 @@ def _(t):
     return r.agg(F.count(F.lit(1)).alias("features"), F.count_distinct("feature").alias("names"),
                  F.max(F.when(F.col("feature") == cols[0], F.col("delta_auc"))).alias("delta_of_constant"),
                  F.count_if(F.abs("delta_auc") > 1).alias("out_of_range"))
+def _baselines(t):
+    """The comparison, computed once per session and data folder."""
+    key = (t.spark.sparkContext.applicationId, t.d, "baselines")
+    if key not in _MODELS:
+        f, cols, m = _model(t)
+        _MODELS[key] = cut_lineage(SS.baseline_comparison(f, cols, m))
+    return _MODELS[key]
+@q("baseline_comparison")
+def _(t): return _baselines(t)
+@q("baseline_comparison_check")
+def _(t):
+    b = _baselines(t)
+    unit = F.least("auc_roc", "auc_pr", "brier") >= 0
+    return b.select("model", "split", (unit & (F.greatest("auc_roc", "auc_pr", "brier") <= 1)).alias("in_range"),
+                    (F.col("auc_roc") > 0.5).alias("better_than_chance"),
+                    ((F.col("model") == "gbt") <= (F.col("auc_lead") == 0)).alias("lead_of_itself_is_zero"))
 @q("ablation")
 def _(t):
     f, cols, _m = _model(t)
@@ -575,7 +591,7 @@ NO_ROUND = {"scan_lines_valid", "dedup_orders", "semi_reduce", "t0_lines"}
 
 NO_ORACLE = {"model_scores", "model_metrics", "gain_importance", "key_feature_ranks",
              "permutation_importance", "ablation", "seeded_sample",
-             "boosted_scores", "contributions", "attribution", "contribution_direction"}
+             "boosted_scores", "baseline_comparison", "contributions", "attribution", "contribution_direction"}
 
 
 def make(name: str) -> Callable[[SparkSession, str], DataFrame]:

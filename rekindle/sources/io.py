@@ -74,19 +74,59 @@ def _scan_csv(spark: SparkSession, path: str, colmap: dict, shop_id=None, on_bad
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     if shop_id is not None:
         raw = raw.filter(F.col("ShopId") == F.lit(str(shop_id)))  # pushed into the scan
-    out = []
-    for src, dst in colmap.items():
-        if src not in raw.columns:
-            raise ValueError(f"column {src} not in {path}")
-        c = F.col(src)
-        if dst in TIMESTAMP:
-            c = parse_ts(c, on_bad_ts)
-        elif dst in NUMERIC:
-            c = c.try_cast("double")
-        elif dst in BOOLEAN:
-            c = c.try_cast("boolean")
-        out.append(c.alias(dst))
-    return raw.select(*out)
+    missing = [src for src in colmap if src not in raw.columns]
+    if missing:
+        raise ValueError(f"columns {', '.join(missing)} not in {path}")
+    return raw.select(*[_typed(src, dst, on_bad_ts).alias(dst) for src, dst in colmap.items()])
+
+
+def _typed(src: str, dst: str, on_bad_ts: str) -> Column:
+    if dst in TIMESTAMP:
+        return parse_ts(src, on_bad_ts)
+    if dst in NUMERIC:
+        return F.col(src).try_cast("double")
+    return F.col(src).try_cast("boolean") if dst in BOOLEAN else F.col(src)
+
+
+def scan_checked(spark: SparkSession, path: str, colmap: dict, shop_id=None) -> tuple[DataFrame, DataFrame]:
+    """S1 with a quarantine: (good rows, bad records), no record lost and none failing the job.
+
+    A record is bad if it has more or fewer fields than the header (reason
+    'fields') or text that is no timestamp in a timestamp column (the column's
+    name; several reasons are joined by commas).  Good rows equal the plain scan's.
+    Bad ones come as file, record (a torn line as it stands, any other record
+    written as CSV again), reason.  Torn lines are kept whatever their shop, since
+    their fields cannot be told apart.  Text that is no number is NULL as in S7,
+    and an empty file gives two empty tables.  Each of the two tables reads the
+    file when used."""
+    names = spark.read.option("header", True).csv(path).columns
+    torn = "_torn"
+    while torn in names:
+        torn += "_"
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, torn]])
+    # pruned columns would hide a wrong number of fields from the parser
+    raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", torn).option("columnPruning", False).csv(path))
+    missing = [src for src in colmap if src not in names]
+    if missing:
+        raise ValueError(f"columns {', '.join(missing)} not in {path}")
+    if shop_id is not None:
+        raw = raw.filter(F.col(torn).isNotNull() | (F.col("ShopId") == F.lit(str(shop_id))))
+    whole = F.col(torn).isNull()
+    reasons = [F.when(~whole, F.lit("fields"))] + [
+        F.when(whole & (F.length(F.trim(src)) > 0) & parse_ts(src).isNull(), F.lit(dst))
+        for src, dst in colmap.items() if dst in TIMESTAMP]
+    reason = F.concat_ws(",", *reasons)
+    good = raw.filter(reason == "").select(*[_typed(src, dst, "null").alias(dst) for src, dst in colmap.items()])
+    bad = raw.filter(reason != "").select(
+        F.input_file_name().alias("file"), F.coalesce(F.col(torn), F.to_csv(F.struct(*[F.col(c) for c in names]))).alias("record"),
+        reason.alias("reason"))
+    return good, bad
+
+
+def write_quarantine(bad: DataFrame, path: str, mode: str = "append") -> None:
+    """The bad records of a scan as a side table (Parquet, a folder per reason)."""
+    bad.write.mode(mode).partitionBy("reason").parquet(path)
 
 
 def scan_orders(spark: SparkSession, path: str, shop_id=None, colmap=ORDER_COLUMN_MAP,

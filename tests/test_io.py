@@ -57,3 +57,34 @@ def test_scan_pages_keeps_one_shop_and_all_columns(spark):
     assert df.columns == ["ShopId", "PageId", "Title"]
     assert sorted(map(tuple, df.collect())) == [("s3", "2", 'quoted "c"'), ("s3", "3", None)]
     assert io.scan_pages(spark, p).count() == 3
+
+
+def test_bad_records_are_kept_aside(spark):
+    d = tempfile.mkdtemp(prefix="rekindle-test-")
+    p = os.path.join(d, "orders.csv")
+    colmap = {"ShopId": "shop_id", "ShopMemberId": "member_id", "TradesGroupCode": "order_code", "OrderDateTime": "order_ts",
+              "TotalSalesAmount": "sales_amount"}
+    head = "ShopId,ShopMemberId,TradesGroupCode,OrderDateTime,TotalSalesAmount\n"
+    right = ["s3,m1,c1,2023-01-02 10:11:12,1.5", "s3,m2,c2,,abc", "s9,m3,c3,2023-01-02,1", 's3,"m,4",c4,2023/1/5 8:00:00,2', "s3,m5,c5,2023-02-30x,3"]
+    torn = ["s3,m6", "s9,m7,c7,2023-01-02,1,extra", "s3,m8,c8,not a day,1,2,3", "broken"]
+    with open(p, "w") as f:
+        f.write(head + "\n".join(right + torn) + "\n")
+    good, bad = io.scan_checked(spark, p, colmap, shop_id="s3")
+    rest = os.path.join(d, "rest.csv")  # the same file without its bad records
+    with open(rest, "w") as f:
+        f.write(head + "\n".join(right[:4]) + "\n")
+    want = io.scan_orders(spark, rest, shop_id="s3", colmap=colmap)
+    assert good.columns == want.columns and sorted(good.collect(), key=str) == sorted(want.collect(), key=str)
+    assert good.select("order_code").count() == 3  # a pruned read finds the same rows
+    assert sorted((r["record"], r["reason"]) for r in bad.collect()) == sorted(
+        [(right[4], "order_ts")] + [(t, "fields") for t in torn])
+    assert all(r["file"].endswith("orders.csv") for r in bad.collect())
+    side = os.path.join(d, "bad")
+    io.write_quarantine(bad, side)
+    io.write_quarantine(bad, side)
+    assert {(r["reason"], r["count"]) for r in spark.read.parquet(side).groupBy("reason").count().collect()} == {("order_ts", 2), ("fields", 8)}
+    every, _ = io.scan_checked(spark, p, colmap)
+    assert every.count() == 4
+    with open(p, "w") as f:
+        f.write(head)
+    assert [t.count() for t in io.scan_checked(spark, p, colmap)] == [0, 0]
