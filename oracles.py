@@ -486,6 +486,7 @@ def build() -> dict[str, str]:
         where member_id in (select member_id from a_samples)"""
     Q["t0_order_lookup"] = C + """ select s.sample_id, s.t0_order_code, round(o.sales_amount, 6) as sales_amount, o.ts_count, o.channel
         from a_samples s left join (select * from ofl where is_valid = 1) o on o.order_code = s.t0_order_code"""
+    Q["t0_order_lookup_bucketed"] = Q["t0_order_lookup"]
     Q["t0_lines"] = C + " select sample_id, sale_page_id, unit_price from t0l"
     Q["familiar_product"] = C + " select sample_id, t0_buys_familiar_product from f3"
     Q["familiar_product_null_safe"] = C + """ select sample_id, t0_buys_familiar_product_ns as t0_buys_familiar_product
@@ -495,6 +496,16 @@ def build() -> dict[str, str]:
     Q["assemble_features"] = C + " " + wrap(
         "select * from feat", ["sample_id", "label", "split", "member_id", "t0_date", "t0_order_code",
                                *FEATURE_COLS], DOUBLE_FEATURES)
+    # written by the sinks and read back
+    Q["scan_samples"] = Q["samples"]
+    Q["samples_file_order"] = C + """ select count(*) as n, 0 as rows_out_of_order, 0 as files_out_of_order from a_samples"""
+    Q["scan_features"] = C + " " + wrap("select * from featc", ["sample_id", "label", "split", "member_id", "t0_date",
+                                                                 "t0_order_code", *FEATURE_COLS], DOUBLE_FEATURES)
+    Q["feature_subset"] = C + " " + " union all ".join(
+        f"select '{c}' as feature, count({c}) as n_present, {c not in ADAPTER_A.snapshot_cols} as without_snapshot from featc"
+        for c in FEATURE_COLS)
+    Q["scan_pages"] = """select '1' as ShopId, cast(page_id as varchar) as SalePageId, '"' || url || '", x' as Title
+        from pages where page_id % 3 = 1"""
     Q["window_range_join"] = C + """ select e.member_id, e.t_revival,
         (select count(*) from st_tl t where t.member_id = e.member_id and t.date > e.t_revival
            and date_diff('day', e.t_revival, t.date) <= 90) as n_after from sg e"""
@@ -761,6 +772,7 @@ def build() -> dict[str, str]:
     Q["auc_gap"] = C + f""" select round(a, 6) as auc_a, round(b, 6) as auc_b, round(a - b, 6) as gap, a - b < 0.1 as ok from (
         select max(case when split = 'train' then auc_roc end) as a, max(case when split = 'test' then auc_roc end) as b
         from ({aucap}))"""
+    Q["write_metric_tables"] = Q["metric_table"].replace(" select split, n,", " select split, n, n as n_in_tiers,", 1)
     Q["tiers"] = C + """ select split, band, n, round(n * 100.0 / t, 6) as pct, round(actual_rate, 6) as actual_rate from (
         select split, case when score < 0.4 then 'low' when score <= 0.6 then 'mid' else 'high' end as band,
                count(*) as n, avg(cast(label as double)) as actual_rate from scored group by 1, 2)

@@ -38,12 +38,17 @@ BUCKETS = None   # default: spark.sql.shuffle.partitions range buckets
 def score_prefix(scored: DataFrame, by: str = "split", buckets: int | None = BUCKETS) -> DataFrame:
     """Per (by, distinct score): cnt, pos, rows strictly below (below_cnt,
     below_pos) and the split totals (tot_cnt, tot_pos)."""
-    from ..session import cut_lineage
-    keys = [by] if by else []
-    d = (scored.filter(F.col("score").isNotNull()).groupBy(*keys, "score")
+    d = (scored.filter(F.col("score").isNotNull()).groupBy(*([by] if by else []), "score")
                .agg(F.count(F.lit(1)).alias("cnt"),
                     F.sum(F.col("label").cast("long")).alias("pos")))
-    n = buckets or int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return counted_prefix(d, by, buckets)
+
+
+def counted_prefix(d: DataFrame, by: str = "split", buckets: int | None = BUCKETS) -> DataFrame:
+    """:func:`score_prefix` of rows counted already: one row per (by, score) with cnt and pos."""
+    from ..session import cut_lineage
+    keys = [by] if by else []
+    n = buckets or int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     d = cut_lineage(d.repartitionByRange(n, *keys, "score")
                      .withColumn("bucket", F.spark_partition_id()), "score_buckets")
     bt = d.groupBy(*keys, "bucket").agg(F.sum("cnt").alias("b_cnt"), F.sum("pos").alias("b_pos"))

@@ -7,11 +7,12 @@ aggregation on every executor) turned into rows with ``stack``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .features import FEATURE_GROUPS
+from .metrics import counted_prefix
 
 
 def numeric_columns(df: DataFrame, cols: list[str] | None = None) -> list[str]:
@@ -55,9 +56,9 @@ def column_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> DataFrame
     quantile summary of every column gives, for each requested rank, a bracket
     of values that holds it (those few numbers reach the driver); the second
     pass counts the values below each bracket and emits only the values inside
-    one, already counted per distinct value, and a running count inside the
-    bracket finds the two ranks around q * (n - 1).  A value holding a third of
-    the rows is one row with its count."""
+    one, already counted per distinct value, and range-partitioned prefix sums
+    find the two ranks around q * (n - 1), so that no task holds a bracket.  A
+    value holding a third of the rows is one row with its count."""
     cols = list(wanted)
     x = {c: F.col(c).cast("double") for c in cols}
     aggs = []
@@ -83,13 +84,13 @@ def column_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> DataFrame
     # per bracket: values below it, and each value inside it with its count (rank r is the (r - below)-th of these)
     below = df.agg(*[F.count_if(x[c] < lo).alias(f"b{k}") for k, c, _, _, _, _, lo, _ in brackets])
     below = below.select(F.posexplode(F.array(*[F.col(f"b{k}") for k in range(len(brackets))])).alias("b", "below"))
-    inside = F.filter(F.array(*[F.struct(F.lit(k).alias("b"), x[c].alias("x"), x[c].between(lo, hi).alias("ok"))
-                                for k, c, _, _, _, _, lo, hi in brackets]), lambda s: F.coalesce(s["ok"], F.lit(False)))
-    values = (df.select(F.explode(inside).alias("s")).groupBy("s.b", "s.x").agg(F.count(F.lit(1)).alias("n")))
-    w = Window.partitionBy("b").orderBy("x")
-    values = (values.withColumn("upto", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                    .join(F.broadcast(table), "b").join(F.broadcast(below), "b"))  # a row per bracket
-    at = lambda r: F.min(F.when(F.col("below") + F.col("upto") > F.col(r), F.col("x")))
+    inside = F.array_compact(F.array(*[F.when(x[c].between(lo, hi), F.struct(F.lit(k).alias("b"), x[c].alias("x")))
+                                       for k, c, _, _, _, _, lo, hi in brackets]))
+    values = df.select(F.explode(inside).alias("s")).groupBy("s.b", F.col("s.x").alias("score")).agg(F.count(F.lit(1)).alias("cnt"))
+    values = (counted_prefix(values.withColumn("pos", F.lit(0).cast("long")), "b")
+              .join(F.broadcast(table), "b").join(F.broadcast(below), "b"))  # a row per bracket
+    upto = F.col("below") + F.col("below_cnt") + F.col("cnt")
+    at = lambda r: F.min(F.when(upto > F.col(r), F.col("score")))
     g = values.groupBy("b", "feature", "q", "part").agg(at("r0").alias("x0"), at("r1").alias("x1"))
     value = F.when(F.col("part") == 0, F.col("x0")).otherwise((1 - F.col("part")) * F.col("x0") + F.col("part") * F.col("x1"))
     return g.select("feature", "q", value.alias("value"))

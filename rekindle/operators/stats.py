@@ -67,11 +67,14 @@ def mann_whitney(df: DataFrame, cols: list[str], label: str = "label") -> DataFr
     """U of label 1 against 0 per numeric feature (NULLs left out; ties share ranks)
     -> feature, n1, n0, u, effect (= u / (n1 n0)), z (normal, tie-corrected), p_value,
     p_adjusted (over the features)."""
-    p = score_prefix(_stacked(df, cols, "double", label).withColumnRenamed("x", "score"), by="feature")
+    cells = F.array(*[F.col(c).cast("double") for c in cols])
+    long = df.select(F.col(label).cast("int").alias("label"), F.posexplode(cells).alias("f", "score"))
+    p = score_prefix(long, by="f")  # counted per (column number, value) before any exchange
     rank = F.col("below_cnt") + (F.col("cnt") + 1) / 2.0
-    a = p.groupBy("feature").agg(F.sum(F.col("pos") * rank).alias("rs"), F.first("tot_cnt").cast("double").alias("n"),
-                                 F.first("tot_pos").alias("n1"),
-                                 F.sum(F.pow(F.col("cnt").cast("double"), 3) - F.col("cnt")).alias("ties"))
+    a = p.groupBy("f").agg(F.sum(F.col("pos") * rank).alias("rs"), F.first("tot_cnt").cast("double").alias("n"),
+                           F.first("tot_pos").alias("n1"),
+                           F.sum(F.pow(F.col("cnt").cast("double"), 3) - F.col("cnt")).alias("ties"))
+    a = a.withColumn("feature", F.get(F.array(*[F.lit(c) for c in cols]), F.col("f")))
     n, n1 = F.col("n"), F.col("n1").cast("double")
     n0 = n - n1
     u = F.col("rs") - n1 * (n1 + 1) / 2

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import ADAPTER_A, ADAPTER_B
@@ -28,7 +28,7 @@ from ..operators import quality as Q
 from ..operators import stats as SS
 from ..operators import study as ST
 from ..operators import timeline as TL
-from ..session import cut_lineage
+from ..session import bucketed, cut_lineage, shared_folder
 from ..sources import adapters as A
 from ..sources import io as IO
 
@@ -142,6 +142,54 @@ def _(t): return t.members_c
 def _(t): return TL.shop_filter(t.orders, "payment", "1-URGENT").select(
     "member_id", "order_code", "order_ts", "status", "sales_amount")
 
+# --- sinks, and scans of what they wrote ---------------------------------------------------
+def _written_samples(t):
+    path = shared_folder(t.spark, "samples")
+    IO.write_samples(t.samples, path)
+    return path
+@q("scan_samples")
+def _(t): return IO.scan_samples(t.spark, _written_samples(t))
+@q("samples_file_order")
+def _(t):
+    # L3: ids rise inside every file, and from each file to the next one by name
+    rows = t.spark.read.parquet(_written_samples(t)).select(
+        "sample_id", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    in_file = Window.partitionBy("file").orderBy("at")
+    files = (rows.withColumn("falls", (F.col("sample_id") <= F.lag("sample_id").over(in_file)).cast("long"))
+             .groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("sample_id").alias("lo"), F.max("sample_id").alias("hi"),
+                                  F.coalesce(F.sum("falls"), F.lit(0)).alias("falls")))
+    by_name = Window.orderBy("file")  # a row a file
+    return files.withColumn("overlaps", F.col("lo") <= F.lag("hi").over(by_name)).agg(
+        F.sum("n").alias("n"), F.sum("falls").alias("rows_out_of_order"), F.count_if("overlaps").alias("files_out_of_order"))
+def _written_features(t):
+    path = shared_folder(t.spark, "features")
+    IO.write_split_features(t.features_stored, path)
+    return IO.scan_features(t.spark, path)
+@q("scan_features")
+def _(t): return _written_features(t)[0].select(*FE.ID_COLS, *FE.FEATURE_COLS)
+@q("feature_subset")
+def _(t):
+    df, cols = _written_features(t)
+    full, rest = df.select(*FE.ID_COLS, *cols), df.drop(*t.cfg.snapshot_cols)
+    kept = MD.feature_columns(rest)
+    counts = full.agg(*[F.count(c).alias(c) for c in cols]).unpivot([], cols, "feature", "n_present")
+    return counts.withColumn("without_snapshot", F.col("feature").isin(kept))
+@q("write_metric_tables")
+def _(t):
+    folder = shared_folder(t.spark, "metrics")
+    tables = {"metric_table": round_doubles(M.metric_table(t.scored)), "tiers": round_doubles(M.tiers(t.scored))}
+    IO.write_metric_tables(tables, folder)
+    back = [t.spark.read.schema(df.schema).option("header", True).csv(f"{folder}/{name}") for name, df in tables.items()]
+    return back[0].join(back[1].groupBy("split").agg(F.sum("n").alias("n_in_tiers")), "split", "left")
+@q("scan_pages")
+def _(t):
+    path = shared_folder(t.spark, "pages")
+    p = A.read_table(t.spark, t.d, "pages")
+    titled = p.select((F.col("page_id") % 3).alias("ShopId"), F.col("page_id").alias("SalePageId"),
+                      F.concat(F.lit('"'), "url", F.lit('", x')).alias("Title"))
+    titled.write.option("header", True).option("escape", '"').csv(path)
+    return IO.scan_pages(t.spark, path, shop_id="1")
+
 # --- filters / predicates --------------------------------------------------------------
 @q("valid_purchases")
 def _(t): return t.valid.select("member_id", "order_code", "order_ts", "status", "sales_amount", "date")
@@ -198,6 +246,9 @@ def _(t): return t.lines_v.join(t.samples.select("member_id"), "member_id", "lef
 @q("t0_order_lookup")
 def _(t): return FE.t0_order_lookup(t.samples, t.orders_fl).select(
     "sample_id", "t0_order_code", "sales_amount", "ts_count", "channel")
+@q("t0_order_lookup_bucketed")
+def _(t): return FE.t0_order_lookup(t.samples, bucketed(t.orders_fl, ["order_code"], "orders_fl")).select(
+    "sample_id", "t0_order_code", "sales_amount", "ts_count", "channel")
 @q("t0_lines")
 def _(t): return t.samples.select("sample_id", "t0_order_code").join(
     t.lines_v.select(F.col("order_code").alias("t0_order_code"), "sale_page_id", "unit_price"),

@@ -35,11 +35,13 @@ def build_samples(orders: DataFrame, cfg: RevivalConfig) -> DataFrame:
 
 
 def build_features(samples: DataFrame, orders: DataFrame, lines: DataFrame, members: DataFrame,
-                   cfg: RevivalConfig, clean: bool = True) -> DataFrame:
+                   cfg: RevivalConfig, clean: bool = True, orders_fl: DataFrame | None = None) -> DataFrame:
     """Entry B: samples + raw tables -> feature matrix (materialised).
 
-    Fails if a member has two rows, or if the joins changed the number of rows."""
-    orders_fl = cut_lineage(TL.scan_orders_flagged(orders, cfg))
+    ``orders_fl`` is the flagged stage-2 order table if it is stored already (in
+    buckets of the order code by ``session.bucketed``, the t0 lookup exchanges no order).  Fails if a member has two rows, or if the joins changed the number of rows."""
+    if orders_fl is None:
+        orders_fl = cut_lineage(TL.scan_orders_flagged(orders, cfg))
     feats = FE.assemble_features(samples, orders_fl, FE.scan_lines_valid(lines, cfg),
                                  FE.scan_members(members), cfg)
     out = cut_lineage(FE.clean_ranges(feats, cfg) if clean else feats)

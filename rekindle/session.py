@@ -6,6 +6,8 @@ whatever the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 _KEPT: list[DataFrame] = []
+_FOLDERS: list[tuple[SparkSession, str]] = []
+_TABLES: list[tuple[SparkSession, str]] = []
 
 
 def persisted(df: DataFrame) -> DataFrame:
@@ -58,11 +62,43 @@ def persisted(df: DataFrame) -> DataFrame:
     return kept
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path that driver and executors share: below ``spark.checkpoint.dir``, or below
+    the warehouse where that is unset.  :func:`release` deletes it."""
+    base = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _FOLDERS.append((spark, path))
+    return path
+
+
+def bucketed(df: DataFrame, keys: list[str], name: str = "table", buckets: int | None = None) -> DataFrame:
+    """The table stored in the warehouse in hash buckets of ``keys``, sorted in each.
+
+    Joins and aggregates on ``keys`` read it without an exchange of its rows, and so do
+    both sides of a join of two tables of one bucket count (by default that of
+    ``spark.sql.shuffle.partitions``).  A bucket is one task, so the keys should be close
+    to unique (an order code, not a member).  :func:`release` drops the table."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex}"
+    (df.repartition(n, *keys).write.format("parquet").bucketBy(n, *keys).sortBy(*keys)  # a file a bucket
+       .saveAsTable(table))
+    _TABLES.append((spark, table))
+    return spark.table(table)
+
+
 def release() -> None:
-    """Drop the tables persisted so far (sessions without a shared folder;
-    checkpoint files go with their tables)."""
+    """Drop the tables persisted or bucketed so far and the folders given out by
+    :func:`shared_folder` (checkpoint files go with their tables)."""
     while _KEPT:
         _KEPT.pop().unpersist(blocking=False)
+    while _TABLES:
+        spark, table = _TABLES.pop()
+        spark.sql(f"drop table if exists {table}")
+    while _FOLDERS:
+        spark, folder = _FOLDERS.pop()
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:

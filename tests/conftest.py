@@ -16,7 +16,8 @@ def pytest_configure(config):
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     s = build_session(master="local[4]", shuffle_partitions=4, extra={
-        "spark.driver.memory": "4g", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint"))})
+        "spark.driver.memory": "4g", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
     yield s
     s.stop()
 

@@ -6,6 +6,7 @@ from rekindle.operators import events as EV
 from rekindle.operators import features as FE
 from rekindle.operators import study as ST
 from rekindle.operators import timeline as TL
+from rekindle.plans import catalog
 from rekindle.sources import adapters as A
 
 
@@ -101,3 +102,51 @@ def test_a_study_runs_nothing_before_it_is_asked(spark):
     assert set(st._found) == {"gaps"}  # stored once, and only what was needed
     sc.setJobGroup("rest", "")
     assert all(st[name].columns for name in st)
+
+
+def _exchanges_above_scan(df, table_column):
+    """Exchanges between the scan that reads a column and the plan's first join."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    lines = text.splitlines()
+    at = next(i for i, x in enumerate(lines) if "FileScan" in x and table_column in x)
+    depth = [len(x) - len(x.lstrip(" :+-*(0123456789)")) for x in lines]
+    found, level = 0, depth[at]
+    for i in range(at - 1, -1, -1):
+        if depth[i] < level:
+            level = depth[i]
+            if "Join" in lines[i]:
+                return found
+            found += "Exchange" in lines[i]
+    raise AssertionError(text)
+
+
+def test_bucketed_orders_are_looked_up_without_an_exchange(spark):
+    from rekindle.session import bucketed, release
+    t = catalog.Tables(spark, SF)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        stored = bucketed(t.orders_fl, ["order_code"], "orders_fl")
+        assert sorted(map(str, stored.collect())) == sorted(map(str, t.orders_fl.collect()))
+        look = FE.t0_order_lookup(t.samples, stored)
+        assert _exchanges_above_scan(look, "sales_amount") == 0
+        plain = spark.read.parquet(*[f.rsplit("/", 1)[0] for f in stored.inputFiles()[:1]])
+        assert _exchanges_above_scan(FE.t0_order_lookup(t.samples, plain), "sales_amount") == 1
+        want = FE.t0_order_lookup(t.samples, t.orders_fl).collect()
+        assert sorted(look.collect(), key=str) == sorted(want, key=str)
+        name = spark.catalog.listTables()[0].name
+        release()
+        assert not spark.catalog.tableExists(name)
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_release_deletes_shared_folders(spark):
+    import os
+    from rekindle.session import release, shared_folder
+    a, b = shared_folder(spark, "x"), shared_folder(spark, "x")
+    spark.range(3).write.parquet(a)
+    assert a != b and os.path.isdir(a.removeprefix("file:"))
+    release()
+    assert not os.path.exists(a.removeprefix("file:"))

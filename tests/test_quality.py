@@ -1,5 +1,6 @@
 """Exact distributed quantiles against numpy (linear interpolation)."""
 import numpy as np
+from pyspark.sql import functions as F
 
 from rekindle.operators import quality as Q
 
@@ -31,3 +32,28 @@ def test_feature_quantiles_exact_and_approx_shapes(spark):
     assert ex["y"].p50 is None and ex["y"].min is None
     ap = {r.feature: r for r in Q.feature_quantiles(df, ["x", "y"], accuracy=10000).collect()}
     assert ap["x"].p50 == 50 and ap["y"].p50 is None
+
+
+def test_no_task_holds_a_whole_bracket(spark, monkeypatch):
+    from rekindle.operators import metrics as M
+    seen = []
+    plain = M.counted_prefix
+
+    def counted(d, by, buckets=None):
+        out = plain(d, by, buckets)
+        spread = d.repartitionByRange(4, by, "score").groupBy(F.spark_partition_id(), by).count()
+        seen.append(max(r["count"] for r in spread.collect()) / max(d.count(), 1))
+        return out
+    monkeypatch.setattr(Q, "counted_prefix", counted)
+    n = 1999  # under ACCURACY: the one bracket is the whole column
+    df = spark.range(n).select((F.col("id") * 3.5).alias("x"))
+    got = Q.exact_quantiles(df, ["x"], [0.37]).collect()
+    assert abs(got[0].value - np.percentile(np.arange(n) * 3.5, 37)) < 1e-9
+    assert seen and seen[0] < 0.6  # four ranges
+
+
+def test_ranks_without_rows_or_values(spark):
+    df = spark.createDataFrame([], "x double, y double")
+    assert Q.exact_quantiles(df, ["x", "y"], [0.5]).collect() == []
+    one = spark.createDataFrame([(1.0, None)], "x double, y double")
+    assert [tuple(r) for r in Q.exact_quantiles(one, ["x", "y"], [0.5]).collect()] == [("x", 0.5, 1.0)]
