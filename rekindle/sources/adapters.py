@@ -42,16 +42,15 @@ def orders_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adapter A: one order header per TPC-H order, money aggregated from lines."""
     li = read_table(spark, sf_dir, "lineitem")
     o = read_table(spark, sf_dir, "orders")
-    price = F.col("l_extendedprice").cast(T.DecimalType(18, 2))
-    disc = F.col("l_discount").cast(T.DecimalType(4, 2))
-    coupon = F.when((F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 7), price) \
-              .otherwise(F.lit(0).cast(T.DecimalType(18, 2)))
+    # money in whole cents and rates in whole hundredths: exact sums in any order, as longs
+    cents, hundredths = (F.rint(F.col(c) * 100).cast("long") for c in ("l_extendedprice", "l_discount"))
+    coupon = F.when((F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 7), cents).otherwise(F.lit(0).cast("long"))
     agg = li.groupBy("l_orderkey").agg(
         F.count_distinct("l_partkey").alias("ts_count"),
         F.sum("l_quantity").cast("int").alias("qty"),
-        F.sum(price).cast("double").alias("total_price"),
-        (-F.sum(price * disc).cast("double")).alias("total_discount"),
-        (-F.sum(coupon).cast("double")).alias("total_coupon_discount"),
+        (F.sum(cents) / 100).alias("total_price"),
+        (-F.sum(cents * hundredths) / 10000).alias("total_discount"),
+        (-F.sum(coupon) / 100).alias("total_coupon_discount"),
     )
     key = F.col("o_orderkey")
     return (o.join(agg, o.o_orderkey == agg.l_orderkey, "left")
