@@ -101,8 +101,7 @@ def scan_members(members: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- F1 + F6
-def _history_timeline(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConfig,
-                      with_samples: bool = True) -> DataFrame:
+def _history_timeline(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConfig) -> DataFrame:
     """Member-day aggregates of the flagged orders, unioned with the sample rows."""
     valid = F.col("is_valid") == 1
     ts = F.col("order_ts")
@@ -128,8 +127,6 @@ def _history_timeline(samples: DataFrame, orders_fl: DataFrame, cfg: RevivalConf
            .withColumn("kind", F.lit(1))
            .withColumn("sample_id", F.lit(None).cast("long"))
            .withColumn("t0_date", F.lit(None).cast("date")))
-    if not with_samples:
-        return day
     smp = (samples.select("sample_id", "member_id", "t0_date")
                   .withColumn("dn", F.unix_date("t0_date"))
                   .withColumn("kind", F.lit(0)))
@@ -373,8 +370,7 @@ def _f3_timeline(samples: DataFrame, lines_v: DataFrame, cfg: RevivalConfig) ->
     'first seen' / 'second purchase' day events on day rows).  One aggregate
     per (member, day, sample) then feeds the member timeline, whose
     cumulative frame gives the history counts as of each t0 (evaluated by
-    :func:`f3_products` alone, or together with F1/F6 in
-    :func:`assemble_features`)."""
+    :func:`f3_products`)."""
     pdc = (_page_day_counts(lines_v)
            .select("member_id", "sale_page_id", "dn", "c",
                    F.lit(1).alias("kind"), F.lit(None).cast("long").alias("sample_id")))
@@ -512,31 +508,16 @@ def assemble_features(samples: DataFrame, orders_fl: DataFrame, lines_v: DataFra
                       members_c: DataFrame, cfg: RevivalConfig) -> DataFrame:
     """Skeleton left-joined with F1..F6 on sample_id -> ids + 57 features.
 
-    Each group is computed once.  F1 (modes included), F3 and F6 share one
-    member timeline: the order day rows, the mode key rows, the line day rows
-    and one row per sample (carrying its t0 lines) are unioned, dealt by member
-    once, and collapsed to one row per day and one per sample (a day's mode key
-    is the smallest of its keys, all that the running minimum needs), so the
-    windows see days + samples rows; F5 is a projection over the joined F1 and
-    F2 columns."""
-    modes = {"channel": "hist_main_channel", "payment": "hist_main_payment"}
-    u = (_history_timeline(samples, orders_fl, cfg, with_samples=False)
-         .unionByName(_mode_rows(orders_fl, modes), allowMissingColumns=True)
-         .unionByName(_f3_timeline(samples, lines_v, cfg), allowMissingColumns=True))
-    key = ["member_id", "dn", "kind", "sample_id"]
-    merge = lambda c: F.min(c) if c.startswith("_mk_") else F.max(c)  # noqa: E731  one row holds a value, but for keys
-    u = (u.repartition("member_id").groupBy(*key)
-          .agg(*[merge(c).alias(c) for c in u.columns if c not in key]))
-    hist = (_history_window(u, cfg).withColumns({**_f3_window(), **_mode_window(modes)})
-            .filter(F.col("kind") == 0)
-            .select("sample_id", *_history_outputs(cfg), *_f3_outputs(), *_mode_outputs(modes)))
-    rec = [f"recent_{n}d_n_orders" for n in cfg.recent_days]
-    h = hist.select("sample_id", *F1_COLS, *rec, "pre_dormancy_90d_n_orders",
-                    "pre_dormancy_90d_amount", *F3_COLS)
-    f2 = f2_t0_order(samples, orders_fl, cfg)
-    f4 = f4_member(samples, members_c)
+    Each group is computed once, F1 and F6 from one timeline.  The three member
+    timelines (order days, mode keys, line days) stay apart and narrow: their union
+    deals rows of some forty columns, most of them NULL, and was the slower form in
+    the same run.  What is joined at the end is one row a sample from each; F5 is a
+    projection over the joined F1 and F2 columns."""
+    hist = history_features(samples, orders_fl, cfg).drop("max_hist_ts")
+    modes = hist_modes(samples, orders_fl, {"channel": "hist_main_channel", "payment": "hist_main_payment"})
     out = samples.select("sample_id", "label", "split", "member_id", "t0_date", "t0_order_code")
-    for f in (h, f2, f4):
+    for f in (hist, modes, f3_products(samples, lines_v, cfg), f2_t0_order(samples, orders_fl, cfg),
+              f4_member(samples, members_c)):
         out = out.join(f, "sample_id", "left")
     out = out.withColumns(f5_columns())
     return out.select(*ID_COLS, *FEATURE_COLS)
