@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from ..session import cut_lineage
+from ..session import cut_lineage, in_few_partitions
 from .metrics import corr_moments, corr_of
 from .quality import approximate_quantiles, column_quantiles
 
@@ -82,23 +82,67 @@ def bin_edges(train: DataFrame, cols: list[str], bins: int = 32, exact: bool = F
     return [sorted(found[c]) for c in cols]
 
 
-def bin_of(x: Column, edges: list[float]) -> Column:
-    """0 for a missing value, else 1 + the number of edges below it."""
-    x = x.cast("double")
-    below = F.size(F.filter(F.lit(edges).cast("array<double>"), lambda e: e < x)) if edges else F.lit(0)
-    return F.when(x.isNull() | F.isnan(x), 0).otherwise(below + 1).cast("int")
+def _bins_of(edges: list[list[float]]):
+    """Arrow UDF: the features' values -> the array of their bins, by binary search."""
+    ends = [np.array(e, float) for e in edges]
+
+    @arrow_udf(T.ArrayType(T.IntegerType()))
+    def run(*values: pa.Array) -> pa.Array:
+        out = np.zeros((len(values[0]), len(ends)), np.int32)
+        for i, (x, e) in enumerate(zip(values, ends, strict=True)):
+            x = x.fill_null(float("nan")).to_numpy(zero_copy_only=False)
+            out[:, i] = np.where(np.isnan(x), 0, np.searchsorted(e, x, "left") + 1)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * len(ends)), pa.array(out.ravel()))
+    return run
 
 
 def binned(df: DataFrame, cols: list[str], edges: list[list[float]]) -> DataFrame:
-    """``df`` with the array ``bins`` of its features' bins."""
-    return df.withColumn("bins", F.array(*[bin_of(F.col(c), e) for c, e in zip(cols, edges, strict=True)]))
+    """``df`` with the array ``bins`` of its features' bins: 0 for a missing value, else 1 + the number of edges below it."""
+    if not cols:
+        return df.withColumn("bins", F.array().cast("array<int>"))
+    return df.withColumn("bins", _bins_of(edges)(*[F.col(c).cast("double") for c in cols]))
 
 
 # -- one level ---------------------------------------------------------------------
 
+def _partial_sums():
+    """Per partition: sums of the derivatives and the rows of every (node, feature, bin) met there."""
+    def run(batches):
+        total: dict[int, np.ndarray] = {}  # node -> (g, h, rows) x feature x bin
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            node, inverse = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_inverse=True)
+            d = len(batch.column(1)[0])
+            bins = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            g, h = (np.repeat(batch.column(i).to_numpy(zero_copy_only=False), d) for i in (2, 3))
+            width = int(bins.max(initial=0)) + 1
+            key = (np.repeat(inverse, d) * d + np.tile(np.arange(d), batch.num_rows)) * width + bins
+            size = len(node) * d * width
+            part = np.stack([np.bincount(key, w, size).reshape(len(node), d, width) for w in (g, h, None)], 1)
+            for i, n in enumerate(node.tolist()):
+                old = total.get(n)
+                if old is None:
+                    total[n] = part[i]
+                elif old.shape[2] >= width:
+                    old[:, :, :width] += part[i]
+                else:
+                    part[i][:, :, :old.shape[2]] += old
+                    total[n] = part[i]
+        for n, sums in total.items():
+            f, b = np.nonzero(sums[2])
+            yield pa.RecordBatch.from_pydict({"node": pa.array(np.full(len(f), n), pa.int32()), "f": pa.array(f, pa.int32()),
+                                              "bin": pa.array(b, pa.int32()), "g": sums[0][f, b], "h": sums[1][f, b]})
+    return run
+
+
 def histogram(rows: DataFrame) -> DataFrame:
-    """(node, f, bin, g, h): sums of the derivatives over rows (node, bins, g, h)."""
-    return (rows.select("node", "g", "h", F.posexplode("bins").alias("f", "bin"))
+    """(node, f, bin, g, h): sums of the derivatives over rows (node, bins, g, h).
+
+    A partition adds up its rows as they pass, with no row per (row, feature); what is
+    exchanged is a row per partition, node, feature and bin."""
+    part = rows.select("node", "bins", F.col("g").cast("double").alias("g"), F.col("h").cast("double").alias("h"))
+    return (part.mapInArrow(_partial_sums(), "node int, f int, bin int, g double, h double")
             .groupBy("node", "f", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h")))
 
 
@@ -161,12 +205,13 @@ def train_boosted(train: DataFrame, cols: list[str], *, label: str = "label", ro
     """
     data = train.filter(F.col(label).isNotNull())
     n, p = data.agg(F.count(F.lit(1)), F.avg(F.col(label).cast("double"))).first()
+    data = in_few_partitions(data, n)
     if not n or p in (0.0, 1.0):
         return Boosted(list(cols), [[] for _ in cols], 0.0 if not n else math.copysign(30.0, p - 0.5))
     prior = math.log(p / (1 - p))
     model = Boosted(list(cols), bin_edges(data, cols, bins), prior)
     rows = cut_lineage(binned(data, cols, model.edges).select(F.col(label).cast("double").alias("y"), "bins",
-                                                              F.lit(prior).alias("margin")))
+                                                              F.lit(prior).alias("margin"))).persist()
     leaf = lambda g, h: Leaf(-rate * g / (h + lam), h)
     for k in range(rounds):
         prob = 1 / (1 + F.exp(-F.col("margin")))
@@ -190,7 +235,9 @@ def train_boosted(train: DataFrame, cols: list[str], *, label: str = "label", ro
         model.trees.append(tree)
         rows = rows.withColumn("margin", F.col("margin") + value_of(tree, F.col("bins")))
         if (k + 1) % cut == 0 and k + 1 < rounds:
-            rows = cut_lineage(rows)
+            done, rows = rows, cut_lineage(rows).persist()
+            done.unpersist()
+    rows.unpersist()
     return model
 
 

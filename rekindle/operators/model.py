@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import in_few_partitions
 from .events import row_index
 from .features import ID_COLS
 from .metrics import auc_ap, metric_table
@@ -73,6 +74,14 @@ def most_categories(encode: PipelineModel) -> int:
     return max((len(x) + 1 for st in encode.stages if isinstance(st, StringIndexerModel) for x in st.labelsArray), default=0)
 
 
+def fit_encoding(train: DataFrame, cats: list[str], nums: list[str]) -> tuple[DataFrame, PipelineModel]:
+    """The train split with a double label, in few partitions, and the encoding fitted on it."""
+    found = train.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"c{i}") for i, c in enumerate(nums)]).first()
+    empty = {c for i, c in enumerate(nums) if found[f"c{i}"] == 0}
+    data = in_few_partitions(train.withColumn("label", F.col("label").cast("double")), found["rows"])
+    return data, Pipeline(stages=encode_pipeline(cats, nums, empty)).fit(data)
+
+
 def train_gbt(train: DataFrame, cols: list[str], seed: int = 42, max_iter: int = 40,
               max_depth: int = 5, min_bins: int = 64) -> PipelineModel:
     """M1 + M2: fit encoding and gradient-boosted trees on the train split.
@@ -81,14 +90,11 @@ def train_gbt(train: DataFrame, cols: list[str], seed: int = 42, max_iter: int =
     one for unseen values), so a column of any cardinality trains.  A numeric
     column without a value in ``train`` is filled with 0 (there is no median)."""
     cats, nums = split_types(train, cols)
-    found = train.agg(*[F.count(c).alias(f"c{i}") for i, c in enumerate(nums)]).first() if nums else []
-    empty = {c for i, c in enumerate(nums) if found[i] == 0}
-    data = train.withColumn("label", F.col("label").cast("double"))
-    encode = Pipeline(stages=encode_pipeline(cats, nums, empty)).fit(data)
+    data, encode = fit_encoding(train, cats, nums)
     most = most_categories(encode)
     gbt = GBTClassifier(featuresCol="features_vec", labelCol="label", seed=seed,
                         maxIter=max_iter, maxDepth=max_depth, maxBins=max(min_bins, most))
-    return PipelineModel([*encode.stages, gbt.fit(encode.transform(data))])
+    return PipelineModel([*encode.stages, gbt.fit(encode.transform(data).select("label", "features_vec"))])
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -98,13 +98,16 @@ def column_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> DataFrame
 
 def approximate_quantiles(df: DataFrame, wanted: dict[str, list[float]], accuracy: int) -> DataFrame:
     """As :func:`column_quantiles`, but to n / accuracy ranks: one pass of mergeable summaries."""
-    pairs = [(c, float(q)) for c, qs in wanted.items() for q in qs]
+    asked = {c: [float(q) for q in qs] for c, qs in wanted.items() if qs}
+    if not asked:
+        return df.sparkSession.createDataFrame([], "feature string, q double, value double")
     a = df.agg(*[F.percentile_approx(F.col(c).cast("double"), F.array(*[F.lit(q) for q in qs]), accuracy).alias(f"p{i}")
-                 for i, (c, qs) in enumerate(wanted.items()) if qs])
-    at = {c: f"p{i}" for i, (c, qs) in enumerate(wanted.items()) if qs}
-    cells = [F.struct(F.lit(c).alias("feature"), F.lit(q).alias("q"), F.get(at[c], F.lit(wanted[c].index(q))).alias("value"))
-             for c, q in pairs]
-    return a.select(F.explode(F.array(*cells)).alias("s")).select("s.*").filter(F.col("value").isNotNull())
+                 for i, (c, qs) in enumerate(asked.items())])
+    # a struct a column, its quantiles in arrays: the plan stays as small as the list of columns
+    each = [F.struct(F.lit(c).alias("feature"), F.lit(qs).cast("array<double>").alias("q"), F.col(f"p{i}").alias("value"))
+            for i, (c, qs) in enumerate(asked.items())]
+    cells = a.select(F.explode(F.array(*each)).alias("s")).filter(F.col("s.value").isNotNull())
+    return cells.select("s.feature", F.explode(F.arrays_zip("s.q", "s.value")).alias("z")).select("feature", "z.q", "z.value")
 
 
 def _wide(qv: DataFrame, cols: list[str], qs: list[float], names: list[str]) -> DataFrame:

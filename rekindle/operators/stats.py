@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, Window
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import safe_div
 from ..session import cut_lineage
 from .metrics import metric_table, score_prefix
-from .model import encode_pipeline, evaluate, most_categories, score_split, split_types
+from .model import evaluate, fit_encoding, most_categories, score_split, split_types
 from .quality import extreme_values
 
 
@@ -153,16 +153,13 @@ def calibrated(model: IsotonicRegressionModel, scored: DataFrame) -> DataFrame:
 def train_baseline(train: DataFrame, cols: list[str], kind: str = "logistic", seed: int = 42) -> PipelineModel:
     """Logistic regression or random forest on the same encoding as the boosted trees."""
     cats, nums = split_types(train, cols)
-    found = train.agg(*[F.count(c).alias(f"c{i}") for i, c in enumerate(nums)]).first() if nums else []
-    empty = {c for i, c in enumerate(nums) if found[i] == 0}
-    data = train.withColumn("label", F.col("label").cast("double"))
-    encode = Pipeline(stages=encode_pipeline(cats, nums, empty)).fit(data)
+    data, encode = fit_encoding(train, cats, nums)
     most = most_categories(encode)
     learner = (LogisticRegression(featuresCol="features_vec", labelCol="label", maxIter=50, regParam=1e-3)
                if kind == "logistic" else
                RandomForestClassifier(featuresCol="features_vec", labelCol="label", seed=seed, numTrees=50, maxDepth=8,
                                       maxBins=max(64, most)))
-    return PipelineModel([*encode.stages, learner.fit(encode.transform(data))])
+    return PipelineModel([*encode.stages, learner.fit(encode.transform(data).select("label", "features_vec"))])
 
 
 def baseline_comparison(features: DataFrame, cols: list[str], boosted: PipelineModel, seed: int = 42) -> DataFrame:

@@ -101,6 +101,20 @@ def release() -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows that a partition of a training table holds at most (beyond one partition a core).
+TRAIN_ROWS = 1 << 19
+
+
+def in_few_partitions(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` (``rows`` rows) in one partition a core, or more where those would hold over ``TRAIN_ROWS``.
+
+    For training: every partition sends its own statistics of all nodes, features and
+    bins at every level of every tree, so what is exchanged grows with the number of
+    partitions.  They are put together where they lie, without an exchange of rows."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(1, cores, -(-rows // TRAIN_ROWS)))
+
+
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     """Cut a long lineage before several consumers or an iterative one.
 

@@ -107,3 +107,25 @@ def test_saved_and_edge_cases(fitted, spark):
     blank = df.withColumn("a", F.lit(None).cast("double")).withColumn("label", F.when(F.col("sample_id") % 7 > 0, F.col("label")))
     assert len(B.train_boosted(blank, ["a"], rounds=2).trees) == 0
     assert math.isfinite(B.base_value(model))
+
+
+def test_training_exchanges_a_row_a_partition_not_a_row_a_feature(fitted, spark):
+    from rekindle.operators import model as MD
+    from rekindle.session import in_few_partitions
+    df, cols, model = fitted
+    many = df.repartition(40)
+    graded = B.binned(many, cols, model.edges).select((F.col("sample_id") % 3).cast("int").alias("node"), "bins",
+                                                      F.col("label").cast("double").alias("g"), F.lit(0.25).alias("h"))
+    hist = B.histogram(graded)
+    plan = hist._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "MapInArrow" in plan
+    got = {(r["node"], r["f"], r["bin"]): (r["g"], r["h"]) for r in hist.collect()}
+    want = {}
+    for r in graded.collect():
+        for f, b in enumerate(r["bins"]):
+            g, h = want.get((r["node"], f, b), (0.0, 0.0))
+            want[r["node"], f, b] = g + r["g"], h + r["h"]
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    data, encode = MD.fit_encoding(many, [], cols)
+    assert data.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert in_few_partitions(many, 40 << 19).rdd.getNumPartitions() == 40
