@@ -1,10 +1,14 @@
 """Quality classifier by Bradley-Terry pairwise ranking.
 
-Preference pairs (a document labelled good is preferred to one labelled bad) are
-drawn from a bounded sample of labelled documents; the model is a linear score,
-fitted by logistic loss on the feature differences of the pairs.  The threshold
-is the score quantile above which the labels' share of good documents lies, and
-scores are shifted so that this quantile becomes ``CUT``.
+Every labelled document that may be learned from is dealt into a block of about
+``BLOCK`` documents, and all pairs of a block (a document labelled good is preferred
+to one labelled bad) are preference pairs.  The rarer label's documents are dealt into
+several blocks where one each would leave blocks with fewer than ``RARE`` of them, so
+the cost is linear at any share.  The model is a linear score, fitted by logistic loss
+on the feature differences of the pairs: Newton steps, each one aggregate of loss,
+gradient and Hessian over the blocks.  The threshold is the quantile of all labelled
+documents' scores above which the labels' share of good documents lies, and scores are
+shifted so that this quantile becomes ``CUT``.
 
 Features are measured over the whole text in one vectorised pass in Arrow UDFs:
 shares of byte kinds and marks, word lengths, and repetition.  Language, source
@@ -23,12 +27,13 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from rekindle.llm import words as W
-from rekindle.llm.common import small_batches, unit_hash
+from rekindle.llm.common import small_batches, written
+from rekindle.operators.metrics import score_prefix
 
-#: Labelled documents taken per class, pairs drawn from them, steps and weight decay of the fit.
-SAMPLE_PER_CLASS = 2000
-PAIRS = 40_000
-STEPS = 400
+#: Documents of a block, documents of the rarer label in it on average (at least), most steps and weight decay of the fit.
+BLOCK = 512
+RARE = 16
+STEPS = 50
 DECAY = 1e-3
 CUT = 0.7
 
@@ -98,23 +103,49 @@ class Model:
     weight: np.ndarray
     shift: float
 
+    def linear(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.mean) / self.scale, -8, 8) @ self.weight
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) / self.scale, -8, 8) @ self.weight - self.shift
-        return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
+        return 1 / (1 + np.exp(-np.clip(self.linear(x) - self.shift, -60, 60)))
+
+
+def pair_sums(good: np.ndarray, bad: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Number, loss, gradient and Hessian (flat) of all pairs of standardised rows at the weights ``w``."""
+    ahead = (good @ w)[:, None] - (bad @ w)[None, :]
+    p = 1 / (1 + np.exp(np.clip(ahead, -60, 60)))
+    v = p * (1 - p)
+    grad = p.sum(0) @ bad - p.sum(1) @ good
+    cross = good.T @ (v @ bad)
+    hess = (good * v.sum(1)[:, None]).T @ good + (bad * v.sum(0)[:, None]).T @ bad - cross - cross.T
+    return np.concatenate([[p.size, np.logaddexp(0, -ahead).sum()], grad, hess.ravel()])
 
 
-def fit(x: np.ndarray, good: np.ndarray, share_good: float, seed: int = 7) -> Model:
-    """Bradley-Terry weights of the rows ``x``; ``share_good``: share of good labels in all of the labels."""
+def newton(sums, d: int) -> np.ndarray:
+    """Weights of least mean loss plus decay; ``sums(w)`` are the pairs' sums at ``w``.  A step that does not help is halved."""
+    def at(w):
+        x = sums(w)
+        return (x[1] / x[0] + DECAY * w @ w, x[2:2 + d] / x[0] + 2 * DECAY * w,
+                x[2 + d:].reshape(d, d) / x[0] + 2 * DECAY * np.eye(d))
+    w = np.zeros(d)
+    loss, grad, hess = at(w)
+    for _ in range(STEPS):
+        step = np.linalg.solve(hess, grad)
+        new = at(w - step)
+        while new[0] > loss + 1e-12 and np.abs(step).max() > 1e-9:
+            step = step / 2
+            new = at(w - step)
+        w, (loss, grad, hess) = w - step, new
+        if np.abs(step).max() < 1e-9:
+            break
+    return np.round(w, 9)  # sums are rounded by how the rows lie
+
+
+def fit(x: np.ndarray, good: np.ndarray, share_good: float) -> Model:
+    """Bradley-Terry weights from all pairs of the rows ``x``; ``share_good``: share of good labels in all of the labels."""
     mean, scale = x.mean(0), x.std(0) + 1e-6
     z = np.clip((x - mean) / scale, -8, 8)
-    rng = np.random.default_rng(seed)
-    a, b = rng.choice(np.flatnonzero(good), PAIRS), rng.choice(np.flatnonzero(~good), PAIRS)
-    diff = z[a] - z[b]
-    w, m, v = np.zeros(z.shape[1]), np.zeros(z.shape[1]), np.zeros(z.shape[1])
-    for step in range(1, STEPS + 1):  # full-batch Adam on mean log(1 + exp(-diff w)) + decay |w|^2
-        grad = -(diff * (1 / (1 + np.exp(np.clip(diff @ w, -60, 60))))[:, None]).mean(0) + 2 * DECAY * w
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
-        w = w - 0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+    w = newton(lambda w: pair_sums(z[good], z[~good], w), z.shape[1])
     s = z @ w
     # quantile of the scores at the share of bad labels, each class weighted to its share
     order = np.argsort(s)
@@ -129,41 +160,103 @@ def held_out(id_: Column) -> Column:
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", per_class: int = SAMPLE_PER_CLASS, seed: int = 7) -> Model | None:
-    """A model from ``per_class`` documents of each label at most; None without labels of both kinds.
+def measured(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """_id, _hash (of the text) and _x (its features) of every row, computed once."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return written(docs.select(F.col(id_col).alias("_id"), F.sha2(text.cast("binary"), 256).alias("_hash"),
+                               feature_rows(text).alias("_x")), "ranking-features")
+
+
+def _matrix(rows: pa.Array) -> np.ndarray:
+    return rows.flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)
+
+
+def _summed(df: DataFrame, run) -> np.ndarray:
+    """The sums over all partitions of the vectors that ``run`` makes of each partition's batches."""
+    def part(batches):
+        total = None
+        for batch in batches:
+            for v in run(batch):
+                total = v if total is None else total + v
+        if total is not None:
+            yield pa.RecordBatch.from_pydict({"k": pa.array(range(len(total)), pa.int32()), "v": total})
+    rows = df.mapInArrow(part, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()  # a row a sum
+    out = np.zeros(len(rows))
+    for r in rows:
+        out[r["k"]] = r["v"]
+    return out
+
+
+def _moments(batch: pa.RecordBatch):
+    x = _matrix(batch.column(0))
+    yield np.concatenate([x.sum(0), (x * x).sum(0)])
+
+
+def train(rows: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", label_col: str = "quality",
+          seed: int = 7) -> Model | None:
+    """A model from every labelled document of ``rows`` (see :func:`measured`) that is not held out; None without both kinds.
 
     An id with several texts is learned from by the text with the least SHA-256, one
-    with both labels as label 0.  The sample (the smallest seeded hashes of ids) is bounded by 2 * per_class
-    rows, so its ids are broadcast and its features fit on the driver.
+    with both labels as label 0.  The driver sees sums of (features + 1)^2 numbers a step.
     """
     lab = (labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_good"))
            .filter(F.col("_good").isin(0, 1) & F.col("_id").isNotNull() & ~held_out(F.col("_id"))))
     n = {r["_good"]: r["n"] for r in lab.groupBy("_good").agg(F.count("*").alias("n")).collect()}  # two rows
     if len(n) < 2:
         return None
-    order = unit_hash(F.col("_id"), seed=seed)
-    some = [lab.filter(F.col("_good") == g).orderBy(order, "_id").limit(per_class) for g in (0, 1)]
-    some = some[0].unionByName(some[1]).groupBy("_id").agg(F.min("_good").alias("_good"))
-    text = F.coalesce(F.col("_text"), F.lit(""))
-    rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-            .join(F.broadcast(some), "_id").groupBy("_id", "_good")
-            .agg(F.min(F.struct(F.sha2(text.cast("binary"), 256).alias("h"), text.alias("t"))).alias("_first"))
-            .select("_id", "_good", feature_rows("_first.t").alias("x")).toPandas().sort_values("_id"))
-    good = rows["_good"].to_numpy() == 1
-    if good.all() or not good.any():
+    share = n[1] / (n[0] + n[1])
+    known = written(rows.filter(~held_out(F.col("_id"))).groupBy("_id").agg(F.min_by("_x", "_hash").alias("_x"))
+                    .join(lab.groupBy("_id").agg(F.min("_good").alias("_good")), "_id"), "ranking-labelled")
+    found = {r["_good"]: r["n"] for r in known.groupBy("_good").agg(F.count("*").alias("n")).collect()}  # two rows
+    if len(found) < 2:
         return None
-    return fit(np.stack(rows["x"]), good, n[1] / (n[0] + n[1]), seed)
+    total = found[0] + found[1]
+    sums = _summed(known.select("_x"), _moments) / total
+    mean = np.round(sums[:N_FEATURES], 12)
+    scale = np.round(np.sqrt(np.maximum(sums[N_FEATURES:] - mean * mean, 0)), 9) + 1e-6
+    z = lambda x: np.clip((x - mean) / scale, -8, 8)
+
+    blocks = max(1, total // BLOCK)
+    rare = min(found, key=found.get)
+    copies = -(-RARE * blocks // found[rare]) if blocks > 1 else 1
+    dealt = known.withColumn("_copy", F.explode(F.when(F.col("_good") == rare, F.sequence(F.lit(1), F.lit(copies)))
+                                                .otherwise(F.array(F.lit(1)))))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "_id", "_copy"), F.lit(blocks)))
+    side = lambda k: F.collect_list(F.when(F.col("_good") == k, F.struct("_id", "_x")))
+    dealt = dealt.groupBy("block").agg(*[F.transform(F.array_sort(side(k)), lambda r: r["_x"]).alias(c)
+                                         for k, c in ((1, "good"), (0, "bad"))])
+    dealt = written(dealt.select("good", "bad"), "ranking-blocks")
+
+    def pairs_at(w):
+        def run(batch):
+            for good, bad in zip(batch.column(0), batch.column(1), strict=True):
+                if len(good) and len(bad):
+                    yield pair_sums(z(_matrix(good.values)), z(_matrix(bad.values)), w)
+        return _summed(dealt, run)
+    model = Model(mean, scale, newton(pairs_at, N_FEATURES), 0.0)
+    # quantile of the scores at the share of bad labels, each class weighted to its share
+    scored = known.select(F.round(linear(model)("_x"), 12).alias("score"), F.col("_good").alias("label"))
+    p = score_prefix(scored, by="")
+    good = F.col("below_pos") + F.col("pos")
+    upto = good * (share / found[1]) + (F.col("below_cnt") + F.col("cnt") - good) * ((1 - share) / found[0])
+    s = [r["score"] for r in p.filter(upto >= 1 - share - 1e-12).orderBy("score").limit(2).collect()]
+    at = sum(s) / len(s)
+    return Model(mean, scale, model.weight, float(at - np.log(CUT / (1 - CUT))))
+
+
+def linear(model: Model):
+    """Arrow UDF: features -> the model's linear score, not shifted."""
+    @arrow_udf(T.DoubleType())
+    def run(rows: pa.Array) -> pa.Array:
+        return pa.array(model.linear(_matrix(rows)))
+    return run
 
 
 def score(model: Model | None):
-    """Arrow UDF: text -> score in [0, 1]; 0.5 without a model."""
+    """Arrow UDF: features -> score in [0, 1]; 0.5 without a model."""
     @arrow_udf(T.DoubleType())
-    @W.trimmed
-    def run(texts: pa.Array) -> pa.Array:
-        if model is None:
-            return pa.array(np.full(len(texts), 0.5))
-        return pa.array(model.score(features(texts)))
+    def run(rows: pa.Array) -> pa.Array:
+        return pa.array(np.full(len(rows), 0.5) if model is None else model.score(_matrix(rows)))
     return run
 
 
@@ -177,9 +270,9 @@ def rank(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col
     columns are ignored.
     """
     small_batches(docs.sparkSession)
-    model = train(docs, labels, id_col=id_col, text_col=text_col, **options)
-    x = docs.select(F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"),
-                    score(model)(F.col(text_col)).alias("score"))
+    rows = measured(docs, id_col=id_col, text_col=text_col)
+    model = train(rows, labels, id_col=id_col, **options)
+    x = rows.select(F.col("_id").alias("doc_id"), held_out(F.col("_id")).alias("held_out"), score(model)(F.col("_x")).alias("score"))
     return x.withColumn("predicted", F.when(F.col("score") >= CUT, 1).otherwise(0))
 
 

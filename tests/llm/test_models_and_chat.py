@@ -180,3 +180,35 @@ def test_ranking_of_ids_with_several_texts_is_defined(spark):
     for other in found[1:]:  # a row's product is rounded by the rows it is batched with
         assert [i for i, _ in other] == [i for i, _ in found[0]]
         assert max(abs(a - b) for (_, a), (_, b) in zip(other, found[0], strict=True)) < 1e-12
+
+
+def test_ranking_learns_from_every_label(spark, monkeypatch):
+    """A word that marks a tenth of the good documents, and blocks that see only a part each: one fit of all pairs."""
+    from rekindle.llm import ranking
+    monkeypatch.setattr(ranking, "BLOCK", 64)
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"w{rng.randrange(50)}" + ("!" if rng.random() < (0.1 if i % 8 else 0.3) else "")
+                         for _ in range(rng.randint(20, 60)))) for i in range(2400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    lab = spark.createDataFrame([(i, int(i % 8 > 0)) for i in range(2400)], "doc_id long, quality int")
+    got = ranking.rank(docs, lab).collect()
+    learned = [r for r in got if not r["held_out"]]
+    share = np.mean([r["doc_id"] % 8 > 0 for r in learned])
+    # the threshold is the quantile of all labelled documents' scores, to a document
+    assert abs(sum(r["predicted"] for r in learned) - share * len(learned)) <= 1
+    good = np.mean([r["score"] for r in got if r["doc_id"] % 8 > 0])
+    assert good > np.mean([r["score"] for r in got if r["doc_id"] % 8 == 0]) + 0.1
+
+
+def test_ranking_pair_sums_equal_loops():
+    from rekindle.llm import ranking
+    rng = np.random.default_rng(4)
+    good, bad, w = rng.normal(size=(5, 3)), rng.normal(size=(4, 3)), rng.normal(size=3)
+    n = loss = 0
+    grad, hess = np.zeros(3), np.zeros((3, 3))
+    for a in good:
+        for b in bad:
+            d, n = a - b, n + 1
+            p = 1 / (1 + np.exp(d @ w))
+            loss, grad, hess = loss + np.log1p(np.exp(-d @ w)), grad - p * d, hess + p * (1 - p) * np.outer(d, d)
+    assert np.allclose(ranking.pair_sums(good, bad, w), np.concatenate([[n, loss], grad, hess.ravel()]))
