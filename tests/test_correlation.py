@@ -67,3 +67,17 @@ def test_pruning_says_why(spark):
     got = [tuple(r)[:4] for r in CO.pruning(df, list(data.columns)).orderBy("rank").collect()]
     assert got == [(1, "x", True, None), (2, "cube", False, "x"), (3, "alone", True, None), (4, "zeros", True, None)]
     assert CO.prune_correlated(df, ["cube", "x", "alone"]) == ["cube", "alone"]
+
+
+def test_blocks_and_ranges_meet_without_a_row_a_cell(spark, monkeypatch):
+    monkeypatch.setattr(CO, "BLOCK_BITS", 5)
+    monkeypatch.setattr(CO, "RANGE_ROWS", 60)
+    data = frame(700)
+    data["whole"] = (np.arange(700) * 37 % 701).astype("float64")
+    df = spark.createDataFrame([tuple(None if v != v else float(v) for v in r) for r in data.to_numpy()],
+                               ", ".join(f"{c} double" for c in data.columns)).repartition(3)
+    r = CO.spearman(df, list(data.columns))
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "FlatMapCoGroupsInArrow" in plan
+    got, want = {(x["a"], x["b"]): (x["n"], x["rho"]) for x in r.collect()}, loop(data)
+    assert got == {k: (n, None if rho is None else pytest.approx(rho, abs=1e-12)) for k, (n, rho) in want.items()}
