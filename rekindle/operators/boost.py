@@ -105,11 +105,13 @@ def binned(df: DataFrame, cols: list[str], edges: list[list[float]]) -> DataFram
 
 # -- one level ---------------------------------------------------------------------
 
-def _partial_sums():
-    """Per partition: sums of the derivatives and the rows of every (node, feature, bin) met there."""
+def _partial_sums(graded=None):
+    """Per partition: sums of the derivatives and the rows of every (node, feature, bin) met there.
+
+    Batches are (node, bins, g, h), or what ``graded`` makes such batches of."""
     def run(batches):
         total: dict[int, np.ndarray] = {}  # node -> (g, h, rows) x feature x bin
-        for batch in batches:
+        for batch in batches if graded is None else map(graded, batches):
             if not batch.num_rows:
                 continue
             node, inverse = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_inverse=True)
@@ -136,14 +138,20 @@ def _partial_sums():
     return run
 
 
+_SUMS = "node int, f int, bin int, g double, h double"
+
+
+def _added(part: DataFrame) -> DataFrame:
+    return part.groupBy("node", "f", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+
+
 def histogram(rows: DataFrame) -> DataFrame:
     """(node, f, bin, g, h): sums of the derivatives over rows (node, bins, g, h).
 
     A partition adds up its rows as they pass, with no row per (row, feature); what is
     exchanged is a row per partition, node, feature and bin."""
     part = rows.select("node", "bins", F.col("g").cast("double").alias("g"), F.col("h").cast("double").alias("h"))
-    return (part.mapInArrow(_partial_sums(), "node int, f int, bin int, g double, h double")
-            .groupBy("node", "f", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h")))
+    return _added(part.mapInArrow(_partial_sums(), _SUMS))
 
 
 def split_gains(hist: DataFrame, lam: float = 1.0, min_cover: float = 1.0) -> DataFrame:
@@ -177,24 +185,44 @@ def best_splits(gains: DataFrame) -> DataFrame:
 
 # -- trees -----------------------------------------------------------------------------
 
-def _left(bins: Column, n: Split) -> Column:
-    b = F.get(bins, F.lit(n.feature))
-    return (b <= n.bin) if n.missing_left else (b > 0) & (b <= n.bin)
-
-
-def node_of(tree: dict[int, Split | Leaf], bins: Column, at: int = 0) -> Column:
-    """The number of the node that a row ends in."""
-    n = tree.get(at)
-    if not isinstance(n, Split):
-        return F.lit(at)
-    return F.when(_left(bins, n), node_of(tree, bins, 2 * at + 1)).otherwise(node_of(tree, bins, 2 * at + 2))
+def _matrix(bins: pa.Array, d: int) -> np.ndarray:
+    return bins.flatten().to_numpy(zero_copy_only=False).reshape(len(bins), d)
+
+
+def node_of(tree: dict[int, Split | Leaf], bins: np.ndarray) -> np.ndarray:
+    """The numbers of the nodes that rows of bins end in (a child's number is above its parent's)."""
+    node = np.zeros(len(bins), np.int64)
+    for at, n in sorted(tree.items()):
+        if isinstance(n, Split):
+            mine = np.flatnonzero(node == at)
+            b = bins[mine, n.feature]
+            node[mine] = np.where((b <= n.bin) & ((b > 0) | n.missing_left), 2 * at + 1, 2 * at + 2)
+    return node
+
+
+def add_values(out: np.ndarray, trees: list[dict[int, Split | Leaf]], bins: np.ndarray) -> np.ndarray:
+    """The values of the rows' leaves added to ``out``, tree by tree."""
+    for tree in trees:
+        value = np.zeros(max(tree) + 1)
+        for at, n in tree.items():
+            if isinstance(n, Leaf):
+                value[at] = n.value
+        out = out + value[node_of(tree, bins)]
+    return out
 
 
-def value_of(tree: dict[int, Split | Leaf], bins: Column, at: int = 0) -> Column:
-    n = tree[at]
-    if isinstance(n, Leaf):
-        return F.lit(float(n.value))
-    return F.when(_left(bins, n), value_of(tree, bins, 2 * at + 1)).otherwise(value_of(tree, bins, 2 * at + 2))
+def _graded(d: int, trees: list[dict[int, Split | Leaf]], tree: dict[int, Split | Leaf], todo: set[int]):
+    """Rows (y, bins, margin before ``trees``) -> (node, bins, g, h) of those in the nodes ``todo`` of the tree at hand."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        bins = _matrix(batch.column(1), d)
+        node = node_of(tree, bins)
+        mine = np.isin(node, list(todo))
+        bins, y, before = bins[mine], *(batch.column(i).to_numpy(zero_copy_only=False)[mine] for i in (0, 2))
+        p = 1 / (1 + np.exp(-add_values(before, trees, bins)))
+        at = pa.array(np.arange(len(bins) + 1, dtype=np.int32) * d)
+        return pa.RecordBatch.from_pydict({"node": pa.array(node[mine], pa.int32()), "g": p - y, "h": p * (1 - p),
+                                           "bins": pa.ListArray.from_arrays(at, pa.array(bins.ravel()))}).select(["node", "bins", "g", "h"])
+    return run
 
 
 def train_boosted(train: DataFrame, cols: list[str], *, label: str = "label", rounds: int = 20, depth: int = 4,
@@ -213,15 +241,14 @@ def train_boosted(train: DataFrame, cols: list[str], *, label: str = "label", ro
     rows = cut_lineage(binned(data, cols, model.edges).select(F.col(label).cast("double").alias("y"), "bins",
                                                               F.lit(prior).alias("margin"))).persist()
     leaf = lambda g, h: Leaf(-rate * g / (h + lam), h)
+    fresh: list[dict[int, Split | Leaf]] = []  # trees that the margin of ``rows`` does not hold yet
     for k in range(rounds):
-        prob = 1 / (1 + F.exp(-F.col("margin")))
-        graded = rows.select("bins", "y", prob.alias("p")).select(
-            "bins", (F.col("p") - F.col("y")).alias("g"), (F.col("p") * (1 - F.col("p"))).alias("h"))
         tree: dict[int, Split | Leaf] = {}
         todo = {0}
         for _ in range(depth):
-            at = graded.withColumn("node", node_of(tree, F.col("bins"))).filter(F.col("node").isin(*todo))
-            found = best_splits(split_gains(histogram(at), lam, min_cover)).filter("gain > 1e-6").collect()  # a row a node
+            sums = _added(rows.select("y", "bins", "margin").mapInArrow(
+                _partial_sums(_graded(len(cols), list(fresh), dict(tree), todo)), _SUMS))
+            found = best_splits(split_gains(sums, lam, min_cover)).filter("gain > 1e-6").collect()  # a row a node
             todo = set()
             for s in found:
                 i = s["node"]
@@ -233,19 +260,27 @@ def train_boosted(train: DataFrame, cols: list[str], *, label: str = "label", ro
         if not tree:
             break  # no split gains anything
         model.trees.append(tree)
-        rows = rows.withColumn("margin", F.col("margin") + value_of(tree, F.col("bins")))
+        fresh.append(tree)
         if (k + 1) % cut == 0 and k + 1 < rounds:
-            done, rows = rows, cut_lineage(rows).persist()
+            done, rows = rows, cut_lineage(rows.withColumn("margin", _with_trees(len(cols), fresh)("margin", "bins"))).persist()
             done.unpersist()
+            fresh = []
     rows.unpersist()
     return model
 
 
+def _with_trees(d: int, trees: list[dict[int, Split | Leaf]]):
+    """Arrow UDF: margins and the rows' bins -> the margins with the trees' values."""
+    @arrow_udf(T.DoubleType())
+    def run(before: pa.Array, bins: pa.Array) -> pa.Array:
+        return pa.array(add_values(before.to_numpy(zero_copy_only=False), trees, _matrix(bins, d)))
+    return run
+
+
 def margin(model: Boosted, bins: Column) -> Column:
-    out = F.lit(float(model.prior))
-    for t in model.trees:
-        out = out + value_of(t, bins)
-    return out
+    if not model.trees:
+        return F.lit(float(model.prior))
+    return _with_trees(len(model.cols), model.trees)(F.lit(float(model.prior)), bins)
 
 
 def score_boosted(model: Boosted, df: DataFrame, keep=("sample_id", "label", "split")) -> DataFrame:
@@ -319,7 +354,7 @@ def contributions_of(model: Boosted):
 
     @arrow_udf(T.ArrayType(T.DoubleType()))
     def run(bins: pa.Array) -> pa.Array:
-        b = bins.flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
+        b = _matrix(bins, n)
         phi = np.zeros((len(b), n))
         for p in of:
             pattern = np.zeros(len(b), np.int64)

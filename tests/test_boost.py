@@ -3,6 +3,7 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,3 +130,16 @@ def test_training_exchanges_a_row_a_partition_not_a_row_a_feature(fitted, spark)
     data, encode = MD.fit_encoding(many, [], cols)
     assert data.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
     assert in_few_partitions(many, 40 << 19).rdd.getNumPartitions() == 40
+
+
+def test_trees_are_walked_in_arrays_not_in_the_plan(spark):
+    tree = {0: B.Split(0, 1, True, 4.0), 1: B.Leaf(-1.0, 2.0), 2: B.Split(1, 2, False, 2.0), 5: B.Leaf(0.5, 1.0), 6: B.Leaf(2.0, 1.0)}
+    bins = np.array([[0, 1], [1, 0], [2, 2], [2, 0], [3, 3]], np.int32)
+    assert B.node_of(tree, bins).tolist() == [1, 1, 5, 6, 6]  # a missing value (0) goes left, then right
+    assert B.add_values(np.full(5, 0.25), [tree, tree], bins).tolist() == [-1.75, -1.75, 1.25, 4.25, 4.25]
+    m = B.Boosted(["a", "b"], [[1.0, 2.0], [1.0, 2.0]], 0.25, [tree, tree])
+    df = spark.createDataFrame([(1, None, 0.5), (2, 0.5, None), (3, 1.5, 1.5), (4, 1.5, None), (5, 9.0, 9.0)], "sample_id long, a double, b double")
+    s = B.score_boosted(m, df, keep=("sample_id",))
+    assert "CASE WHEN" not in s._jdf.queryExecution().executedPlan().toString()
+    got = [r["score"] for r in s.orderBy("sample_id").collect()]
+    assert got == pytest.approx([1 / (1 + np.exp(-x)) for x in (-1.75, -1.75, 1.25, 4.25, 4.25)])
