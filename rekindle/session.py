@@ -20,9 +20,6 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # intermediate lineage cuts (events, label orders) are removed from the
-    # shared checkpoint folder once their tables are garbage-collected
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.driver.memory": "16g",
 }
 
@@ -89,7 +86,7 @@ def bucketed(df: DataFrame, keys: list[str], name: str = "table", buckets: int |
 
 def release() -> None:
     """Drop the tables persisted or bucketed so far and the folders given out by
-    :func:`shared_folder` (checkpoint files go with their tables)."""
+    :func:`shared_folder`."""
     while _KEPT:
         _KEPT.pop().unpersist(blocking=False)
     while _TABLES:
@@ -118,19 +115,18 @@ def in_few_partitions(df: DataFrame, rows: int) -> DataFrame:
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     """Cut a long lineage before several consumers or an iterative one.
 
-    With a shared ``spark.checkpoint.dir`` the table is checkpointed reliably
-    into that folder (it survives executor loss without recomputation).  The
-    table is persisted first so the checkpoint is written from the computed
-    blocks instead of computing the plan a second time.  Without a shared
-    folder the table is only persisted (memory and disk) until :func:`release`,
-    and a lost block is recomputed from its lineage.  No machine-local folder is ever chosen here.
+    With a shared ``spark.checkpoint.dir`` the table is written there as Parquet,
+    from the one computation of its plan, and read back: it survives executor loss,
+    and readers decode only the columns (and, by statistics, the rows) they ask for,
+    where a checkpoint file holds whole serialized rows.  The files stay, as
+    checkpoint files do, for the owner of that folder.  Without a shared folder the
+    table is persisted (memory and disk) until :func:`release`, and a lost block is
+    recomputed from its lineage.  No machine-local folder is ever chosen here.
     """
     spark = df.sparkSession
     d = checkpoint_dir(spark)
     if not d:
         return persisted(df)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    spark.sparkContext.setCheckpointDir(d)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist(blocking=False)
-    return out
+    path = f"{d.rstrip('/')}/rekindle/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

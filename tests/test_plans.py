@@ -150,3 +150,14 @@ def test_release_deletes_shared_folders(spark):
     assert a != b and os.path.isdir(a.removeprefix("file:"))
     release()
     assert not os.path.exists(a.removeprefix("file:"))
+
+
+def test_readers_of_a_cut_table_decode_only_their_columns(spark):
+    import datetime as dt
+    from rekindle.session import cut_lineage
+    rows = [(1, float("nan"), None, dt.datetime(2020, 1, 2, 3), [1, None]), (1, -0.0, "", None, []), (None, None, "a", None, None)]
+    df = spark.createDataFrame(rows * 2, "a long, b double, c string, d timestamp_ntz, e array<int>")
+    cut = cut_lineage(df)
+    assert cut.dtypes == df.dtypes and sorted(map(str, cut.collect())) == sorted(map(str, df.collect()))
+    assert "ReadSchema: struct<b:double>" in plan(cut.select("b"))
+    assert cut_lineage(df.filter("a = 7")).count() == 0
