@@ -45,12 +45,15 @@ def orders_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     # money in whole cents and rates in whole hundredths: exact sums in any order, as longs
     cents, hundredths = (F.rint(F.col(c) * 100).cast("long") for c in ("l_extendedprice", "l_discount"))
     coupon = F.when((F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 7), cents).otherwise(F.lit(0).cast("long"))
-    agg = li.groupBy("l_orderkey").agg(
+    # dealt by the order once: the distinct parts, the sums and the join below all find their rows there
+    rows = li.select("l_orderkey", "l_partkey", "l_quantity", cents.alias("cents"), (cents * hundredths).alias("off"),
+                     coupon.alias("coupon")).repartition("l_orderkey")
+    agg = rows.groupBy("l_orderkey").agg(
         F.count_distinct("l_partkey").alias("ts_count"),
         F.sum("l_quantity").cast("int").alias("qty"),
-        (F.sum(cents) / 100).alias("total_price"),
-        (-F.sum(cents * hundredths) / 10000).alias("total_discount"),
-        (-F.sum(coupon) / 100).alias("total_coupon_discount"),
+        (F.sum("cents") / 100).alias("total_price"),
+        (-F.sum("off") / 10000).alias("total_discount"),
+        (-F.sum("coupon") / 100).alias("total_coupon_discount"),
     )
     key = F.col("o_orderkey")
     return (o.join(agg, o.o_orderkey == agg.l_orderkey, "left")

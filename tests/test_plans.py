@@ -1,4 +1,6 @@
 """Plan-shape guards: no cartesian products / nested-loop joins, pushed filters."""
+import datetime as dt
+
 from helpers import SF
 
 from rekindle.config import ADAPTER_A
@@ -161,3 +163,26 @@ def test_readers_of_a_cut_table_decode_only_their_columns(spark):
     assert cut.dtypes == df.dtypes and sorted(map(str, cut.collect())) == sorted(map(str, df.collect()))
     assert "ReadSchema: struct<b:double>" in plan(cut.select("b"))
     assert cut_lineage(df.filter("a = 7")).count() == 0
+
+
+def test_order_lines_are_exchanged_once(spark, tmp_path):
+    """Distinct parts, sums and the join with the orders share one exchange of the lines, by the order code."""
+    at = dt.datetime(2000, 1, 1)
+    spark.createDataFrame([(1, 7, "F", 10.0, at, "a"), (2, 7, "O", 5.0, at, "b"), (3, None, "P", None, None, None)],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                          "o_orderdate timestamp, o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
+    lines = [(1, 4, 7, 2.0, 10.10, 0.05, "A"), (1, 4, 2, 3.0, 0.20, 0.10, "A"), (1, None, 3, 1.0, 5.0, 0.0, "N"),
+             (1, 5, 7, 1.0, 1.0, 0.0, "A"), (1, 5, 7, 1.0, 1.0, 0.0, "A"), (2, None, 1, None, None, None, None),
+             (None, 4, 7, 9.0, 9.0, 0.5, "A")]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                          "l_discount double, l_returnflag string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    df = A.orders_a(spark, str(tmp_path)).select("order_code", "ts_count", "qty", "total_price", "total_discount", "total_coupon_discount")
+    assert sorted(map(tuple, df.collect())) == [(1, 2, 8, 17.3, -0.525, -12.1), (2, 0, None, None, None, 0.0),
+                                                (3, None, None, None, None, None)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = A.orders_a(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert len([x for x in dealt if "l_orderkey" in x]) == 1 and not [x for x in dealt if "l_partkey" in x]
