@@ -21,6 +21,8 @@ empty text has none (fingerprint '').
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,21 +44,24 @@ def _packed(hash64: Column, pos: Column) -> Column:
     return F.shiftleft(F.shiftrightunsigned(hash64, 33), 32) + pos
 
 
-def _block_anchors(b: Column) -> Column:
-    """b: binary of K bytes or more."""
+def _block_anchors(b: Column, start: Column) -> Column:
+    """b: binary of K bytes or more, ``start`` bytes behind the place from which positions count."""
     inner = F.transform(F.sequence(F.lit(1), F.length(b) - (S - 1)), lambda i: F.xxhash64(F.substring(b, i, S)))
 
     def chosen(h: Column) -> Column:
-        edge = lambda i: F.least(*[h[i + j] for j in range(INNER)]).isin(h[i], h[i + (INNER - 1)])
+        def edge(i: Column) -> Column:
+            # the smaller end against the hashes between, one by one: most k-mers fail at one of the first
+            at = [F.get(h, i + j if j else i) for j in range(INNER)]
+            below = lambda end: reduce(and_, [end <= x for x in at[1:-1]])
+            return F.call_function("if", at[0] <= at[-1], below(at[0]), below(at[-1]))
         return F.filter(F.sequence(F.lit(0), F.length(b) - K), edge)
-    return F.transform(bind(inner, chosen), lambda p: _packed(F.xxhash64(F.substring(b, p + 1, K)), p))
+    return F.transform(bind(inner, chosen), lambda p: _packed(F.xxhash64(F.substring(b, p + 1, K)), p + start))
 
 
 def _long_anchors(b: Column) -> Column:
     """b: binary of K bytes or more, read in blocks of starts so that a long text needs little at a time."""
     def block(s: Column) -> Column:
-        found = bind(F.substring(b, s + 1, F.lit(BLOCK + K - 1)), _block_anchors)
-        return F.transform(found, lambda a: a + s)
+        return bind(F.substring(b, s + 1, F.lit(BLOCK + K - 1)), lambda part: _block_anchors(part, s))
     return F.flatten(F.transform(F.sequence(F.lit(0), F.length(b) - K, F.lit(BLOCK)), block))
 
 
@@ -71,30 +76,39 @@ def text_bytes(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
-def spliced_anchors(own: Column, data: Column, cut: Column, new_tail: Column) -> Column:
-    """Anchors of ``data[:cut] + new_tail`` from the anchors of ``data``.
-
-    Anchors that end before the cut are kept as they are (they are context-free);
-    only the K - 1 bytes before the cut and the new tail are read again.
-    """
-    def put(from_: Column) -> Column:
-        joint = F.concat(F.substring(data, F.lit(1) + from_, cut - from_), new_tail)
-        kept = F.filter(own, lambda a: a.bitwiseAND(F.lit(0xFFFFFFFF)) + K <= cut)
-        new = bind(joint, lambda b: F.when(F.length(b) >= K, _long_anchors(b))
-                   .otherwise(F.array().cast("array<bigint>")))
-        return F.concat(kept, F.transform(new, lambda a: a + from_))
-    whole = F.length(new_tail) + cut
-    return F.when(whole < K, anchors(F.concat(F.substring(data, F.lit(1), cut), new_tail))) \
-        .otherwise(bind(F.greatest(cut - (K - 1), F.lit(0)), put))
+def first_anchors(all_anchors: Column) -> Column:
+    """Each distinct hash with its first position, by hash."""
+    def first_of_each(s: Column) -> Column:
+        hashed = lambda x: F.shiftright(x, 32)
+        return F.filter(s, lambda x, i: (i == 0) | (hashed(x) != hashed(F.get(s, i - 1))))
+    return bind(F.sort_array(all_anchors), first_of_each)
 
 
 def sketch(all_anchors: Column) -> Column:
     """The SKETCH smallest distinct hashes with their first positions."""
-    def first_of_each(s: Column) -> Column:
-        hashed = lambda x: F.shiftright(x, 32)
-        return F.slice(F.filter(s, lambda x, i: (i == 0) | (hashed(x) != hashed(s[F.greatest(i - 1, F.lit(0))]))),
-                       1, SKETCH)
-    return bind(F.sort_array(all_anchors), first_of_each)
+    return F.slice(first_anchors(all_anchors), 1, SKETCH)
+
+
+def spliced_sketch(own: Column, data: Column, cut: Column, next_own: Column, new_tail: Column) -> Column:
+    """Sketch of ``data[:cut] + new_tail``, where ``new_tail`` is how the next text begins, from both texts' ``first_anchors``.
+
+    Anchors are context-free: those that end before the cut, or in the next text
+    before the new tail's end, are kept.  Only k-mers across the cut are read.
+    Of a part's distinct hashes no more than the SKETCH smallest can be among
+    the SKETCH smallest of all, and the parts are in text order.
+    """
+    def within(found: Column, length: Column) -> Column:
+        return bind(length - K, lambda last: F.slice(
+            F.filter(found, lambda a: a.bitwiseAND(F.lit(0xFFFFFFFF)) <= last), 1, SKETCH))
+
+    def parts(at: Column) -> Column:
+        from_ = F.greatest(at - (K - 1), F.lit(0))
+        joint = F.concat(F.substring(data, F.lit(1) + from_, at - from_), F.substring(new_tail, F.lit(1), F.lit(K - 1)))
+        across = bind(joint, lambda b: F.when(F.length(b) >= K, _block_anchors(b, from_))
+                      .otherwise(F.array().cast("array<bigint>")))
+        return F.concat(within(own, at), across, F.transform(within(next_own, F.length(new_tail)), lambda a: a + at))
+    return sketch(F.when(F.length(new_tail) + cut < K, anchors(F.concat(F.substring(data, F.lit(1), cut), new_tail)))
+                  .otherwise(bind(cut, parts)))
 
 
 def hashes(sk: Column) -> Column:
@@ -102,9 +116,8 @@ def hashes(sk: Column) -> Column:
 
 
 def render(sk: Column) -> Column:
-    return F.array_join(F.transform(sk, lambda x: F.concat(
-        F.lpad(F.lower(F.hex(F.shiftright(x, 32))), 8, "0"), F.lit("@"),
-        F.lower(F.hex(x.bitwiseAND(F.lit(0xFFFFFFFF)))))), " ")
+    return F.lower(F.array_join(F.transform(sk, lambda x: F.concat(
+        F.lpad(F.hex(F.shiftright(x, 32)), 8, "0"), F.lit("@"), F.hex(x.bitwiseAND(F.lit(0xFFFFFFFF))))), " "))
 
 
 def parse(fingerprint: Column) -> Column:
@@ -206,17 +219,17 @@ def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     order = Window.partitionBy("rng").orderBy("edge", F.col("id").asc_nulls_first(), "text")
     # the first window moves the bare texts; anchors are made behind it, and the second finds its order in place
     rows = rows.withColumn("next_text", F.lead("text").over(order))
-    rows = rows.withColumn("own", anchors(F.col("text").cast("binary")))
-    rows = rows.withColumn("sk", sketch(F.col("own")))
-    rows = rows.withColumn("next_sk", F.lead("sk").over(order)).filter(~F.col("edge"))
+    rows = rows.withColumn("own", first_anchors(anchors(F.col("text").cast("binary"))))
+    rows = rows.withColumn("next_own", F.lead("own").over(order)).filter(~F.col("edge"))
     n = F.length("text")
     m = F.floor(n / 4).cast("int")
     rows = (rows.withColumn("n_chars", n.cast("long"))
             .withColumn("head", F.substring(F.col("text"), F.lit(1), n - m))
             .withColumn("tail", F.substring(F.col("next_text"), F.lit(1), m)))
-    new = spliced_anchors(F.col("own"), F.col("text").cast("binary"), F.octet_length("head"),
-                          F.col("tail").cast("binary"))
-    return (rows.withColumn("new_sk", sketch(new))
+    new = spliced_sketch(F.col("own"), F.col("text").cast("binary"), F.octet_length("head"),
+                         F.col("next_own"), F.col("tail").cast("binary"))
+    return (rows.withColumn("new_sk", new)
+            .withColumn("sk", F.slice("own", 1, SKETCH)).withColumn("next_sk", F.slice("next_own", 1, SKETCH))
             .select(F.col("id").alias("doc_id"), "n_chars",
                     F.sha2(F.concat("head", "tail").cast("binary"), 256).alias("edited_sha256"),
                     render(F.col("sk")).alias("fingerprint"), render(F.col("new_sk")).alias("edited_fingerprint"),

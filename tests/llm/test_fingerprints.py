@@ -109,3 +109,45 @@ def test_in_place_counts_the_most_frequent_offset(spark):
     got = [tuple(r) for r in df.select(FP.in_place(a, b), F.size(F.array_intersect(FP.hashes(a), FP.hashes(b)))).collect()]
     assert got[0][0] == got[0][1] >= 60 and got[1] == (64, 64)
     assert [g[0] for g in got[2:]] == [0, 0, 0]
+
+
+def test_equal_hashes_at_both_ends(spark):
+    """Texts of period INNER - 1 and 1: the first and the last of the inner hashes are equal."""
+    texts = ["abcdefg" * 9, "a" * 40, "abcdefg" * 2 + "xyz" * 5 + "abcdefg" * 3, "ab" * 20]
+    smers = sorted({t[i:i + FP.S] for t in texts for i in range(len(t) - FP.S + 1)})
+    h = dict(spark.createDataFrame([(x,) for x in smers], "s string").select("s", F.xxhash64(F.col("s").cast("binary"))).collect())
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for t, found in df.select("text", FP.anchors(FP.text_bytes(F.col("text")))).collect():
+        inner = [h[t[i:i + FP.S]] for i in range(len(t) - FP.S + 1)]
+        assert [a & 0xFFFFFFFF for a in found] == [
+            p for p in range(len(t) - FP.K + 1)
+            if min(inner[p:p + FP.INNER]) in (inner[p], inner[p + FP.INNER - 1])]
+
+
+def spliced(df):
+    col = lambda c: F.col(c).cast("binary")
+    return df.select(FP.spliced_sketch(F.col("own"), col("text"), F.col("cut"), F.col("next_own"), col("tail")).alias("got"),
+                     FP.sketch(FP.anchors(F.concat(F.substring(col("text"), F.lit(1), F.col("cut")), col("tail")))).alias("want"))
+
+
+def test_spliced_sketch_equals_direct_at_every_cut(spark):
+    rng = random.Random(9)
+    long, other = (text_of(rng, 60).encode().decode("ascii", "ignore") for _ in "ab")
+    pairs = [(long, other), (long, "x" * 300), ("x" * 300, "x" * 200), ("abcdefg" * 30, "efgabcd" * 30), ("short", other), ("", "abc")]
+    rows = [(a, b, min(cut, len(a)), b[:end]) for a, b in pairs for cut in (0, 1, 5, 11, 12, 13, 40, 200) for end in (0, 1, 7, 11, 12, 30, 150)]
+    df = spark.createDataFrame(rows, "text string, next string, cut int, tail string")
+    for c, name in (("text", "own"), ("next", "next_own")):
+        df = df.withColumn(name, FP.first_anchors(FP.anchors(F.col(c).cast("binary"))))
+    for got, want in spliced(df).collect():
+        assert got == want
+
+
+def test_only_bytes_across_the_cut_are_read_again(spark):
+    """Both parts' anchors are taken as given; with none given, what is left lies across the cut."""
+    text, tail = text_of(random.Random(11), 300)[:4000], "tail " * 400
+    rows = [(text, len(text.encode()), tail, [(7 << 32) + 3], [(5 << 32) + 20]), (text, len(text.encode()), tail, [], [])]
+    df = spark.createDataFrame(rows, "text string, cut int, tail string, own array<bigint>, next_own array<bigint>")
+    given, none = (r["got"] for r in spliced(df).collect())
+    cut = rows[0][1]
+    assert set(given) - set(none) == {(7 << 32) + 3, (5 << 32) + 20 + cut}
+    assert 0 <= len(none) < FP.K and all(cut - FP.K < (a & 0xFFFFFFFF) < cut for a in none)
