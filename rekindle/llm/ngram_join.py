@@ -11,14 +11,21 @@ Documents whose n-gram sets are equal form a class; one row per class goes on.
    reach c are discarded.  A column yields HOT / 2 pairs an entry at most.
 3. Dense columns (a large group of copies, or a common passage).  A set with fewer
    dense columns than the smallest c of a possible partner leaves them out: each of
-   its links shares a sparse column too.  The rest are joined to the column's
-   smallest class, by way of the smallest of sqrt(df) parts; no pairs are made.
-4. Remaining pairs and joins make families (connected components).  Each family's
-   whole rows are multiplied with each other in blocks of ``ROWS`` x ``ROWS``
-   documents of like size: overlap counts are accumulated over stretches of
-   columns, pairs that cannot reach their bound any more are dropped, and each
-   block gives a spanning forest of its links, not the links.
-5. Components of the forests' edges give the component of every class.
+   its links shares a sparse column too.  No pairs are made of the rest.
+4. Pairs that reach c by sparse columns alone are joined.  That others share n-grams
+   says little in a large corpus, where the common ones would chain most sets.  So
+   the whole rows of the others and of the sets kept for their dense columns are cut
+   by hash into more parts than two linked rows have differences: some part is equal
+   in both (``parts_of``).  Rows with an equal part are joined to the smallest of
+   them, by way of the smallest of ``SAMPLE`` groups where the part is crowded.
+   The joins make families (connected components).
+5. Each family's whole rows are multiplied with each other in blocks of documents of
+   like size: up to eight of a size, or as many as ``BLOCK`` n-grams a block make.  A
+   pair of blocks is multiplied in tiles of ``ROWS`` x ``ROWS`` documents: overlap
+   counts are accumulated over stretches of columns, pairs that cannot reach their
+   bound any more are dropped, pairs that the tiles before have joined are left out.
+   Each pair of blocks gives a spanning forest of its links, not the links.
+6. Components of the forests' edges give the component of every class.
 
 Exact up to 48-bit hash collisions of n-grams within a pair.
 """
@@ -43,6 +50,8 @@ ROWS = 128
 HOT = 16
 SAMPLE = 64
 COLUMNS = 4096
+#: N-grams of a block that has more than ROWS documents, at most: a row is exchanged once a block of its family.
+BLOCK = 1 << 22
 _LOW = np.uint64((1 << 48) - 1)
 _48 = np.uint64(48)
 
@@ -137,6 +146,57 @@ def set_of(width: int):
     return run
 
 
+def size_bounds(t_num: int) -> np.ndarray:
+    """The least size of every size class; linked sets are of one class or of neighbouring ones."""
+    at = [1]
+    while at[-1] < 1 << 40:
+        at.append(max(at[-1] + 1, at[-1] + at[-1] // 16, (at[-1] - 1) * 1000 // t_num + 1))
+    return np.array(at)
+
+
+def parts_of(grams: np.ndarray, offs: np.ndarray, t_num: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of which any two linked sets share one at least, and their CSR offsets.
+
+    Sets of at most m n-grams that are linked differ in h = 2 m (1 - t) / (1 + t)
+    n-grams at most.  Cut by hash into h + h / 2 + 1 parts, all but h are equal,
+    so of their h + 1 largest parts (by number, then place) one is equal.  m is
+    the largest size of a size class; a set is cut for its own class and for the
+    next one up, where its larger partners are.
+    """
+    n = len(offs) - 1
+    size, bounds = np.diff(offs), size_bounds(t_num)
+    total = np.zeros(len(grams) + 1, np.uint64)
+    np.cumsum(W.mix64(grams), out=total[1:])
+    high, keys, owner = grams >> np.uint64(16), [], []
+    for up in (0, 1):
+        level = np.searchsorted(bounds, size, "right") - 1 + up
+        h = np.where(size > 0, 2 * (bounds[level + 1] - 1) * (1000 - t_num) // (1000 + t_num), -1)
+        many = h + np.maximum(h, 0) // 2 + 1
+        first = np.append(0, np.cumsum(many))
+        place = (high * np.repeat(many.astype(np.uint64), size)) >> np.uint64(32)
+        count = np.bincount(np.repeat(first[:-1], size) + place.astype(np.int64), minlength=first[-1])
+        ends = np.cumsum(count)
+        own = np.repeat(np.arange(n), many)
+        at = np.arange(first[-1]) - first[own]
+        key = W.mix64((level[own].astype(np.uint64) << np.uint64(40)) + at.astype(np.uint64)) + total[ends] - total[ends - count]
+        order = np.lexsort((at, -count, own))
+        some = order[at <= h[own]]
+        keys.append(W.mix64(key[some]))
+        owner.append(own[some])
+    own = np.concatenate(owner)
+    return np.concatenate(keys)[np.argsort(own, kind="stable")], np.append(0, np.cumsum(np.bincount(own, minlength=n)))
+
+
+def part_keys(width: int, t_num: int):
+    """Arrow UDF: text -> the keys of its n-gram set's parts."""
+    @arrow_udf(T.ArrayType(T.LongType()))
+    @W.trimmed
+    def run(texts: pa.Array) -> pa.Array:
+        found = [parts_of(*gram_sets(p, width), t_num) for p in _texts(texts)]
+        return _lists([k for k, _ in found], [o for _, o in found])
+    return run
+
+
 def forest(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, t_num: int, t_den: int) -> np.ndarray:
     """Smallest set number reachable by links between rows ``left`` and rows ``right`` of the incidence matrix."""
     n = len(sets)
@@ -186,6 +246,30 @@ def forest(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, t_num: i
     return root
 
 
+def block_forest(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, t_num: int, t_den: int) -> np.ndarray:
+    """``forest`` in tiles of ROWS x ROWS; rows that earlier tiles have joined are not compared with each other again."""
+    root = np.arange(len(sets))
+    same = np.array_equal(left, right)
+    for a in range(0, len(left), ROWS):
+        for b in range(a if same else 0, len(right), ROWS):
+            x, y = left[a:a + ROWS], right[b:b + ROWS]
+            both = np.append(x, y)
+            names, n = np.unique(root[both], return_counts=True)
+            in_x, in_y = (root[k] == names[n.argmax()] for k in (x, y))
+            # all pairs but those within the largest component, if it has half of the rows
+            todo = [(x, y)] if 2 * n.max() < len(both) else [(x[~in_x], y)] + [(x[in_x], y[~in_y])] * (not same or a != b)
+            for i, j in todo:
+                if len(i) == 0 or len(j) == 0:
+                    continue
+                some = np.union1d(i, j)
+                found = some[forest([sets[k] for k in some], np.searchsorted(some, i), np.searchsorted(some, j), t_num, t_den)]
+                for u, v in zip(some[found != some], found[found != some], strict=True):
+                    if root[u] != root[v]:
+                        low, high = sorted((root[u], root[v]))
+                        root[root == high] = low
+    return root
+
+
 def block_links(t_num: int, t_den: int):
     """mapInArrow body over rows (family, c, up, bi, bj, side, digest, grams) sorted by the first five."""
     def finish(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +282,7 @@ def block_links(t_num: int, t_den: int):
         left, right = np.flatnonzero(side == (-1 if up else bi)), np.flatnonzero(side == (-2 if up else bj))
         if len(left) == 0 or len(right) == 0 or len(digest) < 2:
             return digest[:0], digest[:0]
-        root = forest([g for _, g in seen.values()], left, right, t_num, t_den)
+        root = block_forest([g for _, g in seen.values()], left, right, t_num, t_den)
         off = np.flatnonzero(root != np.arange(len(root)))
         return digest[off], digest[root[off]]
 
@@ -240,6 +324,29 @@ def join_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         "doc_id", "n_shingles", "component_id")
 
 
+def _crowded(keyed: DataFrame, name: str) -> DataFrame:
+    """The keys k with 8 digests or more among every SAMPLE-th digest, and an estimate of their number."""
+    return written(keyed.filter(F.pmod(F.col("digest"), F.lit(SAMPLE)) == 0).groupBy("k").agg(F.count("*").alias("n"))
+                   .filter(F.col("n") >= 8).select("k", (F.col("n") * SAMPLE).alias("crowd")), name)
+
+
+def _dealt(keyed: DataFrame, crowded: DataFrame) -> DataFrame:
+    """``keyed`` with ``crowd`` and ``part``: the rows of a crowded key are dealt over SAMPLE parts."""
+    part = F.when(F.col("crowd").isNotNull(), F.pmod(F.xxhash64("digest"), F.lit(SAMPLE))).otherwise(0)
+    return keyed.join(crowded, "k", "left").withColumn("part", part)
+
+
+def _stars(keyed: DataFrame, name: str) -> DataFrame:
+    """Links (u, v) of the digests of each key to the smallest of them, by way of the smallest of their part."""
+    hub = F.min("digest").over(Window.partitionBy("k", "part"))
+    found = written(_dealt(keyed, _crowded(keyed, f"{name}-crowded")).withColumn("hub", hub)
+                    .filter("digest <> hub or crowd is not null")
+                    .select("digest", "hub", F.when(F.col("digest") == F.col("hub"), F.col("k")).alias("k")).distinct(), name)
+    outer = found.filter("k is not null").select("digest", F.min("digest").over(Window.partitionBy("k")).alias("hub"))
+    return (found.filter("k is null").select("digest", "hub").union(outer).filter("digest <> hub")
+            .select(F.col("digest").alias("u"), F.col("hub").alias("v")))
+
+
 def row_key(id_: Column, text: Column) -> Column:
     """A row's key: ids alone may stand for several texts."""
     return identity(id_, text)
@@ -257,12 +364,9 @@ def row_components(docs: DataFrame, *, id_col: str, text_col: str, width: int, t
     # one row of columns per class; most columns have one class only
     keyed = (signed.filter(F.size("keys") > 0).select("digest", "n", "keys").dropDuplicates(["digest"])
              .select("digest", F.col("n").cast("int").alias("n"), F.explode("keys").alias("k")))
-    # a column with 8 classes or more among every SAMPLE-th class is dense whatever its exact number: it needs no
-    # count over all its rows (which columns are found so changes the work, not the result); the rest are counted
-    crowded = written(keyed.filter(F.pmod(F.col("digest"), F.lit(SAMPLE)) == 0).groupBy("k").agg(F.count("*").alias("n"))
-                      .filter(F.col("n") >= 8).select("k", (F.col("n") * SAMPLE).alias("crowd")), "gram-crowded")
-    part = F.when(F.col("crowd").isNotNull(), F.pmod(F.xxhash64("digest"), F.lit(SAMPLE))).otherwise(0)
-    entries = (keyed.join(crowded, "k", "left").withColumn("part", part)
+    # a crowded column is dense whatever its exact number: it needs no count over all its rows
+    # (which columns are found so changes the work, not the result); the rest are counted
+    entries = (_dealt(keyed, _crowded(keyed, "gram-crowded"))
                .withColumn("df", F.coalesce("crowd", F.count("*").over(Window.partitionBy("k", "part"))))
                .filter("df > 1").select("digest", "n", "k", "df"))
     entries = written(entries, "gram-entries")
@@ -275,37 +379,39 @@ def row_components(docs: DataFrame, *, id_col: str, text_col: str, width: int, t
         F.filter(F.slice("of", i + 2, HOT), lambda y: F.least(x["n"], y["n"]) * 1000 >= F.greatest(x["n"], y["n"]) * t_num),
         lambda y: F.struct(x.alias("x"), y.alias("y")))))).alias("p"))
     pairs = pairs.groupBy("p.x", "p.y").agg(F.count("*").alias("overlap"))
-    pairs = pairs.filter(F.col("overlap") + F.least("x.n_dense", "y.n_dense") >= least(F.least("x.n", "y.n")))
+    need = least(F.least("x.n", "y.n"))
+    pairs = written(pairs.filter(F.col("overlap") + F.least("x.n_dense", "y.n_dense") >= need).select(
+        F.col("x.digest").alias("u"), F.col("y.digest").alias("v"), (F.col("overlap") >= need).alias("sure")), "gram-pairs")
     # a partner has t * n n-grams at least; one less for safety in the division
     kept = entries.filter((F.col("df") > HOT)
                           & (F.col("n_dense") >= least(F.greatest(F.floor(F.col("n") * t_num / 1000) - 1, F.lit(1)))))
-    # a star per column in two levels of about sqrt(df) rows
-    kept = kept.withColumn("part", F.pmod(F.xxhash64("digest"), F.ceil(F.sqrt("df"))))
-    inner = kept.select("digest", F.min("digest").over(Window.partitionBy("k", "part")).alias("hub"))
-    outer = (kept.groupBy("k", "part").agg(F.min("digest").alias("digest"))
-             .select("digest", F.min("digest").over(Window.partitionBy("k")).alias("hub")))
-    star = inner.unionByName(outer).filter("digest <> hub")
-    edges = (pairs.select(F.col("x.digest").alias("u"), F.col("y.digest").alias("v"))
-             .union(star.select(F.col("digest").alias("u"), F.col("hub").alias("v")).distinct()))
-    family = components(edges, "gram-families")
-    members = family.union(family.select(F.col("root").alias("node"), "root").distinct())
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("digest"), (~F.col("sure")).alias("cut"))
+    candidates = ends.union(kept.select("digest", F.lit(True))).groupBy("digest").agg(F.max("cut").alias("cut"))
     classes = written(signed.filter("digest is not null").groupBy("digest").agg(
         F.min("key").alias("key"), F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("n_rows")), "gram-classes")
+    # the same plan at every size: the texts move once, and only those of candidates go on
+    texts = written(base.select(key.alias("key"), "text").hint("merge")
+                    .join(classes.join(candidates, "digest").select("key", "digest", "cut").hint("merge"), "key")
+                    .select("digest", "text", "cut"), "gram-texts")
+    parts = texts.filter("cut").select("digest", F.explode(part_keys(width, t_num)(F.col("text"))).alias("k"))
+    family = components(pairs.filter("sure").select("u", "v").union(_stars(parts, "gram-stars")), "gram-families")
+    members = family.union(family.select(F.col("root").alias("node"), "root").distinct())
     # linked sets are of the same or of neighbouring size classes
     size_class = F.floor(F.log("n") / float(np.log(1.001 / threshold))).cast("int")
     sized = members.join(classes, F.col("node") == F.col("digest")).select(
-        "key", "digest", F.col("root").alias("family"), size_class.alias("c"))
-    blocks = sized.groupBy("family", "c").agg(F.ceil(F.count("*") / F.lit(ROWS)).cast("int").alias("b"),
+        "digest", F.col("root").alias("family"), size_class.alias("c"), "n")
+    wide = F.greatest(F.lit(ROWS), F.least(F.greatest(F.lit(2 * ROWS), F.ceil(F.count("*") / F.lit(8))),
+                                           F.floor(F.lit(BLOCK) / F.max("n"))))
+    blocks = sized.groupBy("family", "c").agg(F.ceil(F.count("*") / wide).cast("int").alias("b"),
                                               F.count("*").alias("n_classes"))
     near = blocks
     for shift, name in ((1, "b_up"), (-1, "b_down")):
         near = near.join(blocks.select("family", (F.col("c") - shift).alias("c"), F.col("b").alias(name)), ["family", "c"], "left")
     wanted = spread_join(sized, near, ["family", "c"], "n_classes", "inner").select(
-        "key", "digest", "family", "c", "b", F.coalesce("b_up", F.lit(0)).alias("b_up"),
+        "digest", "family", "c", "b", F.coalesce("b_up", F.lit(0)).alias("b_up"),
         F.coalesce("b_down", F.lit(0)).alias("b_down"),
         F.pmod(F.xxhash64("digest"), F.col("b")).cast("int").alias("block"))
-    # the same plan at every size: the texts move once, and only those of families go on
-    rows = (base.select(key.alias("key"), "text").hint("merge").join(wanted.hint("merge"), "key")
+    rows = (texts.select("digest", "text").hint("merge").join(wanted.hint("merge"), "digest")
             .withColumn("grams", set_of(width)(F.col("text"))))
     me = F.col("block")
     upto = lambda n: F.filter(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda o: o < n)

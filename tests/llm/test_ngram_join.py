@@ -108,6 +108,90 @@ def test_forest_over_column_stretches(monkeypatch):
                 assert root[a] == root[b]
 
 
+def test_common_passages_make_no_family(docs_df, monkeypatch):
+    """Texts of the same few passages share crowded columns only; a family has those with much the same text."""
+    monkeypatch.setattr(J, "HOT", 4)
+    monkeypatch.setattr(J, "SAMPLE", 2)
+    largest = {}
+
+    def spied(edges, name):
+        found = components(edges, name)
+        largest[name] = max((r["count"] + 1 for r in found.groupBy("root").count().collect()), default=0)
+        return found
+    monkeypatch.setattr(J, "components", spied)
+    rng = random.Random(8)
+    pool = [" ".join(f"p{k}_{j}" for j in range(20)) for k in range(30)]
+    rows = [(i, " ".join(rng.sample(pool, 5)), "en", "s") for i in range(120)]
+    rows += [(1000 + i, rows[i][1] + " more", "en", "s") for i in range(0, 120, 10)]
+    got = J.join_components(docs_df(rows)).collect()
+    assert sorted(map(tuple, got)) == brute(rows, 3, 9, 10)
+    assert largest["gram-links"] == 2
+    assert largest["gram-families"] <= 20
+
+
+def test_rows_of_a_large_family_are_exchanged_a_few_times(docs_df, monkeypatch):
+    monkeypatch.setattr(J, "ROWS", 8)
+    seen = {}
+
+    def echo(t_num, t_den):
+        def run(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([b.column(6), b.column(6)], ["u", "v"])
+        return run
+
+    def spied(edges, name):
+        seen[name] = edges.count()
+        return components(edges, name)
+    monkeypatch.setattr(J, "block_links", echo)
+    monkeypatch.setattr(J, "components", spied)
+    rows = [(i, " ".join(f"e{i}" if j == 200 else f"w{j}" for j in range(400)), "en", "s") for i in range(300)]
+    J.join_components(docs_df(rows)).collect()
+    assert 300 <= seen["gram-links"] <= 10 * 300
+
+
+def test_tiles_give_the_components_of_all_pairs(monkeypatch):
+    rng = np.random.default_rng(4)
+    base = [rng.choice(10_000, 60, replace=False).astype(np.int64) for _ in range(3)]
+    sets = [np.unique(np.append(rng.choice(base[k % 3], 60 - k % 9, replace=False), rng.choice(10_000, k % 5))) for k in range(60)]
+
+    def lowest(left, right):
+        root = list(range(60))
+        for a in left:
+            for b in right:
+                i = len(np.intersect1d(sets[a], sets[b]))
+                if 10 * i >= 8 * (len(sets[a]) + len(sets[b]) - i):
+                    low, high = sorted((root[a], root[b]))
+                    root = [low if r == high else r for r in root]
+        return root
+    for rows in (4, 7, 64):
+        monkeypatch.setattr(J, "ROWS", rows)
+        for left, right in ((np.arange(60), np.arange(60)), (np.arange(0, 60, 2), np.arange(1, 60, 2))):
+            want = lowest(left, right)
+            assert J.block_forest(sets, left, right, 800, 1000).tolist() == want
+            assert 3 < len(set(want)) < 50
+
+
+@pytest.mark.parametrize("t_num", [900, 800])
+def test_linked_sets_share_a_part(t_num):
+    """Random pairs at the bound have a part's key in common, cut in one batch or each by itself."""
+    rng = np.random.default_rng(6)
+    seen = 0
+    for _ in range(3000):
+        x = np.unique(rng.integers(0, 2**48, int(rng.integers(1, 150)), dtype=np.uint64))
+        drop = int(rng.integers(0, int(len(x) * (1 - t_num / 1000)) + 1))
+        y = np.sort(x[rng.permutation(len(x))[drop:]])
+        y = np.unique(np.append(y, rng.integers(0, 2**48, int(rng.integers(0, len(x) // 8 + 1)), dtype=np.uint64)))
+        i = len(np.intersect1d(x, y))
+        if 1000 * i < t_num * (len(x) + len(y) - i):
+            continue
+        seen += 1
+        keys, offs = J.parts_of(np.concatenate([x, y]), np.array([0, len(x), len(x), len(x) + len(y)]), t_num)
+        alone = [J.parts_of(s, np.array([0, len(s)]), t_num)[0] for s in (x, y)]
+        assert offs[1] == offs[2] and (keys == np.concatenate(alone)).all()
+        assert np.intersect1d(*alone).size
+    assert seen > 500
+
+
 @pytest.mark.parametrize("t_num", [900, 800])
 def test_linked_sets_share_first_grams(t_num):
     """Over many random pairs at the bound: they share as many of their first n-grams as the smaller's c says."""
